@@ -59,13 +59,18 @@ def quote_literal(pattern: Column) -> Column:
         F.lit(r"\Q"), F.replace(pattern, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
-def with_options(body: Column, flags: Column, dialect: Column) -> Column:
-    """`body` as one group under the rule's options."""
+def with_options(body: Column, flags: Column, dialect: Column, grouped: Column | None = None) -> Column:
+    """`body` under the rule's options, as one group unless `grouped` says it need not be.
+
+    Java searches for a bare literal faster than for one in brackets. Callers put the
+    result into a group of their own, which also ends the options.
+    """
     options = regex_options(flags, dialect)
-    close = F.when(has_flag(flags, "COMMENTS"), F.lit("\n)")).otherwise(F.lit(")"))
-    return F.concat(
-        F.when(options == "", F.lit("")).otherwise(F.concat(F.lit("(?"), options, F.lit(")"))),
-        F.lit("(?:"), body, close)
+    prefix = F.when(options == "", F.lit("")).otherwise(F.concat(F.lit("(?"), options, F.lit(")")))
+    comments = has_flag(flags, "COMMENTS")
+    group = F.concat(F.lit("(?:"), body, F.when(comments, F.lit("\n)")).otherwise(F.lit(")")))
+    bare = F.lit(False) if grouped is None else ~grouped & ~comments
+    return F.concat(prefix, F.when(bare, body).otherwise(group))
 
 
 def unknown_flags(flags: Column, dialect: Column) -> Column:

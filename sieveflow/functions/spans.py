@@ -31,12 +31,22 @@ def _pieces(text: Column, regex: Column, group: str) -> Column:
         F.regexp_replace(text, regex, F.concat(mark, F.lit(group), mark)), mark, -1))
 
 
+def _offsets(pieces: Column, unit: str, overlapping: bool = False) -> Column:
+    """Where each piece starts in the text. Overlapping matches are copies, not part of it."""
+    if overlapping:
+        return running_totals(F.transform(pieces, lambda x, i: F.when(
+            i % 2 == 1, F.lit(0).cast("bigint")).otherwise(measure(x, unit))))
+    return running_totals(F.transform(pieces, lambda x: measure(x, unit)))
+
+
+def _match_numbers(pieces: Column) -> Column:
+    return F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2))
+
+
 def _spans_of_pieces(pieces: Column, unit: str, overlapping: bool) -> Column:
     def numbered(p: Column) -> Column:
-        lengths = F.transform(p, lambda x, i: F.when(
-            (i % 2 == 1) & F.lit(overlapping), F.lit(0).cast("bigint")).otherwise(measure(x, unit)))
-        return let(running_totals(lengths), lambda total: F.transform(
-            F.sequence(F.lit(1), F.size(p) - 2, F.lit(2)),
+        return let(_offsets(p, unit, overlapping), lambda total: F.transform(
+            _match_numbers(p),
             lambda i: F.struct(
                 total[i].alias("s"),
                 (total[i] + measure(p[i], unit)).alias("e"),
@@ -46,41 +56,51 @@ def _spans_of_pieces(pieces: Column, unit: str, overlapping: bool) -> Column:
         F.array().cast(NO_SPANS)))
 
 
+def _whole_characters(text: Column, rx: Column) -> Column:
+    """`rx`, kept from starting between the two halves of a surrogate pair."""
+    return F.when(F.octet_length(text) == F.length(text), rx).otherwise(
+        F.concat(F.lit(r"(?![\x{DC00}-\x{DFFF}])"), rx))
+
+
 def find_spans(text: Column, rx: Column, unit: str) -> Column:
     """Leftmost, non-overlapping matches in order, as repeated ``find()`` gives them."""
-    # an empty match between the two halves of a surrogate pair is no position of the text
-    whole_characters = F.concat(F.lit(r"(?![\x{DC00}-\x{DFFF}])"), rx)
-    return _spans_of_pieces(_pieces(text, whole_characters, "$0"), unit, overlapping=False)
+    return _spans_of_pieces(_pieces(text, _whole_characters(text, rx), "$0"), unit, overlapping=False)
 
 
 def spans_at_every_start(text: Column, rx: Column, unit: str) -> Column:
     """One match per start, overlaps included: all matches of a fixed-width rule."""
-    ahead = F.concat(F.lit(r"(?![\x{DC00}-\x{DFFF}])(?=("), rx, F.lit("))"))
-    return _spans_of_pieces(_pieces(text, ahead, "$1"), unit, overlapping=True)
+    ahead = F.concat(F.lit("(?=("), rx, F.lit("))"))
+    return _spans_of_pieces(_pieces(text, _whole_characters(text, ahead), "$1"), unit, overlapping=True)
 
 
 def windows(text: Column, rule: Column, unit: str) -> Column:
-    """The parts of a text that can hold matches of a variable-width rule.
+    """The parts of a text that hold matches of a variable-width rule.
 
     Each is a maximal run of characters the rule can consume, with one character of context
     before and two after, which is all that ``^ $ \\b`` look at. Structs: ``w`` window,
-    ``c`` context before, ``n`` run length, ``at`` run start in `unit`.
+    ``c`` context before, ``n`` run length, ``at`` run start in `unit`. A rule that can match
+    the empty text has matches anywhere, so its window is the text.
     """
-    def of_run(cp: Column, u: Column) -> Column:
-        context = F.when(cp["s"] > 0, F.lit(1)).otherwise(F.lit(0))
-        n = (cp["e"] - cp["s"]).cast("int")
-        return F.struct(
-            F.substring(text, (cp["s"] + 1).cast("int") - context, n + context + 2).alias("w"),
-            context.alias("c"), n.alias("n"), u["s"].alias("at"))
-
     whole = F.array(F.struct(
         text.alias("w"), F.lit(0).alias("c"), F.length(text).alias("n"), F.lit(0).cast("bigint").alias("at")))
-    runs = let(find_spans(text, rule["run_rx"], "codepoint"), lambda cps: (
-        F.transform(cps, lambda cp: of_run(cp, cp)) if unit == "codepoint" else
-        F.zip_with(cps, find_spans(text, rule["run_rx"], unit), of_run)))
-    return F.filter(
-        F.when(rule["kind"] == "whole", whole).otherwise(runs),
-        lambda w: F.rlike(w["w"], rule["rx"]))
+
+    def of_pieces(pieces: Column, cp: Column, at: Column) -> Column:
+        def of_run(i: Column) -> Column:
+            context = F.when(cp[i] > 0, F.lit(1)).otherwise(F.lit(0))
+            n = F.length(pieces[i])
+            return F.struct(
+                F.substring(text, (cp[i] + 1).cast("int") - context, n + context + 2).alias("w"),
+                context.alias("c"), n.alias("n"), at[i].alias("at"))
+
+        return F.when(F.size(pieces) > 1, F.transform(_match_numbers(pieces), of_run))
+
+    def located(pieces: Column) -> Column:
+        return let(_offsets(pieces, "codepoint"), lambda cp: (
+            of_pieces(pieces, cp, cp) if unit == "codepoint" else
+            let(_offsets(pieces, unit), lambda at: of_pieces(pieces, cp, at))))
+
+    runs = let(_pieces(text, _whole_characters(text, rule["run_rx"]), "$0"), located)
+    return F.when(rule["kind"] == "whole", whole).otherwise(runs)
 
 
 def ends_in_window(w: Column, rule: Column, unit: str, first: Column, last: Column) -> Column:
@@ -102,8 +122,8 @@ def ends_in_window(w: Column, rule: Column, unit: str, first: Column, last: Colu
             F.when(rule["som"], F.substring(w["w"], w["c"] + 1 + F.length(b), e - F.length(b)))
             .otherwise(F.lit("")).alias("m")))
 
-    return F.transform(
-        F.filter(F.sequence(first, last), lambda e: F.rlike(w["w"], ending_at(e))), span)
+    return F.transform(F.filter(
+        F.sequence(first, last), lambda e: F.rlike(w["w"], ending_at(e))), span)
 
 
 def first_end(rule: Column) -> Column:
@@ -115,6 +135,7 @@ def first_end(rule: Column) -> Column:
 class Shape:
     """What kinds of rules a set holds, so that expressions for absent kinds are left out."""
 
+    apart: bool = True
     fixed: bool = True
     variable: bool = True
     java: bool = True
@@ -142,8 +163,9 @@ def all_ends(text: Column, rule: Column, unit: str, shape: Shape = Shape()) -> C
             kept, lambda w: ends_in_window(w, rule, unit, first_end(rule), w["n"])))
 
     return _case([
+        (rule["kind"] == "apart", shape.apart, lambda: find_spans(text, rule["rx"], unit)),
         (rule["kind"] == "fixed", shape.fixed, lambda: spans_at_every_start(text, rule["rx"], unit)),
-        (rule["kind"] != "fixed", shape.variable, lambda: let(windows(text, rule, unit), over_windows)),
+        (F.lit(True), shape.variable, lambda: let(windows(text, rule, unit), over_windows)),
     ])
 
 

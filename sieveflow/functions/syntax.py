@@ -151,6 +151,30 @@ def run_class(java_toks: Column, flags: Column) -> Column:
     return let(F.transform(java_toks, atom), joined)
 
 
+def run_with_match(run: Column, body: Column) -> Column:
+    """A regex for the maximal runs of class `run` in which `body` matches."""
+    return F.concat(F.lit("(?<!"), run, F.lit(")"), run, F.lit("*?(?:"), body, F.lit(")"), run, F.lit("*+"))
+
+
+def never_overlaps(java_toks: Column, flags: Column) -> Column:
+    """Can two matches of a fixed-width rule not share a character?
+
+    So it is if what the rule starts with can occur nowhere else in it, or if it is plain
+    text of which no end is also a beginning.
+    """
+    def plain(text: Column) -> Column:
+        return ~F.exists(F.sequence(F.lit(0), F.length(text) - 1), lambda k: (k > 0) & (
+            F.substring(text, F.lit(1), k) == F.substring(text, F.length(text) - k + 1, k)))
+
+    first = F.get(java_toks, F.lit(0))
+    rest = F.slice(java_toks, F.lit(2), F.greatest(F.size(java_toks) - 1, F.lit(0)))
+    ascii_letter = F.rlike(first, F.lit(r"^[A-Za-z0-9 ]$")) & ~F.coalesce(F.rlike(F.get(java_toks, F.lit(1)), F.lit(QUANTIFIER)), F.lit(False))
+    elsewhere = F.concat(F.lit("(?iu)"), run_class(rest, flags))
+    all_plain = ~F.exists(java_toks, lambda t: ~F.rlike(t, F.lit(r"^[A-Za-z0-9 ]$")))
+    return F.when(all_plain, plain(F.lower(F.array_join(java_toks, "")))).otherwise(
+        ascii_letter & ~F.rlike(first, elsewhere))
+
+
 # Marks of the skeleton that required_literals works on.
 GAP, OPEN, CLOSE, ALT, MAYBE, REPEAT, CHOICE = (chr(c) for c in range(1, 8))
 MIN_LITERAL = 3

@@ -143,7 +143,7 @@ def scan(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep
     spans_here = _spans_of(rule, pairs, compiled, offset_unit, semantics, byte_scan)
     if not spread or semantics == "find":
         return published(pairs, spans_here)
-    scattered = (rule["kind"] != "fixed") & ~rule["single"] & ~rule["java"]
+    scattered = rule["kind"].isin("runs", "whole") & ~rule["single"] & ~rule["java"]
     return published(pairs.where(~scattered), spans_here).unionByName(
         published(*_scattered_ends(pairs.where(scattered), offset_unit, byte_scan)))
 

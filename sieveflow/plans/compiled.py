@@ -16,11 +16,12 @@ from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import let
 from ..functions.flags import has_flag, quote_literal, with_options
 from ..functions.spans import Shape
 from ..functions.syntax import (
     capture_groups, fixed_width, java_source, java_tokens, latin1_tokens, needs_byte_view,
-    required_literals, run_class, tokens,
+    never_overlaps, required_literals, run_class, run_with_match, tokens,
 )
 from ..operators.validate import RuleError, check_ruleset, nullable_rule, rule_error
 from ..schemas import DIRECT
@@ -48,18 +49,19 @@ def _derivation(application: str) -> list[dict[str, Column]]:
     literal = has_flag(flags, "LITERAL")
     ok = F.col("error").isNull() & ~has_flag(flags, "COMBINATION")
     nullable = F.when(ok, nullable_rule(body, flags, dialect))
-    run = F.concat(run_class(jtoks, flags), F.lit("+"))
+    run = run_class(jtoks, flags)
     return [
         {"error": rule_error(pattern, flags, dialect), "toks": tokens(pattern)},
         {"bytes": needs_byte_view(toks, pattern, flags, dialect), "jtoks": java_tokens(toks, dialect)},
         {"jtoks": F.when(F.col("bytes"), latin1_tokens(jtoks)).otherwise(jtoks)},
         {"body": F.when(literal, quote_literal(pattern)).otherwise(java_source(jtoks, dialect))},
         {
-            "rx": with_options(body, flags, dialect),
-            "run_rx": with_options(run, flags, dialect),
+            "rx": with_options(body, flags, dialect, grouped=F.array_contains(toks, "|")),
+            "run_rx": let(run, lambda r: with_options(run_with_match(r, body), flags, dialect)),
             "literals": required_literals(toks, pattern, flags, dialect),
-            "kind": F.when(nullable, F.lit("whole")).when(fixed_width(toks) | literal, F.lit("fixed"))
-                     .otherwise(F.lit("runs")),
+            "kind": F.when(nullable, F.lit("whole"))
+                     .when(fixed_width(toks) & ~literal & never_overlaps(jtoks, flags), F.lit("apart"))
+                     .when(fixed_width(toks) | literal, F.lit("fixed")).otherwise(F.lit("runs")),
             "nullable": F.coalesce(nullable, F.lit(False)),
             "groups": F.when(literal, F.lit(0)).otherwise(capture_groups(toks)),
             "utf8": has_flag(flags, "UTF8"),
@@ -137,8 +139,9 @@ class CompiledRules:
         if self.rows is None or not self.rows:
             return Shape()
         return Shape(
+            apart=any(r["kind"] == "apart" for r in self.rows),
             fixed=any(r["kind"] == "fixed" for r in self.rows),
-            variable=any(r["kind"] != "fixed" for r in self.rows),
+            variable=any(r["kind"] in ("runs", "whole") for r in self.rows),
             java=any(r["java"] for r in self.rows),
             direct=any(not r["java"] for r in self.rows),
             single=any(r["single"] for r in self.rows))

@@ -9,6 +9,18 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", columns=Non
     return df.select(*columns) if columns else df
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input with fewer splits than cores.
+
+    Matching is bound by CPU, and a file that is one row group is one task however long its
+    texts are. Only such small inputs are shuffled; anything larger is returned as it is.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores * 2)
+
+
 def read_blobs(spark: SparkSession, path: str, **options) -> DataFrame:
     """Whole files as rows (path, content) for a byte scan."""
     return spark.read.format("binaryFile").options(**options).load(path).select("path", "content")

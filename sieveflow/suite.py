@@ -16,6 +16,7 @@ from . import (
 from .functions.offsets import byte_to_char, convert_offset, is_clean_utf8
 from .operators.rulesets import normalized
 from .operators.validate import duplicate_ids
+from .sources.inputs import spread_small_input
 from .streaming.streams import (
     read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
 )
@@ -94,7 +95,7 @@ CONV = ["conv_id", "turn"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small_input(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _rules(triples, quiet=frozenset(), dialect="direct"):
@@ -402,7 +403,7 @@ def clean_utf8_prefixes(spark, sf_dir):
 
 
 def _stream(spark, sf_dir, name):
-    return read_stream(spark, f"{sf_dir}/{name}.parque[t]", table(spark, sf_dir, name).schema)
+    return read_stream(spark, f"{sf_dir}/{name}.parque[t]", spark.read.parquet(f"{sf_dir}/{name}.parquet").schema)
 
 
 def stream_scan(spark, sf_dir):
