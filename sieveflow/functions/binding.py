@@ -1,6 +1,6 @@
 """Small Column helpers for expressions built from higher-order functions."""
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body) -> Column:
@@ -13,42 +13,16 @@ def let(value: Column, body) -> Column:
 
 
 def running_totals(values: Column) -> Column:
-    """Exclusive prefix sums of a non-empty array<bigint>.
+    """0 and the prefix sums of an array<bigint>, so one element more than `values`."""
+    return F.aggregate(
+        values, F.array(F.lit(0).cast("bigint")),
+        lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)))
 
-    Appending to an array copies it, so one flat fold would copy n*n/2 values. Folding
-    blocks of about sqrt(n) values and then shifting the blocks copies n*sqrt(n).
+
+def one_row_each(df: DataFrame, keep, array: Column, name: str) -> DataFrame:
+    """`keep` and one row per element of `array`; rows with no element are dropped.
+
+    A plain explode gets a filter "array is not empty" from the optimizer, which is pushed
+    down and evaluates the array a second time. The outer form does not.
     """
-    def empty():
-        return F.struct(
-            F.lit(0).cast("bigint").alias("total"),
-            F.array().cast("array<bigint>").alias("before"),
-        )
-
-    def fold_block(block: Column) -> Column:
-        return F.aggregate(
-            block,
-            empty(),
-            lambda acc, v: F.struct(
-                (acc["total"] + v).alias("total"),
-                F.concat(acc["before"], F.array(acc["total"])).alias("before"),
-            ),
-        )
-
-    def over(vs: Column) -> Column:
-        width = F.ceil(F.sqrt(F.size(vs))).cast("int")
-        return let(width, lambda w: F.aggregate(
-            F.transform(
-                F.sequence(F.lit(1), F.size(vs), w),
-                lambda i: fold_block(F.slice(vs, i, w)),
-            ),
-            empty(),
-            lambda acc, b: F.struct(
-                (acc["total"] + b["total"]).alias("total"),
-                F.concat(
-                    acc["before"], F.transform(b["before"], lambda v: v + acc["total"])
-                ).alias("before"),
-            ),
-            lambda acc: acc["before"],
-        ))
-
-    return let(values, over)
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())

@@ -15,6 +15,7 @@ from .offsets import measure
 NO_SPANS = "array<struct<s:bigint,e:bigint,m:string>>"
 # Noncharacters: they may occur in a text, which is why the mark adapts to it.
 MARK, MARK_END = "\uFDD0", "\uFDD1"
+BLOCK = 64
 
 
 def free_mark(text: Column) -> Column:
@@ -31,34 +32,52 @@ def _pieces(text: Column, regex: Column, group: str) -> Column:
         F.regexp_replace(text, regex, F.concat(mark, F.lit(group), mark)), mark, -1))
 
 
-def _offsets(pieces: Column, unit: str, overlapping: bool = False) -> Column:
-    """Where each piece starts in the text. Overlapping matches are copies, not part of it."""
-    if overlapping:
-        return running_totals(F.transform(pieces, lambda x, i: F.when(
-            i % 2 == 1, F.lit(0).cast("bigint")).otherwise(measure(x, unit))))
-    return running_totals(F.transform(pieces, lambda x: measure(x, unit)))
+def _with_offsets(parts: Column, unit: str, body) -> Column:
+    """``body(offset)``, where ``offset(i)`` is the total length of the first `i` of `parts`.
 
+    Appending to an array copies it, so running totals are kept per block only, and the
+    rest is the length of the few parts before `i` in its block.
+    """
+    def joined(first: Column, n) -> Column:
+        return measure(F.array_join(F.slice(parts, first, n), ""), unit)
 
-def _match_numbers(pieces: Column) -> Column:
-    return F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2))
+    blocks = F.transform(
+        F.sequence(F.lit(1), F.size(parts), F.lit(BLOCK)), lambda first: joined(first, BLOCK))
+
+    def from_totals(totals: Column) -> Column:
+        def offset(i: Column) -> Column:
+            block = F.floor(i / BLOCK).cast("int")
+            return totals[block] + joined(block * BLOCK + 1, i - block * BLOCK)
+        return body(offset)
+
+    return let(running_totals(blocks), from_totals)
 
 
 def _spans_of_pieces(pieces: Column, unit: str, overlapping: bool) -> Column:
-    def numbered(p: Column) -> Column:
-        return let(_offsets(p, unit, overlapping), lambda total: F.transform(
-            _match_numbers(p),
-            lambda i: F.struct(
-                total[i].alias("s"),
-                (total[i] + measure(p[i], unit)).alias("e"),
-                p[i].alias("m"))))
+    def span(start: Column, match: Column) -> Column:
+        return let(start, lambda s: F.struct(
+            s.alias("s"), (s + measure(match, unit)).alias("e"), match.alias("m")))
+
+    def one_after_another(p: Column) -> Column:
+        return _with_offsets(p, unit, lambda offset: F.transform(
+            _match_numbers(p), lambda i: span(offset(i), p[i])))
+
+    def copies(p: Column) -> Column:
+        gaps = F.filter(p, lambda _, i: i % 2 == 0)
+        return let(gaps, lambda g: _with_offsets(g, unit, lambda offset: F.transform(
+            F.sequence(F.lit(1), F.size(g) - 1), lambda i: span(offset(i), p[i * 2 - 1]))))
 
-    return let(pieces, lambda p: F.when(F.size(p) > 1, numbered(p)).otherwise(
-        F.array().cast(NO_SPANS)))
+    return let(pieces, lambda p: F.when(
+        F.size(p) > 1, copies(p) if overlapping else one_after_another(p)).otherwise(F.array().cast(NO_SPANS)))
+
+
+def _match_numbers(pieces: Column) -> Column:
+    return F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2))
 
 
 def _whole_characters(text: Column, rx: Column) -> Column:
     """`rx`, kept from starting between the two halves of a surrogate pair."""
-    return F.when(F.octet_length(text) == F.length(text), rx).otherwise(
+    return F.when(measure(text, "utf16") == F.length(text), rx).otherwise(
         F.concat(F.lit(r"(?![\x{DC00}-\x{DFFF}])"), rx))
 
 
@@ -84,20 +103,20 @@ def windows(text: Column, rule: Column, unit: str) -> Column:
     whole = F.array(F.struct(
         text.alias("w"), F.lit(0).alias("c"), F.length(text).alias("n"), F.lit(0).cast("bigint").alias("at")))
 
-    def of_pieces(pieces: Column, cp: Column, at: Column) -> Column:
-        def of_run(i: Column) -> Column:
-            context = F.when(cp[i] > 0, F.lit(1)).otherwise(F.lit(0))
+    def located(pieces: Column) -> Column:
+        def of_run(i: Column, start: Column, at: Column) -> Column:
+            context = F.when(start > 0, F.lit(1)).otherwise(F.lit(0))
             n = F.length(pieces[i])
             return F.struct(
-                F.substring(text, (cp[i] + 1).cast("int") - context, n + context + 2).alias("w"),
-                context.alias("c"), n.alias("n"), at[i].alias("at"))
+                F.substring(text, (start + 1).cast("int") - context, n + context + 2).alias("w"),
+                context.alias("c"), n.alias("n"), at.alias("at"))
 
-        return F.when(F.size(pieces) > 1, F.transform(_match_numbers(pieces), of_run))
+        def runs_at(cp, at) -> Column:
+            return F.when(F.size(pieces) > 1, F.transform(
+                _match_numbers(pieces), lambda i: let(cp(i), lambda s: of_run(i, s, s if at is cp else at(i)))))
 
-    def located(pieces: Column) -> Column:
-        return let(_offsets(pieces, "codepoint"), lambda cp: (
-            of_pieces(pieces, cp, cp) if unit == "codepoint" else
-            let(_offsets(pieces, unit), lambda at: of_pieces(pieces, cp, at))))
+        return _with_offsets(pieces, "codepoint", lambda cp: runs_at(cp, cp) if unit == "codepoint" else
+                             _with_offsets(pieces, unit, lambda at: runs_at(cp, at)))
 
     runs = let(_pieces(text, _whole_characters(text, rule["run_rx"]), "$0"), located)
     return F.when(rule["kind"] == "whole", whole).otherwise(runs)

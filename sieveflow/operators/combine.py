@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.binding import one_row_each
 from ..plans.compiled import CompiledRules
-from .hits import HITS, as_list, hit_rules, with_views
+from .hits import as_list, hit_rules, with_views
 from .scan import _ids, combination_matches
 
 
@@ -25,8 +26,5 @@ def combinations(docs: DataFrame, compiled: CompiledRules, key, text: str = "tex
     keep = [*as_list(key), *keep]
     views = with_views(docs, compiled, text, keep)
     found = views.select(*keep, _ids(hit_rules(views, compiled)).alias("_ids"))
-    return (found.select(*keep, F.explode(combination_matches(compiled)).alias("m"))
-            .select(*keep, F.col("m.rule_id").alias("rule_id")))
-
-
-__all__ = ["combinations", "rule_hits_per_text", "HITS"]
+    return one_row_each(found, keep, combination_matches(compiled), "m").select(
+        *keep, F.col("m.rule_id").alias("rule_id"))

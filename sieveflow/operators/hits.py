@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.binding import let
+from ..functions.binding import let, one_row_each
 from ..functions.offsets import latin1_view
 from ..plans.compiled import CompiledRules, any_alternation, foldable
 
@@ -56,7 +56,7 @@ def hits(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep
         pairs = matched_rules(docs, compiled, as_list(key), text, keep, byte_scan)
     else:
         views = with_views(docs, compiled, text, keep, byte_scan)
-        pairs = views.select(*keep, F.explode(hit_rules(views, compiled, byte_scan)).alias(RULE))
+        pairs = one_row_each(views, keep, hit_rules(views, compiled, byte_scan), RULE)
     return pairs.select(*keep, *[F.col(f"{RULE}.{c}").alias(c) for c in chosen])
 
 
@@ -109,7 +109,8 @@ def _filtered(docs, compiled, key, text, byte_scan, wanted) -> DataFrame:
         found = hits(docs, compiled, key, text, byte_scan=byte_scan).select(*as_list(key)).distinct()
         return docs.join(found, as_list(key), "left_semi" if wanted else "left_anti")
     flagged = with_has_match(docs, compiled, text, "_has_match", byte_scan)
-    return flagged.where(F.col("_has_match") == F.lit(wanted)).drop("_has_match")
+    kept = F.when(F.col("_has_match") == F.lit(wanted), F.array(F.lit(True)))
+    return one_row_each(flagged, docs.columns, kept, "_kept").drop("_kept")
 
 
 def lookup_rules(matches: DataFrame, compiled: CompiledRules, columns=("pattern", "flags")) -> DataFrame:

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import one_row_each
 from ..plans.compiled import MAX_RULES, RULE_FIELDS, CompiledRules
 from .hits import RULE, TEXT, hit_rules, view_for, with_views
 
@@ -37,7 +38,7 @@ def rule_grams(table: DataFrame) -> DataFrame:
 def text_grams(views: DataFrame, keys: list[str]) -> DataFrame:
     lower = F.lower(F.col(TEXT))
     grams = [F.regexp_extract_all(lower, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)) for k in GRAM_LENGTHS]
-    return views.select(*keys, F.explode(F.array_distinct(F.concat(*grams))).alias("gram"))
+    return one_row_each(views, keys, F.array_distinct(F.concat(*grams)), "gram")
 
 
 def matched_rules(docs: DataFrame, compiled: CompiledRules, keys: list[str], text: str, keep,
@@ -51,7 +52,7 @@ def matched_rules(docs: DataFrame, compiled: CompiledRules, keys: list[str], tex
     confirmed = views.join(pairs, keys).where(F.rlike(view_for(F.col(RULE), views, byte_scan), F.col(f"{RULE}.rx")))
     parts = [confirmed]
     for chunk in unfiltered_chunks(compiled):
-        parts.append(views.select("*", F.explode(hit_rules(views, chunk, byte_scan)).alias(RULE)))
+        parts.append(one_row_each(views, ["*"], hit_rules(views, chunk, byte_scan), RULE))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.binding import let
+from ..functions.binding import let, one_row_each
 from ..plans.compiled import CompiledRules
 from .hits import RULE, as_list, hit_rules, view_for, with_views
-from .scan import MATCHES, matches_per_text
+from .scan import MATCHES, match_rows, matches_per_text
 
 
 def _in_order(matches: Column) -> Column:
@@ -17,14 +17,14 @@ def _in_order(matches: Column) -> Column:
 
 
 def _rows(nested: DataFrame, matches: Column, keep) -> DataFrame:
-    return nested.select(*keep, F.inline(matches)).select(*keep, "rule_id", "start", "end", "matched")
+    return match_rows(nested, keep, matches).select(*keep, "rule_id", "start", "end", "matched")
 
 
 def ordered_matches(docs, compiled: CompiledRules, key, text="text", **options) -> DataFrame:
     """Matches with `seq`, their place in the text by (end, start, rule_id)."""
     nested = matches_per_text(docs, compiled, key, text, **options)
-    out = nested.select(*as_list(key), F.posexplode(_in_order(F.col(MATCHES))).alias("seq", "m"))
-    return out.select(*as_list(key), "seq", "m.rule_id", "m.start", "m.end", "m.matched")
+    out = nested.select(*as_list(key), F.posexplode_outer(_in_order(F.col(MATCHES))).alias("seq", "m"))
+    return out.where("m IS NOT NULL").select(*as_list(key), "seq", "m.rule_id", "m.start", "m.end", "m.matched")
 
 
 def first_k(docs, compiled: CompiledRules, key, k: int, text="text", **options) -> DataFrame:
@@ -50,7 +50,7 @@ def match_counts(docs, compiled: CompiledRules, by=(), text="text") -> DataFrame
     """Number of `find()` matches per rule (and `by` columns); positions are not computed."""
     by = as_list(by)
     views = with_views(docs, compiled, text, by)
-    pairs = views.select("*", F.explode(hit_rules(views, compiled)).alias(RULE))
+    pairs = one_row_each(views, ["*"], hit_rules(views, compiled), RULE)
     n = F.regexp_count(view_for(F.col(RULE), views), F.col(f"{RULE}.rx"))
     return (pairs.select(*by, F.col(f"{RULE}.rule_id").alias("rule_id"), n.alias("n"))
             .groupBy(*by, "rule_id").agg(F.sum("n").alias("n_matches"), F.count("*").alias("n_texts")))

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.binding import one_row_each
 from ..plans.compiled import CompiledRules
 from .hits import RULE, TEXT, as_list, candidate_rules, has_match_column, view_for, with_views
 
 
 def _candidate_pairs(docs, compiled: CompiledRules, keep, text) -> DataFrame:
     views = with_views(docs, compiled, text, keep)
-    return views.select("*", F.explode(candidate_rules(compiled)).alias(RULE))
+    return one_row_each(views, ["*"], candidate_rules(compiled), RULE)
 
 
 def candidates(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
@@ -46,13 +47,12 @@ def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame
     pairs = _candidate_pairs(docs, compiled, keep, text)
     rule = F.col(RULE)
     pairs = pairs.where(F.rlike(view_for(rule, pairs), rule["rx"]))
-    grouped = pairs.select(
-        *keep, F.col(TEXT), rule["rule_id"].alias("rule_id"), rule["rx"].alias("rx"),
-        F.explode(F.sequence(F.lit(0), rule["groups"])).alias("group_no"))
-    return grouped.select(
-        *keep, "rule_id", "group_no",
-        F.posexplode(F.regexp_extract_all(F.col(TEXT), F.col("rx"), F.col("group_no"))).alias("match_no", "value"),
-    ).select(*keep, "rule_id", "match_no", "group_no", "value")
+    grouped = one_row_each(
+        pairs.select(*keep, TEXT, rule["rule_id"].alias("rule_id"), rule["rx"].alias("rx"), rule["groups"].alias("n")),
+        [*keep, TEXT, "rule_id", "rx"], F.sequence(F.lit(0), F.col("n")), "group_no")
+    values = F.regexp_extract_all(F.col(TEXT), F.col("rx"), F.col("group_no"))
+    return (grouped.select(*keep, "rule_id", "group_no", F.posexplode_outer(values).alias("match_no", "value"))
+            .where("value IS NOT NULL").select(*keep, "rule_id", "match_no", "group_no", "value"))
 
 
 def any_match_alternation(docs, compiled: CompiledRules, key, text="text") -> DataFrame:

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import one_row_each
 from ..functions.offsets import char_index, inclusive_end
 from ..functions.spans import ends_in_window, first_end, spans, windows
 from ..plans.compiled import CompiledRules
@@ -111,6 +112,11 @@ def matches_per_text(docs: DataFrame, compiled: CompiledRules, key, text: str =
     return found.select(*keep, matches.alias(MATCHES))
 
 
+def match_rows(df: DataFrame, keep, matches: Column) -> DataFrame:
+    """`keep` and the fields of each match."""
+    return one_row_each(df, keep, matches, "_match").select(*keep, "_match.*")
+
+
 def scan(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=(),
          offset_unit: str = "utf16", semantics: str | None = None, byte_scan: bool = False,
          with_ruleset: bool = False, spread: bool = False) -> DataFrame:
@@ -124,12 +130,12 @@ def scan(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep
     columns = [*keep, *(["ruleset"] if with_ruleset else []), "rule_id", "start", "end", "matched"]
     if compiled.fits and not spread:
         rows = matches_per_text(docs, compiled, key, text, keep[len(as_list(key)):], offset_unit, semantics, byte_scan)
-        return rows.select(*keep, F.inline(MATCHES)).select(*columns)
+        return match_rows(rows, keep, F.col(MATCHES)).select(*columns)
     if compiled.combinations:
         raise ValueError("combinations need a ruleset within the size bound, and no spread")
     if compiled.fits:
         views = with_views(docs, compiled, text, keep, byte_scan)
-        pairs = views.select("*", F.explode(hit_rules(views, compiled, byte_scan)).alias(RULE))
+        pairs = one_row_each(views, ["*"], hit_rules(views, compiled, byte_scan), RULE)
     else:
         from .large import matched_rules
         pairs = matched_rules(docs, compiled, as_list(key), text, keep, byte_scan)
@@ -137,8 +143,8 @@ def scan(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep
     rule = F.col(RULE)
 
     def published(df: DataFrame, found: Column) -> DataFrame:
-        return df.select(*keep, F.inline(F.transform(
-            found, lambda s: _match_struct(rule, s, pairs, offset_unit, byte_scan)))).select(*columns)
+        return match_rows(df, keep, F.transform(
+            found, lambda s: _match_struct(rule, s, pairs, offset_unit, byte_scan))).select(*columns)
 
     spans_here = _spans_of(rule, pairs, compiled, offset_unit, semantics, byte_scan)
     if not spread or semantics == "find":
@@ -159,7 +165,7 @@ def _scattered_ends(pairs: DataFrame, unit: str, byte_scan: bool) -> tuple[DataF
         return F.when(sees_bytes(rule, byte_scan), build(F.col(RAW), "codepoint")).otherwise(in_text)
 
     blocks = (
-        pairs.select("*", F.explode(by_view(lambda view, u: windows(view, rule, u))).alias("_window"))
+        one_row_each(pairs, ["*"], by_view(lambda view, u: windows(view, rule, u)), "_window")
         .select("*", F.explode(F.sequence(first_end(rule), w["n"], F.lit(END_BLOCK))).alias("_first"))
         .hint("rebalance"))
     last = F.least(first + (END_BLOCK - 1), w["n"])

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.hits import HITS, RAW, TEXT, as_list, hit_rules, hits, with_views
+from ..functions.binding import one_row_each
+from ..operators.hits import as_list, hit_rules, hits, with_views
 from ..operators.scan import _ids, combination_matches
 from ..plans.compiled import CompiledRules
 from ..sources.sinks import work_folder
@@ -61,9 +62,8 @@ def session_combinations(docs: DataFrame, compiled: CompiledRules, key, ts: str,
     records = views.select(*keys, ts, F.explode_outer(_ids(hit_rules(views, compiled))).alias("_id"))
     sessions = records.groupBy(F.session_window(ts, gap).alias("session"), *keys).agg(
         F.collect_set("_id").alias("_ids"))
-    return sessions.select(
-        *keys, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
-        F.explode(F.transform(combination_matches(compiled), lambda m: m["rule_id"])).alias("rule_id"))
+    kept = [*keys, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end")]
+    return one_row_each(sessions, kept, F.transform(combination_matches(compiled), lambda m: m["rule_id"]), "rule_id")
 
 
 def deliver(matches: DataFrame, handler, checkpoint: str, available_now: bool = True):
@@ -81,7 +81,3 @@ def run_available(matches: DataFrame, name: str = "stream", fmt: str = "parquet"
              .trigger(availableNow=True).start(out))
     query.awaitTermination()
     return spark.read.schema(matches.schema).format(fmt).load(out)
-
-
-__all__ = ["HITS", "RAW", "TEXT", "read_stream", "stream_hits", "single_alerts", "windowed_counts",
-           "session_combinations", "deliver", "run_available"]
