@@ -57,14 +57,21 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("rules, text, expected", CASES)
-def test_all_ends(spark, rules, text, expected):
-    assert spans(spark, rules, text) == expected
+def spans_of_all_cases(spark, **options):
+    """All cases in one scan: each is a ruleset of its own and keeps the matches in its text."""
+    rules = [{**r, "ruleset": str(i)} for i, (case, _, _) in enumerate(CASES) for r in case]
+    compiled = compile_rules(rules_table(spark, rules))
+    rows = scan(texts(spark, *[text for _, text, _ in CASES]), compiled, "doc_id", with_ruleset=True, **options)
+    found = {}
+    for r in rows.where("ruleset = cast(doc_id AS string)").collect():
+        found.setdefault(r.doc_id, []).append((r.rule_id, r.start, r.end, r.matched))
+    return {i: sorted(v) for i, v in found.items()}
 
 
-@pytest.mark.parametrize("rules, text, expected", CASES)
-def test_spread_search_gives_the_same(spark, rules, text, expected):
-    assert spans(spark, rules, text, spread=True) == expected
+@pytest.mark.parametrize("options", [{}, {"spread": True}])
+def test_all_ends(spark, options):
+    expected = {i: e for i, (_, _, e) in enumerate(CASES) if e}
+    assert spans_of_all_cases(spark, **options) == expected
 
 
 def test_units(spark):
@@ -75,17 +82,31 @@ def test_units(spark):
     assert last["byte"] == (start, start + 4)
 
 
-@pytest.mark.parametrize("pattern, text, expected", [
+FIND_CASES = [
     ("a*", "baac", [(0, 0, ""), (1, 2, "aa"), (3, 2, ""), (4, 3, "")]),
     ("(?=(aa))", "aaa", [(0, 0, ""), (1, 0, "")]),
     ("a+?", "aaa", [(0, 0, "a"), (1, 1, "a"), (2, 2, "a")]),
     ("aa", "aaaaa", [(0, 1, "aa"), (2, 3, "aa")]),
     (r"(\w)\1", "xaabbc", [(1, 2, "aa"), (3, 4, "bb")]),
     ("x*", "\U0001F600", [(0, 0, ""), (2, 1, "")]),
-])
-def test_find(spark, pattern, text, expected):
-    found = spans(spark, [rule(pattern, (), 0, dialect="java")], text)
-    assert [f[1:] for f in found] == expected
+    ("[^a]b", "\U0001F600b", [(0, 2, "\U0001F600b")]),
+]
+
+
+def test_find(spark):
+    compiled = compile_rules(rules_table(spark, [rule(p, (), i, dialect="java") for i, (p, _, _) in enumerate(FIND_CASES)]))
+    rows = scan(texts(spark, *[t for _, t, _ in FIND_CASES]), compiled, "doc_id").where("doc_id = rule_id").collect()
+    for i, (_, _, expected) in enumerate(FIND_CASES):
+        assert sorted((r.start, r.end, r.matched) for r in rows if r.doc_id == i) == expected
+
+
+def test_a_text_with_thousands_of_matches(spark):
+    text = "ab " * 5000
+    rows = spans(spark, [rule("a", SOM, 1), rule("b+ ", SOM, 2), rule(r"\w\w", [SOM, "UTF8"], 3)], "é" + text)
+    for i, width in ((1, 1), (2, 2), (3, 2)):
+        at = 1 if i == 2 else 0
+        assert [r[1:3] for r in rows if r[0] == i] == [
+            (1 + 3 * k + at, 3 * k + at + width) for k in range(5000)]
 
 
 def test_byte_scan(spark):
