@@ -46,17 +46,26 @@ def hit_rules(df: DataFrame, compiled: CompiledRules, byte_scan: bool = False) -
     return F.filter(candidate_rules(compiled), lambda r: F.rlike(view_for(r, df, byte_scan), r["rx"]))
 
 
+def hit_pairs(docs: DataFrame, compiled: CompiledRules, keys: list[str], text: str, keep,
+              byte_scan: bool = False) -> DataFrame:
+    """`keep`, the text and the rule: one row per text and rule that matches it."""
+    if not compiled.fits:
+        from .large import matched_rules
+        return matched_rules(docs, compiled, keys, text, keep, byte_scan)
+    views = with_views(docs, compiled, text, keep, byte_scan)
+    return one_row_each(views, ["*"], hit_rules(views, compiled, byte_scan), RULE)
+
+
 def hits(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=(),
          byte_scan: bool = False, with_ruleset: bool = False) -> DataFrame:
     """One row (key, rule_id) per rule that matches a text."""
     keep = [*as_list(key), *keep]
     chosen = [*(["ruleset"] if with_ruleset else []), "rule_id"]
-    if not compiled.fits:
-        from .large import matched_rules
-        pairs = matched_rules(docs, compiled, as_list(key), text, keep, byte_scan)
-    else:
+    if compiled.fits:
         views = with_views(docs, compiled, text, keep, byte_scan)
         pairs = one_row_each(views, keep, hit_rules(views, compiled, byte_scan), RULE)
+    else:
+        pairs = hit_pairs(docs, compiled, as_list(key), text, keep, byte_scan)
     return pairs.select(*keep, *[F.col(f"{RULE}.{c}").alias(c) for c in chosen])
 
 

@@ -35,9 +35,9 @@ def rule_grams(table: DataFrame) -> DataFrame:
             .select(RULE, F.substring(literal, F.lit(1), _gram_length(literal)).alias("gram")))
 
 
-def text_grams(views: DataFrame, keys: list[str]) -> DataFrame:
+def text_grams(views: DataFrame, keys: list[str], lengths) -> DataFrame:
     lower = F.lower(F.col(TEXT))
-    grams = [F.regexp_extract_all(lower, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)) for k in GRAM_LENGTHS]
+    grams = [F.regexp_extract_all(lower, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)) for k in lengths]
     return one_row_each(views, keys, F.array_distinct(F.concat(*grams)), "gram")
 
 
@@ -45,8 +45,10 @@ def matched_rules(docs: DataFrame, compiled: CompiledRules, keys: list[str], tex
                   byte_scan: bool = False) -> DataFrame:
     """`keep` columns and the rule, one row per text and rule that matches it."""
     views = with_views(docs, None, text, keep, byte_scan)
+    filed = rule_grams(compiled.table)
+    lengths = [r.n for r in filed.select(F.length("gram").alias("n")).distinct().collect()]
     pairs = (
-        text_grams(views, keys).join(rule_grams(compiled.table), "gram")
+        text_grams(views, keys, lengths or [GRAM_LENGTHS[0]]).join(filed, "gram")
         .select(*keys, F.col(f"{RULE}.ruleset").alias("_set"), F.col(f"{RULE}.rule_id").alias("_id"), RULE)
         .dropDuplicates([*keys, "_set", "_id"]).drop("_set", "_id"))
     confirmed = views.join(pairs, keys).where(F.rlike(view_for(F.col(RULE), views, byte_scan), F.col(f"{RULE}.rx")))

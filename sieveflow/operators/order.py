@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.binding import let, one_row_each
+from ..functions.binding import let
 from ..plans.compiled import CompiledRules
-from .hits import RULE, as_list, hit_rules, view_for, with_views
+from .hits import RULE, as_list, hit_pairs, view_for
 from .scan import MATCHES, match_rows, matches_per_text
 
 
@@ -48,9 +48,10 @@ def take_until(docs, compiled: CompiledRules, key, stop, text="text", **options)
 
 def match_counts(docs, compiled: CompiledRules, by=(), text="text") -> DataFrame:
     """Number of `find()` matches per rule (and `by` columns); positions are not computed."""
+    if not compiled.fits:
+        raise ValueError("a ruleset beyond the size bound has no keyless counts; group hits() instead")
     by = as_list(by)
-    views = with_views(docs, compiled, text, by)
-    pairs = one_row_each(views, ["*"], hit_rules(views, compiled), RULE)
-    n = F.regexp_count(view_for(F.col(RULE), views), F.col(f"{RULE}.rx"))
+    pairs = hit_pairs(docs, compiled, [], text, by)
+    n = F.regexp_count(view_for(F.col(RULE), pairs), F.col(f"{RULE}.rx"))
     return (pairs.select(*by, F.col(f"{RULE}.rule_id").alias("rule_id"), n.alias("n"))
             .groupBy(*by, "rule_id").agg(F.sum("n").alias("n_matches"), F.count("*").alias("n_texts")))

@@ -9,12 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.binding import one_row_each
 from ..plans.compiled import CompiledRules
-from .hits import RULE, TEXT, as_list, candidate_rules, has_match_column, view_for, with_views
-
-
-def _candidate_pairs(docs, compiled: CompiledRules, keep, text) -> DataFrame:
-    views = with_views(docs, compiled, text, keep)
-    return one_row_each(views, ["*"], candidate_rules(compiled), RULE)
+from .hits import RULE, TEXT, as_list, candidate_rules, has_match_column, hit_pairs, view_for, with_views
 
 
 def candidates(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
@@ -23,7 +18,8 @@ def candidates(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
     A rule that nothing can be told about (`filterable` false) is a candidate of every text.
     """
     keep = as_list(key)
-    return _candidate_pairs(docs, compiled, keep, text).select(
+    views = with_views(docs, compiled, text, keep)
+    return one_row_each(views, keep, candidate_rules(compiled), RULE).select(
         *keep, F.col(f"{RULE}.rule_id").alias("rule_id"),
         F.col(f"{RULE}.literals").isNotNull().alias("filterable"))
 
@@ -31,11 +27,11 @@ def candidates(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
 def confirmed(docs, compiled: CompiledRules, key, text="text", full_match: bool = False) -> DataFrame:
     r"""Candidates whose regex is found in the text or, with `full_match`, matches all of it."""
     keep = as_list(key)
-    pairs = _candidate_pairs(docs, compiled, keep, text)
-    rx = F.col(f"{RULE}.rx")
-    rx = F.concat(F.lit(r"\A(?:"), rx, F.lit(r")\z")) if full_match else rx
-    return pairs.where(F.rlike(view_for(F.col(RULE), pairs), rx)).select(
-        *keep, F.col(f"{RULE}.rule_id").alias("rule_id"))
+    pairs = hit_pairs(docs, compiled, keep, text, keep)
+    if full_match:
+        whole = F.concat(F.lit(r"\A(?:"), F.col(f"{RULE}.rx"), F.lit(r")\z"))
+        pairs = pairs.where(F.rlike(view_for(F.col(RULE), pairs), whole))
+    return pairs.select(*keep, F.col(f"{RULE}.rule_id").alias("rule_id"))
 
 
 def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
@@ -44,9 +40,8 @@ def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame
     Group 0 is the match. A group that took no part gives the empty string.
     """
     keep = as_list(key)
-    pairs = _candidate_pairs(docs, compiled, keep, text)
+    pairs = hit_pairs(docs, compiled, keep, text, keep)
     rule = F.col(RULE)
-    pairs = pairs.where(F.rlike(view_for(rule, pairs), rule["rx"]))
     grouped = one_row_each(
         pairs.select(*keep, TEXT, rule["rule_id"].alias("rule_id"), rule["rx"].alias("rx"), rule["groups"].alias("n")),
         [*keep, TEXT, "rule_id", "rx"], F.sequence(F.lit(0), F.col("n")), "group_no")

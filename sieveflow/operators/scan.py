@@ -10,7 +10,7 @@ from ..functions.binding import one_row_each
 from ..functions.offsets import char_index, inclusive_end
 from ..functions.spans import ends_in_window, first_end, spans, windows
 from ..plans.compiled import CompiledRules
-from .hits import HITS, RAW, RULE, TEXT, as_list, hit_rules, sees_bytes, view_for, with_views
+from .hits import HITS, RAW, RULE, TEXT, as_list, hit_pairs, hit_rules, sees_bytes, with_views
 
 MATCHES = "matches"
 END_BLOCK = 256
@@ -24,8 +24,8 @@ def _position(rule: Column, span: Column, unit: str, byte_scan: bool, has_raw: b
     """
     som = rule["som"] | rule["java"]
     start, end, matched = span["s"], span["e"], span["m"]
+    empty = end == start
     if not byte_scan:
-        empty = end == start
         end = inclusive_end(end)
         if has_raw:
             # byte offsets of a rule that sees bytes, as characters of the text
@@ -41,6 +41,8 @@ def _position(rule: Column, span: Column, unit: str, byte_scan: bool, has_raw: b
         "start": F.when(som, start).otherwise(zero),
         "end": end,
         "matched": F.when(som, matched).otherwise(F.lit("")),
+        # without a tracked start only the empty text is known to give an empty match
+        "is_empty": F.when(som, empty).otherwise(span["e"] == 0),
     }
 
 
@@ -79,7 +81,7 @@ def combination_matches(compiled: CompiledRules) -> Column:
         F.when(F.expr(combination_condition(c.pattern, c.ruleset)), F.struct(
             F.lit(c.ruleset).cast("string").alias("ruleset"), F.lit(c.rule_id).alias("rule_id"),
             F.lit(0).cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("end"),
-            F.lit("").alias("matched")))
+            F.lit("").alias("matched"), F.lit(None).cast("boolean").alias("is_empty")))
         for c in compiled.combinations if not c.quiet]
     return F.array_compact(F.array(*fired))
 
@@ -119,27 +121,25 @@ def match_rows(df: DataFrame, keep, matches: Column) -> DataFrame:
 
 def scan(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=(),
          offset_unit: str = "utf16", semantics: str | None = None, byte_scan: bool = False,
-         with_ruleset: bool = False, spread: bool = False) -> DataFrame:
+         with_ruleset: bool = False, with_is_empty: bool = False, spread: bool = False) -> DataFrame:
     """One row (key, rule_id, start, end, matched) per match.
 
+    An empty match at 0 and a match of one character at 0 have the same inclusive offsets;
+    `with_is_empty` adds the column that tells them apart.
+
     `semantics` is 'all_ends' (every offset where a match ends, the default for direct
     rules) or 'find' (leftmost and non-overlapping, the default for Java rules). `spread`
     hands the search for ends in long runs to many tasks, for texts of many MB.
     """
     keep = [*as_list(key), *keep]
-    columns = [*keep, *(["ruleset"] if with_ruleset else []), "rule_id", "start", "end", "matched"]
+    columns = [*keep, *(["ruleset"] if with_ruleset else []), "rule_id", "start", "end", "matched",
+               *(["is_empty"] if with_is_empty else [])]
     if compiled.fits and not spread:
         rows = matches_per_text(docs, compiled, key, text, keep[len(as_list(key)):], offset_unit, semantics, byte_scan)
         return match_rows(rows, keep, F.col(MATCHES)).select(*columns)
     if compiled.combinations:
         raise ValueError("combinations need a ruleset within the size bound, and no spread")
-    if compiled.fits:
-        views = with_views(docs, compiled, text, keep, byte_scan)
-        pairs = one_row_each(views, ["*"], hit_rules(views, compiled, byte_scan), RULE)
-    else:
-        from .large import matched_rules
-        pairs = matched_rules(docs, compiled, as_list(key), text, keep, byte_scan)
-    pairs = pairs.where(f"NOT {RULE}.quiet")
+    pairs = hit_pairs(docs, compiled, as_list(key), text, keep, byte_scan).where(f"NOT {RULE}.quiet")
     rule = F.col(RULE)
 
     def published(df: DataFrame, found: Column) -> DataFrame:

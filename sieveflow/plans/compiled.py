@@ -151,7 +151,9 @@ class CompiledRules:
         return CompiledRules(self.table, self.n_rules, [r for r in self.rows if keep(r)], self.combinations)
 
     def literal(self, rows) -> Column:
-        text = json.dumps([{n: r[n] for n in RULE_FIELDS} for r in rows])
+        # the run regex repeats the rule, so it only travels where it is used
+        text = json.dumps([
+            {n: r[n] if n != "run_rx" or r["kind"] == "runs" else None for n in RULE_FIELDS} for r in rows])
         return F.from_json(F.lit(text), f"array<{RULE_TYPE}>")
 
     def candidates(self, lower_text: Column) -> Column:
@@ -160,6 +162,8 @@ class CompiledRules:
         A rule without required literals is always in. The result is whole: a rule is left
         out only if the text holds none of its literals.
         """
+        if self.rows is None:
+            raise ValueError("the ruleset is beyond the size bound; this operator needs one within it")
         always = [r for r in self.rows if r["literals"] is None]
         filtered = [r for r in self.rows if r["literals"] is not None]
         if not filtered:
@@ -207,6 +211,8 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
         rows = table.collect()
         bad = [r for r in rows if r.error is not None]
     else:
+        # read by every scan; kept so that the rules are not analysed again each time
+        table = table.persist()
         rows, bad = None, table.where("error IS NOT NULL").limit(100).collect() if strict else []
     if strict and bad:
         raise RuleError([(r.rule_id, r.pattern, r.error) for r in bad])

@@ -160,3 +160,9 @@ def test_sparse_ids(spark):
     docs = texts(spark, "TAPIOCA HOUSE TUXTLA GUTIER MEX")
     assert [r.rule_id for r in hits(docs, compiled, "doc_id").collect()] == [10055730]
     assert [(r.start, r.end) for r in scan(docs, compiled, "doc_id").collect()] == [(0, 30)]
+
+
+def test_is_empty(spark):
+    compiled = compile_rules(rules_table(spark, [rule("a|", ["ALLOWEMPTY", SOM], 1)]))
+    rows = scan(texts(spark, "a"), compiled, "doc_id", with_is_empty=True).collect()
+    assert sorted((r.start, r.end, r.is_empty) for r in rows) == [(0, 0, False), (0, 0, True)]
