@@ -122,8 +122,9 @@ def windows(text: Column, rule: Column, unit: str) -> Column:
     return F.when(rule["kind"] == "whole", whole).otherwise(runs)
 
 
-def ends_in_window(w: Column, rule: Column, unit: str, first: Column, last: Column) -> Column:
-    """A span for every offset of [first, last] at which some match ends.
+def ends_in_window(w: Column, rule: Column, unit: str, first: Column, last: Column,
+                   only_first: bool = False) -> Column:
+    """A span for every offset of [first, last] at which some match ends, or the first such.
 
     The regex is tried against the window with a fixed number of characters left over, so it
     backtracks through all its ways to match; the shortest prefix is the leftmost start.
@@ -141,8 +142,13 @@ def ends_in_window(w: Column, rule: Column, unit: str, first: Column, last: Colu
             F.when(rule["som"], F.substring(w["w"], w["c"] + 1 + F.length(b), e - F.length(b)))
             .otherwise(F.lit("")).alias("m")))
 
-    return F.transform(F.filter(
-        F.sequence(first, last), lambda e: F.rlike(w["w"], ending_at(e))), span)
+    offsets = F.sequence(first, last)
+    if not only_first:
+        return F.transform(F.filter(offsets, lambda e: F.rlike(w["w"], ending_at(e))), span)
+    # CASE is lazy: once an end is found, the regex is not tried again
+    least = F.aggregate(offsets, F.lit(-1), lambda found, e: F.when(found >= 0, found).when(
+        F.rlike(w["w"], ending_at(e)), e).otherwise(F.lit(-1)))
+    return F.transform(F.filter(F.array(least), lambda e: e >= 0), span)
 
 
 def first_end(rule: Column) -> Column:
@@ -177,9 +183,16 @@ def _case(options: list) -> Column:
 def all_ends(text: Column, rule: Column, unit: str, shape: Shape = Shape()) -> Column:
     """A span for every offset at which the rule matches, with its leftmost start."""
     def over_windows(ws: Column) -> Column:
-        kept = F.when(rule["single"], F.slice(ws, 1, 1)).otherwise(ws) if shape.single else ws
-        return F.flatten(F.transform(
-            kept, lambda w: ends_in_window(w, rule, unit, first_end(rule), w["n"])))
+        def every(w: Column) -> Column:
+            return ends_in_window(w, rule, unit, first_end(rule), w["n"])
+
+        def first(w: Column) -> Column:
+            return ends_in_window(w, rule, unit, first_end(rule), w["n"], only_first=True)
+
+        found = F.flatten(F.transform(ws, every))
+        if not shape.single:
+            return found
+        return F.when(rule["single"], F.flatten(F.transform(F.slice(ws, 1, 1), first))).otherwise(found)
 
     return _case([
         (rule["kind"] == "apart", shape.apart, lambda: find_spans(text, rule["rx"], unit)),
