@@ -42,7 +42,7 @@ def _position(rule: Column, span: Column, unit: str, byte_scan: bool, has_raw: b
         "end": end,
         "matched": F.when(som, matched).otherwise(F.lit("")),
         # without a tracked start only the empty text is known to give an empty match
-        "is_empty": F.when(som, empty).otherwise(span["e"] == 0),
+        "is_empty": F.when(som, empty).when(span["e"] == 0, F.lit(True)),
     }
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
@@ -102,9 +100,7 @@ def _rules(triples, quiet=frozenset(), dialect="direct"):
     return [rule(p, [*flags, *(["QUIET"] if i in quiet else [])], i, dialect=dialect) for i, p, flags in triples]
 
 
-@lru_cache(maxsize=64)
-def _compiled(application: str, name: str):
-    spark = SparkSession.getActiveSession()
+def _ruleset(name: str) -> list[dict]:
     sets = {
         "personal": lambda: _rules(PERSONAL_DATA),
         "words": lambda: _rules(WORDS),
@@ -123,12 +119,18 @@ def _compiled(application: str, name: str):
         "tags": lambda: [
             rule(p, [SOM, "CASELESS"], i, ruleset=s) for s, i, p in TAG_SETS],
     }
-    return compile_rules(rules_table(spark, sets[name]()))
+    return sets[name]()
+
+
+_compiled: dict = {}
 
 
 def compiled(spark: SparkSession, name: str):
-    """A ruleset is compiled once per session and then used by many scans."""
-    return _compiled(spark.sparkContext.applicationId, name)
+    """A ruleset is compiled once per application and then used by many scans."""
+    known = (spark.sparkContext.applicationId, name)
+    if known not in _compiled:
+        _compiled[known] = compile_rules(rules_table(spark, _ruleset(name)))
+    return _compiled[known]
 
 
 TAG_SETS = [("links", 0, '<a href="/'), ("links", 1, "https?://"), ("blocks", 0, "<li>"), ("blocks", 1, '<div class="ad">')]

@@ -70,15 +70,17 @@ def all_ends(source: str, key: str, text: str, triples) -> str:
 def all_ends_in_runs(source: str, key: str, text: str, triples, runs: dict[int, str]) -> str:
     """The same inside the runs of characters a rule can consume, for long texts."""
     run_rules = [(i, runs[i], ()) for i, _, _ in triples]
+
+    def by_rule(function: str, value: str) -> str:
+        cases = " ".join(f"WHEN {i} THEN {function}({value}, {quoted(re2(p, f))})" for i, p, f in triples)
+        return f"CASE rule_id {cases} END"
+
     return f"""{find(source, key, text, run_rules)},
-    {rules(triples, "whole")},
+    ended AS (SELECT {key}, rule_id, start, matched, unnest(range(1, length(matched) + 1)) AS e FROM found
+        WHERE {by_rule("regexp_matches", "matched")}),
+    tried AS (SELECT *, unnest(range(0, e)) AS s FROM ended),
     pairs AS (SELECT {key}, rule_id, start + s AS s, start + e AS e, substr(matched, s + 1, e - s) AS matched
-        FROM (SELECT f.{key}, f.rule_id, f.start, f.matched, w.pat, s.s, e.e FROM found f
-              JOIN whole w ON w.rule_id = f.rule_id AND regexp_matches(f.matched, w.pat),
-              LATERAL (SELECT unnest(range(0, length(f.matched))) AS s) s,
-              LATERAL (SELECT unnest(range(1, length(f.matched) + 1)) AS e) e
-              WHERE e.e > s.s)
-        WHERE regexp_full_match(substr(matched, s + 1, e - s), pat))
+        FROM tried WHERE {by_rule("regexp_full_match", "substr(matched, s + 1, e - s)")})
     SELECT {key}, CAST(rule_id AS INTEGER) AS rule_id, CAST(min(s) AS BIGINT) AS start,
         CAST(e - 1 AS BIGINT) AS "end", arg_min(matched, s) AS matched FROM pairs GROUP BY {key}, rule_id, e"""
 
