@@ -44,14 +44,14 @@ def exists(source: str, columns: str, text: str, triples, negated=False) -> str:
 
 def find(source: str, key: str, text: str, triples, length=CODEPOINT, end_shift=1) -> str:
     """All `find()` matches; a CTE body named found(key…, rule_id, start, end, matched)."""
-    size = length.format(x="x")
+    size, gap = length.format(x="x"), length.format(x="gap")
     return f"""{rules(triples)},
     cut AS (SELECT {key}, rule_id, regexp_extract_all({text}, pat) AS m, string_split_regex({text}, pat) AS g
             FROM {source}, rules WHERE regexp_matches({text}, pat)),
-    numbered AS (SELECT {key}, rule_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM cut),
-    placed AS (SELECT {key}, rule_id, m[i] AS x,
-        list_sum(list_transform(g[1:i], lambda x: {size}))
-        + coalesce(list_sum(list_transform(m[1:i-1], lambda x: {size})), 0) AS s FROM numbered),
+    numbered AS (SELECT {key}, rule_id, unnest(m) AS x, unnest(g[1:len(m)]) AS gap, unnest(range(len(m))) AS i FROM cut),
+    placed AS (SELECT {key}, rule_id, x, sum({gap}) OVER (PARTITION BY {key}, rule_id ORDER BY i)
+        + coalesce(sum({size}) OVER (PARTITION BY {key}, rule_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING
+                                    AND 1 PRECEDING), 0) AS s FROM numbered),
     found AS (SELECT {key}, CAST(rule_id AS INTEGER) AS rule_id, CAST(s AS BIGINT) AS start,
         CAST(s + {size} - {end_shift} AS BIGINT) AS "end", x AS matched FROM placed)"""
 
