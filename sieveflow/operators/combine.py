@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.binding import one_row_each
 from ..plans.compiled import CompiledRules
 from .hits import as_list, hit_rules, with_views
-from .scan import _ids, combination_matches
+from .scan import combination_matches, rule_ids
 
 
 def rule_hits_per_text(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=()) -> DataFrame:
@@ -25,6 +25,6 @@ def combinations(docs: DataFrame, compiled: CompiledRules, key, text: str = "tex
     """
     keep = [*as_list(key), *keep]
     views = with_views(docs, compiled, text, keep)
-    found = views.select(*keep, _ids(hit_rules(views, compiled)).alias("_ids"))
+    found = views.select(*keep, rule_ids(hit_rules(views, compiled)).alias("_ids"))
     return one_row_each(found, keep, combination_matches(compiled), "m").select(
         *keep, F.col("m.rule_id").alias("rule_id"))

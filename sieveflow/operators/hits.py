@@ -58,25 +58,26 @@ def hit_pairs(docs: DataFrame, compiled: CompiledRules, keys: list[str], text: s
 
 def hits(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=(),
          byte_scan: bool = False, with_ruleset: bool = False) -> DataFrame:
-    """One row (key, rule_id) per rule that matches a text."""
+    """One row (key, rule_id) per rule that matches a text, quiet rules and combinations aside."""
     keep = [*as_list(key), *keep]
     chosen = [*(["ruleset"] if with_ruleset else []), "rule_id"]
     if compiled.fits:
-        views = with_views(docs, compiled, text, keep, byte_scan)
-        pairs = one_row_each(views, keep, hit_rules(views, compiled, byte_scan), RULE)
+        reported = compiled.only(lambda r: not r["quiet"])
+        views = with_views(docs, reported, text, keep, byte_scan)
+        pairs = one_row_each(views, keep, hit_rules(views, reported, byte_scan), RULE)
     else:
-        pairs = hit_pairs(docs, compiled, as_list(key), text, keep, byte_scan)
+        pairs = hit_pairs(docs, compiled, as_list(key), text, keep, byte_scan).where(f"NOT {RULE}.quiet")
     return pairs.select(*keep, *[F.col(f"{RULE}.{c}").alias(c) for c in chosen])
 
 
 def has_match_column(df: DataFrame, compiled: CompiledRules, byte_scan: bool = False) -> Column:
-    """Does any rule match? Stops at the first one.
+    """Does any rule report a match? Stops at the first one; quiet rules do not count.
 
     Rules without required literals have to be tried on every text, so those that can be
     are folded into one alternation.
     """
-    filtered = compiled.only(lambda r: r["literals"] is not None)
-    always = [r for r in compiled.rows if r["literals"] is None]
+    filtered = compiled.only(lambda r: r["literals"] is not None and not r["quiet"])
+    always = [r for r in compiled.rows if r["literals"] is None and not r["quiet"]]
 
     def reads_bytes(r) -> bool:
         return not r["utf8"] if byte_scan else r["bytes"]
@@ -86,12 +87,12 @@ def has_match_column(df: DataFrame, compiled: CompiledRules, byte_scan: bool = F
         folded = [r for r in always if foldable(r) and reads_bytes(r) == of_bytes]
         if folded:
             conditions.append(any_alternation(folded, F.col(RAW if of_bytes else TEXT)))
-    single = compiled.only(lambda r: r["literals"] is None and not foldable(r))
+    single = compiled.only(lambda r: r["literals"] is None and not r["quiet"] and not foldable(r))
     for part in (filtered, single):
         if part.rows:
             conditions.append(F.exists(
                 candidate_rules(part), lambda r: F.rlike(view_for(r, df, byte_scan), r["rx"])))
-    return reduce(lambda a, b: a | b, conditions)
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
 def with_has_match(docs: DataFrame, compiled: CompiledRules, text: str = "text",
@@ -99,8 +100,13 @@ def with_has_match(docs: DataFrame, compiled: CompiledRules, text: str = "text",
     """`docs` with a Boolean column."""
     if not compiled.fits:
         raise ValueError("a ruleset beyond the size bound has no flag column; use any_match or no_match")
+    from .scan import combination_matches, rule_ids
     views = with_views(docs, compiled, text, [F.col(c) for c in docs.columns], byte_scan)
-    return views.withColumn(name, F.coalesce(has_match_column(views, compiled, byte_scan), F.lit(False))).drop(TEXT, RAW)
+    found = has_match_column(views, compiled, byte_scan)
+    if any(not c.quiet for c in compiled.combinations):
+        views = views.withColumn("_ids", rule_ids(hit_rules(views, compiled, byte_scan)))
+        found = found | (F.size(combination_matches(compiled)) > 0)
+    return views.withColumn(name, F.coalesce(found, F.lit(False))).drop(TEXT, RAW, "_ids")
 
 
 def any_match(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", byte_scan: bool = False) -> DataFrame:
@@ -115,6 +121,8 @@ def no_match(docs: DataFrame, compiled: CompiledRules, key, text: str = "text",
 
 def _filtered(docs, compiled, key, text, byte_scan, wanted) -> DataFrame:
     if not compiled.fits:
+        if compiled.combinations:
+            raise ValueError("combinations need a ruleset within the size bound")
         found = hits(docs, compiled, key, text, byte_scan=byte_scan).select(*as_list(key)).distinct()
         return docs.join(found, as_list(key), "left_semi" if wanted else "left_anti")
     flagged = with_has_match(docs, compiled, text, "_has_match", byte_scan)

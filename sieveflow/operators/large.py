@@ -43,7 +43,10 @@ def text_grams(views: DataFrame, keys: list[str], lengths) -> DataFrame:
 
 def matched_rules(docs: DataFrame, compiled: CompiledRules, keys: list[str], text: str, keep,
                   byte_scan: bool = False) -> DataFrame:
-    """`keep` columns and the rule, one row per text and rule that matches it."""
+    """`keep` columns and the rule, one row per text and rule that matches it.
+
+    `keys` must not be null and must identify a text.
+    """
     views = with_views(docs, None, text, keep, byte_scan)
     filed = rule_grams(compiled.table)
     lengths = [r.n for r in filed.select(F.length("gram").alias("n")).distinct().collect()]

@@ -68,7 +68,7 @@ def combination_condition(pattern: str, ruleset: str | None) -> str:
     return sql.replace("!", " NOT ").replace("&", " AND ").replace("|", " OR ")
 
 
-def _ids(hits: Column) -> Column:
+def rule_ids(hits: Column) -> Column:
     return F.transform(hits, lambda r: F.concat_ws("#", r["ruleset"], r["rule_id"].cast("string")))
 
 
@@ -109,7 +109,7 @@ def matches_per_text(docs: DataFrame, compiled: CompiledRules, key, text: str =
         r["quiet"] for r in compiled.rows) else F.col(HITS)
     matches = F.flatten(F.transform(reported, of_rule))
     if any(not c.quiet for c in compiled.combinations):
-        found = found.withColumn("_ids", _ids(F.col(HITS)))
+        found = found.withColumn("_ids", rule_ids(F.col(HITS)))
         matches = F.concat(matches, combination_matches(compiled))
     return found.select(*keep, matches.alias(MATCHES))
 

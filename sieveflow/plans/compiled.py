@@ -216,17 +216,20 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
         rows, bad = None, table.where("error IS NOT NULL").limit(100).collect() if strict else []
     if strict and bad:
         raise RuleError([(r.rule_id, r.pattern, r.error) for r in bad])
-    table = table.where("error IS NULL")
-    combinations = table.where("combination").limit(max_rules).collect() if not fits else [
-        r for r in rows if r.error is None and r.combination]
-    ids = {r.rule_id for r in rows if not r.combination} if fits else None
+    # the rows at hand are the table from now on, so a costly source of rules is read only once
+    table = rules.sparkSession.createDataFrame(
+        [r for r in rows if r.error is None], table.schema) if fits else table.where("error IS NULL")
+    if not fits:
+        # one is enough to know that the set has combinations, which only smaller sets support
+        return CompiledRules(table, summary.n_rules, None, table.where("combination").limit(1).collect())
+    combinations = [r for r in rows if r.error is None and r.combination]
+    plain = [r.asDict() for r in rows if r.error is None and not r.combination]
+    ids = {(r["ruleset"], r["rule_id"]) for r in plain}
     for c in combinations:
-        missing = {int(n) for n in re.findall(r"\d+", c.pattern)} - ids if fits else set()
+        missing = sorted({int(n) for n in re.findall(r"\d+", c.pattern) if (c.ruleset, int(n)) not in ids})
         if missing:
-            raise RuleError([(c.rule_id, c.pattern, f"refers to unknown rules {sorted(missing)}")])
-    if fits:
-        rows = [r.asDict() for r in rows if r.error is None and not r.combination]
-    return CompiledRules(table, summary.n_rules, rows, combinations)
+            raise RuleError([(c.rule_id, c.pattern, f"refers to unknown rules {missing}")])
+    return CompiledRules(table, summary.n_rules, plain, combinations)
 
 
 def alternations(rows) -> list[str]:

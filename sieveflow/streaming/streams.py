@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.binding import one_row_each
 from ..operators.hits import as_list, hit_rules, hits, with_views
-from ..operators.scan import _ids, combination_matches
+from ..operators.scan import combination_matches, rule_ids
 from ..plans.compiled import CompiledRules
 from ..sources.sinks import work_folder
 
@@ -59,7 +59,7 @@ def session_combinations(docs: DataFrame, compiled: CompiledRules, key, ts: str,
     keys = as_list(key)
     timed = event_time(docs, ts).withWatermark(ts, delay)
     views = with_views(timed, compiled, text, [*keys, ts])
-    records = views.select(*keys, ts, F.explode_outer(_ids(hit_rules(views, compiled))).alias("_id"))
+    records = views.select(*keys, ts, F.explode_outer(rule_ids(hit_rules(views, compiled))).alias("_id"))
     sessions = records.groupBy(F.session_window(ts, gap).alias("session"), *keys).agg(
         F.collect_set("_id").alias("_ids"))
     kept = [*keys, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end")]

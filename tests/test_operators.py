@@ -61,6 +61,11 @@ def test_combinations_and_quiet(spark):
     texts = docs(spark, "alpha beta", "alpha gamma", "alpha", "none", "")
     got = {(r.doc_id, r.rule_id) for r in combinations(texts, compiled, "doc_id").collect()}
     assert got == {(0, 10), (2, 10), (3, 11), (4, 11)}
+    # quiet rules do not report: 2 is a text with only the quiet "alpha", but combination 10 holds there
+    assert sorted(r.doc_id for r in any_match(texts, compiled, "doc_id").collect()) == [0, 1, 2, 3, 4]
+    plain = compile_rules(rules_table(spark, [rule("alpha", "QUIET", 0), rule("beta", (), 1)]))
+    assert sorted(r.doc_id for r in any_match(texts, plain, "doc_id").collect()) == [0]
+    assert sorted((r.doc_id, r.rule_id) for r in hits(texts, plain, "doc_id").collect()) == [(0, 1)]
     rows = {(r.doc_id, r.rule_id) for r in scan(texts, compiled, "doc_id").collect()}
     assert rows == got | {(0, 1), (1, 2)}
 
@@ -155,3 +160,22 @@ def test_one_text_holds_most_matches(spark, base):
     texts = docs(spark, "test " * 20000, "world", "test")
     assert scan(texts, base, "doc_id").groupBy("doc_id").count().orderBy("doc_id").collect()[0]["count"] == 20000
     assert first_k(texts, base, "doc_id", 2).count() == 4
+
+
+def test_large_ruleset_refuses_combinations(spark):
+    table = rules_table(spark, [rule("a", (), 0), rule("!0", "COMBINATION", 1)])
+    large = compile_rules(table, max_rules=0)
+    for op in (scan, any_match):
+        with pytest.raises(ValueError, match="combinations"):
+            op(docs(spark, "b"), large, "doc_id")
+    with pytest.raises(ValueError, match="size bound"):
+        candidates(docs(spark, "b"), large, "doc_id")
+
+
+def test_compiled_rules_do_not_follow_their_source(spark, tmp_path):
+    path = str(tmp_path / "rules")
+    rules_table(spark, [rule("a", (), 3)]).write.parquet(path)
+    compiled = compile_rules(spark.read.parquet(path))
+    rules_table(spark, [rule("b", (), 3)]).write.mode("overwrite").parquet(path)
+    found = hits(docs(spark, "a"), compiled, "doc_id")
+    assert [(r.rule_id, r.pattern) for r in lookup_rules(found, compiled).collect()] == [(3, "a")]
