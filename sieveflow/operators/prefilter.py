@@ -53,6 +53,6 @@ def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame
 def any_match_alternation(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
     """Keys of the texts that some rule matches, the rules folded into few regexes."""
     folded = CompiledRules(compiled.table, compiled.n_rules,
-                           [{**r, "literals": None} for r in compiled.rows])
+                           [{**r, "literals": None} for r in compiled.held()])
     views = with_views(docs, folded, text, as_list(key))
     return views.where(has_match_column(views, folded)).select(*as_list(key))

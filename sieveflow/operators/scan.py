@@ -174,6 +174,6 @@ def _scattered_ends(pairs: DataFrame, unit: str, byte_scan: bool) -> tuple[DataF
 
 def single_matches(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", **options) -> DataFrame:
     """At most one match per rule and text, the one of earliest end, whatever the flags."""
-    one = CompiledRules(compiled.table, compiled.n_rules, [{**r, "single": True} for r in compiled.rows],
+    one = CompiledRules(compiled.table, compiled.n_rules, [{**r, "single": True} for r in compiled.held()],
                         compiled.combinations)
     return scan(docs, one, key, text, **options)

@@ -130,9 +130,15 @@ class CompiledRules:
     def fits(self) -> bool:
         return self.rows is not None
 
+    def held(self) -> list:
+        """The rules, for operators that need them at hand."""
+        if self.rows is None:
+            raise ValueError("the ruleset is beyond the size bound; this operator needs one within it")
+        return self.rows
+
     @property
     def uses_bytes(self) -> bool:
-        return any(r["bytes"] for r in self.rows)
+        return any(r["bytes"] for r in self.held())
 
     @property
     def shape(self) -> Shape:
@@ -148,7 +154,7 @@ class CompiledRules:
 
     def only(self, keep) -> CompiledRules:
         """The same ruleset with the rows for which `keep(row)` holds."""
-        return CompiledRules(self.table, self.n_rules, [r for r in self.rows if keep(r)], self.combinations)
+        return CompiledRules(self.table, self.n_rules, [r for r in self.held() if keep(r)], self.combinations)
 
     def literal(self, rows) -> Column:
         # the run regex repeats the rule, so it only travels where it is used
@@ -162,10 +168,8 @@ class CompiledRules:
         A rule without required literals is always in. The result is whole: a rule is left
         out only if the text holds none of its literals.
         """
-        if self.rows is None:
-            raise ValueError("the ruleset is beyond the size bound; this operator needs one within it")
-        always = [r for r in self.rows if r["literals"] is None]
-        filtered = [r for r in self.rows if r["literals"] is not None]
+        always = [r for r in self.held() if r["literals"] is None]
+        filtered = [r for r in self.held() if r["literals"] is not None]
         if not filtered:
             return self.literal(always)
         anchors = _prefix_free(w[:ANCHOR_LENGTH] for r in filtered for w in r["literals"])
