@@ -168,7 +168,8 @@ def never_overlaps(java_toks: Column, flags: Column) -> Column:
 
     first = F.get(java_toks, F.lit(0))
     rest = F.slice(java_toks, F.lit(2), F.greatest(F.size(java_toks) - 1, F.lit(0)))
-    ascii_letter = F.rlike(first, F.lit(r"^[A-Za-z0-9 ]$")) & ~F.coalesce(F.rlike(F.get(java_toks, F.lit(1)), F.lit(QUANTIFIER)), F.lit(False))
+    repeated = F.coalesce(F.rlike(F.get(java_toks, F.lit(1)), F.lit(QUANTIFIER)), F.lit(False))
+    ascii_letter = F.rlike(first, F.lit(r"^[A-Za-z0-9 ]$")) & ~repeated
     elsewhere = F.concat(F.lit("(?iu)"), run_class(rest, flags))
     all_plain = ~F.exists(java_toks, lambda t: ~F.rlike(t, F.lit(r"^[A-Za-z0-9 ]$")))
     return F.when(all_plain, plain(F.lower(F.array_join(java_toks, "")))).otherwise(

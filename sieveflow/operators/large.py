@@ -21,7 +21,8 @@ GRAM_LENGTHS = (6, 3, 2)
 
 def _gram_length(literal: Column) -> Column:
     n = F.length(literal)
-    return reduce(lambda c, k: c.when(n >= k, F.lit(k)), GRAM_LENGTHS[1:], F.when(n >= GRAM_LENGTHS[0], F.lit(GRAM_LENGTHS[0])))
+    longest, *shorter = GRAM_LENGTHS
+    return reduce(lambda c, k: c.when(n >= k, F.lit(k)), shorter, F.when(n >= longest, F.lit(longest)))
 
 
 def _rule_struct() -> Column:

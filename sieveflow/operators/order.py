@@ -13,7 +13,8 @@ from .scan import MATCHES, match_rows, matches_per_text
 def _in_order(matches: Column) -> Column:
     """By (end, start, rule_id); combinations, which have no end, come last."""
     keyed = F.transform(matches, lambda m: F.struct(
-        m["end"].isNull().alias("whole_text"), m["end"].alias("end"), m["start"].alias("start"), m["rule_id"].alias("rule_id"), m.alias("m")))
+        m["end"].isNull().alias("whole_text"), m["end"].alias("end"), m["start"].alias("start"),
+        m["rule_id"].alias("rule_id"), m.alias("m")))
     return F.transform(F.array_sort(keyed), lambda k: k["m"])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binding import let
-from ..functions.flags import any_of, has_flag, regex_options, unknown_flags
+from ..functions.flags import has_flag, regex_options, unknown_flags
 from ..functions.syntax import java_source, java_tokens, refused_construct, tokens
 from ..schemas import DIRECT
 
