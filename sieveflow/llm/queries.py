@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_groups
+from .mixing import mix
 from .simhash import near_groups
 
 
@@ -17,7 +18,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op7_simhash)}
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op7_simhash, op8_mixing)}
 
 ORACLE = {
     "op3_exact_dedup": """
