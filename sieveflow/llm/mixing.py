@@ -5,7 +5,7 @@ target / size of the source times on average: a whole number of copies and a fra
 fractions are rounded in pairs. Of two documents, words of probability mass go from one to
 the other until one of them is taken or left out for certain; which way they go is drawn so
 that neither's expectation changes. The sum of words is kept exactly, so after all pairs a
-source misses its target by less than the size of one document.
+source misses its target by at most half the size of one document.
 
 Pairs are formed in blocks of about `FAN` documents of a source; each block leaves one undecided
 document, and these are combined in blocks again: a reduction tree whose levels shrink by `FAN`.
@@ -143,8 +143,9 @@ def _decisions(docs: DataFrame, id_col: str, text_col: str, source_col: str, wei
             break
         level += 1
     done.append(last.select("u"))
-    # what is left over of a source, and units without words, are drawn on their own
-    taken = F.when(_draw(F.lit(-1), F.col("u.doc_id"), F.col("u.text_key")) < F.col("u.p"), 1).otherwise(0)
+    # what is left over of a source goes to the nearer side; units without words are drawn on their own
+    bound = F.when(F.col("u.size") > 0, F.lit(0.5)).otherwise(1.0 - _draw(F.lit(-1), F.col("u.doc_id"), F.col("u.text_key")))
+    taken = (F.col("u.p") >= bound).cast("int")
     return reduce(DataFrame.unionByName, done).select(
         "u.doc_id", "u.source", "u.size", "u.text_key", "u.n_rows", "u.source_size", "u.target",
         (F.col("u.whole") + taken).alias("unit_copies"))
