@@ -8,6 +8,7 @@ from .common import table
 from .exact_dedup import exact_groups
 from .mixing import mix
 from .simhash import near_groups
+from .toxicity import fit, scores
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +23,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op7_simhash, op8_mixing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op7_simhash, op8_mixing, op10_toxicity)}
 
 ORACLE = {
     "op3_exact_dedup": """
