@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 from .exact_dedup import exact_groups
 from .mixing import mix
+from .pieces import decode, encode, read_model
 from .simhash import near_groups
 from .toxicity import fit, scores
 
+# where the vocabularies of public tokenizers lie; they are read from there and never copied
+TOKENIZERS = "/opt/tokenizers"
+PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the ids, their number, and the digest of the text that they decode to."""
+    model = read_model(PIECES)
+    decoded = decode(encode(table(spark, sf_dir, "documents"), model), model, text_col="decoded")
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
@@ -28,7 +40,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op7_simhash, op8_mixing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op10_toxicity)}
 
 ORACLE = {
     "op3_exact_dedup": """
