@@ -8,6 +8,7 @@ from .common import table
 from .exact_dedup import exact_groups
 from .mixing import mix
 from .pieces import decode, encode, read_model
+from .quality_rules import quality
 from .simhash import near_groups
 from .toxicity import fit, scores
 
@@ -35,12 +36,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
 
 ORACLE = {
     "op3_exact_dedup": """
