@@ -105,7 +105,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): enough verified links between different fingerprints to connect all that link."""
     if max_bits > 2:
         raise ValueError("six shared bytes are only guaranteed for at most two differing bits")
-    index = prints.select("fp").distinct().select("fp", F.posexplode(F.array(
+    # dealt out again: a few MB of fingerprints become 28 times as many rows
+    n_tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = prints.select("fp").distinct().repartition(n_tasks).select("fp", F.posexplode(F.array(
         *(F.col("fp").bitwiseAND(F.lit(m)) for m in SIX_BYTES))).alias("choice", "postings"))
     lists = index.groupBy("choice", "postings").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
 
