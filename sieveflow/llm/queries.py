@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 from .exact_dedup import exact_groups
+from .html_text import extract
 from .mixing import mix
 from .pieces import decode, encode, read_model
 from .quality_rules import quality
@@ -21,6 +22,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the ids, their number, and the digest of the text that they decode to."""
     model = read_model(PIECES)
@@ -45,7 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_html_text, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
 
 ORACLE = {
     "op3_exact_dedup": """
