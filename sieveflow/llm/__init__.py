@@ -1,0 +1,8 @@
+"""Operators for large text corpora."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions travel to the executors by value, so these need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -11,6 +11,7 @@ from .mixing import mix
 from .pieces import decode, encode, read_model
 from .quality_rules import quality
 from .simhash import near_groups
+from .suffix_dedup import remove_repeated
 from .toxicity import fit, scores
 
 # where the vocabularies of public tokenizers lie; they are read from there and never copied
@@ -26,6 +27,11 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = remove_repeated(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the ids, their number, and the digest of the text that they decode to."""
     model = read_model(PIECES)
@@ -50,7 +56,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_html_text, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_html_text, op5_suffix_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
 
 ORACLE = {
     "op3_exact_dedup": """
