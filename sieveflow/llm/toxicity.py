@@ -34,7 +34,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_TERMS = 2_000
 MAX_FIT = 20_000
-MIN_TEXTS = 8          # toxic training texts that a term must stand in
+MIN_CONTEXTS = 8       # different words that a term must follow in toxic training texts
+MIN_SHARE = 0.002      # and how many of them per toxic training text
 MIN_PRECISION = 0.95   # of its training texts that are toxic
 STEM = (4, 5, 6)       # lengths of word beginnings that may become terms
 FUZZY_FROM = 5         # shorter terms have too many innocent neighbours
@@ -58,23 +59,31 @@ def _bare(word: Column) -> Column:
     return F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
 
 
-def lexicon(texts: DataFrame) -> list[tuple[str, bool, int]]:
-    """(term, is a beginning, toxic texts) from rows of (text, toxic)."""
-    words = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), _bare))
-    word_rows = texts.select("toxic", F.explode(words).alias("w")).where("w <> ''")
-    per_word = word_rows.groupBy("w").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-    # the texts of a beginning are at most the sum over its words, which is close enough to rank it
-    terms = per_word.select("bad", "n", F.explode(F.concat(
-        F.array(F.struct(F.col("w").alias("term"), F.lit(False).alias("stem"), F.lit(1).alias("kinds"))),
-        *(F.when(F.length("w") >= k, F.array(F.struct(
-            F.substring("w", 1, k).alias("term"), F.lit(True).alias("stem"), F.lit(1).alias("kinds"))))
-          .otherwise(F.expr("array()").cast("array<struct<term:string,stem:boolean,kinds:int>>")) for k in STEM))).alias("t"))
-    found = terms.groupBy("t.term", "t.stem").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"), F.sum("t.kinds").alias("kinds"))
-    rows = found.where((F.col("bad") >= MIN_TEXTS) & (F.col("bad") >= MIN_PRECISION * F.col("n")) & (~F.col("stem") | (F.col("kinds") >= 3))) \
-        .orderBy(F.desc("bad"), "term", "stem").limit(MAX_TERMS).collect()
+def lexicon(texts: DataFrame, n_toxic: int) -> list[tuple[str, bool, int]]:
+    """(term, is a beginning, toxic contexts) from rows of (text, toxic).
+
+    Support is counted in different words before a term, not in texts: the words of a text of which
+    there are many copies would otherwise all be terms.
+    """
+    words = F.filter(F.transform(F.split(F.lower("text"), r"\s+"), _bare), lambda w: w != "")
+    per_word = texts.select("toxic", F.explode(F.array_distinct(words)).alias("w")).groupBy("w").agg(
+        F.sum("toxic").alias("bad"), F.count("*").alias("n"))
+    pairs = texts.where("toxic = 1").select(words.alias("ws")).select(F.explode(F.transform(
+        "ws", lambda w, i: F.struct(w.alias("c"), F.get("ws", i - 1).alias("before")))).alias("p"))
+    contexts = pairs.select("p.*").distinct().groupBy("c").agg(F.count("*").alias("contexts"))
+    whole = per_word.join(contexts, F.col("w") == F.col("c")).select(
+        F.col("w").alias("term"), F.lit(False).alias("stem"), "bad", "n", "contexts", F.lit(1).alias("kinds"))
+    begun = per_word.join(contexts, F.col("w") == F.col("c"), "left").where(F.length("w") >= min(STEM)).select(
+        "bad", "n", F.coalesce("contexts", F.lit(0)).alias("contexts"), F.col("c").isNotNull().cast("int").alias("kind"),
+        F.explode(F.array_distinct(F.array(*(F.substring("w", 1, k) for k in STEM)))).alias("term"))
+    # a text counts once for each of its words that begin so
+    begun = begun.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("bad", "n", "contexts")), F.sum("kind").alias("kinds")).where("kinds >= 3").select(
+        "term", F.lit(True).alias("stem"), "bad", "n", "contexts", "kinds")
+    good = (F.col("contexts") >= max(MIN_CONTEXTS, MIN_SHARE * n_toxic)) & (F.col("bad") >= MIN_PRECISION * F.col("n"))
+    rows = whole.unionByName(begun).where(good).orderBy(F.desc("contexts"), "term", "stem").limit(MAX_TERMS).collect()
     stems = {r.term for r in rows if r.stem}
     # a term that begins with a shorter stem adds nothing to it
-    return [(r.term, r.stem, r.bad) for r in rows
+    return [(r.term, r.stem, r.contexts) for r in rows
             if not any(r.term[:k] in stems for k in STEM if k < len(r.term) or (k == len(r.term) and not r.stem))]
 
 
@@ -197,14 +206,24 @@ class Scorer:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Newton steps towards the weights, drawn to `prior` where the data say nothing."""
-    w = prior.copy()
-    for _ in range(30):
+    """Newton steps towards the weights, drawn to `prior` where the data say nothing.
+
+    A whole step can overshoot where labels part cleanly, so it is halved until the loss falls.
+    """
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.sum(np.logaddexp(0, z) - y * z) + ridge / 2 * np.sum((w - prior) ** 2))
+
+    w, now = prior.copy(), loss(prior)
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(hessian, x.T @ (y - p) - ridge * (w - prior))
-        w += step
-        if np.abs(step).max() < 1e-8:
+        size = 1.0
+        while size > 1e-6 and loss(w + size * step) > now:
+            size /= 2
+        w, before, now = w + size * step, now, loss(w + size * step)
+        if before - now < 1e-9 * max(1.0, before):
             break
     return w
 
@@ -229,8 +248,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marks = labels.select(F.col(f"`{label_id}`").alias("k"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where(
         "k IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("k"))).groupBy("k").agg(F.max("toxic").alias("toxic"))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    training = rows.join(marks, F.col("id") == F.col("k")).select("id", "text", "toxic")
-    terms = [(t, stem) for t, stem, _ in lexicon(training)]
+    # the same kind of join at every size: labels grow with the documents
+    training = rows.join(marks.hint("merge"), F.col("id") == F.col("k")).select("id", "text", "toxic")
+    terms = [(t, stem) for t, stem, _ in lexicon(training, marks.agg(F.sum("toxic")).first()[0] or 0)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(terms)
@@ -239,7 +259,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pd.DataFrame({"id": b["id"].astype(str), "toxic": b["toxic"], **{f"f{i}": f[:, i] for i in range(N_FEATURES)}})
 
     schema = "id string, toxic int, " + ", ".join(f"f{i} double" for i in range(N_FEATURES))
-    sample = training.mapInPandas(run, schema).orderBy(F.xxhash64("id"), "id").limit(max_fit).toPandas()
+    # at most `max_fit` ids, so their size is bounded whatever the number of labels
+    chosen = marks.orderBy(F.xxhash64("k"), "k").limit(max_fit)
+    drawn = rows.join(F.broadcast(chosen), F.col("id") == F.col("k")).select("id", "text", "toxic")
+    sample = drawn.mapInPandas(run, schema).toPandas().sort_values("id")
     x = np.column_stack((np.ones(len(sample)), sample[[f"f{i}" for i in range(N_FEATURES)]].to_numpy(float)))
     y = sample["toxic"].to_numpy(float)
     return Model(terms, _logistic(x, y, PRIOR))
