@@ -9,6 +9,7 @@ from .exact_dedup import exact_groups
 from .html_text import extract
 from .mixing import mix
 from .pieces import decode, encode, read_model
+from .quality_bayes import quality_scores
 from .quality_rules import quality
 from .simhash import near_groups
 from .suffix_dedup import remove_repeated
@@ -19,6 +20,11 @@ TOKENIZERS = "/opt/tokenizers"
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
+def op1_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' sources are the hosts, the languages within a source its paths."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -56,7 +62,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_html_text, op5_suffix_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_quality_bayes, op3_exact_dedup, op4_html_text, op5_suffix_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
 
 ORACLE = {
     "op3_exact_dedup": """
