@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import shared_folder, table
 from .exact_dedup import exact_groups
 from .html_text import extract
 from .mixing import mix
@@ -13,10 +13,15 @@ from .quality_bayes import quality_scores
 from .quality_rules import quality
 from .simhash import near_groups
 from .suffix_dedup import remove_repeated
+from .token_files import count_tokens, read_ranks, write_token_files
 from .toxicity import fit, scores
 
 # where the vocabularies of public tokenizers lie; they are read from there and never copied
 TOKENIZERS = "/opt/tokenizers"
+RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+END_OF_DOCUMENT = 50256
+# fixed value: how this vocabulary parts a text before merging
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
@@ -25,6 +30,13 @@ def op1_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as flat token files, and their documents counted from these files alone."""
+    path = shared_folder(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), path, read_ranks(RANKS), PATTERN, END_OF_DOCUMENT)
+    return count_tokens(spark, path, END_OF_DOCUMENT)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -62,7 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_bayes, op3_exact_dedup, op4_html_text, op5_suffix_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_quality_bayes, op2_token_counts, op3_exact_dedup, op4_html_text, op5_suffix_dedup, op6_sentencepiece, op7_simhash, op8_mixing, op9_quality_rules, op10_toxicity)}
 
 ORACLE = {
     "op3_exact_dedup": """
