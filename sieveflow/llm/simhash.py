@@ -85,7 +85,9 @@ def _groups_of_list(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.n
     pairs = []
     rows = max(1, (1 << 22) // len(values))
     for at in range(0, len(values), rows):
-        differing = np.bitwise_count(values[at: at + rows, None] ^ values[None, :])
+        # unsigned: of a signed number the bits of its absolute value would be counted
+        bits = values.view(np.uint64)
+        differing = np.bitwise_count(bits[at: at + rows, None] ^ bits[None, :])
         i, j = np.nonzero(differing <= max_bits)
         pairs.append(np.stack((i + at, j))[:, i + at > j])
     a, b = np.concatenate(pairs, axis=1)
