@@ -39,6 +39,7 @@ from .common import Scratch
 CHUNK = 1 << 15
 FAN = 64
 REMEMBERED = 200_000
+ROWS = 500
 MAX_MODEL_BYTES = 32 << 20
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -375,7 +376,8 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
-        for b in batches:
+        # a batch of the usual number of rows is large in texts and larger in ids
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             found = [np.array(codec.encode(t), dtype=np.int32) for t in b.column("text").to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
             flat = np.concatenate(found) if found else np.array([], dtype=np.int32)
