@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_TERMS = 2_000
 MAX_FIT = 20_000
-MIN_CONTEXTS = 8       # different words that a term must follow in toxic training texts
+MIN_CONTEXTS = 5       # different words that a term must follow in toxic training texts, and texts it must stand in
 MIN_SHARE = 0.002      # and how many of them per toxic training text
 MIN_PRECISION = 0.95   # of its training texts that are toxic
 STEM = (4, 5, 6)       # lengths of word beginnings that may become terms
@@ -79,7 +79,7 @@ def lexicon(texts: DataFrame, n_toxic: int) -> list[tuple[str, bool, int]]:
     # a text counts once for each of its words that begin so
     begun = begun.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("bad", "n", "contexts")), F.sum("kind").alias("kinds")).where("kinds >= 3").select(
         "term", F.lit(True).alias("stem"), "bad", "n", "contexts", "kinds")
-    good = (F.col("contexts") >= max(MIN_CONTEXTS, MIN_SHARE * n_toxic)) & (F.col("bad") >= MIN_PRECISION * F.col("n"))
+    good = (F.col("bad") >= MIN_CONTEXTS) & (F.col("contexts") >= max(MIN_CONTEXTS, MIN_SHARE * n_toxic)) & (F.col("bad") >= MIN_PRECISION * F.col("n"))
     rows = whole.unionByName(begun).where(good).orderBy(F.desc("contexts"), "term", "stem").limit(MAX_TERMS).collect()
     stems = {r.term for r in rows if r.stem}
     # a term that begins with a shorter stem adds nothing to it
