@@ -6,25 +6,24 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.binding import one_row_each
 from ..plans.compiled import CompiledRules
-from .hits import as_list, hit_rules, with_views
+from .hits import HITS, as_list, with_hits
 from .scan import combination_matches, rule_ids
 
 
 def rule_hits_per_text(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=()) -> DataFrame:
     """One row per text, matched or not, with the sorted ids of the rules that hit it."""
     keep = [*as_list(key), *keep]
-    views = with_views(docs, compiled, text, keep)
-    hit = hit_rules(views, compiled)
-    return views.select(*keep, F.array_sort(F.transform(hit, lambda r: r["rule_id"])).alias("hits"))
+    found = with_hits(docs, compiled, text, keep)
+    return found.select(*keep, F.array_sort(F.transform(HITS, lambda r: r["rule_id"])).alias("hits"))
 
 
-def combinations(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=()) -> DataFrame:
+def combinations(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=(),
+                 with_ruleset: bool = False) -> DataFrame:
     """One row (key, rule_id) per combination that holds for a text.
 
     A text that no rule hits takes part: a combination of negations holds for it.
     """
     keep = [*as_list(key), *keep]
-    views = with_views(docs, compiled, text, keep)
-    found = views.select(*keep, rule_ids(hit_rules(views, compiled)).alias("_ids"))
+    found = with_hits(docs, compiled, text, keep).select(*keep, rule_ids(F.col(HITS)).alias("_ids"))
     return one_row_each(found, keep, combination_matches(compiled), "m").select(
-        *keep, F.col("m.rule_id").alias("rule_id"))
+        *keep, *(["m.ruleset"] if with_ruleset else []), "m.rule_id")

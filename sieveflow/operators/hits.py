@@ -50,12 +50,21 @@ def hit_pairs(docs: DataFrame, compiled: CompiledRules, keys: list[str], text: s
               byte_scan: bool = False) -> DataFrame:
     """`keep`, the text and the rule: one row per text and rule that matches it."""
     if not compiled.fits:
-        from .large import matched_rules
-        return matched_rules(docs, compiled, keys, text, keep, byte_scan)
+        found = with_hits(docs, compiled, text, keep, byte_scan)
+        return one_row_each(found, [c for c in found.columns if c != HITS], F.col(HITS), RULE)
     views = with_views(docs, compiled, text, keep, byte_scan)
     return one_row_each(views, ["*"], hit_rules(views, compiled, byte_scan), RULE)
 
 
+def with_hits(docs: DataFrame, compiled: CompiledRules, text: str, keep, byte_scan: bool = False) -> DataFrame:
+    """`keep`, the views of the text and the array of the rules that match it, whatever the ruleset's size."""
+    if not compiled.fits:
+        from .large import with_large_hits
+        return with_large_hits(docs, compiled, text, keep, byte_scan)
+    views = with_views(docs, compiled, text, keep, byte_scan)
+    return views.withColumn(HITS, hit_rules(views, compiled, byte_scan))
+
+
 def hits(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep=(),
          byte_scan: bool = False, with_ruleset: bool = False) -> DataFrame:
     """One row (key, rule_id) per rule that matches a text, quiet rules and combinations aside."""
@@ -98,15 +107,18 @@ def has_match_column(df: DataFrame, compiled: CompiledRules, byte_scan: bool = F
 def with_has_match(docs: DataFrame, compiled: CompiledRules, text: str = "text",
                    name: str = "has_match", byte_scan: bool = False) -> DataFrame:
     """`docs` with a Boolean column."""
-    if not compiled.fits:
-        raise ValueError("a ruleset beyond the size bound has no flag column; use any_match or no_match")
     from .scan import combination_matches, rule_ids
-    views = with_views(docs, compiled, text, [F.col(c) for c in docs.columns], byte_scan)
-    found = has_match_column(views, compiled, byte_scan)
+    keep = [F.col(c) for c in docs.columns]
+    if compiled.fits:
+        views = with_views(docs, compiled, text, keep, byte_scan)
+        found, rules = has_match_column(views, compiled, byte_scan), hit_rules(views, compiled, byte_scan)
+    else:
+        views = with_hits(docs, compiled, text, keep, byte_scan)
+        found, rules = F.exists(HITS, lambda r: ~r["quiet"]), F.col(HITS)
     if any(not c.quiet for c in compiled.combinations):
-        views = views.withColumn("_ids", rule_ids(hit_rules(views, compiled, byte_scan)))
+        views = views.withColumn("_ids", rule_ids(rules))
         found = found | (F.size(combination_matches(compiled)) > 0)
-    return views.withColumn(name, F.coalesce(found, F.lit(False))).drop(TEXT, RAW, "_ids")
+    return views.withColumn(name, F.coalesce(found, F.lit(False))).drop(TEXT, RAW, HITS, "_ids")
 
 
 def any_match(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", byte_scan: bool = False) -> DataFrame:
@@ -120,11 +132,6 @@ def no_match(docs: DataFrame, compiled: CompiledRules, key, text: str = "text",
 
 
 def _filtered(docs, compiled, key, text, byte_scan, wanted) -> DataFrame:
-    if not compiled.fits:
-        if compiled.combinations:
-            raise ValueError("combinations need a ruleset within the size bound")
-        found = hits(docs, compiled, key, text, byte_scan=byte_scan).select(*as_list(key)).distinct()
-        return docs.join(found, as_list(key), "left_semi" if wanted else "left_anti")
     flagged = with_has_match(docs, compiled, text, "_has_match", byte_scan)
     kept = F.when(F.col("_has_match") == F.lit(wanted), F.array(F.lit(True)))
     return one_row_each(flagged, docs.columns, kept, "_kept").drop("_kept")

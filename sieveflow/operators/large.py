@@ -1,22 +1,28 @@
-"""The hit join for a ruleset too large to travel with the plan.
+"""The rules that hit a text, for a ruleset too large to travel with the plan.
 
-Rules and texts meet on n-grams: each rule is filed under one n-gram per required literal,
-each text under all of its n-grams. Both sides are shuffled on the n-gram, so neither has
-to fit anywhere, and adaptive execution splits a frequent one. Candidates are then
-confirmed against the text, which is joined back on its key.
+Rules and texts meet on n-grams: each rule is filed under one n-gram per required literal, each
+different text under those of its n-grams that some rule has. Both sides are shuffled on the n-gram and carry ids
+only; adaptive execution splits a frequent one. Candidates are confirmed against the text, and each text gets the
+array of its rules, so every operator goes on from here as it does for a small ruleset.
+
+Texts are told apart by their content, not by the caller's key: what hits a text depends on nothing else.
+Keys may be NULL or repeated, and copies of a text are searched once.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binding import one_row_each
-from ..plans.compiled import MAX_RULES, RULE_FIELDS, CompiledRules
-from .hits import RULE, TEXT, hit_rules, view_for, with_views
+from ..plans.compiled import MAX_RULE_BYTES, MAX_RULES, RULE_FIELDS, CompiledRules
+from .hits import HITS, RAW, RULE, TEXT, hit_rules, view_for, with_views
 
 GRAM_LENGTHS = (6, 3, 2)
+FILTER_BITS = 1 << 20
+TID = "_tid"
 
 
 def _gram_length(literal: Column) -> Column:
@@ -25,48 +31,73 @@ def _gram_length(literal: Column) -> Column:
     return reduce(lambda c, k: c.when(n >= k, F.lit(k)), shorter, F.when(n >= longest, F.lit(longest)))
 
 
-def _rule_struct() -> Column:
-    return F.struct(*RULE_FIELDS)
-
-
 def rule_grams(table: DataFrame) -> DataFrame:
     literal = F.col("literal")
     return (table.where("literals IS NOT NULL AND NOT combination")
-            .select(_rule_struct().alias(RULE), F.explode("literals").alias("literal"))
-            .select(RULE, F.substring(literal, F.lit(1), _gram_length(literal)).alias("gram")))
+            .select(F.col("ruleset").alias("_set"), F.col("rule_id").alias("_id"), F.explode("literals").alias("literal"))
+            .select("_set", "_id", F.substring(literal, F.lit(1), _gram_length(literal)).alias("gram")).distinct())
+
+
+def _bit(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(FILTER_BITS))
 
 
-def text_grams(views: DataFrame, keys: list[str], lengths) -> DataFrame:
+def _one_at(bit: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+
+
+def gram_filter(filed: DataFrame):
+    """A test whether some rule may be filed under a gram: a bit set of fixed size."""
+    words = filed.select(_bit(F.col("gram")).alias("b")).groupBy(F.floor(F.col("b") / 64).cast("int").alias("w")).agg(
+        F.bit_or(_one_at(F.col("b"))).alias("bits")).collect()
+    bits = [0] * (FILTER_BITS // 64)
+    for r in words:
+        bits[r.w] = r.bits
+    table = F.from_json(F.lit(json.dumps(bits)), "array<bigint>")
+    return lambda gram: F.get(table, F.floor(_bit(gram) / 64).cast("int")).bitwiseAND(_one_at(_bit(gram))) != 0
+
+
+def text_grams(texts: DataFrame, lengths, known) -> DataFrame:
     lower = F.lower(F.col(TEXT))
     grams = [F.regexp_extract_all(lower, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)) for k in lengths]
-    return one_row_each(views, keys, F.array_distinct(F.concat(*grams)), "gram")
-
+    return one_row_each(texts, [TID], F.filter(F.array_distinct(F.concat(*grams)), known), "gram")
 
-def matched_rules(docs: DataFrame, compiled: CompiledRules, keys: list[str], text: str, keep,
-                  byte_scan: bool = False) -> DataFrame:
-    """`keep` columns and the rule, one row per text and rule that matches it.
 
-    `keys` must not be null and must identify a text.
-    """
-    views = with_views(docs, None, text, keep, byte_scan)
+def _by_gram(texts: DataFrame, compiled: CompiledRules) -> DataFrame:
+    """(_tid, rule) of the candidates: a text has a gram of one of the rule's literals."""
     filed = rule_grams(compiled.table)
-    lengths = [r.n for r in filed.select(F.length("gram").alias("n")).distinct().collect()]
-    pairs = (
-        text_grams(views, keys, lengths or [GRAM_LENGTHS[0]]).join(filed, "gram")
-        .select(*keys, F.col(f"{RULE}.ruleset").alias("_set"), F.col(f"{RULE}.rule_id").alias("_id"), RULE)
-        .dropDuplicates([*keys, "_set", "_id"]).drop("_set", "_id"))
-    confirmed = views.join(pairs, keys).where(F.rlike(view_for(F.col(RULE), views, byte_scan), F.col(f"{RULE}.rx")))
-    parts = [confirmed]
+    lengths = sorted({r.n for r in filed.select(F.length("gram").alias("n")).distinct().collect()})
+    pairs = text_grams(texts, lengths or [GRAM_LENGTHS[0]], gram_filter(filed)).join(filed, "gram").select(TID, "_set", "_id").distinct()
+    rules = compiled.table.where("NOT combination").select(F.struct(*RULE_FIELDS).alias(RULE))
+    return pairs.join(rules, F.col("_set").eqNullSafe(F.col(f"{RULE}.ruleset")) & (F.col("_id") == F.col(f"{RULE}.rule_id"))).select(TID, RULE)
+
+
+def with_large_hits(docs: DataFrame, compiled: CompiledRules, text: str, keep, byte_scan: bool = False, confirm: bool = True) -> DataFrame:
+    """`keep`, the views of the text, and the array of the rules that hit it (or may, without `confirm`)."""
+    if docs.isStreaming:
+        raise ValueError("a stream is scanned with a ruleset within the size bound: beyond it texts and rules are joined, "
+                         "which would need state without limit; use foreachBatch")
+    views = with_views(docs, None, text, keep, byte_scan).withColumn(TID, F.sha2(F.coalesce(F.col(TEXT), F.lit("")), 256))
+    texts = views.where(F.col(TEXT).isNotNull()).select(TID, TEXT, RAW).dropDuplicates([TID])
+    found = _by_gram(texts, compiled).join(texts, TID)
+    rule = F.col(RULE)
+    literal = F.exists(rule["literals"], lambda w: F.contains(F.lower(F.col(TEXT)), w))
+    found = found.where(F.rlike(view_for(rule, texts, byte_scan), rule["rx"]) if confirm else literal)
+    parts = [found.select(TID, RULE)]
     for chunk in unfiltered_chunks(compiled):
-        parts.append(one_row_each(views, ["*"], hit_rules(views, chunk, byte_scan), RULE))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        rules = hit_rules(texts, chunk, byte_scan) if confirm else chunk.literal(chunk.held())
+        parts.append(one_row_each(texts, [TID], rules, RULE))
+    per_text = reduce(lambda a, b: a.unionByName(b), parts).groupBy(F.col(TID).alias("_of")).agg(F.collect_list(RULE).alias(HITS))
+    joined = views.join(per_text, (F.col(TID) == F.col("_of")) & F.col(TEXT).isNotNull(), "left")
+    empty = F.from_json(F.lit("[]"), joined.schema[HITS].dataType)
+    return joined.withColumn(HITS, F.when(F.col(TEXT).isNotNull(), F.coalesce(F.col(HITS), empty))).drop("_of", TID)
 
 
-def unfiltered_chunks(compiled: CompiledRules, chunk: int = MAX_RULES) -> list[CompiledRules]:
-    """Rules without a required literal, which no join can find, in sets of bounded size."""
+def unfiltered_chunks(compiled: CompiledRules) -> list[CompiledRules]:
+    """Rules without a required literal, which no join can find: tried on every text, in chunks of bounded size."""
     always = compiled.table.where("literals IS NULL AND NOT combination")
-    n = always.count()
-    k = -(-n // chunk)
+    n, size = always.agg(F.count("*"), F.sum(2 * F.octet_length("rx") + F.coalesce(F.octet_length("run_rx"), F.lit(0)))).first()
+    k = max(-(-n // MAX_RULES), -(-(size or 0) // MAX_RULE_BYTES))
     bucket = F.pmod(F.xxhash64("ruleset", "rule_id"), F.lit(k))
     return [
         CompiledRules(compiled.table, n, [r.asDict() for r in always.where(bucket == i).collect()])

@@ -11,10 +11,10 @@ from .scan import MATCHES, match_rows, matches_per_text
 
 
 def _in_order(matches: Column) -> Column:
-    """By (end, start, rule_id); combinations, which have no end, come last."""
+    """By (end, start, rule_id, ruleset); combinations, which have no end, come last."""
     keyed = F.transform(matches, lambda m: F.struct(
         m["end"].isNull().alias("whole_text"), m["end"].alias("end"), m["start"].alias("start"),
-        m["rule_id"].alias("rule_id"), m.alias("m")))
+        m["rule_id"].alias("rule_id"), m["ruleset"].alias("ruleset"), m.alias("m")))
     return F.transform(F.array_sort(keyed), lambda k: k["m"])
 
 
@@ -48,12 +48,14 @@ def take_until(docs, compiled: CompiledRules, key, stop, text="text", **options)
     return _rows(nested, let(_in_order(F.col(MATCHES)), cut), as_list(key))
 
 
-def match_counts(docs, compiled: CompiledRules, by=(), text="text") -> DataFrame:
-    """Number of `find()` matches per rule (and `by` columns); positions are not computed."""
-    if not compiled.fits:
-        raise ValueError("a ruleset beyond the size bound has no keyless counts; group hits() instead")
+def match_counts(docs, compiled: CompiledRules, by=(), text="text", with_ruleset: bool = False) -> DataFrame:
+    """Number of `find()` matches per rule (and `by` columns); positions are not computed.
+
+    Quiet rules report nothing. Rules of equal id in different rulesets are counted apart.
+    """
     by = as_list(by)
-    pairs = hit_pairs(docs, compiled, [], text, by)
+    pairs = hit_pairs(docs, compiled, [], text, by).where(f"NOT {RULE}.quiet")
     n = F.regexp_count(view_for(F.col(RULE), pairs), F.col(f"{RULE}.rx"))
-    return (pairs.select(*by, F.col(f"{RULE}.rule_id").alias("rule_id"), n.alias("n"))
-            .groupBy(*by, "rule_id").agg(F.sum("n").alias("n_matches"), F.count("*").alias("n_texts")))
+    counts = (pairs.select(*by, *(F.col(f"{RULE}.{c}").alias(c) for c in ("ruleset", "rule_id")), n.alias("n"))
+              .groupBy(*by, "ruleset", "rule_id").agg(F.sum("n").alias("n_matches"), F.count("*").alias("n_texts")))
+    return counts if with_ruleset else counts.drop("ruleset")

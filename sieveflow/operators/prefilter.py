@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.binding import one_row_each
 from ..plans.compiled import CompiledRules
-from .hits import RULE, TEXT, as_list, candidate_rules, has_match_column, hit_pairs, view_for, with_views
+from .hits import HITS, RAW, RULE, TEXT, as_list, candidate_rules, has_match_column, hit_pairs, view_for, with_has_match, with_views
+from .large import with_large_hits
 
 
 def candidates(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
@@ -18,8 +19,11 @@ def candidates(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
     A rule that nothing can be told about (`filterable` false) is a candidate of every text.
     """
     keep = as_list(key)
-    views = with_views(docs, compiled, text, keep)
-    return one_row_each(views, keep, candidate_rules(compiled), RULE).select(
+    if compiled.fits:
+        tried = one_row_each(with_views(docs, compiled, text, keep), keep, candidate_rules(compiled), RULE)
+    else:
+        tried = one_row_each(with_large_hits(docs, compiled, text, keep, confirm=False), keep, F.col(HITS), RULE)
+    return tried.select(
         *keep, F.col(f"{RULE}.rule_id").alias("rule_id"),
         F.col(f"{RULE}.literals").isNotNull().alias("filterable"))
 
@@ -42,16 +46,22 @@ def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame
     keep = as_list(key)
     pairs = hit_pairs(docs, compiled, keep, text, keep)
     rule = F.col(RULE)
-    grouped = one_row_each(
-        pairs.select(*keep, TEXT, rule["rule_id"].alias("rule_id"), rule["rx"].alias("rx"), rule["groups"].alias("n")),
-        [*keep, TEXT, "rule_id", "rx"], F.sequence(F.lit(0), F.col("n")), "group_no")
-    values = F.regexp_extract_all(F.col(TEXT), F.col("rx"), F.col("group_no"))
-    return (grouped.select(*keep, "rule_id", "group_no", F.posexplode_outer(values).alias("match_no", "value"))
-            .where("value IS NOT NULL").select(*keep, "rule_id", "match_no", "group_no", "value"))
+    # the text stays in its row: what is exploded are the groups
+    groups = F.transform(F.sequence(F.lit(0), rule["groups"]), lambda g: F.struct(
+        g.alias("group_no"), F.regexp_extract_all(view_for(rule, pairs), rule["rx"], g).alias("values")))
+    found = one_row_each(pairs.select(*keep, rule["rule_id"].alias("rule_id"), rule["bytes"].alias("_bytes"), groups.alias("_g")),
+                         [*keep, "rule_id", "_bytes"], F.col("_g"), "_group")
+    # a rule that sees bytes finds them as characters of one byte each
+    value = F.when(F.col("_bytes"), F.decode(F.encode("value", "ISO-8859-1"), "UTF-8")).otherwise(
+        F.col("value")) if RAW in pairs.columns else F.col("value")
+    return (found.select(*keep, "rule_id", "_bytes", "_group.group_no", F.posexplode_outer("_group.values").alias("match_no", "value"))
+            .where("value IS NOT NULL").select(*keep, "rule_id", "match_no", "group_no", value.alias("value")))
 
 
 def any_match_alternation(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
     """Keys of the texts that some rule matches, the rules folded into few regexes."""
+    if not compiled.fits:
+        return with_has_match(docs, compiled, text, "_found").where("_found").select(*as_list(key))
     folded = CompiledRules(compiled.table, compiled.n_rules,
                            [{**r, "literals": None} for r in compiled.held()])
     views = with_views(docs, folded, text, as_list(key))

@@ -10,7 +10,7 @@ from ..functions.binding import one_row_each
 from ..functions.offsets import char_index, inclusive_end
 from ..functions.spans import ends_in_window, first_end, spans, windows
 from ..plans.compiled import CompiledRules
-from .hits import HITS, RAW, RULE, TEXT, as_list, hit_pairs, hit_rules, sees_bytes, with_views
+from .hits import HITS, RAW, RULE, TEXT, as_list, hit_pairs, sees_bytes, with_hits
 
 MATCHES = "matches"
 END_BLOCK = 256
@@ -94,19 +94,15 @@ def matches_per_text(docs: DataFrame, compiled: CompiledRules, key, text: str =
     Everything happens inside the row, so nothing is shuffled and a text's matches are
     together for the operators that order, limit or combine them.
     """
-    if not compiled.fits:
-        raise ValueError("a ruleset beyond the size bound is scanned with scan()")
     keep = [*as_list(key), *keep]
-    views = with_views(docs, compiled, text, keep, byte_scan)
-    found = views.withColumn(HITS, hit_rules(views, compiled, byte_scan))
+    views = found = with_hits(docs, compiled, text, keep, byte_scan)
 
     def of_rule(rule: Column) -> Column:
         return F.transform(
             _spans_of(rule, views, compiled, offset_unit, semantics, byte_scan),
             lambda s: _match_struct(rule, s, views, offset_unit, byte_scan))
 
-    reported = F.filter(F.col(HITS), lambda r: ~r["quiet"]) if any(
-        r["quiet"] for r in compiled.rows) else F.col(HITS)
+    reported = F.filter(F.col(HITS), lambda r: ~r["quiet"]) if compiled.has("quiet") else F.col(HITS)
     matches = F.flatten(F.transform(reported, of_rule))
     if any(not c.quiet for c in compiled.combinations):
         found = found.withColumn("_ids", rule_ids(F.col(HITS)))
@@ -134,11 +130,11 @@ def scan(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep
     keep = [*as_list(key), *keep]
     columns = [*keep, *(["ruleset"] if with_ruleset else []), "rule_id", "start", "end", "matched",
                *(["is_empty"] if with_is_empty else [])]
-    if compiled.fits and not spread:
+    if not spread:
         rows = matches_per_text(docs, compiled, key, text, keep[len(as_list(key)):], offset_unit, semantics, byte_scan)
         return match_rows(rows, keep, F.col(MATCHES)).select(*columns)
     if compiled.combinations:
-        raise ValueError("combinations need a ruleset within the size bound, and no spread")
+        raise ValueError("combinations are facts about whole texts, which are not spread")
     pairs = hit_pairs(docs, compiled, as_list(key), text, keep, byte_scan).where(f"NOT {RULE}.quiet")
     rule = F.col(RULE)
 
@@ -174,6 +170,6 @@ def _scattered_ends(pairs: DataFrame, unit: str, byte_scan: bool) -> tuple[DataF
 
 def single_matches(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", **options) -> DataFrame:
     """At most one match per rule and text, the one of earliest end, whatever the flags."""
-    one = CompiledRules(compiled.table, compiled.n_rules, [{**r, "single": True} for r in compiled.held()],
-                        compiled.combinations)
+    rows = [{**r, "single": True} for r in compiled.rows] if compiled.fits else None
+    one = CompiledRules(compiled.table.withColumn("single", F.lit(True)), compiled.n_rules, rows, compiled.combinations)
     return scan(docs, one, key, text, **options)

@@ -11,11 +11,16 @@ from ..schemas import DIRECT
 
 
 class RuleError(ValueError):
-    """A rule that cannot be used; `failed_rules` lists (rule_id, pattern, message)."""
+    """A rule that cannot be used; `failed_rules` lists (rule_id, pattern, message).
 
-    def __init__(self, failed_rules):
-        self.failed_rules = failed_rules
-        super().__init__("; ".join(f"rule {i} {p!r}: {m}" for i, p, m in failed_rules))
+    Of a ruleset beyond the size bound these are some of `n_failed`, and `table` has all as rows.
+    """
+
+    def __init__(self, failed_rules, n_failed: int | None = None, table: DataFrame | None = None):
+        self.failed_rules, self.table = failed_rules, table
+        self.n_failed = len(failed_rules) if n_failed is None else n_failed
+        more = self.n_failed - len(failed_rules)
+        super().__init__("; ".join(f"rule {i} {p!r}: {m}" for i, p, m in failed_rules) + (f"; and {more} more, see table" if more else ""))
 
 
 def compiles(regex: Column) -> Column:
@@ -32,10 +37,12 @@ def nullable_rule(source: Column, flags: Column, dialect: Column) -> Column:
 def _well_formed_combination(expression: Column) -> Column:
     """Does `expression` reduce to one operand under ``!``, ``&``, ``|`` and brackets?"""
     x = F.regexp_replace(F.regexp_replace(expression, r"(?<!\d)\d+(?!\d)", "n"), r"(?<!n)\s+|\s+(?!n)", "")
-    for _ in range(12):
-        x = F.regexp_replace(x, r"!n|\(n\)", "n")
-        x = F.regexp_replace(x, r"n(?:[&|]n)+", "n")
-    return x == "n"
+
+    def step(acc: Column, _: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(acc, r"!n|\(n\)", "n"), r"n(?:[&|]n)+", "n")
+
+    # every step but the last shortens it, so there is no deeper nesting than its length
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1))), x, step) == "n"
 
 
 def rule_error(pattern: Column, flags: Column, dialect: Column) -> Column:
@@ -55,6 +62,7 @@ def rule_error(pattern: Column, flags: Column, dialect: Column) -> Column:
     return (
         F.when(pattern.isNull() | flags.isNull(), F.lit("pattern and flags must not be null"))
         .when(F.size(unknown_flags(flags, dialect)) > 0, F.lit("unknown flag"))
+        .when(has_flag(flags, "CANON_EQ"), F.lit("CANON_EQ has no inline option and cannot be kept"))
         .when(has_flag(flags, "COMBINATION"), F.when(
             ~_well_formed_combination(pattern), F.lit("not a well-formed combination")))
         .when(has_flag(flags, "LITERAL"), F.lit(None))
@@ -101,6 +109,7 @@ def check_ruleset(rules: DataFrame, allow_empty: bool = False):
     if s.min_id is not None and s.min_id < 0:
         raise ValueError(f"rule id must not be negative: {s.min_id}")
     if s.n_distinct != s.n_ids:
-        dup = [r.rule_id for r in duplicate_ids(rules).limit(10).collect()]
-        raise ValueError(f"duplicate rule ids: {dup}")
+        repeated = duplicate_ids(rules)
+        some = [r.rule_id for r in repeated.limit(10).collect()]
+        raise ValueError(f"{repeated.count()} duplicate rule ids, such as {some}; duplicate_ids() has all")
     return s

@@ -136,9 +136,13 @@ class CompiledRules:
             raise ValueError("the ruleset is beyond the size bound; this operator needs one within it")
         return self.rows
 
+    def has(self, trait: str) -> bool:
+        """Does some rule have a Boolean trait? Unknown of a ruleset that is not held, so assumed."""
+        return self.rows is None or any(r[trait] for r in self.rows)
+
     @property
     def uses_bytes(self) -> bool:
-        return any(r["bytes"] for r in self.held())
+        return self.has("bytes")
 
     @property
     def shape(self) -> Shape:
@@ -203,8 +207,8 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
     """Check a rules table and prepare it for scanning.
 
     `strict` raises on an unusable rule and names it; otherwise such rules are left out
-    (``validate_rules`` lists them). A set beyond `max_rules` or `max_bytes` is not brought to
-    the driver; its scans join instead.
+    (``validate_rules`` lists them). A set beyond `max_rules`, or beyond `max_bytes` before or after
+    compiling, does not travel with plans; its scans join instead and give the same rows.
     """
     summary = check_ruleset(rules)
     if summary.n_ids == 0:
@@ -219,16 +223,26 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
         table = table.persist()
         rows, bad = None, table.where("error IS NOT NULL").limit(100).collect() if strict else []
     if strict and bad:
-        raise RuleError([(r.rule_id, r.pattern, r.error) for r in bad])
+        failed = [(r.rule_id, r.pattern, r.error) for r in bad]
+        if fits:
+            raise RuleError(failed)
+        every = table.where("error IS NOT NULL").select("ruleset", "rule_id", "pattern", "error")
+        raise RuleError(failed, every.count(), every)
+    if fits and sum(len(r.rx or "") + len(r.run_rx or "") + sum(map(len, r.literals or ())) for r in rows) > max_bytes:
+        fits, table = False, table.persist()
     # the rows at hand are the table from now on, so a costly source of rules is read only once
     table = rules.sparkSession.createDataFrame(
         [r for r in rows if r.error is None], table.schema) if fits else table.where("error IS NULL")
-    if not fits:
-        # one is enough to know that the set has combinations, which only smaller sets support
-        return CompiledRules(table, summary.n_rules, None, table.where("combination").limit(1).collect())
-    combinations = [r for r in rows if r.error is None and r.combination]
-    plain = [r.asDict() for r in rows if r.error is None and not r.combination]
-    ids = {(r["ruleset"], r["rule_id"]) for r in plain}
+    if fits:
+        combinations = [r for r in rows if r.error is None and r.combination]
+        plain = [r.asDict() for r in rows if r.error is None and not r.combination]
+        ids = {(r["ruleset"], r["rule_id"]) for r in plain}
+    else:
+        # combinations are evaluated as one expression each, so there cannot be many
+        combinations, plain = table.where("combination").collect(), None
+        named = sorted({int(n) for c in combinations for n in re.findall(r"\d+", c.pattern)})
+        ids = {(r.ruleset, r.rule_id) for r in table.where("NOT combination").where(F.col("rule_id").isin(named))
+               .select("ruleset", "rule_id").collect()} if named else set()
     for c in combinations:
         missing = sorted({int(n) for n in re.findall(r"\d+", c.pattern) if (c.ruleset, int(n)) not in ids})
         if missing:

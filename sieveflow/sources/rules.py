@@ -63,8 +63,20 @@ def rules_from_regex(df: DataFrame, pattern_col: str = "pattern", java_flags_col
 
 
 def with_positional_ids(rules: DataFrame) -> DataFrame:
-    """Rules without ids are numbered 0, 1, … by `pos`, within their ruleset."""
-    position = F.row_number().over(Window.partitionBy("ruleset").orderBy("pos")) - 1
+    """Rules without ids are numbered 0, 1, … by `pos`, within their ruleset.
+
+    Every such rule needs a `pos` of its own, or its number would differ from run to run.
+    """
+    sets = rules.groupBy("ruleset").agg(
+        F.count("*").alias("n"), F.count_distinct("pos").alias("places"), F.min("pos").alias("lo"), F.max("pos").alias("hi"),
+        F.count_if(F.col("rule_id").isNull()).alias("unnamed"))
+    whole = sets.agg(
+        F.count_if((F.col("unnamed") > 0) & (F.col("places") < F.col("n"))).alias("bad"),
+        F.count_if((F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1)).alias("gaps")).first()
+    if whole.bad:
+        raise ValueError("rules without ids are numbered by `pos`, which must be present and differ within a ruleset")
+    # places without gaps are the numbers themselves
+    position = F.row_number().over(Window.partitionBy("ruleset").orderBy("pos")) - 1 if whole.gaps else F.col("pos")
     return rules.withColumn("rule_id", F.coalesce("rule_id", position).cast("int"))
 
 

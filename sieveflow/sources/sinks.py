@@ -11,9 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests, a local temporary folder takes its place.
+    Where that is unset, a temporary folder serves a session that runs on this machine alone; on a
+    cluster every executor would write to a disk of its own, so it is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sieveflow-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="sieveflow-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.binding import one_row_each
-from ..operators.hits import as_list, hit_rules, hits, with_views
+from ..operators.hits import HITS, as_list, hits, with_hits
 from ..operators.scan import combination_matches, rule_ids
 from ..plans.compiled import CompiledRules
 from ..sources.sinks import work_folder
@@ -30,36 +30,41 @@ def stream_hits(docs: DataFrame, compiled: CompiledRules, key, text: str = "text
     return hits(docs, compiled, key, text, keep)
 
 
-def single_alerts(docs: DataFrame, compiled: CompiledRules, key, ts: str, delay: str, text: str = "text") -> DataFrame:
+def single_alerts(docs: DataFrame, compiled: CompiledRules, key, ts: str, delay: str, text: str = "text",
+                  with_ruleset: bool = False) -> DataFrame:
     """One alert per key and rule for as long as the watermark `delay` remembers it.
 
     State is one entry per live (key, rule), spread by both, so a hot key does not gather
     in one task.
     """
-    found = hits(event_time(docs, ts).withWatermark(ts, delay), compiled, key, text, keep=[ts])
-    return found.dropDuplicatesWithinWatermark([*as_list(key), "rule_id"])
+    found = hits(event_time(docs, ts).withWatermark(ts, delay), compiled, key, text, keep=[ts], with_ruleset=True)
+    alerts = found.dropDuplicatesWithinWatermark([*as_list(key), "ruleset", "rule_id"])
+    return alerts if with_ruleset else alerts.drop("ruleset")
 
 
 def windowed_counts(docs: DataFrame, compiled: CompiledRules, key, ts: str, delay: str, width: str,
-                    text: str = "text") -> DataFrame:
-    """Matched records per rule and time window."""
-    found = hits(event_time(docs, ts).withWatermark(ts, delay), compiled, key, text, keep=[ts])
-    return (found.groupBy(F.window(ts, width).alias("w"), "rule_id").count()
-            .select(F.col("w.start").alias("window_start"), "rule_id", F.col("count").alias("n_hits")))
+                    text: str = "text", with_ruleset: bool = False) -> DataFrame:
+    """Matched records per rule and time window.
+
+    A stream delivers a window once the watermark has passed it. Of an input that ends, a batch table gives all.
+    """
+    found = hits(event_time(docs, ts).withWatermark(ts, delay), compiled, key, text, keep=[ts], with_ruleset=True)
+    counts = (found.groupBy(F.window(ts, width).alias("w"), "ruleset", "rule_id").count()
+              .select(F.col("w.start").alias("window_start"), "ruleset", "rule_id", F.col("count").alias("n_hits")))
+    return counts if with_ruleset else counts.drop("ruleset")
 
 
 def session_combinations(docs: DataFrame, compiled: CompiledRules, key, ts: str, delay: str, gap: str,
                          text: str = "text") -> DataFrame:
     """Combinations over all records of a session; a session is one key without a `gap`.
 
-    State per session is at most one entry per rule. With
-    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` a busy key is
-    reduced before the shuffle.
+    State per session is at most one entry per rule. Sessions are merged before the shuffle too, so
+    a busy key is reduced where its records are read. Of an input that ends, a batch table gives all sessions.
     """
+    docs.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     keys = as_list(key)
     timed = event_time(docs, ts).withWatermark(ts, delay)
-    views = with_views(timed, compiled, text, [*keys, ts])
-    records = views.select(*keys, ts, F.explode_outer(rule_ids(hit_rules(views, compiled))).alias("_id"))
+    records = with_hits(timed, compiled, text, [*keys, ts]).select(*keys, ts, F.explode_outer(rule_ids(F.col(HITS))).alias("_id"))
     sessions = records.groupBy(F.session_window(ts, gap).alias("session"), *keys).agg(
         F.collect_set("_id").alias("_ids"))
     kept = [*keys, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end")]

@@ -125,11 +125,11 @@ def _ruleset(name: str) -> list[dict]:
 _compiled: dict = {}
 
 
-def compiled(spark: SparkSession, name: str):
+def compiled(spark: SparkSession, name: str, **bounds):
     """A ruleset is compiled once per application and then used by many scans."""
-    known = (spark.sparkContext.applicationId, name)
+    known = (spark.sparkContext.applicationId, name, *bounds.items())
     if known not in _compiled:
-        _compiled[known] = compile_rules(rules_table(spark, _ruleset(name)))
+        _compiled[known] = compile_rules(rules_table(spark, _ruleset(name)), **bounds)
     return _compiled[known]
 
 
@@ -438,6 +438,40 @@ def session_combination(spark, sf_dir):
         "user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"), "rule_id")
 
 
+def windowed_matches_whole(spark, sf_dir):
+    """The same operator over an input that ends: no window is left open."""
+    counts = windowed_counts(table(spark, sf_dir, "events"), compiled(spark, "events"), "event_id", "ts", "1 hour", "1 hour", "props")
+    return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "rule_id", "n_hits")
+
+
+def session_combination_whole(spark, sf_dir):
+    found = session_combinations(table(spark, sf_dir, "events"), compiled(spark, "events"), "user_id", "ts", "1 hour", "2 hours", "props")
+    return found.select("user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"), "rule_id")
+
+
+# rulesets beyond the size bound, over texts whose keys repeat and are NULL: the same rows as below it
+def _repeated_keys(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 3))
+
+
+def large_no_match(spark, sf_dir):
+    return no_match(_repeated_keys(spark, sf_dir), compiled(spark, "personal", max_rules=0), "doc_id").select("doc_id", "lang")
+
+
+def large_flag(spark, sf_dir):
+    flagged = with_has_match(_repeated_keys(spark, sf_dir), compiled(spark, "personal", max_rules=0))
+    return flagged.select("doc_id", "lang", "has_match")
+
+
+def large_combination(spark, sf_dir):
+    return combinations(table(spark, sf_dir, "documents"), compiled(spark, "combined", max_rules=0), "doc_id")
+
+
+def large_first_k(spark, sf_dir):
+    return first_k(table(spark, sf_dir, "conversations"), compiled(spark, "words", max_rules=0), CONV, 3, semantics="find")
+
+
 QUERIES = {
     "hits_by_lang": hits_by_lang,
     "scan_hits": scan_hits,
@@ -485,6 +519,12 @@ QUERIES = {
     "ruleset_diff": changed_rules,
     "offset_conversion": offset_conversion,
     "clean_utf8_prefixes": clean_utf8_prefixes,
+    "windowed_matches_whole": windowed_matches_whole,
+    "session_combination_whole": session_combination_whole,
+    "large_no_match": large_no_match,
+    "large_flag": large_flag,
+    "large_combination": large_combination,
+    "large_first_k": large_first_k,
     "stream_scan": stream_scan,
     "stream_spans": stream_spans,
     "stream_single_alert": stream_single_alert,

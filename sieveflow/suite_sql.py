@@ -257,4 +257,13 @@ ORACLE = {
         SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, rule_id, n_hits FROM w
         WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM h)""",
     "session_combination": f"WITH {_sessions} {_session_combination}",
+    "windowed_matches_whole": f"""WITH {_event_hits} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+        rule_id, count(*) AS n_hits FROM h GROUP BY ALL""",
+    "session_combination_whole": f"WITH {_sessions} {_session_combination}".replace("FROM closed", "FROM d"),
 }
+_thirds = "CASE WHEN doc_id % 3 > 0 THEN doc_id % 3 END AS doc_id"
+ORACLE["large_no_match"] = exists("documents", f"{_thirds}, lang", "text", PERSONAL_DATA, negated=True)
+ORACLE["large_flag"] = f"WITH {rules(PERSONAL_DATA)} SELECT {_thirds}, lang, EXISTS (SELECT 1 FROM rules WHERE " \
+                       "regexp_matches(text, pat)) AS has_match FROM documents"
+ORACLE["large_combination"] = ORACLE["combination"]
+ORACLE["large_first_k"] = ORACLE["first_k"]

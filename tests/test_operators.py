@@ -162,16 +162,6 @@ def test_one_text_holds_most_matches(spark, base):
     assert first_k(texts, base, "doc_id", 2).count() == 4
 
 
-def test_large_ruleset_refuses_combinations(spark):
-    table = rules_table(spark, [rule("a", (), 0), rule("!0", "COMBINATION", 1)])
-    large = compile_rules(table, max_rules=0)
-    for op in (scan, any_match):
-        with pytest.raises(ValueError, match="combinations"):
-            op(docs(spark, "b"), large, "doc_id")
-    with pytest.raises(ValueError, match="size bound"):
-        candidates(docs(spark, "b"), large, "doc_id")
-
-
 def test_compiled_rules_do_not_follow_their_source(spark, tmp_path):
     path = str(tmp_path / "rules")
     rules_table(spark, [rule("a", (), 3)]).write.parquet(path)
