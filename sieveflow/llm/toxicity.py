@@ -73,9 +73,9 @@ def lexicon(texts: DataFrame, n_toxic: int) -> list[tuple[str, bool, int]]:
     contexts = pairs.select("p.*").distinct().groupBy("c").agg(F.count("*").alias("contexts"))
     whole = per_word.join(contexts, F.col("w") == F.col("c")).select(
         F.col("w").alias("term"), F.lit(False).alias("stem"), "bad", "n", "contexts", F.lit(1).alias("kinds"))
-    begun = per_word.join(contexts, F.col("w") == F.col("c"), "left").where(F.length("w") >= min(STEM)).select(
+    begun = per_word.join(contexts, F.col("w") == F.col("c"), "left").select(
         "bad", "n", F.coalesce("contexts", F.lit(0)).alias("contexts"), F.col("c").isNotNull().cast("int").alias("kind"),
-        F.explode(F.array_distinct(F.array(*(F.substring("w", 1, k) for k in STEM)))).alias("term"))
+        F.explode(F.array_distinct(F.array(*(F.substring("w", 1, k) for k in STEM)))).alias("term")).where(F.length("term") >= min(STEM))
     # a text counts once for each of its words that begin so
     begun = begun.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("bad", "n", "contexts")), F.sum("kind").alias("kinds")).where("kinds >= 3").select(
         "term", F.lit(True).alias("stem"), "bad", "n", "contexts", "kinds")
