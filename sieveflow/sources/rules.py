@@ -70,9 +70,10 @@ def with_positional_ids(rules: DataFrame) -> DataFrame:
     sets = rules.groupBy("ruleset").agg(
         F.count("*").alias("n"), F.count_distinct("pos").alias("places"), F.min("pos").alias("lo"), F.max("pos").alias("hi"),
         F.count_if(F.col("rule_id").isNull()).alias("unnamed"))
-    whole = sets.agg(
-        F.count_if((F.col("unnamed") > 0) & (F.col("places") < F.col("n"))).alias("bad"),
-        F.count_if((F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1)).alias("gaps")).first()
+    numbers = dict(rules.dtypes)["pos"] in ("int", "bigint")
+    gaps = F.count_if((F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1)) if numbers else F.lit(1)
+    whole = sets.agg(F.count_if((F.col("unnamed") > 0) & (F.col("places") < F.col("n"))).alias("bad"),
+                     gaps.alias("gaps")).first()
     if whole.bad:
         raise ValueError("rules without ids are numbered by `pos`, which must be present and differ within a ruleset")
     # places without gaps are the numbers themselves
