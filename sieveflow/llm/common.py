@@ -42,6 +42,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(df: DataFrame, rows: int = 500) -> DataFrame:
+    """`df`, whose session hands at most `rows` rows at a time to Python: whole texts are long, and by
+    default 10,000 of them are one batch, held by the executor and by its Python worker at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(key))
+    if not 0 < now <= rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage: read back after an executor is lost."""
 

@@ -30,7 +30,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
 MIN_PAGES = 10
 MIN_SHARE = 0.5
@@ -243,7 +243,7 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
                 "digests": [sorted({d - (1 << 63) for t, d in zip(p.tags, p.digests) if d and t not in ("html", "body", "head")})
                             for p in found]})
 
-    rows = pages.select(host_of(F.col(f"`{url_col}`")).alias("host"), F.col(f"`{html_col}`").alias("html")).mapInPandas(
+    rows = small_batches(pages).select(host_of(F.col(f"`{url_col}`")).alias("host"), F.col(f"`{html_col}`").alias("html")).mapInPandas(
         run, "host string, page string, digests array<long>")
     # equal pages of a host have equal subtrees
     once = rows.groupBy("host", "page").agg(F.first("digests").alias("digests"))
@@ -270,7 +270,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                      for h, d in zip(b["html"], b["digests"])]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"),
+    rows = small_batches(pages).select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"),
                         F.col(f"`{html_col}`").alias("html"), host_of(F.col(f"`{url_col}`")).alias("host"))
     return rows.join(known, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "digests").mapInPandas(
         run, f"page_id {key}, url {url}, text string, n_chars long")

@@ -34,12 +34,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
 CHUNK = 1 << 15
 FAN = 64
-REMEMBERED = 200_000
-ROWS = 500
+REMEMBERED = 100_000
 MAX_MODEL_BYTES = 32 << 20
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -371,13 +370,12 @@ def encode_giants(giants: DataFrame, model: bytes, size: int = CHUNK) -> DataFra
 def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """One row per document: doc_id, ids."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
+    rows = small_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
-        # a batch of the usual number of rows is large in texts and larger in ids
-        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+        for b in batches:
             found = [np.array(codec.encode(t), dtype=np.int32) for t in b.column("text").to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
             flat = np.concatenate(found) if found else np.array([], dtype=np.int32)
@@ -398,4 +396,4 @@ def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", text_col: str
         for b in batches:
             yield pd.Series([codec.decode(i if i is not None else ()) for i in b], dtype=object)
 
-    return encoded.withColumn(text_col, texts(F.col(f"`{ids_col}`")))
+    return small_batches(encoded).withColumn(text_col, texts(F.col(f"`{ids_col}`")))

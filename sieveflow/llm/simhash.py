@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
 SEED = 42
 SHINGLE = 3
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": np.array(
                 [_signed(fingerprint(t or b"", size)) for t in b["text"]], dtype=np.int64)})
 
-    return docs.select(
+    return small_batches(docs).select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text")
     ).mapInPandas(run, f"doc_id {id_type}, fp long")
 

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
 LENGTH = 400
 GRAM = 16
@@ -187,7 +187,7 @@ def _described(docs: DataFrame, id_col: str, text_col: str, length: int) -> Data
             yield pd.DataFrame({"id": b["id"], "h": b["h"]} | {c: [f[i] for f in found] for i, c in enumerate(("m", "d", "at", "n", "twice"))})
 
     data = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(data).alias("h"), data.alias("data")).where(
+    return small_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(data).alias("h"), data.alias("data")).where(
         F.octet_length("data") >= length).mapInPandas(
         run, f"id {key}, h long, m array<long>, d array<long>, at array<int>, n array<int>, twice array<boolean>")
 
@@ -296,7 +296,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spans = repeated(docs, id_col, text_col, length).groupBy(F.col("id").alias("of"), F.col("h").alias("oh")).agg(
         F.collect_list(F.struct("at", "n")).alias("spans"))
     data = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(data).alias("h"), data.alias("data"))
+    texts = small_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(data).alias("h"), data.alias("data"))
     key = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -26,7 +26,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-BLOCK_TOKENS = 1 << 20
+from .common import small_batches
+
+BLOCK_TOKENS = 1 << 16
 MAX_RANKS_BYTES = 32 << 20
 
 
@@ -57,7 +59,7 @@ def write_token_files(docs: DataFrame, path: str, ranks: bytes, pattern: str, eo
             tokens = [np.array(encoding.encode_ordinary(t), dtype=dtype).tobytes() if t else b"" for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary())], ["tokens"])
 
-    docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "tokens binary").select(F.col("tokens").cast("string")).write.option(
+    small_batches(docs).select(F.col(f"`{text_col}`")).mapInArrow(run, "tokens binary").select(F.col("tokens").cast("string")).write.option(
         "encoding", "ISO-8859-1").option("lineSep", separator.decode("ISO-8859-1")).text(path)
 
 

@@ -32,6 +32,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import small_batches
+
 MAX_TERMS = 2_000
 MAX_FIT = 20_000
 MIN_CONTEXTS = 5       # different words that a term must follow in toxic training texts, and texts it must stand in
@@ -163,7 +165,7 @@ class Automaton:
 class Scorer:
     """Features of a text; keeps what it learned about words between texts of a task."""
 
-    REMEMBERED = 1 << 20
+    REMEMBERED = 1 << 17
 
     def __init__(self, terms: list[tuple[str, bool]]):
         self.automaton, self.known = Automaton(terms), {}
@@ -247,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Lexicon from all training rows, weights from at most `max_fit` of them (the first by a hash of their id)."""
     marks = labels.select(F.col(f"`{label_id}`").alias("k"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where(
         "k IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("k"))).groupBy("k").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     # the same kind of join at every size: labels grow with the documents
     training = rows.join(marks.hint("merge"), F.col("id") == F.col("k")).select("id", "text", "toxic")
     terms = [(t, stem) for t, stem, _ in lexicon(training, marks.agg(F.sum("toxic")).first()[0] or 0)]
@@ -279,7 +281,7 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             f = np.array([scorer.features(t or "") for t in b["text"]], dtype=float).reshape(-1, N_FEATURES)
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": model.score(f)})
 
-    scored = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInPandas(
+    scored = small_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInPandas(
         run, f"doc_id {id_type}, score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -299,4 +301,4 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold:
             f = np.array([scorer.features(t or "") for t in b.column(text_col).to_pylist()], dtype=float).reshape(-1, N_FEATURES)
             yield b.filter(pa.array(model.score(f) < threshold))
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
