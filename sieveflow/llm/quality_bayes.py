@@ -30,6 +30,7 @@ from .common import WORD, Scratch
 MAX_FIT = 50_000
 SMOOTHING = 1.0
 THRESHOLD = 0.5
+SHORT = 25              # words below which shares of a text mean something else, so it has bins of its own
 # measure -> upper bounds of its bins
 BINS = {
     "distinct": (0.2, 0.35, 0.5, 0.65, 0.8, 0.95),
@@ -100,7 +101,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colum
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), host.alias("host"), path.alias("path"), text.alias("text"))
     rows = rows.select("doc_id", "host", "path", *(v.alias(k) for k, v in measures(F.col("text")).items()))
-    rows = scratch.store(rows.select("doc_id", "host", "path", *(_bin(F.col(k), b).alias(k) for k, b in BINS.items())))
+    short = (F.col("n_words") < SHORT).cast("int")
+    rows = scratch.store(rows.select("doc_id", "host", "path", *(
+        (_bin(F.col(k), b) + short * (len(b) + 1)).alias(k) for k, b in BINS.items())))
     marks = labels.select(F.col(f"`{label_id}`").alias("k"), F.col(f"`{label_col}`").cast("int").alias("good")).where(
         "k IS NOT NULL AND good IS NOT NULL").groupBy("k").agg(F.min("good").alias("good"))
     labelled = scratch.store(rows.join(marks, F.col("doc_id") == F.col("k")).drop("k"))
@@ -111,7 +114,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colum
         F.sum("good").alias("good_n"), F.count("*").alias("n")).collect()}
     ratios = {}
     for k, bounds in BINS.items():
-        cells = [counted.get((k, i), (0, 0)) for i in range(len(bounds) + 1)]
+        cells = [counted.get((k, i), (0, 0)) for i in range(2 * (len(bounds) + 1))]
         good, bad = (sum(c[i] for c in cells) + SMOOTHING * len(cells) for i in (0, 1))
         ratios[k] = [math.log((g + SMOOTHING) / good) - math.log((b + SMOOTHING) / bad) for g, b in cells]
     ratio = sum((F.element_at(F.array(*(F.lit(float(x)) for x in ratios[k])), F.col(k) + 1) for k in names), F.lit(0.0))
