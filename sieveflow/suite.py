@@ -104,6 +104,7 @@ def _ruleset(name: str) -> list[dict]:
     sets = {
         "personal": lambda: _rules(PERSONAL_DATA),
         "words": lambda: _rules(WORDS),
+        "ends": lambda: _rules([(i, p, [f for f in flags if f != SOM]) for i, p, flags in PERSONAL_DATA]),
         "all": lambda: _rules(PERSONAL_DATA + WORDS),
         "names": lambda: _rules(NAMES),
         "runs": lambda: _rules(RUNS),
@@ -291,9 +292,20 @@ def rule_lookup(spark, sf_dir):
 
 
 def multi_ruleset(spark, sf_dir):
-    found = scan(table(spark, sf_dir, "pages"), compiled(spark, "tags"), "page_id", "html",
-                 semantics="find", with_ruleset=True)
-    return found.groupBy("page_id", "ruleset", "rule_id").agg(F.count("*").alias("n_matches"))
+    counts = match_counts(table(spark, sf_dir, "pages"), compiled(spark, "tags"), "page_id", "html", with_ruleset=True)
+    return counts.select("page_id", "ruleset", "rule_id", "n_matches")
+
+
+def untracked_starts(spark, sf_dir):
+    """Rules that do not track starts: only ends are reported."""
+    return scan(table(spark, sf_dir, "documents"), compiled(spark, "ends"), "doc_id", semantics="find")
+
+
+def saved_rules_scan(spark, sf_dir):
+    """Rules written, read again, compiled and searched for."""
+    path = work_folder(spark, "rules")
+    save_rules(rules_table(spark, _ruleset("personal")), path)
+    return hits(table(spark, sf_dir, "documents"), compile_rules(load_rules(spark, path)), "doc_id")
 
 
 def _word_rules(spark, sf_dir, **bounds):
@@ -519,6 +531,8 @@ QUERIES = {
     "ruleset_diff": changed_rules,
     "offset_conversion": offset_conversion,
     "clean_utf8_prefixes": clean_utf8_prefixes,
+    "untracked_starts": untracked_starts,
+    "saved_rules_scan": saved_rules_scan,
     "windowed_matches_whole": windowed_matches_whole,
     "session_combination_whole": session_combination_whole,
     "large_no_match": large_no_match,

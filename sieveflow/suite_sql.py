@@ -265,5 +265,8 @@ _thirds = "CASE WHEN doc_id % 3 > 0 THEN doc_id % 3 END AS doc_id"
 ORACLE["large_no_match"] = exists("documents", f"{_thirds}, lang", "text", PERSONAL_DATA, negated=True)
 ORACLE["large_flag"] = f"WITH {rules(PERSONAL_DATA)} SELECT {_thirds}, lang, EXISTS (SELECT 1 FROM rules WHERE " \
                        "regexp_matches(text, pat)) AS has_match FROM documents"
+ORACLE["untracked_starts"] = f"WITH {find('documents', 'doc_id', 'text', PERSONAL_DATA, UTF16)} SELECT doc_id, rule_id, " \
+                             "CAST(0 AS BIGINT) AS start, \"end\", '' AS matched FROM found"
+ORACLE["saved_rules_scan"] = hits("documents", "doc_id", "text", PERSONAL_DATA)
 ORACLE["large_combination"] = ORACLE["combination"]
 ORACLE["large_first_k"] = ORACLE["first_k"]
