@@ -29,7 +29,7 @@ from .common import WORD, Scratch
 
 MAX_FIT = 50_000
 SMOOTHING = 1.0
-THRESHOLD = 0.5
+THRESHOLD = 0.3         # leans to keeping
 SHORT = 25              # words below which shares of a text mean something else, so it has bins of its own
 # measure -> upper bounds of its bins
 BINS = {
