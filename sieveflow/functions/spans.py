@@ -142,7 +142,9 @@ def ends_in_window(w: Column, rule: Column, unit: str, first: Column, last: Colu
             F.when(rule["som"], F.substring(w["w"], w["c"] + 1 + F.length(b), e - F.length(b)))
             .otherwise(F.lit("")).alias("m")))
 
-    offsets = F.sequence(first, last)
+    # the whole regex is only tried where the character before the end can be a match's last one
+    offsets = F.filter(F.sequence(first, last), lambda e: rule["last_rx"].isNull() | (
+        (e > 0) & F.rlike(F.substring(w["w"], w["c"] + e, F.lit(1)), rule["last_rx"])))
     if not only_first:
         return F.transform(F.filter(offsets, lambda e: F.rlike(w["w"], ending_at(e))), span)
     # CASE is lazy: once an end is found, the regex is not tried again

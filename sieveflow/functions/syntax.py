@@ -110,6 +110,20 @@ def needs_byte_view(toks: Column, pattern: Column, flags: Column, dialect: Colum
     return (dialect == DIRECT) & ~has_flag(flags, "UTF8") & (wide | F.rlike(pattern, F.lit(r"[^\x00-\x7F]")))
 
 
+def last_atom(java_toks: Column, dialect: Column) -> Column:
+    """What the last character of every match matches, where the rule says so plainly, else NULL.
+
+    That is a literal, an escape for a class or a class at the very end, bare or repeated at least once, in a
+    rule without branches and option switches.
+    """
+    end = F.try_element_at(java_toks, F.lit(-1))
+    repeated = F.rlike(end, F.lit(r"^\+\??$"))
+    atom = F.when(repeated, F.try_element_at(java_toks, F.lit(-2))).otherwise(end)
+    plain = F.rlike(atom, F.lit(r"""^(?:[A-Za-z0-9 _,;:!@%=~"'<>/-]|\\[dws]|\[.+\])$"""))
+    unsure = F.array_contains(java_toks, "|") | _has(java_toks, OPTION_SWITCH) | _has(java_toks, UNUSUAL_GROUP) | _has(java_toks, r"^\\Q")
+    return F.when((dialect == DIRECT) & plain & ~unsure, atom)
+
+
 def capture_groups(toks: Column) -> Column:
     return F.size(F.filter(toks, lambda t: F.rlike(t, F.lit(CAPTURE)))).cast("int")
 

@@ -20,7 +20,7 @@ from ..functions.binding import let
 from ..functions.flags import has_flag, quote_literal, with_options
 from ..functions.spans import Shape
 from ..functions.syntax import (
-    capture_groups, fixed_width, java_source, java_tokens, latin1_tokens, needs_byte_view,
+    capture_groups, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, needs_byte_view,
     never_overlaps, required_literals, run_class, run_with_match, tokens,
 )
 from ..operators.validate import RuleError, check_ruleset, nullable_rule, rule_error
@@ -35,7 +35,7 @@ MAX_ALTERNATION = 8_000
 
 RULE_FIELDS = {
     "rule_id": "int", "ruleset": "string", "rx": "string", "literals": "array<string>", "bytes": "boolean",
-    "utf8": "boolean", "kind": "string", "run_rx": "string", "nullable": "boolean", "som": "boolean",
+    "utf8": "boolean", "kind": "string", "run_rx": "string", "last_rx": "string", "nullable": "boolean", "som": "boolean",
     "single": "boolean", "quiet": "boolean", "java": "boolean", "groups": "int",
 }
 RULE_TYPE = "struct<" + ",".join(f"{n}:{t}" for n, t in RULE_FIELDS.items()) + ">"
@@ -58,6 +58,7 @@ def _derivation(application: str) -> list[dict[str, Column]]:
         {
             "rx": with_options(body, flags, dialect, grouped=F.array_contains(toks, "|")),
             "run_rx": let(run, lambda r: with_options(run_with_match(r, body), flags, dialect)),
+            "last_rx": F.when(~literal, with_options(last_atom(jtoks, dialect), flags, dialect)),
             "literals": required_literals(toks, pattern, flags, dialect),
             "kind": F.when(nullable, F.lit("whole"))
                      .when(fixed_width(toks) & ~literal & never_overlaps(jtoks, flags), F.lit("apart"))
