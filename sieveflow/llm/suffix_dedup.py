@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame, functions as F
 from .common import Scratch, small_batches
 
 LENGTH = 400
-GRAM = 16
+GRAM = 64              # a power of two; shorter grams are shared by texts that have nothing else in common
 SHARD_BYTES = 1 << 20
 LONGEST_RUN = 1 << 16
 BLOCK = 1 << 20        # windows described at a time
-RANGE_ROWS = 1 << 19   # fingerprints merged at a time
+RANGE_ROWS = 1 << 16   # fingerprints merged at a time
 LANES = 256
 # fixed values: odd multipliers of a hash
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9], dtype=np.uint64)
@@ -58,9 +58,11 @@ def runs(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     for at in range(0, len(data) - length + 1, BLOCK):
         part = data[at: at + BLOCK + length - 1]
         n, span = len(part), length - GRAM + 1
-        words = words_at(part, n - 7)
-        grams = words[: n - GRAM + 1] * MIX[0] ^ (words[8: n - GRAM + 9] >> np.uint64(7)) * MIX[1]
-        grams = (grams ^ (grams >> np.uint64(29))) * MIX[2]
+        grams, reach = words_at(part, n - 7), 8
+        while reach < GRAM:  # two neighbouring hashes are one of twice the length
+            grams = grams[:-reach] * MIX[0] ^ (grams[reach:] >> np.uint64(7)) * MIX[1]
+            grams = (grams ^ (grams >> np.uint64(29))) * MIX[2]
+            reach *= 2
         grams ^= grams >> np.uint64(32)
         # least of each span, from the least up to and from each place within blocks of a span
         tiles = np.full(-(-len(grams) // span) * span, np.iinfo(np.uint64).max)
