@@ -126,6 +126,12 @@ class CompiledRules:
     n_rules: int
     rows: list | None
     combinations: list = field(default_factory=list)
+    kept: DataFrame | None = None
+
+    def release(self) -> None:
+        """Give up what is kept of a ruleset beyond the size bound; its scans would derive it anew."""
+        if self.kept is not None:
+            self.kept.unpersist()
 
     @property
     def fits(self) -> bool:
@@ -214,14 +220,14 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
     summary = check_ruleset(rules)
     if summary.n_ids == 0:
         rules = with_positional_ids(rules)
-    table = derive(rules)
+    table, kept = derive(rules), None
     fits = summary.n_rules <= max_rules and summary.n_bytes <= max_bytes
     if fits:
         rows = table.collect()
         bad = [r for r in rows if r.error is not None]
     else:
         # read by every scan; kept so that the rules are not analysed again each time
-        table = table.persist()
+        table = kept = table.persist()
         rows, bad = None, table.where("error IS NOT NULL").limit(100).collect() if strict else []
     if strict and bad:
         failed = [(r.rule_id, r.pattern, r.error) for r in bad]
@@ -230,7 +236,7 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
         every = table.where("error IS NOT NULL").select("ruleset", "rule_id", "pattern", "error")
         raise RuleError(failed, every.count(), every)
     if fits and sum(len(r.rx or "") + len(r.run_rx or "") + sum(map(len, r.literals or ())) for r in rows) > max_bytes:
-        fits, table = False, table.persist()
+        fits, kept = False, table.persist()
     # the rows at hand are the table from now on, so a costly source of rules is read only once
     table = rules.sparkSession.createDataFrame(
         [r for r in rows if r.error is None], table.schema) if fits else table.where("error IS NULL")
@@ -248,7 +254,7 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
         missing = sorted({int(n) for n in re.findall(r"\d+", c.pattern) if (c.ruleset, int(n)) not in ids})
         if missing:
             raise RuleError([(c.rule_id, c.pattern, f"refers to unknown rules {missing}")])
-    return CompiledRules(table, summary.n_rules, plain, combinations)
+    return CompiledRules(table, summary.n_rules, plain, combinations, kept)
 
 
 def alternations(rows) -> list[str]:

@@ -69,7 +69,11 @@ def test_same_rows(texts, both, name):
 
 def test_compiled_size_counts_too(spark):
     table = rules_table(spark, [rule("ab" * 50, (), i) for i in range(20)])
-    assert compile_rules(table).fits and not compile_rules(table, max_bytes=2500).fits
+    large = compile_rules(table, max_bytes=2500)
+    assert compile_rules(table).fits and not large.fits
+    assert large.kept.is_cached
+    large.release()
+    assert not large.kept.is_cached
 
 
 def test_streams_refuse_what_would_need_state_without_limit(spark, tmp_path, both):
