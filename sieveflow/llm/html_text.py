@@ -54,7 +54,7 @@ ENDS = {
 NOT_TEXT = frozenset(
     "head nav footer aside form script style template noscript iframe object embed svg math canvas audio video button select "
     "textarea input label dialog menu noembed noframes xmp title".split())
-NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
+NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog status menu menubar toolbar form".split())
 NOT_TEXT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense banner promo promos promotion sponsor sponsored "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidebars footer header masthead topbar comment comments "
