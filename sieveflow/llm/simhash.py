@@ -27,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import Scratch, small_batches
 
@@ -168,18 +168,37 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-                     max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of `docs` with one document of each group: that of the smallest id.
+def text_digest(text_col: str) -> Column:
+    """16 bytes that stand for a text; NULL counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
+
 
-    Rows that repeat the smallest id stay once. A group whose ids are all NULL keeps one row per
-    fingerprint.
+def one_per_root(docs: DataFrame, roots: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` with one row of each group: that of the smallest id, of a NULL id if it has no other.
+
+    `roots` has (digest, root) for each different text, so a row is judged by its own text whatever its id.
     """
-    groups = near_groups(docs, id_col, text_col, size, max_bits)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
-        F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    rows = docs.select(F.struct("*").alias("__row"), F.col(f"`{id_col}`").alias("__doc")).join(
-        kept, F.col("__doc").eqNullSafe(F.col("__id"))).drop("__id")
+    rows = docs.select(F.struct("*").alias("__row"), F.col(f"`{id_col}`").alias("__doc"), text_digest(text_col).alias("__digest"))
+    counts = rows.groupBy("__digest", "__doc").agg(F.count("*").alias("n"))
+    first = counts.join(roots, F.col("__digest") == F.col("digest")).groupBy("root").agg(F.min(F.struct(
+        F.col("__doc").isNull().alias("unnamed"), F.col("__doc").alias("id"), "digest", "n")).alias("k"))
+    kept = first.select(F.col("k.id").alias("__id"), F.col("k.digest").alias("__of"), F.col("k.n").alias("__n"))
+    rows = rows.join(kept, (F.col("__digest") == F.col("__of")) & F.col("__doc").eqNullSafe(F.col("__id")))
     single = rows.where("__n = 1").select("__row.*")
-    repeated = rows.where("__n > 1").dropDuplicates(["__doc"]).select("__row.*")
+    repeated = rows.where("__n > 1").dropDuplicates(["__digest", "__doc"]).select("__row.*")
     return reduce(DataFrame.unionByName, [single, repeated])
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+                     max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of `docs` with one row of each group: that of the smallest id, of a NULL id if it has no other."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    texts = docs.select(text_digest(text_col).alias("digest"), F.col(f"`{text_col}`").alias("text"))
+    prints = scratch.store(fingerprints(texts, "digest", "text", size).distinct())
+    roots = components(links(prints, max_bits), scratch)
+    named = prints.select(F.col("doc_id").alias("digest"), "fp")
+    if roots is None:
+        named = named.withColumnRenamed("fp", "root")
+    else:
+        named = named.join(roots, F.col("fp") == F.col("node"), "left").select("digest", F.coalesce("root", "fp").alias("root"))
+    return one_per_root(docs, scratch.store(named), id_col, text_col)

@@ -89,3 +89,15 @@ def test_drop_near_copies(spark):
 
 def test_empty(spark):
     assert rows_of(near_groups(empty_docs(spark))) == [] and rows_of(drop_near_copies(empty_docs(spark))) == []
+
+
+def test_rows_without_or_with_repeated_ids_are_judged_by_their_text(spark):
+    rows = [(None, f"text {c} of its own with words {c * 7}", "en", "a", 1) for c in "abcdefgh"]
+    rows += [(5, "one text under this id is about rivers", "en", "a", 1), (5, "another speaks of quarks and leptons", "en", "a", 1)]
+    rows += [(9, rows[0][1], "en", "a", 1), (None, rows[1][1], "en", "b", 1)]
+    prints = [plain_fingerprint(r[1]) for r in rows]
+    roots = plain_components(prints)
+    got = [(r.doc_id, r.text) for r in drop_near_copies(odd_docs(spark, True, rows)).collect()]
+    assert len(got) == len(set(roots)) > 8
+    assert (9, rows[0][1]) in got and (None, rows[0][1]) not in got
+    assert {t for i, t in got if i == 5} == {rows[8][1], rows[9][1]}
