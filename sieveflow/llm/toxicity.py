@@ -84,9 +84,9 @@ def lexicon(texts: DataFrame, n_toxic: int) -> list[tuple[str, bool, int]]:
     good = (F.col("bad") >= MIN_CONTEXTS) & (F.col("contexts") >= max(MIN_CONTEXTS, MIN_SHARE * n_toxic)) & (F.col("bad") >= MIN_PRECISION * F.col("n"))
     rows = whole.unionByName(begun).where(good).orderBy(F.desc("contexts"), "term", "stem").limit(MAX_TERMS).collect()
     stems = {r.term for r in rows if r.stem}
-    # a term that begins with a shorter stem adds nothing to it
+    # a stem that begins with a shorter one adds nothing to it; a whole word is also found misspelled
     return [(r.term, r.stem, r.contexts) for r in rows
-            if not any(r.term[:k] in stems for k in STEM if k < len(r.term) or (k == len(r.term) and not r.stem))]
+            if not (r.stem and any(r.term[:k] in stems for k in STEM if k < len(r.term)))]
 
 
 @dataclass
@@ -97,6 +97,7 @@ class Automaton:
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     ends: dict[int, bool] = field(default_factory=dict)      # node -> whether the term is a stem
     fuzzy: set[int] = field(default_factory=set)             # nodes on the way to a term that may be misspelled
+    whole: set[int] = field(default_factory=set)             # and where such a term ends
     states: list[dict[int, int]] = field(default_factory=list)
     numbers: dict[frozenset, int] = field(default_factory=dict)
     steps: list[dict[str, int]] = field(default_factory=list)
@@ -114,6 +115,7 @@ class Automaton:
             self.ends[node] = stem or self.ends.get(node, False)
             if len(term) >= FUZZY_FROM and not stem:
                 self.fuzzy.update(path)
+                self.whole.add(node)
         self.alphabet = {c for d in self.children for c in d}
         self._number({0: 0})
 
@@ -129,7 +131,7 @@ class Automaton:
             self.numbers[key] = len(self.states)
             self.states.append(edits)
             self.steps.append({})
-            ends = [(e, self.ends[n]) for n, e in edits.items() if n in self.ends and (e == 0 or n in self.fuzzy)]
+            ends = [(e, self.ends[n]) for n, e in edits.items() if n in self.ends and (e == 0 or n in self.whole)]
             self.accepts.append(min((e for e, _ in ends), default=-1))
             self.stems.append(min((e for e, stem in ends if stem and e == 0), default=-1))
         return self.numbers[key]
@@ -139,7 +141,7 @@ class Automaton:
         for node, e in self.states[state].items():
             if (child := self.children[node].get(c)) is not None:
                 reached[child] = min(reached.get(child, e), e)
-            if e == 0 and node in self.fuzzy and node:  # the first letter is taken as it is
+            if e == 0 and node in self.fuzzy:
                 reached[node] = min(reached.get(node, 1), 1)
                 for child in self.children[node].values():
                     if child in self.fuzzy:

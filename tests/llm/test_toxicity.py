@@ -6,7 +6,7 @@ import pytest
 
 from helpers import ODD, empty_docs, odd_docs, rows_of
 from sieveflow.llm.queries import op10_toxicity
-from sieveflow.llm.toxicity import PRIOR, Automaton, Model, Scorer, _logistic, drop_toxic, fit, scores
+from sieveflow.llm.toxicity import PRIOR, Automaton, Model, Scorer, _logistic, drop_toxic, fit, lexicon, scores
 
 
 def distance(a, b):
@@ -83,3 +83,25 @@ def test_empty(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = fit(empty_docs(spark), labels)
     assert rows_of(scores(empty_docs(spark), model)) == [] and rows_of(drop_toxic(empty_docs(spark), model)) == []
+
+
+@pytest.mark.parametrize("stems", [[], ["tras"], ["trash"], ["scum", "idio"]])
+def test_every_word_one_edit_away(stems):
+    """At every place, the first letter included, whether or not a stem begins the term."""
+    terms = ["trash", "trashy", "clown", "idiot", "worthless", "scum", "scumbag"]
+    automaton = Automaton([(t, False) for t in terms] + [(s, True) for s in stems])
+    words = {"1diot", "$tupid", "xidiot", "tr4sh", "scun", "tr4s"}
+    for t in terms:
+        for i in range(len(t) + 1):
+            words |= {t[:i] + t[i + 1:], *(t[:i] + c + t[i + k:] for c in "x0ts$" for k in (0, 1)), t[:i] + "xy" + t[i:]}
+    for w in words:
+        whole = min(distance(w, t) if len(t) >= 5 else (0 if w == t else 9) for t in terms)
+        want = 0 if whole == 0 or any(w.startswith(s) for s in stems) else 1 if whole == 1 else -1
+        assert automaton.match(w) == want, w
+
+
+def test_lexicon_keeps_words_under_a_stem(spark):
+    rows = [(f"{b} trash {b} trashy {b} trashes walk", 1) for b in "one two three four five six".split()]
+    terms = [(t, s) for t, s, _ in lexicon(spark.createDataFrame(rows, "text string, toxic int"), 6)]
+    assert ("trash", False) in terms and ("tras", True) in terms
+    assert Automaton(terms).match("tr4sh") == Automaton(terms).match("1rash") == 1
