@@ -2,8 +2,9 @@
 
 1. **Lexicon.** Words and word beginnings of the labelled training texts are counted by label in
    Spark; those found nearly only in toxic texts become terms (whole words, or beginnings such as
-   a stem with many endings). A term needs enough texts behind it, so at most `MAX_TERMS` reach
-   the driver, the strongest first.
+   a stem with many endings). What counts is in how many different contexts a text means a word, not
+   quotes it; so neither copies nor the size of the input move the thresholds. All terms are taken; more than
+   `MAX_TERMS`, which executors could not hold, are refused with an error and never cut.
 2. **Matching.** The terms form a trie. It is intersected with the automaton that accepts words within one edit, and the product
    is made deterministic as it is walked: a state is a set of (trie node, edits used). Words
    leave it after a few characters unless they resemble a term, so misspellings and letters swapped for
@@ -25,6 +26,7 @@ gives an empty table; other columns are ignored by ``scores`` and kept by ``drop
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,11 +36,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import small_batches
 
-MAX_TERMS = 2_000
+MAX_TERMS = 50_000
 MAX_FIT = 20_000
-MIN_CONTEXTS = 5       # different words that a term must follow in toxic training texts, and texts it must stand in
-MIN_SHARE = 0.002      # and how many of them per toxic training text
-MIN_PRECISION = 0.95   # of its training texts that are toxic
+MIN_CONTEXTS = 5       # different words that a term must follow in as many toxic training texts, at every size
+MIN_PRECISION = 0.95   # of its contexts that are toxic
 STEM = (4, 5, 6)       # lengths of word beginnings that may become terms
 FUZZY_FROM = 5         # shorter terms have too many innocent neighbours
 WINDOW = 6             # words on either side
@@ -57,32 +58,50 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 3 == 1
 
 
-def _bare(word: Column) -> Column:
-    return F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+BARE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
-def lexicon(texts: DataFrame, n_toxic: int) -> list[tuple[str, bool, int]]:
+def meant_words(text: str) -> dict[str, str]:
+    """Each word of a text, bare, with the one before its first place outside a quotation."""
+    raw = text.lower().split()
+    # only behind an opening mark or a word of reporting can a word be quoted
+    doubtful = {j for i, w in enumerate(raw) if w[0] in OPENING or w.strip(EDGES) in REPORTING for j in range(i, i + WINDOW + 1)}
+    found: dict[str, str] = {}
+    last = ""
+    for i, w in enumerate(raw):
+        bare = w if w.isalnum() else BARE.sub("", w)
+        if not bare:
+            continue
+        if bare not in found and not (i in doubtful and Scorer._is_quoted(raw[max(0, i - WINDOW): i], raw[i: i + WINDOW])):
+            found[bare] = last
+        last = bare
+    return found
+
+
+def lexicon(texts: DataFrame) -> list[tuple[str, bool, int]]:
     """(term, is a beginning, toxic contexts) from rows of (text, toxic).
 
-    Support is counted in different words before a term, not in texts: the words of a text of which
-    there are many copies would otherwise all be terms.
+    A text adds one context to each word that it means: the word before. Copies add the same one, so
+    five contexts are five different texts, and precision is the toxic share of a word's contexts.
     """
-    words = F.filter(F.transform(F.split(F.lower("text"), r"\s+"), _bare), lambda w: w != "")
-    per_word = texts.select("toxic", F.explode(F.array_distinct(words)).alias("w")).groupBy("w").agg(
-        F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-    pairs = texts.where("toxic = 1").select(words.alias("ws")).select(F.explode(F.transform(
-        "ws", lambda w, i: F.struct(w.alias("c"), F.get("ws", i - 1).alias("before")))).alias("p"))
-    contexts = pairs.select("p.*").distinct().groupBy("c").agg(F.count("*").alias("contexts"))
-    whole = per_word.join(contexts, F.col("w") == F.col("c")).select(
-        F.col("w").alias("term"), F.lit(False).alias("stem"), "bad", "n", "contexts", F.lit(1).alias("kinds"))
-    begun = per_word.join(contexts, F.col("w") == F.col("c"), "left").select(
-        "bad", "n", F.coalesce("contexts", F.lit(0)).alias("contexts"), F.col("c").isNotNull().cast("int").alias("kind"),
-        F.explode(F.array_distinct(F.array(*(F.substring("w", 1, k) for k in STEM)))).alias("term")).where(F.length("term") >= min(STEM))
-    # a text counts once for each of its words that begin so
-    begun = begun.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("bad", "n", "contexts")), F.sum("kind").alias("kinds")).where("kinds >= 3").select(
-        "term", F.lit(True).alias("stem"), "bad", "n", "contexts", "kinds")
-    good = (F.col("bad") >= MIN_CONTEXTS) & (F.col("contexts") >= max(MIN_CONTEXTS, MIN_SHARE * n_toxic)) & (F.col("bad") >= MIN_PRECISION * F.col("n"))
-    rows = whole.unionByName(begun).where(good).orderBy(F.desc("contexts"), "term", "stem").limit(MAX_TERMS).collect()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = {(w, before, toxic) for t, toxic in zip(b["text"], b["toxic"]) for w, before in meant_words(t).items()}
+            yield pd.DataFrame(list(rows), columns=["w", "before", "toxic"])
+
+    pairs = small_batches(texts).select("text", F.col("toxic").cast("int").alias("toxic")).mapInPandas(
+        run, "w string, before string, toxic int").distinct()
+    words = pairs.groupBy("w").agg(F.sum("toxic").cast("long").alias("bad"), F.count("*").alias("n"))
+    whole = words.select(F.col("w").alias("term"), F.lit(False).alias("stem"), "bad", "n")
+    begun = words.select("bad", "n", (F.col("bad") > 0).cast("int").alias("kind"), F.explode(F.array_distinct(F.array(
+        *(F.substring("w", 1, k) for k in STEM)))).alias("term")).where(F.length("term") >= min(STEM))
+    begun = begun.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("bad", "n", "kind"))).where("kind >= 3").select(
+        "term", F.lit(True).alias("stem"), "bad", "n")
+    good = (F.col("bad") >= MIN_CONTEXTS) & (F.col("bad") >= MIN_PRECISION * F.col("n"))
+    rows = whole.unionByName(begun).where(good).select("term", "stem", F.col("bad").alias("contexts")).limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} terms part toxic texts from others: the labels do not mark a lexicon")
+    rows = sorted(rows, key=lambda r: (-r.contexts, r.term, r.stem))
     stems = {r.term for r in rows if r.stem}
     # a stem that begins with a shorter one adds nothing to it; a whole word is also found misspelled
     return [(r.term, r.stem, r.contexts) for r in rows
@@ -254,7 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = small_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     # the same kind of join at every size: labels grow with the documents
     training = rows.join(marks.hint("merge"), F.col("id") == F.col("k")).select("id", "text", "toxic")
-    terms = [(t, stem) for t, stem, _ in lexicon(training, marks.agg(F.sum("toxic")).first()[0] or 0)]
+    terms = [(t, stem) for t, stem, _ in lexicon(training)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(terms)

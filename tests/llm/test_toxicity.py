@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from helpers import ODD, empty_docs, odd_docs, rows_of
+from sieveflow.llm import toxicity
 from sieveflow.llm.queries import op10_toxicity
 from sieveflow.llm.toxicity import PRIOR, Automaton, Model, Scorer, _logistic, drop_toxic, fit, lexicon, scores
 
@@ -102,6 +103,23 @@ def test_every_word_one_edit_away(stems):
 
 def test_lexicon_keeps_words_under_a_stem(spark):
     rows = [(f"{b} trash {b} trashy {b} trashes walk", 1) for b in "one two three four five six".split()]
-    terms = [(t, s) for t, s, _ in lexicon(spark.createDataFrame(rows, "text string, toxic int"), 6)]
+    terms = [(t, s) for t, s, _ in lexicon(spark.createDataFrame(rows, "text string, toxic int"))]
     assert ("trash", False) in terms and ("tras", True) in terms
     assert Automaton(terms).match("tr4sh") == Automaton(terms).match("1rash") == 1
+
+
+def test_lexicon_does_not_move_with_size_or_copies(spark):
+    befores = "one two three four five six".split()
+    rows = [(f"{b} grubnak left", 1) for b in befores]
+    rows += [("many copies of a bad text", 1)] * 4000           # more toxic texts, and copies of one
+    rows += [('he wrote "grubnak" in a letter', 0)] * 3000     # a clean text that quotes it, copied
+    rows += [(f"{b} harmless left", 1) for b in befores] + [(f"{b} harmless left", 0) for b in befores]
+    got = {t: n for t, stem, n in lexicon(spark.createDataFrame(rows, "text string, toxic int")) if not stem}
+    assert got == {"grubnak": 6}
+
+
+def test_too_many_terms_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 1)
+    rows = [(f"{b} grubnak {b} other", 1) for b in "one two three four five six".split()]
+    with pytest.raises(ValueError):
+        lexicon(spark.createDataFrame(rows, "text string, toxic int"))
