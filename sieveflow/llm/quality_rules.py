@@ -4,7 +4,9 @@ The base rules refuse texts of few words and texts whose words mostly lie in rep
 What passes is compared with its language: the histogram over character classes and the one over
 the language's common words, each by Jensen-Shannon distance (0 to 1) to the histogram of all
 passing texts of that language. Distances of short texts are mostly noise, so a text is only refused
-by one if it has enough characters or words.
+by one if it has enough characters or words. Common words cover a sixth of a language, so a text with none
+of them is at a distance of about 0.29 only: overuse is judged by a fixed limit, want of them by the
+share of the distance that a text of the same language without any common word has.
 
 Two passes over the texts: one counts words per language (partial sums before the shuffle), one
 takes all counts of a text inside its row. Only built-in functions are used. What joins the texts is one
@@ -33,6 +35,8 @@ MIN_CHARS_CLASSES = 200
 MIN_WORDS_COMMON = 60
 MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.40
+MAX_WORD_SHARE = 0.92       # of the distance of a text without any common word
+MIN_EXPECTED = 8            # common words that a text of its length should have, to be refused for too few
 # character classes counted by a pattern; white space and all the rest are classes of their own
 CLASSES = (r"\p{Lu}", r"\p{Nd}", r"\p{P}", r"\p{S}")
 
@@ -114,7 +118,8 @@ def _with_rest(shares: Column) -> Column:
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
+            max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE,
+            max_word_share: float = MAX_WORD_SHARE) -> DataFrame:
     """One row per document: its counts, base_failed, both distances (NULL where not judged), kept."""
     scratch = Scratch(docs.sparkSession, "quality")
     common = scratch.store(common_words(docs, text_col, lang_col, scratch))
@@ -131,8 +136,13 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         F.transform("classes", lambda c: c / F.col("n_chars")), F.col("expected")))
     word_distance = F.when((F.col("n_words") >= MIN_WORDS_COMMON) & F.col("common").isNotNull(), js_distance(
         _with_rest(F.transform("common", lambda c: c / F.col("n_words"))), _with_rest(F.col("share"))))
+    coverage = F.aggregate("share", F.lit(0.0), lambda a, x: a + x)
+    n_common = F.aggregate("common", F.lit(0).cast("long"), lambda a, x: a + x)
+    none = js_distance(_with_rest(F.transform("share", lambda x: F.lit(0.0))), _with_rest(F.col("share")))
     rows = judged.withColumns({"class_distance": class_distance, "word_distance": word_distance})
+    wanting = (F.col("n_words") * coverage >= MIN_EXPECTED) & (n_common < F.col("n_words") * coverage) & (
+        F.col("word_distance") >= max_word_share * none)
     diverges = (F.coalesce(F.col("class_distance"), F.lit(0.0)) > max_class_distance) | (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) > max_word_distance)
+        F.coalesce(F.col("word_distance"), F.lit(0.0)) > max_word_distance) | F.coalesce(wanting, F.lit(False))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                        (~F.col("base_failed") & ~diverges).alias("kept"), "class_distance", "word_distance")

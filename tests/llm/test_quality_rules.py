@@ -53,3 +53,23 @@ def test_divergence(spark):
 
 def test_empty(spark):
     assert rows_of(quality(empty_docs(spark))) == []
+
+
+def test_texts_without_common_words_are_refused(spark):
+    """Gibberish, and another language under this lang; their characters are as usual."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    good = {r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").collect()}
+    long = [r for r in docs.collect() if r.doc_id in good and len(r.text.split()) >= 100]
+    english, german = ([r for r in long if r.lang == lang] for lang in ("en", "de"))
+    common = Counter(w for r in long if r.lang == "en" for w in r.text.lower().split()).most_common(60)
+    common = {w for w, _ in common}
+    bare = [" ".join(w for w in r.text.split() if w.lower() not in common) for r in english]
+    bare = [(10 ** 6 + i, t, "en", "a", 1) for i, t in enumerate(bare) if len(t.split()) >= 60][:3]
+    other = [(2 * 10 ** 6 + i, r.text, "en", "a", 1) for i, r in enumerate(german[:3])]
+    assert len(bare) == len(other) == 3
+    added = spark.createDataFrame(bare + other, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in quality(docs.select(added.columns).unionByName(added)).collect()}
+    for i, *_ in bare + other:
+        assert not got[i].base_failed and got[i].class_distance < 0.30 and got[i].word_distance < 0.40 and not got[i].kept
+    assert all(got[i].kept or got[i].base_failed for i in good)
