@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sieveflow.llm.common import Scratch, table
 from sieveflow.llm.exact_dedup import drop_copies
 from sieveflow.llm.mixing import mixed
-from sieveflow.llm.near_copies import drop_similar
 from sieveflow.llm.pieces import encode, read_model
 from sieveflow.llm.queries import PIECES
+from sieveflow.llm.simhash import MAX_BITS, SHINGLE, drop_near_copies
 from sieveflow.llm.toxicity import drop_toxic, fit
 
 
@@ -24,8 +24,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays: that of the smallest doc_id."""
-    return drop_similar(docs)
+    """One document of each SimHash group (op7's shingle length and bit distance) stays: that of the smallest doc_id."""
+    return drop_near_copies(docs, size=SHINGLE, max_bits=MAX_BITS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
