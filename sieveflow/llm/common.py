@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -52,6 +54,21 @@ def small_batches(df: DataFrame, rows: int = 500) -> DataFrame:
     return df
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, jobs hand at most `rows` rows at a time to Python; afterwards the session is as it was.
+
+    For tables whose rows are whole blocks. Jobs that run later do not see it, so results are stored within.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage: read back after an executor is lost."""
 

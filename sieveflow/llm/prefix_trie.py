@@ -33,10 +33,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import Scratch
+from .common import Scratch, arrow_rows
 
 WIDTH = 32       # turns of a chunk
 BLOCK = 8192     # chunks
+BLOCKS = 4       # of which Python gets at a time
 EMPTY = hashlib.sha256(b"").hexdigest()
 KEY = ["depth", "k1", "k2"]
 
@@ -325,7 +326,9 @@ def trie(turns: DataFrame, totals: DataFrame, scratch: Scratch) -> DataFrame:
         *nodes.columns, F.coalesce("n_children", F.lit(0)).alias("n_children"), ((F.col("n") - 1) * F.col("chars")).alias("own"))
     nodes = scratch.store(_charged_before(nodes).drop("sc", "ss", "above", "inside", "stretch"))
     charged = nodes.groupBy("conv").agg(F.sum("own").alias("total"), F.sum(F.when(F.col("n_children") == 0, 1).otherwise(0)).alias("leaf"))
-    sums = _sums_over_members(blocks, charged).withColumnsRenamed({k: f"s_{k}" for k in KEY})
+    with arrow_rows(turns.sparkSession, BLOCKS):
+        sums = scratch.store(_sums_over_members(blocks, charged))
+    sums = sums.withColumnsRenamed({k: f"s_{k}" for k in KEY})
     # the root's children are looked up without a join: its smallest member is one number
     root = nodes.where("depth = 0").agg(F.min("conv")).first()[0]
     parents = nodes.where("depth > 0").select((F.col("depth") + 1).alias("q_depth"), F.col("k1").alias("q1"), F.col("k2").alias("q2"), F.col("conv").alias("q"))

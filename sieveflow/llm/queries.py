@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import base64
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .attention_lm import Vocabulary, log_probabilities
 from .common import shared_folder, table
 from .exact_dedup import exact_groups
 from .html_text import extract
@@ -76,6 +79,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def byte_pairs(ranks: bytes, pattern: str) -> Vocabulary:
+    """A vocabulary of ranked byte pairs; the separator's id serves as the end."""
+    def pairs() -> dict[bytes, int]:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+
+    def load():
+        import tiktoken
+        return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=pairs(), special_tokens={}).encode_ordinary
+
+    ids = {i: b for b, i in pairs().items()}
+    end = max(ids) + 1
+    return Vocabulary(load, end, [ids.get(i, b"") for i in range(end)])
+
+
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_probabilities(table(spark, sf_dir, "documents"), byte_pairs(read_ranks(RANKS), PATTERN))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, rebuilt so that many share their beginnings."""
     return prefix_trie(table(spark, sf_dir, "conversations"))
@@ -87,7 +108,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_bayes, op2_token_counts, op3_exact_dedup, op4_html_text, op5_suffix_dedup, op6_sentencepiece, op7_simhash, op8_mixing,
-    op9_quality_rules, op10_toxicity, op12_prefix_trie, op13_vector_codes)}
+    op9_quality_rules, op10_toxicity, op11_language_model, op12_prefix_trie, op13_vector_codes)}
 
 
 def _vector_codes_sql() -> str:

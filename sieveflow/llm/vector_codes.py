@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Scratch
+from .common import Scratch, arrow_rows
 
 PARTS = 4
 ENTRIES = 256
@@ -43,6 +43,7 @@ ROUNDS = 4
 SCALE = 1024
 LIMIT = 1 << 27    # of a component after scaling: squares of differences then add up within 64 bits
 BLOCK = 4096       # vectors a tree is made of
+BLOCKS = 4         # of which Python gets at a time
 LEAF = 24          # points
 CHUNK = 1 << 20    # numbers compared at a time
 
@@ -387,8 +388,8 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
         codebooks[:, i] = np.pad(np.array(r.v, dtype=np.int64), (0, width - len(r.v))).reshape(PARTS, size)
     id_type, label_type = (rows.schema[c].dataType.simpleString() for c in ("vec_id", "label"))
     blocks = scratch.store(_blocks(rows, width, id_type, label_type))
-    if first:
-        for _ in range(ROUNDS):
+    with arrow_rows(vectors.sparkSession, BLOCKS):
+        for _ in range(ROUNDS if first else 0):
             codebooks = _round(blocks, codebooks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -405,7 +406,8 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
                 yield pd.DataFrame({"vec_id": pd.Series(list(ids), dtype=object), "label": pd.Series(list(labels), dtype=object),
                                     "code": [text[i: i + 2 * PARTS] for i in range(0, len(text), 2 * PARTS)], "error": error})
 
-    coded = scratch.store(blocks.mapInPandas(run, f"vec_id {id_type}, label {label_type}, code string, error long"))
+    with arrow_rows(vectors.sparkSession, BLOCKS):
+        coded = scratch.store(blocks.mapInPandas(run, f"vec_id {id_type}, label {label_type}, code string, error long"))
     by_label = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
     return coded.join(by_label, F.col("label").eqNullSafe(F.col("of"))).select(
         "vec_id", "code", "error", "label_error", F.lit(digest(codebooks)).alias("codebooks_sha256"), "label")
