@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.binding import one_row_each
 from ..plans.compiled import CompiledRules
-from .hits import HITS, RAW, RULE, TEXT, as_list, candidate_rules, has_match_column, hit_pairs, view_for, with_has_match, with_views
+from .hits import HITS, RAW, RULE, as_list, candidate_rules, hit_pairs, view_for, with_has_match, with_views
 from .large import with_large_hits
 
 
@@ -59,10 +59,8 @@ def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame
 
 
 def any_match_alternation(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
-    """Keys of the texts that some rule matches, the rules folded into few regexes."""
-    if not compiled.fits:
-        return with_has_match(docs, compiled, text, "_found").where("_found").select(*as_list(key))
-    folded = CompiledRules(compiled.table, compiled.n_rules,
-                           [{**r, "literals": None} for r in compiled.held()])
-    views = with_views(docs, folded, text, as_list(key))
-    return views.where(has_match_column(views, folded)).select(*as_list(key))
+    """Keys of the texts that some rule or combination matches.
+
+    Rules with required literals are only tried where one is found; the others are folded into few regexes.
+    """
+    return with_has_match(docs, compiled, text, "_found").where("_found").select(*as_list(key))
