@@ -24,6 +24,7 @@ from .vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, compress
 # where the vocabularies of public tokenizers lie; they are read from there and never copied
 TOKENIZERS = "/opt/tokenizers"
 RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+MULTILINGUAL_RANKS = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
 END_OF_DOCUMENT = 50256
 # fixed value: how this vocabulary parts a text before merging
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -80,13 +81,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_pairs(ranks: bytes, pattern: str) -> Vocabulary:
-    """A vocabulary of ranked byte pairs; the separator's id serves as the end."""
+    """A vocabulary of ranked byte pairs; words are encoded with a space before each.
+
+    The pattern attaches a space to what follows it and parts at white space, so all words are encoded in one call, and a word
+    begins at each id that begins with a space. Only words that hold other white space are encoded each for itself.
+    """
     def pairs() -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
 
     def load():
+        import numpy as np
         import tiktoken
-        return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=pairs(), special_tokens={}).encode_ordinary
+        known = pairs()
+        encode = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=known, special_tokens={}).encode_ordinary
+        begins = np.zeros(max(known.values()) + 1, dtype=bool)
+        begins[[i for b, i in known.items() if b.startswith(b" ")]] = True
+
+        def ids_of(words: list[str]):
+            joined = " " + " ".join(words)
+            if len(joined.split()) != len(words):
+                parts = [encode(" " + w) for w in words]
+                return np.array([i for p in parts for i in p], dtype=np.int32), np.array([len(p) for p in parts])
+            ids = np.array(encode(joined) if words else [], dtype=np.int32)
+            return ids, np.diff(np.append(np.flatnonzero(begins[ids]), len(ids)))
+
+        return ids_of
 
     ids = {i: b for b, i in pairs().items()}
     end = max(ids) + 1
@@ -94,7 +113,7 @@ def byte_pairs(ranks: bytes, pattern: str) -> Vocabulary:
 
 
 def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_probabilities(table(spark, sf_dir, "documents"), byte_pairs(read_ranks(RANKS), PATTERN))
+    return log_probabilities(table(spark, sf_dir, "documents"), byte_pairs(read_ranks(MULTILINGUAL_RANKS), PATTERN))
 
 
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,10 @@ FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 def characters() -> Vocabulary:
     """Bytes as ids."""
-    return Vocabulary(lambda: (lambda w: list(w.encode())), 256, [bytes([i]) for i in range(256)])
+    def load():
+        return lambda words: (np.array([b for w in words for b in b" " + w.encode()]), np.array([1 + len(w.encode()) for w in words]))
+
+    return Vocabulary(load, 256, [bytes([i]) for i in range(256)])
 
 
 def words(text):
@@ -85,6 +88,26 @@ def test_batches_score_as_plain_attention():
     assert np.bincount(document, weights=scored).tolist() == [len("".join(" " + w for w in words(t))) + 1 for t in texts]
 
 
+def test_words_encoded_together_as_each_for_itself():
+    pytest.importorskip("tiktoken")
+    from sieveflow.llm.queries import MULTILINGUAL_RANKS, PATTERN, byte_pairs
+    from sieveflow.llm.token_files import read_ranks
+    encode = byte_pairs(read_ranks(MULTILINGUAL_RANKS), PATTERN).load()
+    some = ["the", "don't", "'s", "x=1;", "été", "日本", "a1b2", "...", "$$", "ﬁ", "", "e\u0301", "😀‍"]
+    for words in (some, ["a\u00a0b", "\u2003", *some], []):
+        ids, counts = encode(words)
+        each = [encode([w]) for w in words]
+        assert ids.tolist() == [i for e, _ in each for i in e.tolist()]
+        assert counts.tolist() == [len(e) for e, _ in each]
+
+
+def test_large_weights_stay_finite():
+    model, table = random_model(7)
+    model = {n: v * 40 for n, v in model.items()}
+    row = np.random.default_rng(1).integers(0, 257, 4 * lm.STRIDE + lm.WINDOW + 1)
+    assert np.isfinite(lm.Scorer(model, table).score(row, np.arange(4) * lm.STRIDE, np.full(4, lm.STRIDE))).all()
+
+
 def test_probabilities_add_up():
     model, table = random_model(3)
     row = np.full(lm.WINDOW + 1, 256)
