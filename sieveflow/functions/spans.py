@@ -92,6 +92,96 @@ def spans_at_every_start(text: Column, rx: Column, unit: str) -> Column:
     return _spans_of_pieces(_pieces(text, _whole_characters(text, ahead), "$1"), unit, overlapping=True)
 
 
+# Reached places: from `lo` to `hi`, all with the leftmost start `s`; in order and apart.
+REACHED = "array<struct<lo:bigint,hi:bigint,s:bigint>>"
+
+
+def _reached(lo: Column, hi: Column, s: Column) -> Column:
+    return F.struct(lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"), s.cast("bigint").alias("s"))
+
+
+def _not_beyond(values: Column, field: str, limit: Column) -> Column:
+    """How many of the `values`, sorted by `field`, do not exceed `limit`: a binary search."""
+    strides = F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size(values)))), lambda k: F.call_function(
+        "shiftleft", F.lit(1), F.length(F.bin(F.size(values))) - k))
+    return F.aggregate(strides, F.lit(0), lambda n, step: F.when(
+        F.coalesce(F.get(values, n + step - 1)[field] <= limit, F.lit(False)), n + step).otherwise(n))
+
+
+def _after_block(reached: Column, found: Column) -> Column:
+    """Behind each occurrence of a block that begins at a reached place (at any place, before the first step)."""
+    def joined(o: Column) -> Column:
+        return let(F.get(reached, _not_beyond(reached, "lo", o["s"]) - 1), lambda r: F.when(
+            r["hi"] >= o["s"], _reached(o["e"], o["e"], r["s"])))
+
+    return F.when(reached.isNull(), F.transform(found, lambda o: _reached(o["e"], o["e"], o["s"]))).otherwise(
+        F.array_compact(F.transform(found, joined)))
+
+
+def _after_repeat(reached: Column, runs: Column, least: Column, n: Column) -> Column:
+    """What at least `least` characters further inside a run lies behind a reached place.
+
+    Starts never fall from one reached place to the next, so the first one in a run is the leftmost for all of it.
+    """
+    def from_first(run: Column) -> Column:
+        return let(F.get(reached, _not_beyond(reached, "hi", run["s"] - 1)), lambda r: F.when(
+            F.greatest(r["lo"], run["s"]) + least <= run["e"], _reached(F.greatest(r["lo"], run["s"]) + least, run["e"], r["s"])))
+
+    def outside(lo: Column, hi: Column) -> Column:
+        return F.filter(F.sequence(lo, hi), lambda p: F.coalesce(
+            F.get(runs, _not_beyond(runs, "s", p) - 1)["e"] < p, F.lit(True)))
+
+    begun = F.when(reached.isNull(), F.transform(
+        F.filter(runs, lambda r: r["e"] - r["s"] >= least), lambda r: _reached(r["s"] + least, r["e"], r["s"]))).otherwise(
+        F.array_compact(F.transform(runs, from_first)))
+    skipped = F.when(reached.isNull(), F.transform(outside(F.lit(0).cast("bigint"), n), lambda p: _reached(p, p, p))).otherwise(
+        F.flatten(F.transform(reached, lambda r: F.transform(outside(r["lo"], r["hi"]), lambda p: _reached(p, p, r["s"])))))
+    return F.when(least > 0, begun).otherwise(F.array_sort(F.concat(begun, skipped)))
+
+
+def _unit_of(text: Column, unit: str, body) -> Column:
+    """``body(offset)``, where ``offset(cp)`` is the code-point offset `cp` in `unit`."""
+    if unit == "codepoint":
+        return body(lambda cp: cp)
+
+    def with_blocks(b: Column) -> Column:
+        def offset(cp: Column) -> Column:
+            i = F.floor(cp / BLOCK).cast("int")
+            rest = F.substring(F.coalesce(F.get(b["parts"], i), F.lit("")), F.lit(1), (cp % BLOCK).cast("int"))
+            return F.when(b["same"], cp).otherwise(F.get(b["totals"], i) + measure(rest, unit))
+        return body(offset)
+
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    same = measure(text, unit) == F.length(text)
+    return let(F.struct(same.alias("same"), F.when(~same, parts).alias("parts"), F.when(~same, running_totals(
+        F.transform(parts, lambda p: measure(p, unit)))).alias("totals")), with_blocks)
+
+
+def ends_by_steps(text: Column, rule: Column, unit: str) -> Column:
+    """A span for every end of a rule made of blocks and unbounded repeats, in about linear time.
+
+    Steps are taken one after the other for all places of the text at once: occurrences of a block and runs of a repeated
+    character are found by one pass each, and how far a rule gets is intervals of places.
+    """
+    n = F.length(text).cast("bigint")
+
+    def take(reached: Column, step: Column) -> Column:
+        block = F.when(step["rx"] == "", reached).otherwise(
+            let(spans_at_every_start(text, step["rx"], "codepoint"), lambda found: _after_block(reached, found)))
+        repeat = let(find_spans(text, step["rx"], "codepoint"), lambda runs: _after_repeat(reached, runs, step["lo"], n))
+        return F.when(step["lo"].isNull(), block).otherwise(repeat).cast(REACHED)
+
+    def spans_of(reached: Column) -> Column:
+        def span(s: Column, e: Column, offset) -> Column:
+            m = F.when(rule["som"], F.substring(text, (s + 1).cast("int"), (e - s).cast("int"))).otherwise(F.lit(""))
+            return F.struct(offset(s).alias("s"), offset(e).alias("e"), m.alias("m"))
+
+        return _unit_of(text, unit, lambda offset: F.flatten(F.transform(reached, lambda r: F.transform(
+            F.filter(F.sequence(r["lo"], r["hi"]), lambda e: (e > r["s"]) | rule["nullable"]), lambda e: span(r["s"], e, offset)))))
+
+    return let(F.aggregate(rule["steps"], F.lit(None).cast(REACHED), take), spans_of)
+
+
 def windows(text: Column, rule: Column, unit: str) -> Column:
     """The parts of a text that hold matches of a variable-width rule.
 
@@ -164,6 +254,7 @@ class Shape:
 
     apart: bool = True
     fixed: bool = True
+    steps: bool = True
     variable: bool = True
     java: bool = True
     direct: bool = True
@@ -199,6 +290,7 @@ def all_ends(text: Column, rule: Column, unit: str, shape: Shape = Shape()) -> C
     return _case([
         (rule["kind"] == "apart", shape.apart, lambda: find_spans(text, rule["rx"], unit)),
         (rule["kind"] == "fixed", shape.fixed, lambda: spans_at_every_start(text, rule["rx"], unit)),
+        (rule["kind"] == "steps", shape.steps, lambda: ends_by_steps(text, rule, unit)),
         (F.lit(True), shape.variable, lambda: let(windows(text, rule, unit), over_windows)),
     ])
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 
 from ..schemas import DIRECT, JAVA
 from .binding import let
-from .flags import any_of, has_flag, unicode_case
+from .flags import any_of, has_flag, unicode_case, with_options
 from .offsets import latin1_view
 
 TOKEN = (
@@ -124,6 +124,47 @@ def last_atom(java_toks: Column, dialect: Column) -> Column:
     return F.when((dialect == DIRECT) & plain & ~unsure, atom)
 
 
+# Marks of a rule cut into steps.
+STEP, STEP_LEAST = chr(14), chr(15)
+STEP_QUANTIFIER = r"^(?:[*+]|\{\d+,?\})\??$"
+STEP_GAP = r"^(?:[*+]|\{\d+,\})\??$"
+
+
+def steps(java_toks: Column, flags: Column, dialect: Column) -> Column:
+    """A rule as blocks of fixed width with unbounded repeats of one character between them, else NULL.
+
+    array<struct<rx, lo>>: blocks (`lo` NULL, perhaps empty) and repeats of at least `lo` characters take turns,
+    beginning and ending with a block. There is no branch, group or optional part in such a rule.
+    """
+    def quantifier(i: Column) -> Column:
+        return F.coalesce(F.when(F.rlike(F.get(java_toks, i + 1), F.lit(QUANTIFIER)), F.get(java_toks, i + 1)), F.lit(""))
+
+    zero_width = r"^(?:[\^$]|\\[bB])$"
+
+    def usable(t: Column, i: Column) -> Column:
+        single = (t == ".") | _is_class(t) | F.rlike(t, F.lit(SIMPLE_ESCAPE)) | ((F.length(t) == 1) & ~t.isin("(", ")", "|", "^", "$", "\\", "["))
+        return F.when(F.rlike(t, F.lit(QUANTIFIER)), F.rlike(t, F.lit(STEP_QUANTIFIER))).otherwise(
+            single | (F.rlike(t, F.lit(zero_width)) & (quantifier(i) == "")))
+
+    def part(t: Column, i: Column) -> Column:
+        q = quantifier(i)
+        least = F.when(q.startswith("*"), F.lit("0")).when(q.startswith("+"), F.lit("1")).otherwise(F.regexp_extract(q, r"\d+", 0))
+        edge = F.when(t == r"\b", F.lit(WORD_EDGE)).when(t == r"\B", F.lit(NO_WORD_EDGE)).otherwise(t)
+        return F.when(F.rlike(t, F.lit(QUANTIFIER)), F.lit("")).when(
+            F.rlike(q, F.lit(STEP_GAP)), F.concat(F.lit(STEP), least, F.lit(STEP_LEAST), t, F.lit(STEP))).otherwise(F.concat(edge, q))
+
+    def step(text: Column) -> Column:
+        least = F.when(F.contains(text, F.lit(STEP_LEAST)), F.substring_index(text, STEP_LEAST, 1).cast("int"))
+        body = F.when(least.isNull(), text).otherwise(F.concat(F.substring_index(text, STEP_LEAST, -1), F.lit("+")))
+        return F.struct(F.when(body == "", body).otherwise(with_options(body, flags, dialect)).alias("rx"), least.alias("lo"))
+
+    joined = F.array_join(F.transform(java_toks, part), "")
+    plain = ~F.exists(F.transform(java_toks, usable), lambda ok: ~ok) & ~_has(java_toks, f"[{STEP}{STEP_LEAST}]")
+    unsure = has_flag(flags, "COMMENTS") | has_flag(flags, "LITERAL") | has_flag(flags, "COMBINATION")
+    return F.when((dialect == DIRECT) & plain & ~unsure & F.contains(joined, F.lit(STEP)),
+                  F.transform(F.split(joined, STEP, -1), step))
+
+
 def capture_groups(toks: Column) -> Column:
     return F.size(F.filter(toks, lambda t: F.rlike(t, F.lit(CAPTURE)))).cast("int")
 

@@ -21,7 +21,7 @@ from ..functions.flags import has_flag, quote_literal, with_options
 from ..functions.spans import Shape
 from ..functions.syntax import (
     capture_groups, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, needs_byte_view,
-    never_overlaps, required_literals, run_class, run_with_match, tokens,
+    never_overlaps, required_literals, run_class, run_with_match, steps, tokens,
 )
 from ..operators.validate import RuleError, check_ruleset, nullable_rule, rule_error
 from ..schemas import DIRECT
@@ -35,7 +35,7 @@ MAX_ALTERNATION = 8_000
 
 RULE_FIELDS = {
     "rule_id": "int", "ruleset": "string", "rx": "string", "literals": "array<string>", "bytes": "boolean",
-    "utf8": "boolean", "kind": "string", "run_rx": "string", "last_rx": "string", "nullable": "boolean", "som": "boolean",
+    "utf8": "boolean", "kind": "string", "run_rx": "string", "last_rx": "string", "steps": "array<struct<rx:string,lo:int>>", "nullable": "boolean", "som": "boolean",
     "single": "boolean", "quiet": "boolean", "java": "boolean", "groups": "int",
 }
 RULE_TYPE = "struct<" + ",".join(f"{n}:{t}" for n, t in RULE_FIELDS.items()) + ">"
@@ -49,6 +49,7 @@ def _derivation(application: str) -> list[dict[str, Column]]:
     literal = has_flag(flags, "LITERAL")
     ok = F.col("error").isNull() & ~has_flag(flags, "COMBINATION")
     nullable = F.when(ok, nullable_rule(body, flags, dialect))
+    stepwise = steps(jtoks, flags, dialect)
     run = run_class(jtoks, flags)
     return [
         {"error": rule_error(pattern, flags, dialect), "toks": tokens(pattern)},
@@ -60,9 +61,10 @@ def _derivation(application: str) -> list[dict[str, Column]]:
             "run_rx": let(run, lambda r: with_options(run_with_match(r, body), flags, dialect)),
             "last_rx": F.when(~literal, with_options(last_atom(jtoks, dialect), flags, dialect)),
             "literals": required_literals(toks, pattern, flags, dialect),
-            "kind": F.when(nullable, F.lit("whole"))
+            "kind": F.when(stepwise.isNotNull(), F.lit("steps")).when(nullable, F.lit("whole"))
                      .when(fixed_width(toks) & ~literal & never_overlaps(jtoks, flags), F.lit("apart"))
                      .when(fixed_width(toks) | literal, F.lit("fixed")).otherwise(F.lit("runs")),
+            "steps": stepwise,
             "nullable": F.coalesce(nullable, F.lit(False)),
             "groups": F.when(literal, F.lit(0)).otherwise(capture_groups(toks)),
             "utf8": has_flag(flags, "UTF8"),
@@ -158,6 +160,7 @@ class CompiledRules:
         return Shape(
             apart=any(r["kind"] == "apart" for r in self.rows),
             fixed=any(r["kind"] == "fixed" for r in self.rows),
+            steps=any(r["kind"] == "steps" for r in self.rows),
             variable=any(r["kind"] in ("runs", "whole") for r in self.rows),
             java=any(r["java"] for r in self.rows),
             direct=any(not r["java"] for r in self.rows),
@@ -168,9 +171,14 @@ class CompiledRules:
         return CompiledRules(self.table, self.n_rules, [r for r in self.held() if keep(r)], self.combinations)
 
     def literal(self, rows) -> Column:
-        # the run regex repeats the rule, so it only travels where it is used
-        text = json.dumps([
-            {n: r[n] if n != "run_rx" or r["kind"] == "runs" else None for n in RULE_FIELDS} for r in rows])
+        # what repeats the rule only travels where it is used
+        only = {"run_rx": "runs", "steps": "steps"}
+        def value(r, name):
+            if r["kind"] != only.get(name, r["kind"]) or r[name] is None:
+                return None
+            return [s.asDict() for s in r[name]] if name == "steps" else r[name]
+
+        text = json.dumps([{n: value(r, n) for n in RULE_FIELDS} for r in rows])
         return F.from_json(F.lit(text), f"array<{RULE_TYPE}>")
 
     def candidates(self, lower_text: Column) -> Column:

@@ -71,3 +71,47 @@ def test_candidates_hold_every_hit(spark):
     assert found == brute
     assert brute <= pairs
     assert any(r["literals"] for r in compiled.rows)
+
+
+def stepwise_pattern(rng: random.Random) -> str:
+    """Blocks and unbounded repeats, in any order."""
+    atoms = ["a", "b", "c", "ab", r"\.", "[ab]", "[^a]", r"\w", r"\d", ".", "é", r"\s"]
+    return "".join(rng.choice(atoms) if rng.random() < 0.5 else rng.choice([a for a in atoms if a != "ab"]) + rng.choice(
+        ["*", "+", "{2,}", "+?", "*?", "{2}"]) for _ in range(rng.randint(1, 5)))
+
+
+def test_steps_against_every_start_and_end(spark):
+    rng = random.Random(23)
+    patterns = list(dict.fromkeys(["^.*a.*b.*$", "a.*x", r"\bab*\b", ".*", "a*b*c*", *(stepwise_pattern(rng) for _ in range(110))]))
+    texts = ["", "\n\n"] + ["".join(rng.choice("aabbccabx. 12é\n") for _ in range(rng.randint(0, 22))) for _ in range(30)]
+    compiled = compile_rules(rules_table(spark, [rule(p, ["SOM_LEFTMOST", "UTF8", "ALLOWEMPTY"], i) for i, p in enumerate(patterns)]))
+    assert sum(r["kind"] == "steps" for r in compiled.rows) > 80
+    for unit, size in (("codepoint", len), ("byte", lambda t: len(t.encode()))):
+        got = {(r.doc_id, r.rule_id, r.end, r.is_empty): (r.start, r.matched) for r in scan(
+            frame(spark, texts), compiled, "doc_id", offset_unit=unit, with_is_empty=True).collect()}
+        expected = {}
+        for i, p in enumerate(patterns):
+            regex = re.compile(p, re.ASCII)
+            for d, t in enumerate(texts):
+                for e in range(len(t) + 1):
+                    starts = [s for s in range(e + 1) if regex.fullmatch(t, s, e) and ("$" not in p or t[e:] in ("", "\n")) and (
+                        not p.startswith("^") or s == 0) and (r"\b" not in p or (edge(t, s) and edge(t, e)))]
+                    if starts:
+                        s = starts[0]
+                        expected[d, i, max(size(t[:e]) - 1, 0), s == e] = (size(t[:s]), t[s:e])
+        assert got == expected
+        assert len(expected) > 5000
+
+
+def edge(text: str, at: int) -> bool:
+    def word(i):
+        return 0 <= i < len(text) and re.match(r"\w", text[i], re.ASCII) is not None
+    return word(at - 1) != word(at)
+
+
+def test_long_texts_in_about_linear_time(spark):
+    compiled = compile_rules(rules_table(spark, [rule("^.*A.*B.*$", (), 0), rule("a.*x", (), 1), rule("[ab]+", (), 2)]))
+    text = ("a b A lorem x ipsum B dolor\n" * 20_000)[:-1]
+    df = spark.createDataFrame([(1, text), (2, text.replace("\n", "_"))], "doc_id int, text string")
+    counts = {(r.doc_id, r.rule_id): r["count"] for r in scan(df, compiled, "doc_id").groupBy("doc_id", "rule_id").count().collect()}
+    assert counts == {(1, 1): 20_000, (1, 2): 40_000, (2, 0): 1, (2, 1): 20_000, (2, 2): 40_000}
