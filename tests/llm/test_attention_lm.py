@@ -134,9 +134,10 @@ def test_gradient():
         assert abs((losses[0] - losses[1]) / 2e-5 - g[n][at]) < 1e-7
 
 
-@pytest.mark.parametrize("block_bytes", [200, 8 << 20])
-def test_base_and_odd_rows(spark, monkeypatch, block_bytes):
+@pytest.mark.parametrize("block_bytes, frequent", [(200, 0), (200, 6), (200, 1000), (8 << 20, 6)])
+def test_base_and_odd_rows(spark, monkeypatch, block_bytes, frequent):
     monkeypatch.setattr(lm, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
     monkeypatch.setattr(lm, "LEAST_STEPS", 2)
     rows = [*ODD, (30, "x " * 20_000 + "A b  ", "en", "a", 1), *((100 + i, f"The word {i % 7} and " * 9, "en", "a", 1) for i in range(40))]
     got = log_probabilities(odd_docs(spark, True, rows).repartition(3), characters()).collect()
