@@ -75,8 +75,8 @@ def _by_gram(texts: DataFrame, compiled: CompiledRules) -> DataFrame:
 def with_large_hits(docs: DataFrame, compiled: CompiledRules, text: str, keep, byte_scan: bool = False, confirm: bool = True) -> DataFrame:
     """`keep`, the views of the text, and the array of the rules that hit it (or may, without `confirm`)."""
     if docs.isStreaming:
-        raise ValueError("a stream is scanned with a ruleset within the size bound: beyond it texts and rules are joined, "
-                         "which would need state without limit; use foreachBatch")
+        raise ValueError("beyond the size bound texts and rules are joined, which on a stream would need state without limit; "
+                         "streams.deliver_results runs the operator on each micro-batch instead, with rulesets of every size")
     views = with_views(docs, None, text, keep, byte_scan).withColumn(TID, F.sha2(F.coalesce(F.col(TEXT), F.lit("")), 256))
     texts = views.where(F.col(TEXT).isNotNull()).select(TID, TEXT, RAW).dropDuplicates([TID])
     found = _by_gram(texts, compiled).join(texts, TID)

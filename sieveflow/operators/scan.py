@@ -61,10 +61,10 @@ def _match_struct(rule: Column, span: Column, df: DataFrame, unit: str, byte_sca
         *[c.alias(n) for n, c in fields.items()])
 
 
-def combination_condition(pattern: str, ruleset: str | None) -> str:
-    """A combination such as ``0 & (1 | !2)`` as SQL over the array `_ids`."""
+def combination_condition(pattern: str, ruleset: str | None, ids: str = "_ids") -> str:
+    """A combination such as ``0 & (1 | !2)`` as SQL over the array `ids`."""
     prefix = "" if ruleset is None else ruleset.replace("\\", "\\\\").replace("'", "\\'") + "#"
-    sql = re.sub(r"\d+", lambda m: f"array_contains(_ids, '{prefix}{int(m.group())}')", pattern)
+    sql = re.sub(r"\d+", lambda m: f"array_contains({ids}, '{prefix}{int(m.group())}')", pattern)
     return sql.replace("!", " NOT ").replace("&", " AND ").replace("|", " OR ")
 
 
@@ -168,8 +168,13 @@ def _scattered_ends(pairs: DataFrame, unit: str, byte_scan: bool) -> tuple[DataF
     return blocks, by_view(lambda view, u: ends_in_window(w, rule, u, first, last))
 
 
+def with_traits(compiled: CompiledRules, combinations=None, **traits: bool) -> CompiledRules:
+    """The same rules with some Boolean traits set for all of them."""
+    rows = [{**r, **traits} for r in compiled.rows] if compiled.fits else None
+    table = compiled.table.withColumns({n: F.lit(v) for n, v in traits.items()})
+    return CompiledRules(table, compiled.n_rules, rows, compiled.combinations if combinations is None else combinations)
+
+
 def single_matches(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", **options) -> DataFrame:
     """At most one match per rule and text, the one of earliest end, whatever the flags."""
-    rows = [{**r, "single": True} for r in compiled.rows] if compiled.fits else None
-    one = CompiledRules(compiled.table.withColumn("single", F.lit(True)), compiled.n_rules, rows, compiled.combinations)
-    return scan(docs, one, key, text, **options)
+    return scan(docs, with_traits(compiled, single=True), key, text, **options)

@@ -7,6 +7,7 @@ one record.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.binding import one_row_each
@@ -77,6 +78,28 @@ def deliver(matches: DataFrame, handler, checkpoint: str, available_now: bool =
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def deliver_results(docs: DataFrame, operator, path: str, checkpoint: str, fmt: str = "parquet", available_now: bool = True):
+    """The rows of ``operator(batch)`` for each micro-batch of `docs`, in a folder of `path` per batch.
+
+    The operator sees a batch as a table, so it may be any operator of this library with a ruleset of any size, joins
+    included. A batch that runs again after a failure overwrites its own folder: no row is delivered twice or lost.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        operator(batch).write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch={number}")
+
+    return deliver(docs, write, checkpoint, available_now)
+
+
+def delivered(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """What :func:`deliver_results` has written so far, as a table."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path).drop("batch")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def run_available(matches: DataFrame, name: str = "stream", fmt: str = "parquet") -> DataFrame:
     """Process what the source has now into files, and read those back as a batch table."""
     spark = matches.sparkSession

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    any_match, any_match_alternation, byte_slice, candidates, capture_groups, combinations, compile_rules,
+    any_match, any_match_alternation, byte_slice, candidates, capture_groups, combination_events, combinations, compile_rules,
     confirmed, first_k, hits, load_rules, lookup_rules, match_counts, matches_per_text, no_match,
     ordered_matches, rule, rule_hits_per_text, rules_from_df, rules_from_regex, rules_table, ruleset_diff,
     save_rules, scan, single_matches, take_until, validate_rules, with_flag_bits, with_has_match,
@@ -16,7 +16,7 @@ from .operators.rulesets import normalized
 from .operators.validate import duplicate_ids
 from .sources.inputs import spread_small_input
 from .streaming.streams import (
-    read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
+    deliver_results, delivered, read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
 )
 
 SOM = "SOM_LEFTMOST"
@@ -49,6 +49,14 @@ RUNS = [
     (30, r"[%*]+", [SOM]),
     (31, r"tr[aeiou]+n?", [SOM]),
 ]
+# rules whose ends lie anywhere behind a repeat
+REPEATS = [
+    (40, r"a.*x", [SOM, "UTF8"]),
+    (41, r"^.*the.*and.*$", [SOM, "UTF8", "MULTILINE"]),
+    (42, r"^.*the.*and.*$", [SOM, "UTF8", "DOTALL"]),
+]
+SWEPT_IDS = {2, 6, 10, 12, 13}
+SWEPT_COMBINED = [(200, "2 & 6"), (201, "!10 | 13"), (202, "10 & !12")]
 FLAG_CASES = [
     (0, r"^The ", []),
     (1, r"^the ", ["CASELESS"]),
@@ -116,6 +124,9 @@ def _ruleset(name: str) -> list[dict]:
         "url": lambda: _rules([(0, "a[a-z]", [SOM]), (1, "[0-9]+/", [SOM])]),
         "combined": lambda: _rules(PERSONAL_DATA + WORDS, QUIET_IDS) + [
             rule(p, "COMBINATION", i) for i, p in COMBINED],
+        "repeats": lambda: _rules(REPEATS),
+        "swept": lambda: _rules([r for r in PERSONAL_DATA + WORDS if r[0] in SWEPT_IDS], {10}) + [
+            rule(p, "COMBINATION", i) for i, p in SWEPT_COMBINED],
         "events": lambda: _rules(EVENT_RULES) + [rule(p, "COMBINATION", i) for i, p in EVENT_COMBINED],
         "tags": lambda: [
             rule(p, [SOM, "CASELESS"], i, ruleset=s) for s, i, p in TAG_SETS],
@@ -196,6 +207,14 @@ def all_end_matches_spread(spark, sf_dir):
                 offset_unit="codepoint", spread=True)
 
 
+def all_end_matches_repeats(spark, sf_dir):
+    return scan(table(spark, sf_dir, "documents"), compiled(spark, "repeats"), "doc_id", offset_unit="codepoint")
+
+
+def combination_events_documents(spark, sf_dir):
+    return combination_events(table(spark, sf_dir, "documents"), compiled(spark, "swept"), "doc_id", offset_unit="codepoint")
+
+
 def single_match(spark, sf_dir):
     return single_matches(table(spark, sf_dir, "part"), compiled(spark, "names"), "p_partkey", "p_name")
 
@@ -436,6 +455,13 @@ def stream_single_alert(spark, sf_dir):
     return run_available(alerts.select("user_id", "rule_id"), "alerts")
 
 
+def stream_large_hits(spark, sf_dir):
+    """A ruleset beyond the size bound over a stream: each micro-batch is a table."""
+    rules, path = compiled(spark, "all", max_rules=0), work_folder(spark, "large-hits")
+    deliver_results(_stream(spark, sf_dir, "documents"), lambda batch: hits(batch, rules, "doc_id"), path, path + "-checkpoint").awaitTermination()
+    return delivered(spark, path, "doc_id bigint, rule_id int")
+
+
 def windowed_matches(spark, sf_dir):
     counts = windowed_counts(_stream(spark, sf_dir, "events"), compiled(spark, "events"), "event_id", "ts",
                              "1 hour", "1 hour", "props")
@@ -498,6 +524,8 @@ QUERIES = {
     "all_end_matches": all_end_matches,
     "all_end_matches_documents": all_end_matches_documents,
     "all_end_matches_spread": all_end_matches_spread,
+    "all_end_matches_repeats": all_end_matches_repeats,
+    "combination_events": combination_events_documents,
     "single_match": single_match,
     "matches_as_list": matches_as_list,
     "ordered_matches": ordered,
@@ -541,6 +569,7 @@ QUERIES = {
     "large_first_k": large_first_k,
     "stream_scan": stream_scan,
     "stream_spans": stream_spans,
+    "stream_large_hits": stream_large_hits,
     "stream_single_alert": stream_single_alert,
     "windowed_matches": windowed_matches,
     "session_combination": session_combination,

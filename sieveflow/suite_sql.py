@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from .suite import (
     BYTES, COMBINED, EVENT_COMBINED, EVENT_RULES, FLAG_CASES, GROUPS, NAMES, PERSONAL_DATA, QUIET_IDS, RUNS,
-    TAG_SETS, WORDS,
+    SWEPT_COMBINED, SWEPT_IDS, TAG_SETS, WORDS,
 )
 
 UTF16 = "length({x}) + length(regexp_replace({x}, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g'))"
@@ -270,3 +270,31 @@ ORACLE["untracked_starts"] = f"WITH {find('documents', 'doc_id', 'text', PERSONA
 ORACLE["saved_rules_scan"] = hits("documents", "doc_id", "text", PERSONAL_DATA)
 ORACLE["large_combination"] = ORACLE["combination"]
 ORACLE["large_first_k"] = ORACLE["first_k"]
+ORACLE["stream_large_hits"] = ORACLE["stream_scan"]
+# line by line: a.*x ends at each x behind the first a; ^.*the.*and.*$ is all of a line, or of a text
+ORACLE["all_end_matches_repeats"] = """
+    WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+            generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+    placed AS (SELECT doc_id, line, strpos(line, 'a') AS a, CAST(coalesce(sum(length(line) + 1) OVER (
+            PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off FROM lines),
+    ends AS (SELECT *, unnest(range(a + 1, length(line) + 1)) AS e FROM placed WHERE a > 0)
+    SELECT doc_id, CAST(40 AS INTEGER) AS rule_id, off + a - 1 AS start, off + e - 1 AS "end", substr(line, a, e - a + 1) AS matched
+        FROM ends WHERE substr(line, e, 1) = 'x'
+    UNION ALL SELECT doc_id, 41, off, off + length(line) - 1, line FROM placed WHERE regexp_matches(line, 'the.*and')
+    UNION ALL SELECT doc_id, 42, 0, length(text) - 1, text FROM documents WHERE regexp_matches(text, '(?s)the.*and')
+    UNION ALL SELECT doc_id, 42, 0, length(text) - 2, text[1:length(text) - 1] FROM documents
+        WHERE regexp_matches(text, '(?s)the.*and') AND ends_with(text, chr(10))"""
+_swept = [r for r in ALL if r[0] in SWEPT_IDS]
+_swept_events = " UNION ALL ".join(
+    f"""SELECT doc_id, CAST({i} AS INTEGER) AS rule_id, e AS "end", holds FROM (SELECT doc_id, e,
+        {combined(p, "list_contains(now, {id})")} AS holds, e IS NOT NULL AND {"(" + combined(p, "list_contains(before, {id})") + ")"} AS held
+        FROM places) WHERE holds <> held""" for i, p in SWEPT_COMBINED)
+# the first match of these rules is also the one of earliest end
+ORACLE["combination_events"] = f"""WITH {rules(_swept)},
+    firsts AS (SELECT doc_id, rule_id, CAST(length(string_split_regex(text, pat)[1]) + length(regexp_extract(text, pat)) - 1 AS BIGINT) AS e
+        FROM documents, rules WHERE regexp_matches(text, pat)),
+    swept AS (SELECT DISTINCT doc_id, e FROM firsts UNION ALL SELECT doc_id, NULL FROM documents),
+    places AS (SELECT s.doc_id, s.e, coalesce(list(rule_id) FILTER (f.e <= s.e), []) AS now,
+        coalesce(list(rule_id) FILTER (f.e < s.e), []) AS before
+        FROM swept s LEFT JOIN firsts f ON f.doc_id = s.doc_id GROUP BY s.doc_id, s.e)
+    {_swept_events}"""

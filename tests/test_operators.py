@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveflow import (
-    any_match, any_match_alternation, candidates, capture_groups, combinations, compile_rules, confirmed, first_k,
+    any_match, any_match_alternation, candidates, capture_groups, combination_events, combinations, compile_rules, confirmed, first_k,
     for_each_match, hits, lookup_rules, match_counts, matches_per_text, no_match, ordered_matches, rule, rules_table,
     scan, single_matches, take_until, with_has_match, work_folder, write_matches,
 )
@@ -169,3 +169,17 @@ def test_compiled_rules_do_not_follow_their_source(spark, tmp_path):
     rules_table(spark, [rule("b", (), 3)]).write.mode("overwrite").parquet(path)
     found = hits(docs(spark, "a"), compiled, "doc_id")
     assert [(r.rule_id, r.pattern) for r in lookup_rules(found, compiled).collect()] == [(3, "a")]
+
+
+def test_combination_events(spark):
+    rules = [rule("sea", [SOM, "QUIET"], 0), rule("lake+", (), 1), rule("0 & !1", "COMBINATION", 10), rule("!0 | 1", "COMBINATION", 11),
+             rule("0", ["COMBINATION", "QUIET"], 12)]
+    docs = spark.createDataFrame([(1, "a sea, a lake and a sea"), (2, ""), (3, None), (4, "lakee sea")], "doc_id int, text string")
+    want = [(1, 10, 4, True), (1, 10, 12, False), (1, 11, None, True), (1, 11, 4, False), (1, 11, 12, True), (2, 11, None, True),
+            (4, 11, None, True)]
+    for bounds in ({}, {"max_rules": 0}):
+        compiled = compile_rules(rules_table(spark, rules), **bounds)
+        got = combination_events(docs, compiled, "doc_id").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    plain = compile_rules(rules_table(spark, rules[:2]))
+    assert combination_events(docs, plain, "doc_id").count() == 0

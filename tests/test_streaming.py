@@ -2,7 +2,7 @@ import datetime as dt
 
 from sieveflow import compile_rules, hits, rule, rules_table, scan, work_folder
 from sieveflow.streaming.streams import (
-    deliver, read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
+    deliver, deliver_results, delivered, read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
 )
 
 RULES = [rule("error", (), 0), rule("warn", (), 1), rule("0 & !1", "COMBINATION", 9)]
@@ -65,3 +65,19 @@ def test_deliver(spark):
     deliver(stream_hits(stream, compiled, "user"), lambda df, n: seen.append(df.count()),
             work_folder(spark, "checkpoint")).awaitTermination()
     assert sum(seen) == 5
+
+
+def test_results_of_a_large_ruleset_are_delivered_once(spark):
+    compiled = compile_rules(rules_table(spark, RULES), max_rules=0)
+    stream, table = source(spark, EVENTS[:2], EVENTS[2:])
+    path = work_folder(spark, "results")
+    schema = "user int, rule_id int"
+    assert delivered(spark, path, schema).count() == 0
+
+    def once(number):
+        deliver_results(stream, lambda batch: hits(batch, compiled, "user"), path, path + f"-checkpoint{number}").awaitTermination()
+        return sorted(tuple(r) for r in delivered(spark, path, schema).collect())
+
+    want = sorted(tuple(r) for r in hits(table, compiled, "user").collect())
+    # a second checkpoint runs all batches again, under the same numbers
+    assert once(1) == want == once(2) and len(want) == 5
