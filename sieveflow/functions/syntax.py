@@ -92,11 +92,14 @@ def java_tokens(toks: Column, dialect: Column) -> Column:
         F.transform(toks, lambda t: F.when(_is_class(t), _java_class(t)).otherwise(t)))
 
 
+def plain_edge(t: Column) -> Column:
+    """A token of the direct dialect with word boundaries spelled out."""
+    return F.when(t == r"\b", F.lit(WORD_EDGE)).when(t == r"\B", F.lit(NO_WORD_EDGE)).otherwise(t)
+
+
 def java_source(java_toks: Column, dialect: Column) -> Column:
     """A Java regex from :func:`java_tokens`."""
-    edges = F.transform(java_toks, lambda t: F.when(t == r"\b", F.lit(WORD_EDGE))
-                        .when(t == r"\B", F.lit(NO_WORD_EDGE)).otherwise(t))
-    return F.array_join(F.when(dialect == JAVA, java_toks).otherwise(edges), "")
+    return F.array_join(F.when(dialect == JAVA, java_toks).otherwise(F.transform(java_toks, plain_edge)), "")
 
 
 def needs_byte_view(toks: Column, pattern: Column, flags: Column, dialect: Column) -> Column:
@@ -149,9 +152,8 @@ def steps(java_toks: Column, flags: Column, dialect: Column) -> Column:
     def part(t: Column, i: Column) -> Column:
         q = quantifier(i)
         least = F.when(q.startswith("*"), F.lit("0")).when(q.startswith("+"), F.lit("1")).otherwise(F.regexp_extract(q, r"\d+", 0))
-        edge = F.when(t == r"\b", F.lit(WORD_EDGE)).when(t == r"\B", F.lit(NO_WORD_EDGE)).otherwise(t)
         return F.when(F.rlike(t, F.lit(QUANTIFIER)), F.lit("")).when(
-            F.rlike(q, F.lit(STEP_GAP)), F.concat(F.lit(STEP), least, F.lit(STEP_LEAST), t, F.lit(STEP))).otherwise(F.concat(edge, q))
+            F.rlike(q, F.lit(STEP_GAP)), F.concat(F.lit(STEP), least, F.lit(STEP_LEAST), t, F.lit(STEP))).otherwise(F.concat(plain_edge(t), q))
 
     def step(text: Column) -> Column:
         least = F.when(F.contains(text, F.lit(STEP_LEAST)), F.substring_index(text, STEP_LEAST, 1).cast("int"))
@@ -165,6 +167,104 @@ def steps(java_toks: Column, flags: Column, dialect: Column) -> Column:
                   F.transform(F.split(joined, STEP, -1), step))
 
 
+ANCHOR = r"^(?:[\^$]|\\[AzZG])$"
+WIDEST = 1 << 20
+
+
+def widest(java_toks: Column, pattern: Column, flags: Column) -> Column:
+    """A number of characters that no match of the rule exceeds, or NULL if there is none or an anchor ties it to the text's ends.
+
+    Each atom counts as often as all bounded repeats of the rule together would allow.
+    """
+    def times(t: Column) -> Column:
+        most = F.coalesce(F.try_element_at(F.regexp_extract_all(t, F.lit(r"\d+"), F.lit(0)), F.lit(-1)), F.lit("1"))
+        return F.when(F.rlike(t, F.lit(QUANTIFIER)), F.greatest(most.try_cast("double"), F.lit(1.0))).otherwise(F.lit(1.0))
+
+    def atoms(t: Column) -> Column:
+        nothing = F.rlike(t, F.lit(QUANTIFIER)) | F.rlike(t, F.lit(ZERO_WIDTH)) | t.isin("|", ")") | F.rlike(t, F.lit(GROUP)) | F.rlike(t, F.lit(OPTION_SWITCH))
+        return F.when(nothing, 0).when(t.startswith("\\Q"), F.length(t)).otherwise(1)
+
+    unbounded = any_of([_has(java_toks, r"^(?:[*+]|\{\d+,\})"), _has(java_toks, BACK_REFERENCE), _has(java_toks, UNUSUAL_GROUP),
+                        _has(java_toks, LOOKAROUND), _has(java_toks, r"^\\[RXCN]"), _has(java_toks, ANCHOR)])
+    bound = F.aggregate(java_toks, F.lit(0.0), lambda n, t: n + atoms(t)) * F.aggregate(java_toks, F.lit(1.0), lambda n, t: n * times(t))
+    return F.when(has_flag(flags, "LITERAL"), F.octet_length(pattern)).when(~unbounded & (bound <= WIDEST), bound.cast("int"))
+
+
+def marked_groups(java_toks: Column) -> Column:
+    """struct<rx, groups, unsure>: the rule with names for its groups and for what precedes each one inside the group around it.
+
+    Capturing group n is called zcn, others zg and their number; zp and the number is what precedes a group, zr all repeats
+    of a repeated one. Tokens are read from the right, so that where a branch begins it is known what to open there.
+    `unsure`: a group lies inside a repeated one or a lookaround, where lengths do not tell its place, or is referred to by name.
+    """
+    entry = "struct<id:int,n:int,parent:int,repeated:boolean,many:boolean,opaque:boolean>"
+    level = "struct<id:int,text:string,open:string,quant:string>"
+    state = f"struct<levels:array<{level}>,quant:string,n:int,ids:int,groups:array<{entry}>>"
+
+    def lit(text: str) -> Column:
+        return F.lit(text)
+
+    def made(a: Column, levels: Column, quant=None, n=None, ids=None, groups=None) -> Column:
+        return F.struct(levels.alias("levels"), (lit("") if quant is None else quant).alias("quant"), (a["n"] if n is None else n).alias("n"),
+                        (a["ids"] if ids is None else ids).alias("ids"), (a["groups"] if groups is None else groups).alias("groups")).cast(state)
+
+    def top_with(levels: Column, text: Column, opened: Column) -> Column:
+        """`levels` with another text and other openings at the top."""
+        top = F.element_at(levels, -1)
+        return F.concat(F.slice(levels, F.lit(1), F.size(levels) - 1), F.array(F.struct(
+            top["id"].alias("id"), text.alias("text"), opened.alias("open"), top["quant"].alias("quant"))))
+
+    def opener(a: Column, t: Column) -> Column:
+        inner, below = F.element_at(a["levels"], -1), F.slice(a["levels"], F.lit(1), F.size(a["levels"]) - 1)
+        around = F.element_at(below, -1)
+        capture, opaque = F.rlike(t, lit(CAPTURE)), F.rlike(t, lit(LOOKAROUND)) | F.rlike(t, lit(r"^\(\?<[=!]$"))
+        number = inner["id"].cast("string")
+        body = F.concat(inner["open"], inner["text"])
+        named = F.concat(F.when(capture, F.concat(lit("(?<zc"), a["n"].cast("string"))).otherwise(F.concat(lit("(?<zg"), number)), lit(">"),
+                         F.when(capture | (t == "(?:"), body).otherwise(F.concat(t, body, lit(")"))), lit(")"))
+        repeated = inner["quant"] != ""
+        group = F.when(opaque, F.concat(t, body, lit(")"), inner["quant"], around["text"])).otherwise(F.concat(
+            lit(")"), F.when(repeated, F.concat(lit("(?<zr"), number, lit(">"), named, inner["quant"], lit(")"))).otherwise(named), around["text"]))
+        entered = F.concat(a["groups"], F.array(F.struct(
+            inner["id"].alias("id"), F.when(capture, a["n"]).otherwise(0).alias("n"), around["id"].alias("parent"),
+            repeated.alias("repeated"), (repeated & ~F.rlike(inner["quant"], lit(r"^(?:\?|\{1\}|\{0,1\})"))).alias("many"), opaque.alias("opaque"))))
+        opened = F.when(opaque, around["open"]).otherwise(F.concat(around["open"], lit("(?<zp"), number, lit(">")))
+        return made(a, top_with(below, group, opened), n=F.when(capture, a["n"] - 1).otherwise(a["n"]), groups=entered)
+
+    def take(a: Column, t: Column) -> Column:
+        top = F.element_at(a["levels"], -1)
+        pushed = F.concat(a["levels"], F.array(F.struct((a["ids"] + 1).alias("id"), lit("").alias("text"), lit("").alias("open"), a["quant"].alias("quant"))))
+        branch = top_with(a["levels"], F.concat(t, top["open"], top["text"]), lit(""))
+        number = F.regexp_extract(t, r"^\\([1-9][0-9]*)$", 1)
+        atom = F.when(number != "", F.concat(lit("\\k<zc"), number, lit(">"))).otherwise(t)
+        single = top_with(a["levels"], F.concat(atom, a["quant"], top["text"]), top["open"])
+        return (F.when(F.rlike(t, lit(QUANTIFIER)), made(a, a["levels"], quant=t))
+                .when(t == ")", made(a, pushed, ids=a["ids"] + 1))
+                .when(t.startswith("(") & ~F.rlike(t, lit(r"^\((?:\?[a-zA-Z]*(?:-[a-zA-Z]+)?\)|\*)")), opener(a, t))
+                .when(t == "|", made(a, branch))
+                .otherwise(made(a, single)))
+
+    def finish(a: Column) -> Column:
+        top = F.element_at(a["levels"], 1)
+        groups = F.array_sort(a["groups"])
+        # a parent's number is smaller than a child's
+        inside = F.aggregate(groups, F.array().cast("array<boolean>"), lambda known, g: F.concat(known, F.array(F.coalesce(
+            F.get(known, g["parent"] - 1) | F.get(groups, g["parent"] - 1)["many"] | F.get(groups, g["parent"] - 1)["opaque"], F.lit(False)))))
+        unsure = let(inside, lambda known: F.exists(groups, lambda g: (g["n"] > 0) & F.get(known, g["id"] - 1)))
+        return F.struct(F.concat(top["open"], top["text"]).alias("rx"), groups.alias("groups"),
+                        (unsure | _has(java_toks, r"^\\[kg]")).alias("unsure"))
+
+    captures = F.size(F.filter(java_toks, lambda t: F.rlike(t, lit(CAPTURE)))).cast("int")
+    start = F.struct(F.array(F.struct(F.lit(0).alias("id"), lit("").alias("text"), lit("").alias("open"), lit("").alias("quant"))).alias("levels"),
+                     lit("").alias("quant"), captures.alias("n"), F.lit(0).alias("ids"), F.array().cast(f"array<{entry}>").alias("groups")).cast(state)
+    return F.aggregate(F.reverse(java_toks), start, take, finish)
+
+
+def looks_around(java_toks: Column) -> Column:
+    """Does the rule look further than a few characters beyond a match?"""
+    return _has(java_toks, LOOKAROUND) | _has(java_toks, r"^\\[GX]$")
+
+
 def capture_groups(toks: Column) -> Column:
     return F.size(F.filter(toks, lambda t: F.rlike(t, F.lit(CAPTURE)))).cast("int")
 

@@ -5,11 +5,13 @@ The way to run Java regexes: candidates never miss a match, the confirm step is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.binding import one_row_each
-from ..plans.compiled import CompiledRules
-from .hits import HITS, RAW, RULE, as_list, candidate_rules, hit_pairs, view_for, with_has_match, with_views
+from ..functions.binding import let, one_row_each
+from ..functions.offsets import char_index, convert_offset
+from ..functions.spans import find_spans, free_mark
+from ..plans.compiled import CompiledRules, group_marks
+from .hits import HITS, RAW, RULE, TEXT, as_list, candidate_rules, hit_pairs, view_for, with_has_match, with_views
 from .large import with_large_hits
 
 
@@ -58,6 +60,85 @@ def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame
             .where("value IS NOT NULL").select(*keep, "rule_id", "match_no", "group_no", value.alias("value")))
 
 
+# characters beyond a match that ^ $ \b look at
+CONTEXT_AFTER = 3
+
+
+def group_spans(docs, compiled: CompiledRules, key, text="text", offset_unit: str = "utf16") -> DataFrame:
+    """(key, rule_id, match_no, group_no, start, end, value) for every group of every `find()` match.
+
+    `end` is exclusive. Group 0 is the match. A group that took no part has NULL for all three; one that matched the empty text
+    has two equal offsets. Each match is searched once more, in itself and a few characters around it, with a regex that
+    also captures what precedes each group; a group's place is the sum of such lengths. Rules with a group inside a
+    repeated one or a lookaround, whose place that does not tell, are refused by name.
+    """
+    keep = as_list(key)
+    marks = group_marks(compiled.table)
+    unsure = marks.where("unsure").select("rule_id").limit(100).collect()
+    if unsure:
+        raise ValueError(f"groups inside repeated groups or lookarounds, or referred to by name, have no offsets: rules {sorted(r.rule_id for r in unsure)}")
+    marks = marks.withColumnsRenamed({"ruleset": "_mset", "rule_id": "_mid"})
+    marks = F.broadcast(marks) if compiled.fits else marks
+    pairs = hit_pairs(docs, compiled, keep, text, keep)
+    pairs = pairs.join(marks, F.col(f"{RULE}.ruleset").eqNullSafe(F.col("_mset")) & (F.col(f"{RULE}.rule_id") == F.col("_mid")), "left")
+    rule, has_raw = F.col(RULE), RAW in pairs.columns
+    view = view_for(rule, pairs)
+
+    def of_match(m: Column, i: Column) -> Column:
+        first = F.when(F.col("wide"), m["s"]).otherwise(F.least(m["s"], F.lit(1).cast("bigint")))
+        after = F.when(F.col("wide"), F.length(view)).otherwise(F.lit(CONTEXT_AFTER))
+        window = F.substring(view, (m["s"] - first + 1).cast("int"), (m["e"] - m["s"] + first).cast("int") + after)
+        whole = F.struct(F.lit(0).alias("group_no"), m["s"].alias("s"), m["e"].alias("e"), m["m"].alias("value"))
+
+        def of_groups(b: Column) -> Column:
+            before = F.concat(F.lit(r"\A(?s:.{"), b["first"].cast("string"), F.lit("})(?>"), F.col("marked"), F.lit(")"))
+            shown = F.array_join(F.flatten(F.transform(F.col("marks"), lambda g: F.when(g["opaque"], F.array(b["mark"], b["mark"], b["mark"])).otherwise(F.array(
+                F.concat(F.lit("${zp"), g["id"].cast("string"), F.lit("}"), b["mark"]),
+                F.concat(F.when(g["repeated"], F.concat(F.lit("${zr"), g["id"].cast("string"), F.lit("}"))).otherwise(F.lit("")), b["mark"]),
+                F.concat(F.when(g["n"] > 0, F.concat(F.lit("${zc"), g["n"].cast("string"))).otherwise(F.concat(F.lit("${zg"), g["id"].cast("string"))),
+                         F.lit("}"), b["mark"]))))), "")
+            found = F.split(F.regexp_replace(b["w"], before, shown), b["mark"], -1)
+
+            def groups(parts: Column) -> Column:
+                def place(known: Column, g: Column) -> Column:
+                    preceding, repeats, own = (F.length(F.get(parts, (g["id"] - 1) * 3 + k)) for k in range(3))
+                    at = F.coalesce(F.get(known, g["parent"] - 1), m["s"]) + preceding
+                    return F.concat(known, F.array(at + F.when(g["repeated"], repeats - own).otherwise(0)))
+
+                def one(g: Column, at: Column) -> Column:
+                    value = F.get(parts, (g["id"] - 1) * 3 + 2)
+                    # a reference to a group that took no part fails
+                    took_part = (value != "") | F.rlike(b["w"], F.concat(before, F.lit(r"\k<zc"), g["n"].cast("string"), F.lit(">")))
+                    return F.struct(g["n"].alias("group_no"), F.when(took_part, at).alias("s"), F.when(took_part, at + F.length(value)).alias("e"),
+                                    F.when(took_part, value).alias("value"))
+
+                places = F.aggregate("marks", F.array().cast("array<bigint>"), place)
+                return let(places, lambda at: F.transform(F.filter("marks", lambda g: g["n"] > 0), lambda g: one(g, F.get(at, g["id"] - 1))))
+
+            return let(found, groups)
+
+        groups = let(F.struct(window.alias("w"), first.alias("first"), free_mark(window).alias("mark")), of_groups)
+        return F.struct(i.alias("match_no"), F.when(F.col("marks").isNull(), F.array(whole)).otherwise(F.concat(F.array(whole), groups)).alias("groups"))
+
+    matches = F.transform(find_spans(view, rule["rx"], "codepoint"), of_match)
+    rows = one_row_each(one_row_each(pairs, ["*"], matches, "_match"), ["*"], F.col("_match.groups"), "_group")
+    s, e, value = F.col("_group.s"), F.col("_group.e"), F.col("_group.value")
+    if has_raw:
+        raw, seen = F.col(RAW), rule["bytes"]
+
+        def placed(at: Column) -> Column:
+            # behind the character of the byte before
+            of_bytes = F.when(at == 0, at).otherwise(char_index(raw, at - 1, offset_unit) + 1)
+            return F.when(seen, of_bytes).otherwise(convert_offset(F.col(TEXT), at, offset_unit))
+
+        value = F.when(seen, F.decode(F.encode(value, "ISO-8859-1"), "UTF-8")).otherwise(value)
+        s, e = placed(s), placed(e)
+    elif offset_unit != "codepoint":
+        s, e = (convert_offset(F.col(TEXT), x, offset_unit) for x in (s, e))
+    return rows.select(*keep, rule["rule_id"].alias("rule_id"), F.col("_match.match_no").alias("match_no"), F.col("_group.group_no").alias("group_no"),
+                       s.alias("start"), e.alias("end"), value.alias("value"))
+
+
 def any_match_alternation(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
     """Keys of the texts that some rule or combination matches.
 

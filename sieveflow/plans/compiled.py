@@ -20,8 +20,8 @@ from ..functions.binding import let
 from ..functions.flags import has_flag, quote_literal, with_options
 from ..functions.spans import Shape
 from ..functions.syntax import (
-    capture_groups, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, needs_byte_view,
-    never_overlaps, required_literals, run_class, run_with_match, steps, tokens,
+    capture_groups, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, looks_around, marked_groups, needs_byte_view,
+    never_overlaps, plain_edge, required_literals, run_class, run_with_match, steps, tokens, widest,
 )
 from ..operators.validate import RuleError, check_ruleset, nullable_rule, rule_error
 from ..schemas import DIRECT
@@ -65,6 +65,7 @@ def _derivation(application: str) -> list[dict[str, Column]]:
                      .when(fixed_width(toks) & ~literal & never_overlaps(jtoks, flags), F.lit("apart"))
                      .when(fixed_width(toks) | literal, F.lit("fixed")).otherwise(F.lit("runs")),
             "steps": stepwise,
+            "widest": widest(jtoks, pattern, flags),
             "nullable": F.coalesce(nullable, F.lit(False)),
             "groups": F.when(literal, F.lit(0)).otherwise(capture_groups(toks)),
             "utf8": has_flag(flags, "UTF8"),
@@ -77,6 +78,18 @@ def _derivation(application: str) -> list[dict[str, Column]]:
     ]
 
 
+def group_marks(rules: DataFrame) -> DataFrame:
+    """(ruleset, rule_id, marked, marks, wide, unsure) of the rules with capturing groups: see `marked_groups`."""
+    pattern, flags, dialect = F.col("pattern"), F.col("flags"), F.col("dialect")
+    toks = java_tokens(tokens(pattern), dialect)
+    jtoks = F.when(F.col("bytes"), latin1_tokens(toks)).otherwise(toks)
+    marked = rules.where("groups > 0").select("ruleset", "rule_id", "flags", "dialect", jtoks.alias("_toks")).select(
+        "ruleset", "rule_id", "flags", "dialect", looks_around(F.col("_toks")).alias("wide"),
+        marked_groups(F.when(dialect == DIRECT, F.transform("_toks", plain_edge)).otherwise(F.col("_toks"))).alias("_m"))
+    return marked.select("ruleset", "rule_id", with_options(F.col("_m.rx"), flags, dialect).alias("marked"), F.col("_m.groups").alias("marks"), "wide",
+                         F.col("_m.unsure").alias("unsure"))
+
+
 def derive(rules: DataFrame) -> DataFrame:
     """The rules table with everything a scan needs to know about each rule."""
     steps = _derivation(rules.sparkSession.sparkContext.applicationId)

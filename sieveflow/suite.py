@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     any_match, any_match_alternation, byte_slice, candidates, capture_groups, combination_events, combinations, compile_rules,
-    confirmed, first_k, hits, load_rules, lookup_rules, match_counts, matches_per_text, no_match,
+    confirmed, first_k, group_spans, hits, load_rules, lookup_rules, match_counts, matches_per_text, no_match,
     ordered_matches, rule, rule_hits_per_text, rules_from_df, rules_from_regex, rules_table, ruleset_diff,
     save_rules, scan, single_matches, take_until, validate_rules, with_flag_bits, with_has_match,
     with_positional_ids, work_folder,
@@ -82,6 +82,11 @@ GROUPS = [
     (1, r"\+1 \((\d{3})\) (\d{3})-(\d{4})", []),
     (2, r"(licensed|released) under", ["CASELESS"]),
 ]
+OPTIONAL_GROUPS = [
+    *GROUPS,
+    (3, r"qu(e)?(s|r)?", []),
+    (4, r"((T)he|(A)nd) (o(f|n))?", []),
+]
 BYTES = [
     (0, r"qu[ae]", [SOM]),
     (1, r"the", [SOM, "CASELESS"]),
@@ -118,6 +123,7 @@ def _ruleset(name: str) -> list[dict]:
         "runs": lambda: _rules(RUNS),
         "flags": lambda: _rules(FLAG_CASES),
         "groups": lambda: _rules(GROUPS, dialect="java"),
+        "optional_groups": lambda: _rules(OPTIONAL_GROUPS, dialect="java"),
         "java": lambda: _rules(PERSONAL_DATA, dialect="java"),
         "props": lambda: [rule(r'"k": (\d)(\d?)', [], 0, dialect="java")],
         "bytes": lambda: _rules(BYTES),
@@ -274,6 +280,10 @@ def captured_groups(spark, sf_dir):
     return capture_groups(table(spark, sf_dir, "documents"), compiled(spark, "groups"), "doc_id")
 
 
+def group_offsets(spark, sf_dir):
+    return group_spans(table(spark, sf_dir, "documents"), compiled(spark, "optional_groups"), "doc_id", offset_unit="codepoint")
+
+
 def captured_props(spark, sf_dir):
     return capture_groups(table(spark, sf_dir, "events"), compiled(spark, "props"), "event_id", "props")
 
@@ -540,6 +550,7 @@ QUERIES = {
     "full_matches": full_matches,
     "capture_groups": captured_groups,
     "capture_groups_events": captured_props,
+    "group_spans": group_offsets,
     "any_match_alternation": alternation,
     "byte_scan": byte_scan,
     "byte_slice_scan": byte_slice_scan,

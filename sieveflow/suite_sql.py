@@ -7,7 +7,7 @@ the Spark side does not), with RE2 regexes of the same meaning.
 from __future__ import annotations
 
 from .suite import (
-    BYTES, COMBINED, EVENT_COMBINED, EVENT_RULES, FLAG_CASES, GROUPS, NAMES, PERSONAL_DATA, QUIET_IDS, RUNS,
+    BYTES, COMBINED, EVENT_COMBINED, EVENT_RULES, FLAG_CASES, GROUPS, NAMES, OPTIONAL_GROUPS, PERSONAL_DATA, QUIET_IDS, RUNS,
     SWEPT_COMBINED, SWEPT_IDS, TAG_SETS, WORDS,
 )
 
@@ -298,3 +298,20 @@ ORACLE["combination_events"] = f"""WITH {rules(_swept)},
         coalesce(list(rule_id) FILTER (f.e < s.e), []) AS before
         FROM swept s LEFT JOIN firsts f ON f.doc_id = s.doc_id GROUP BY s.doc_id, s.e)
     {_swept_events}"""
+# (group, where it begins in the match, its length or NULL), from the shape of each rule
+_group_places = {
+    0: ["(1, 0, strpos(m, '@') - 1)", "(2, strpos(m, '@'), length(m) - strpos(m, '@') - 4)"],
+    1: ["(1, 4, 3)", "(2, 9, 3)", "(3, 13, 4)"],
+    2: ["(1, 0, length(m) - 6)"],
+    3: ["(1, 2, CASE WHEN m[3] = 'e' THEN 1 END)", "(2, CASE WHEN m[3] = 'e' THEN 3 ELSE 2 END, CASE WHEN right(m, 1) IN ('s', 'r') THEN 1 END)"],
+    4: ["(1, 0, 3)", "(2, 0, CASE WHEN m[1] = 'T' THEN 1 END)", "(3, 0, CASE WHEN m[1] = 'A' THEN 1 END)",
+        "(4, 4, CASE WHEN length(m) > 4 THEN 2 END)", "(5, 5, CASE WHEN length(m) > 4 THEN 1 END)"],
+}
+ORACLE["group_spans"] = f"""WITH {find('documents', 'doc_id', 'text', OPTIONAL_GROUPS)},
+    numbered_matches AS (SELECT doc_id, rule_id, start AS s, matched AS m,
+        CAST(row_number() OVER (PARTITION BY doc_id, rule_id ORDER BY start) - 1 AS INTEGER) AS match_no FROM found),
+    g AS (SELECT doc_id, rule_id, match_no, s, m, 0 AS group_no, 0 AS off, length(m) AS size FROM numbered_matches UNION ALL """ + " UNION ALL ".join(
+    f"SELECT doc_id, rule_id, match_no, s, m, v.* FROM numbered_matches, LATERAL (SELECT * FROM (VALUES {', '.join(places)})) v(group_no, off, size) "
+    f"WHERE rule_id = {i}" for i, places in _group_places.items()) + """)
+    SELECT doc_id, rule_id, match_no, CAST(group_no AS INTEGER) AS group_no, CAST(CASE WHEN size IS NOT NULL THEN s + off END AS BIGINT) AS start,
+        CAST(s + off + size AS BIGINT) AS "end", substr(m, CAST(off + 1 AS BIGINT), CAST(size AS BIGINT)) AS value FROM g"""
