@@ -80,8 +80,9 @@ def test_batches_score_as_plain_attention():
     dictionary, numbers, counts = lm.words_of(texts)
     pieces = [np.frombuffer((" " + w).encode(), dtype=np.uint8) for w in dictionary.to_pylist()]
 
-    row = SimpleNamespace(n_ids=[len(p) for p in pieces], words=numbers, n_words=counts, pieces=np.concatenate(pieces).astype(np.int32))
-    ids, first, document, scored = lm.sequences(row, 256)
+    stored = {"n_ids": [len(p) for p in pieces], "words": numbers, "n_words": counts, "pieces": np.concatenate(pieces)}
+    block = lm.Block.of(SimpleNamespace(**{n: lm.as_bytes(v) for n, v in stored.items()}))
+    ids, first, document, scored = lm.sequences(block, 256)
     got = np.bincount(document, weights=lm.Scorer(model, table).score(ids, first, scored))
     want = [plain_score(model, table, list("".join(" " + w for w in words(t)).encode()), 256) for t in texts]
     assert np.allclose(got, want, rtol=1e-4)
