@@ -8,14 +8,18 @@ number of rules, there is no join and no shuffle, and what travels to the tasks
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import json
 import re
+import sys
 import zlib
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions import flags as flag_functions, offsets, spans, syntax
 from ..functions.binding import let
 from ..functions.flags import has_flag, quote_literal, with_options
 from ..functions.spans import Shape
@@ -23,9 +27,10 @@ from ..functions.syntax import (
     capture_groups, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, looks_around, marked_groups, needs_byte_view,
     never_overlaps, plain_edge, required_literals, run_class, run_with_match, steps, tokens, widest,
 )
+from ..operators import validate
 from ..operators.validate import RuleError, check_ruleset, nullable_rule, rule_error
-from ..schemas import DIRECT
-from ..sources.rules import with_positional_ids
+from ..schemas import DIRECT, RULES
+from ..sources.rules import load_rules, save_rules, with_positional_ids
 
 MAX_RULES = 50_000
 MAX_RULE_BYTES = 16 << 20
@@ -256,11 +261,18 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
             raise RuleError(failed)
         every = table.where("error IS NOT NULL").select("ruleset", "rule_id", "pattern", "error")
         raise RuleError(failed, every.count(), every)
+    if fits:
+        # the rows at hand are the table from now on, so a costly source of rules is read only once
+        table = table.sparkSession.createDataFrame([r for r in rows if r.error is None], table.schema)
+    return _assembled(table, rows, summary.n_rules, max_bytes, kept)
+
+
+def _assembled(table: DataFrame, rows: list | None, n_rules: int, max_bytes: int, kept: DataFrame | None) -> CompiledRules:
+    """The ruleset of a derived table, whose `rows` are at hand if it is within the bound."""
+    fits = rows is not None
     if fits and sum(len(r.rx or "") + len(r.run_rx or "") + sum(map(len, r.literals or ())) for r in rows) > max_bytes:
         fits, kept = False, table.persist()
-    # the rows at hand are the table from now on, so a costly source of rules is read only once
-    table = rules.sparkSession.createDataFrame(
-        [r for r in rows if r.error is None], table.schema) if fits else table.where("error IS NULL")
+    table = table if fits else table.where("error IS NULL")
     if fits:
         combinations = [r for r in rows if r.error is None and r.combination]
         plain = [r.asDict() for r in rows if r.error is None and not r.combination]
@@ -275,7 +287,51 @@ def compile_rules(rules: DataFrame, strict: bool = True, max_rules: int = MAX_RU
         missing = sorted({int(n) for n in re.findall(r"\d+", c.pattern) if (c.ruleset, int(n)) not in ids})
         if missing:
             raise RuleError([(c.rule_id, c.pattern, f"refers to unknown rules {missing}")])
-    return CompiledRules(table, summary.n_rules, plain, combinations, kept)
+    return CompiledRules(table, n_rules, plain, combinations, kept)
+
+
+def library_digest() -> str:
+    """Changes with everything that a derived column depends on."""
+    parts = (syntax, flag_functions, spans, offsets, validate, sys.modules[__name__])
+    return hashlib.sha256("".join(inspect.getsource(m) for m in parts).encode()).hexdigest()
+
+
+def rules_digest(rules: DataFrame) -> str:
+    """The same for equal rules in any order; repeated rules count."""
+    each = F.xxhash64(*(F.col(c) for c in RULES.fieldNames()))
+    again = F.xxhash64(F.lit("again"), *(F.col(c) for c in RULES.fieldNames()))
+    n, x, y = rules.agg(F.count("*"), F.coalesce(F.bit_xor(each), F.lit(0)), F.coalesce(
+        F.sum((again % 1_000_003).cast("decimal(38,0)")), F.lit(0)).cast("string")).first()
+    return f"{n} {x} {y}"
+
+
+def save_compiled(rules: DataFrame, path: str, mode: str = "errorifexists", **options) -> CompiledRules:
+    """Compile a rules table and save it with its derived columns: `rules`, `derived` and `digest` under `path`."""
+    spark, path = rules.sparkSession, path.rstrip("/")
+    save_rules(rules, f"{path}/rules", mode)
+    rules = load_rules(spark, f"{path}/rules")
+    compiled = compile_rules(rules, **options)
+    # in few files: a reload is bound by their number
+    compiled.table.coalesce(1 if compiled.fits else 8).write.mode(mode).parquet(f"{path}/derived")
+    n_bytes = rules.agg(F.coalesce(F.sum(F.octet_length("pattern")), F.lit(0))).first()[0]
+    spark.createDataFrame([(library_digest(), rules_digest(rules), compiled.n_rules, n_bytes)],
+                          "library string, rules string, n_rules long, n_bytes long").coalesce(1).write.mode(mode).parquet(f"{path}/digest")
+    return compiled
+
+
+def load_compiled(spark: SparkSession, path: str, strict: bool = True, max_rules: int = MAX_RULES,
+                  max_bytes: int = MAX_RULE_BYTES) -> CompiledRules:
+    """What :func:`save_compiled` saved. Rules are compiled anew only if they, or this library, have changed since."""
+    path = path.rstrip("/")
+    rules = load_rules(spark, f"{path}/rules")
+    saved = spark.read.parquet(f"{path}/digest").first()
+    if saved.library != library_digest() or saved.rules != rules_digest(rules):
+        return compile_rules(rules, strict, max_rules, max_bytes)
+    table = spark.read.parquet(f"{path}/derived")
+    if saved.n_rules <= max_rules and saved.n_bytes <= max_bytes:
+        return _assembled(table, table.collect(), saved.n_rules, max_bytes, None)
+    kept = table.persist()
+    return _assembled(kept, None, saved.n_rules, max_bytes, kept)
 
 
 def alternations(rows) -> list[str]:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     any_match, any_match_alternation, byte_slice, candidates, capture_groups, combination_events, combinations, compile_rules,
-    confirmed, first_k, group_spans, hits, load_rules, lookup_rules, match_counts, matches_per_text, no_match,
+    confirmed, first_k, group_spans, hits, load_compiled, load_rules, lookup_rules, match_counts, matches_per_text, no_match,
     ordered_matches, rule, rule_hits_per_text, rules_from_df, rules_from_regex, rules_table, ruleset_diff,
-    save_rules, scan, single_matches, take_until, validate_rules, with_flag_bits, with_has_match,
+    save_compiled, save_rules, scan, scan_files, single_matches, take_until, validate_rules, with_flag_bits, with_has_match,
     with_positional_ids, work_folder,
 )
 from .functions.offsets import byte_to_char, convert_offset, is_clean_utf8
@@ -82,6 +82,14 @@ GROUPS = [
     (1, r"\+1 \((\d{3})\) (\d{3})-(\d{4})", []),
     (2, r"(licensed|released) under", ["CASELESS"]),
 ]
+# rules of bounded width, for files in blocks
+BOUNDED = [
+    (50, r"qu[ae]", [SOM]),
+    (51, r"\d{16}", [SOM]),
+    (52, r"(?:\d{1,3}\.){3}\d{1,3}", [SOM]),
+    (53, r"licensed under|released under", ["CASELESS"]),
+    (54, r"\bthe\b", [SOM]),
+]
 OPTIONAL_GROUPS = [
     *GROUPS,
     (3, r"qu(e)?(s|r)?", []),
@@ -130,6 +138,7 @@ def _ruleset(name: str) -> list[dict]:
         "url": lambda: _rules([(0, "a[a-z]", [SOM]), (1, "[0-9]+/", [SOM])]),
         "combined": lambda: _rules(PERSONAL_DATA + WORDS, QUIET_IDS) + [
             rule(p, "COMBINATION", i) for i, p in COMBINED],
+        "bounded": lambda: _rules(BOUNDED),
         "repeats": lambda: _rules(REPEATS),
         "swept": lambda: _rules([r for r in PERSONAL_DATA + WORDS if r[0] in SWEPT_IDS], {10}) + [
             rule(p, "COMBINATION", i) for i, p in SWEPT_COMBINED],
@@ -337,6 +346,22 @@ def saved_rules_scan(spark, sf_dir):
     return hits(table(spark, sf_dir, "documents"), compile_rules(load_rules(spark, path)), "doc_id")
 
 
+def reloaded_rules_scan(spark, sf_dir):
+    """Rules saved with all that was derived from them, and read again without deriving anything."""
+    path = work_folder(spark, "compiled")
+    save_compiled(rules_table(spark, _ruleset("all")), path)
+    return hits(table(spark, sf_dir, "documents"), load_compiled(spark, path), "doc_id")
+
+
+def file_blocks_scan(spark, sf_dir):
+    """The documents as plain files, scanned in small blocks; matches per rule over all files."""
+    path = work_folder(spark, "files")
+    spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").write.text(path)
+    found = scan_files(spark, path, compiled(spark, "bounded"), block_bytes=1 << 16)
+    return found.groupBy("rule_id").agg(F.count("*").alias("n_matches"), F.sum(F.col("end") - F.col("start")).alias("n_bytes")).select(
+        "rule_id", "n_matches", F.when(F.col("rule_id") != 53, F.col("n_bytes")).alias("n_bytes"))
+
+
 def _word_rules(spark, sf_dir, **bounds):
     """Every long word of `benchmark` as a caseless rule, one ruleset per first letter."""
     words = (table(spark, sf_dir, "benchmark")
@@ -572,6 +597,8 @@ QUERIES = {
     "clean_utf8_prefixes": clean_utf8_prefixes,
     "untracked_starts": untracked_starts,
     "saved_rules_scan": saved_rules_scan,
+    "reloaded_rules_scan": reloaded_rules_scan,
+    "file_blocks_scan": file_blocks_scan,
     "windowed_matches_whole": windowed_matches_whole,
     "session_combination_whole": session_combination_whole,
     "large_no_match": large_no_match,

@@ -7,7 +7,7 @@ the Spark side does not), with RE2 regexes of the same meaning.
 from __future__ import annotations
 
 from .suite import (
-    BYTES, COMBINED, EVENT_COMBINED, EVENT_RULES, FLAG_CASES, GROUPS, NAMES, OPTIONAL_GROUPS, PERSONAL_DATA, QUIET_IDS, RUNS,
+    BOUNDED, BYTES, COMBINED, EVENT_COMBINED, EVENT_RULES, FLAG_CASES, GROUPS, NAMES, OPTIONAL_GROUPS, PERSONAL_DATA, QUIET_IDS, RUNS,
     SWEPT_COMBINED, SWEPT_IDS, TAG_SETS, WORDS,
 )
 
@@ -315,3 +315,12 @@ ORACLE["group_spans"] = f"""WITH {find('documents', 'doc_id', 'text', OPTIONAL_G
     f"WHERE rule_id = {i}" for i, places in _group_places.items()) + """)
     SELECT doc_id, rule_id, match_no, CAST(group_no AS INTEGER) AS group_no, CAST(CASE WHEN size IS NOT NULL THEN s + off END AS BIGINT) AS start,
         CAST(s + off + size AS BIGINT) AS "end", substr(m, CAST(off + 1 AS BIGINT), CAST(size AS BIGINT)) AS value FROM g"""
+ORACLE["reloaded_rules_scan"] = hits("documents", "doc_id", "text", ALL)
+# rows of a text file end with a line feed, which no rule matches: what texts hold is what files hold
+_bounded = {i: (p, f) for i, p, f in BOUNDED}
+ORACLE["file_blocks_scan"] = f"""WITH ends AS (WITH {all_ends_in_runs('documents', 'doc_id', 'text', [r for r in BOUNDED if r[0] == 52], {52: RUN_CLASSES[1]})})
+    SELECT CAST(52 AS INTEGER) AS rule_id, count(*) AS n_matches, CAST(sum("end" - start + 1) AS BIGINT) AS n_bytes FROM ends HAVING count(*) > 0
+    UNION ALL SELECT 51, CAST(sum(n) AS BIGINT), CAST(sum(16 * n) AS BIGINT) FROM (SELECT length(unnest(regexp_extract_all(text, '[0-9]{{16,}}'))) - 15 AS n FROM documents)
+        HAVING count(*) > 0
+    """ + " ".join(f"""UNION ALL SELECT {i}, CAST(sum(n) AS BIGINT), {"NULL" if i == 53 else f"CAST(sum({size} * n) AS BIGINT)"}
+        FROM (SELECT len(regexp_extract_all(text, {quoted(re2(*_bounded[i]))})) AS n FROM documents) HAVING sum(n) > 0""" for i, size in ((50, 3), (53, 0), (54, 3)))

@@ -1,11 +1,14 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from sieveflow import (
-    RuleError, compile_rules, hits, load_rules, rule, rule_count, rules_from_df, rules_from_regex, rules_table,
-    ruleset_diff, same_rules, save_rules, scan, validate_rules, with_flag_bits, work_folder,
+    RuleError, compile_rules, hits, load_compiled, load_rules, rule, rule_count, rules_from_df, rules_from_regex, rules_table,
+    ruleset_diff, same_rules, save_compiled, save_rules, scan, validate_rules, with_flag_bits, work_folder,
 )
 from sieveflow.operators.validate import slow_rule_hint
+from sieveflow.plans import compiled as compiled_module
 
 SOM = "SOM_LEFTMOST"
 
@@ -141,3 +144,36 @@ def test_required_literals(spark):
 def test_slow_rule_hint(spark):
     df = spark.createDataFrame([("(a+)+",), ("(ab)+",)], "p string")
     assert [r.s for r in df.select(slow_rule_hint(F.col("p")).alias("s")).collect()] == [True, False]
+
+
+def test_reload_without_deriving(spark, monkeypatch):
+    rules = rules_table(spark, [rule("a+b", ["SOM_LEFTMOST"], 0), rule("x(y)?", (), 1, dialect="java"), rule("0 & !1", "COMBINATION", 2), rule("é.*z", ["UTF8"], 3)])
+    path = work_folder(spark, "compiled")
+    first = save_compiled(rules, path)
+    with monkeypatch.context() as m:
+        m.setattr(compiled_module, "derive", None)
+        again = load_compiled(spark, path)
+    plain = lambda c: [sorted(map(str, x)) for x in (c.rows, c.combinations, c.table.select("pattern", "rx").collect())]
+    assert plain(first) == plain(again) and first.n_rules == again.n_rules == 4
+    # other rules, or another library: compiled anew
+    save_rules(rules.where("rule_id < 2"), f"{path}/rules", "overwrite")
+    assert load_compiled(spark, path).n_rules == 2
+    save_compiled(rules, path, "overwrite")
+    monkeypatch.setattr(compiled_module, "library_digest", lambda: "other")
+    calls = []
+    monkeypatch.setattr(compiled_module, "derive", lambda r, f=compiled_module.derive: calls.append(1) or f(r))
+    assert load_compiled(spark, path).n_rules == 4 and calls
+
+
+def test_reload_of_many_rules_is_much_faster(spark):
+    words = spark.range(10_000).selectExpr("CAST(id AS INT) AS rule_id", "concat('(?:word', id, '|other', id, ')[a-z]+x{2,5}') AS pattern")
+    path = work_folder(spark, "compiled")
+    save_compiled(rules_from_df(words), path)
+    start = time.perf_counter()
+    compile_rules(load_rules(spark, f"{path}/rules"))
+    compiled_in = time.perf_counter() - start
+    load_compiled(spark, path)
+    start = time.perf_counter()
+    assert load_compiled(spark, path).n_rules == 10_000
+    print("compiled", compiled_in, "loaded", time.perf_counter() - start)
+    assert time.perf_counter() - start < compiled_in / 2
