@@ -17,7 +17,7 @@ becomes one space, a line break too. Character references are decoded.
 Defined results: NULL or empty html gives an empty text, as does a page of template only. A NULL url, or one
 without a host, belongs to the host ''. Broken markup is read as browsers do for common cases: open
 elements end with their parent, a paragraph ends where the next begins, stray end tags are
-ignored. Repeated rows give repeated rows. An empty table gives an empty table. Other columns are ignored.
+ignored. Very long and broken pages take time in proportion to their length. Repeated rows give repeated rows. An empty table gives an empty table. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,9 +64,9 @@ NOT_TEXT_WORDS = frozenset(
 # an article may bear words such as "header"; it is only left out as one of these
 NOT_ARTICLE_WORDS = frozenset("ad ads advert advertisement comment comments reply replies related recommended sponsored promo".split())
 
-TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+COMMENT_END = re.compile(r"--!?>|\Z")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/"']|\Z)""", re.I)
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
 WORDS = re.compile(r"[a-z]+", re.I)
@@ -84,10 +84,61 @@ class Page:
     texts: list[tuple[int, int, str]] = field(default_factory=list)  # element, number of the block, text
 
 
+class Tags:
+    """Tags of a page in order, each character looked at a fixed number of times whatever the page is.
+
+    A `>` inside quotes does not end a tag, unless the quotes are never closed. What follows a quote is the same for every
+    tag that gets there, so it is found out once.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.known = source, {}
+        self.last = {c: source.rfind(c) for c in ">\"'"}
+
+    def _unquoted_end(self, at: int) -> int:
+        """Place of the first `>` from `at` on that is not quoted, -1 if quotes are left open."""
+        source, passed, end = self.source, [], -1
+        while m := STOP.search(source, at):
+            q = m.start()
+            if source[q] == ">":
+                end = q
+                break
+            if q in self.known:
+                end = self.known[q]
+                break
+            passed.append(q)
+            if q >= self.last[source[q]]:
+                break
+            at = source.index(source[q], q + 1) + 1
+        self.known.update(dict.fromkeys(passed, end))
+        return end
+
+    def next(self, at: int) -> tuple[int, int, str, str, bool] | None:
+        """(start, end, name, attributes, whether it closes) of the first tag from `at` on; comments and the like have no name."""
+        source, last = self.source, self.last[">"]
+        while (lt := source.find("<", at)) >= 0:
+            if source.startswith("<!--", lt):
+                return lt, COMMENT_END.search(source, lt + 4).end(), "", "", False
+            if source.startswith("<![CDATA[", lt):
+                stop = source.find("]]>", lt)
+                return lt, len(source) if stop < 0 else stop + 3, "", "", False
+            if lt < last:
+                if source[lt + 1] in "!?":
+                    return lt, source.index(">", lt) + 1, "", "", False
+                if m := NAME.match(source, lt + 1):
+                    end = self._unquoted_end(m.end())
+                    end = source.index(">", m.end()) if end < 0 else end
+                    return lt, end + 1, m.group(2), source[m.end(): end], m.group(1) == "/"
+            at = lt + 1
+        return None
+
+
 def parse(source: str) -> Page:
     import xxhash
     page, at, block = Page(), 0, 0
     stack: list[int] = []
+    open_at: dict[str, list[int]] = {}  # depths of the open elements of a tag
+    open_blocks: list[int] = []         # and of all open blocks
     inside: list[list[str]] = []   # what the digest of each open element is made of
     filled: list[bool] = []        # whether it holds text
 
@@ -99,6 +150,9 @@ def parse(source: str) -> Page:
         page.ends.append(0)
         page.marks.append(marks)
         page.digests.append(0)
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            open_blocks.append(len(stack))
         stack.append(len(page.tags) - 1)
         inside.append([tag, marks])
         filled.append(False)
@@ -106,7 +160,10 @@ def parse(source: str) -> Page:
     def end() -> None:
         nonlocal block
         i, parts, full = stack.pop(), inside.pop(), filled.pop()
-        block += page.tags[i] in BLOCK
+        open_at[page.tags[i]].pop()
+        if page.tags[i] in BLOCK:
+            block += 1
+            open_blocks.pop()
         page.ends[i] = len(page.tags)
         digest = xxhash.xxh64_intdigest("\x1f".join(parts))
         if full:
@@ -115,15 +172,16 @@ def parse(source: str) -> Page:
             inside[-1].append(f"{digest:x}")
             filled[-1] = filled[-1] or full
 
-    def close(tags, until=frozenset()) -> None:
-        for depth in range(len(stack) - 1, -1, -1):
-            tag = page.tags[stack[depth]]
-            if tag in tags:
-                while len(stack) > depth:
-                    end()
-                return
-            if tag in until:
-                return
+    def innermost(tags) -> int:
+        if tags is BLOCK:
+            return open_blocks[-1] if open_blocks else -1
+        return max([d[-1] for d in map(open_at.get, tags) if d], default=-1)
+
+    def close(tags, until=()) -> None:
+        depth = innermost(tags)
+        if depth >= 0 and depth >= innermost(until):
+            while len(stack) > depth:
+                end()
 
     def text(value: str) -> None:
         if value and stack:
@@ -134,32 +192,32 @@ def parse(source: str) -> Page:
                 filled[-1] = True
 
     begin("html", "")
+    tags = Tags(source)
     while at < len(source):
-        m = TAG.search(source, at)
-        text(source[at: m.start() if m else len(source)])
-        if not m:
+        found = tags.next(at)
+        text(source[at: found[0] if found else len(source)])
+        if not found:
             break
-        at = m.end()
-        name = m.group(2) or m.group(5)
+        _, at, name, attributes, closes = found
         if not name:
             continue
-        tag, attributes = name.lower(), m.group(3) or m.group(6) or ""
-        if m.group(1) or m.group(4):
+        tag = name.lower()
+        if closes:
             if tag != "html" and tag != "body":
                 # an inline element does not end the block it is left open in
-                close({tag}, frozenset() if tag in BLOCK else BLOCK)
+                close((tag,), () if tag in BLOCK else BLOCK)
             continue
         if tag in ("html", "body") and tag in page.tags[:8]:
             continue
         if tag in ENDS_P:
-            close({"p"}, frozenset(("article", "div", "section", "td", "table", "button")))
+            close(("p",), ("article", "div", "section", "td", "table", "button"))
         if tag in ENDS:
             close(*ENDS[tag])
         if tag == "br":
             text(" ")
             continue
         if tag == "body":
-            close({"head"})
+            close(("head",))
         begin(tag, attributes.strip())
         if tag in VOID:
             end()

@@ -1,6 +1,8 @@
+import time
+
 import pytest
 
-from sieveflow.llm.html_text import extract, main_text, parse
+from sieveflow.llm.html_text import Tags, extract, main_text, parse
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -51,3 +53,27 @@ def test_template_of_a_site_goes(spark):
 
 def test_empty(spark):
     assert extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<b ", "<", "<a ' ", '<a ">" ', "<b>", "</i>", "<!--", "<script>", "<p>x", "<a<a", "<![CDATA[", "<!x", 'x" ', "<td>"])
+@pytest.mark.parametrize("end", ["", ">", "'", '">', "</i>" * 20_000])
+def test_broken_pages_of_a_megabyte(piece, end):
+    """Each kind of text that a tag can get lost in; once all were quadratic."""
+    source = piece * ((1 << 20) // len(piece)) + end
+    start = time.process_time()
+    main_text(parse(source))
+    assert time.process_time() - start < 8
+
+
+def test_quotes():
+    def tags(source):
+        scanner, at, out = Tags(source), 0, []
+        while (t := scanner.next(at)):
+            at = t[1]
+            out.append((t[2], t[3], t[4]))
+        return out
+
+    assert tags("""<a b="x>y" c='"'>z</a >""") == [("a", """ b="x>y" c='"'""", False), ("a", " ", True)]
+    assert tags("""<a b="x>y</a>""") == [("a", ' b="x', False), ("a", "", True)]
+    assert tags("a < b <!-- <i> --> <!doctype html><br/>1 <2 <") == [("", "", False), ("", "", False), ("br", "/", False)]
+    assert tags("<p 'a>b") == [("p", " 'a", False)] and tags("<p") == [] and tags("<!-- <p>") == [("", "", False)]
