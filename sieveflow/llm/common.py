@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,6 +55,40 @@ def small_batches(df: DataFrame, rows: int = 500) -> DataFrame:
     return df
 
 
+def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The first `n` rows of `df` by a hash of `key`.
+
+    A limit alone would send `n` rows of every partition on; a threshold from the number of rows lets
+    about `n` through in all.
+    """
+    h = F.xxhash64(key)
+    total = df.count()
+    if total > n:
+        # a little more than the share that is wanted, so that the limit decides
+        df = df.where(F.pmod(h, F.lit(1 << 30)) < F.lit(int((1 << 30) * (n + 8 * n ** 0.5) / total) + 1))
+    return df.orderBy(h, key).limit(n)
+
+
+FILTER_BITS = 1 << 20
+
+
+def may_hold(keys: DataFrame, key: str):
+    """A test of fixed size, to be asked of another table's column before it is joined with `keys`: false only for keys
+    that are not there."""
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c.cast("string")), F.lit(FILTER_BITS))
+
+    def bit(c: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), (place(c) % 64).cast("int"))
+
+    words = keys.groupBy(F.floor(place(F.col(key)) / 64).cast("int").alias("w")).agg(F.bit_or(bit(F.col(key))).alias("bits")).collect()
+    bits = [0] * (FILTER_BITS // 64)
+    for r in words:
+        bits[r.w] = r.bits
+    table = F.from_json(F.lit(json.dumps(bits)), "array<bigint>")
+    return lambda c: F.get(table, F.floor(place(c) / 64).cast("int")).bitwiseAND(bit(c)) != 0
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within it, jobs hand at most `rows` rows at a time to Python; afterwards the session is as it was.

@@ -25,7 +25,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD, Scratch
+from .common import Scratch, WORD, first_by_hash
 
 MAX_FIT = 50_000
 SMOOTHING = 1.0
@@ -139,7 +139,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colum
 
 def _common_weight(sample: DataFrame, max_fit: int) -> float:
     """What the sum of ratios is to be multiplied by: 1 if the measures were independent, less as they overlap."""
-    rows = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit).toPandas()
+    rows = first_by_hash(sample, "doc_id", max_fit).toPandas()
     if rows.empty or rows["good"].nunique() < 2:
         return 1.0
     x, y = rows["x"].to_numpy(float), rows["good"].to_numpy(float)
