@@ -3,8 +3,9 @@
 1. **Lexicon.** Words and word beginnings of the labelled training texts are counted by label in
    Spark; those found nearly only in toxic texts become terms (whole words, or beginnings such as
    a stem with many endings). What counts is in how many different contexts a text means a word, not
-   quotes it; so neither copies nor the size of the input move the thresholds. All terms are taken; more than
-   `MAX_TERMS`, which executors could not hold, are refused with an error and never cut.
+   quotes it; so neither copies nor the size of the input move the thresholds. Only if there were more than
+   `MAX_TERMS`, which executors could not hold, does a term need more contexts; `min_contexts` of the result says how many.
+   Of the texts, only those that may be labelled (by a bit filter of fixed size) are joined with their labels.
 2. **Matching.** The terms form a trie. It is intersected with the automaton that accepts words within one edit, and the product
    is made deterministic as it is walked: a state is a set of (trie node, edits used). Words
    leave it after a few characters unless they resemble a term, so misspellings and letters swapped for
@@ -34,9 +35,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import small_batches
+from .common import Scratch, first_by_hash, may_hold, small_batches
 
-MAX_TERMS = 50_000
+MAX_TERMS = 50_000     # what executors can hold; beyond it a term needs more contexts
+SLOTS = 1 << 18
+REMEMBERED = 1 << 19
 MAX_FIT = 20_000
 MIN_CONTEXTS = 5       # different words that a term must follow in as many toxic training texts, at every size
 MIN_PRECISION = 0.95   # of its contexts that are toxic
@@ -78,34 +81,111 @@ def meant_words(text: str) -> dict[str, str]:
     return found
 
 
-def lexicon(texts: DataFrame) -> list[tuple[str, bool, int]]:
-    """(term, is a beginning, toxic contexts) from rows of (text, toxic).
+def _contexts(texts: DataFrame) -> DataFrame:
+    """(w, before), once each: words that some of the `texts` means and a hash of the word before; copies add nothing."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+        for b in batches:
+            rows = {pair for t in b["text"] for pair in meant_words(t).items()}
+            yield pd.DataFrame([(w, xxhash.xxh3_64_intdigest(x) - (1 << 63)) for w, x in rows], columns=["w", "before"])
 
-    A text adds one context to each word that it means: the word before. Copies add the same one, so
-    five contexts are five different texts, and precision is the toxic share of a word's contexts.
+    return small_batches(texts).select("text").mapInPandas(run, "w string, before long").distinct()
+
+
+def _slot(term: str) -> int:
+    import zlib
+    return zlib.crc32(term.encode()) % SLOTS
+
+
+def _needed(terms: DataFrame) -> np.ndarray:
+    """By slot: how many clean contexts rule out the term of most toxic contexts in it (0 for no term). Fixed size."""
+    needed = np.zeros(SLOTS, dtype=np.int64)
+    most = terms.groupBy((F.crc32("term") % SLOTS).alias("slot")).agg(F.max("bad").alias("bad")).collect()
+    for r in most:
+        needed[r.slot] = math.floor(r.bad / MIN_PRECISION - r.bad) + 1
+    return needed
+
+
+def _clean_contexts(texts: DataFrame, words: DataFrame, stems: DataFrame) -> DataFrame:
+    """(w, clean): in how many contexts the clean `texts` mean a word, as far as that can matter.
+
+    Only words that are candidates or begin with one count, and once a task has seen as many contexts of a word as rule out
+    its term, more of them change nothing.
     """
+    of_word, of_stem = _needed(words), _needed(stems)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+        seen: dict[str, set[int]] = {}
+        need: dict[str, int] = {}
         for b in batches:
-            rows = {(w, before, toxic) for t, toxic in zip(b["text"], b["toxic"]) for w, before in meant_words(t).items()}
-            yield pd.DataFrame(list(rows), columns=["w", "before", "toxic"])
-
-    pairs = small_batches(texts).select("text", F.col("toxic").cast("int").alias("toxic")).mapInPandas(
-        run, "w string, before string, toxic int").distinct()
-    words = pairs.groupBy("w").agg(F.sum("toxic").cast("long").alias("bad"), F.count("*").alias("n"))
-    whole = words.select(F.col("w").alias("term"), F.lit(False).alias("stem"), "bad", "n")
-    begun = words.select("bad", "n", (F.col("bad") > 0).cast("int").alias("kind"), F.explode(F.array_distinct(F.array(
-        *(F.substring("w", 1, k) for k in STEM)))).alias("term")).where(F.length("term") >= min(STEM))
-    begun = begun.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("bad", "n", "kind"))).where("kind >= 3").select(
-        "term", F.lit(True).alias("stem"), "bad", "n")
-    good = (F.col("bad") >= MIN_CONTEXTS) & (F.col("bad") >= MIN_PRECISION * F.col("n"))
-    rows = whole.unionByName(begun).where(good).select("term", "stem", F.col("bad").alias("contexts")).limit(MAX_TERMS + 1).collect()
-    if len(rows) > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} terms part toxic texts from others: the labels do not mark a lexicon")
+            out = []
+            for t in b["text"]:
+                for w, before in meant_words(t).items():
+                    n = need.get(w)
+                    if n is None:
+                        n = need[w] = int(max(of_word[_slot(w)], *(of_stem[_slot(w[:k])] for k in STEM if len(w) >= k), 0))
+                    if n:
+                        known = seen.setdefault(w, set())
+                        if len(known) < n and (x := xxhash.xxh3_64_intdigest(before) - (1 << 63)) not in known:
+                            known.add(x)
+                            out.append((w, x))
+            if len(need) > REMEMBERED:  # forgetting costs repeated rows, which are made distinct below
+                need.clear()
+                seen.clear()
+            yield pd.DataFrame(out, columns=["w", "before"])
+
+    return small_batches(texts).select("text").mapInPandas(run, "w string, before long").distinct().groupBy("w").agg(F.count("*").alias("clean"))
+
+
+def _beginnings(words: DataFrame) -> DataFrame:
+    """`words` once for each of their beginnings of `STEM` characters, as term."""
+    return words.select("*", F.explode(F.array_distinct(F.array(*(F.substring("w", 1, k) for k in STEM)))).alias("term")).where(
+        F.length("term") >= min(STEM))
+
+
+def lexicon(texts: DataFrame, scratch: Scratch | None = None) -> list[tuple[str, bool, int]]:
+    """(term, is a beginning, toxic contexts) from rows of (text, toxic)."""
+    return lexicon_and_support(texts, scratch)[0]
+
+
+def lexicon_and_support(texts: DataFrame, scratch: Scratch | None = None) -> tuple[list[tuple[str, bool, int]], int]:
+    """The lexicon, and how many contexts its terms had to have.
+
+    A text adds one context to each word that it means: the word before. Copies add the same one, so
+    five contexts are five different texts, and precision is the toxic share of a word's contexts. Toxic texts, which are
+    few, say which words can be terms; clean ones are asked about these only. If there are more than `MAX_TERMS`, the number of
+    contexts that a term needs rises until there are not.
+    """
+    scratch = scratch or Scratch(texts.sparkSession, "lexicon")
+    toxic = scratch.store(_contexts(texts.where("toxic = 1")).groupBy("w").agg(F.count("*").alias("bad")))
+    words = toxic.where(F.col("bad") >= MIN_CONTEXTS).select(F.col("w").alias("term"), "bad")
+    stems = _beginnings(toxic).groupBy("term").agg(F.sum("bad").alias("bad"), F.count("*").alias("kind")).where(
+        (F.col("kind") >= 3) & (F.col("bad") >= MIN_CONTEXTS))
+    clean = scratch.store(_clean_contexts(texts.where("toxic = 0"), words, stems))
+    good = (F.col("bad") >= MIN_CONTEXTS) & (F.col("bad") >= MIN_PRECISION * (F.col("bad") + F.coalesce("clean", F.lit(0))))
+    whole = words.join(clean.withColumnRenamed("w", "term"), "term", "left").where(good).select("term", F.lit(False).alias("stem"), "bad")
+    under = _beginnings(clean).groupBy("term").agg(F.sum("clean").alias("clean"))
+    begun = stems.join(under, "term", "left").where(good).select("term", F.lit(True).alias("stem"), "bad")
+    found = scratch.store(whole.unionByName(begun))
+    support = _support(found)
+    rows = found.where(F.col("bad") >= support).select("term", "stem", F.col("bad").alias("contexts")).collect()  # at most MAX_TERMS
     rows = sorted(rows, key=lambda r: (-r.contexts, r.term, r.stem))
     stems = {r.term for r in rows if r.stem}
     # a stem that begins with a shorter one adds nothing to it; a whole word is also found misspelled
     return [(r.term, r.stem, r.contexts) for r in rows
-            if not (r.stem and any(r.term[:k] in stems for k in STEM if k < len(r.term)))]
+            if not (r.stem and any(r.term[:k] in stems for k in STEM if k < len(r.term)))], support
+
+
+def _support(found: DataFrame) -> int:
+    """The least number of contexts, `MIN_CONTEXTS` or more, that at most `MAX_TERMS` terms have."""
+    grade = F.least(F.col("bad"), F.floor(F.log2("bad") * 64) + 1024)  # exact for small numbers, as few grades as bits for large
+    held = 0
+    for r in found.groupBy(grade.alias("g")).agg(F.count("*").alias("n"), F.max("bad").alias("most")).orderBy(F.desc("most")).collect():
+        held += r.n
+        if held > MAX_TERMS:
+            return r.most + 1
+    return MIN_CONTEXTS
 
 
 @dataclass
@@ -259,6 +339,7 @@ PRIOR = np.array([-3.0, 2.5, 1.5, 0.1, 0.5, 0.3])
 class Model:
     terms: list[tuple[str, bool]]
     weights: np.ndarray
+    min_contexts: int = MIN_CONTEXTS
 
     def score(self, features: np.ndarray) -> np.ndarray:
         x = np.column_stack((np.ones(len(features)), features))
@@ -271,9 +352,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marks = labels.select(F.col(f"`{label_id}`").alias("k"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where(
         "k IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("k"))).groupBy("k").agg(F.max("toxic").alias("toxic"))
     rows = small_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    marks = scratch.store(marks)
     # the same kind of join at every size: labels grow with the documents
-    training = rows.join(marks.hint("merge"), F.col("id") == F.col("k")).select("id", "text", "toxic")
-    terms = [(t, stem) for t, stem, _ in lexicon(training)]
+    training = scratch.store(rows.where(may_hold(marks, "k")(F.col("id"))).join(marks.hint("merge"), F.col("id") == F.col("k")).select("text", "toxic"))
+    entries, support = lexicon_and_support(training, scratch)
+    terms = [(t, stem) for t, stem, _ in entries]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(terms)
@@ -283,17 +367,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     schema = "id string, toxic int, " + ", ".join(f"f{i} double" for i in range(N_FEATURES))
     # at most `max_fit` ids, so their size is bounded whatever the number of labels
-    chosen = marks.orderBy(F.xxhash64("k"), "k").limit(max_fit)
+    chosen = first_by_hash(marks, "k", max_fit)
     drawn = rows.join(F.broadcast(chosen), F.col("id") == F.col("k")).select("id", "text", "toxic")
     sample = drawn.mapInPandas(run, schema).toPandas().sort_values("id")
     x = np.column_stack((np.ones(len(sample)), sample[[f"f{i}" for i in range(N_FEATURES)]].to_numpy(float)))
     y = sample["toxic"].to_numpy(float)
-    return Model(terms, _logistic(x, y, PRIOR))
+    return Model(terms, _logistic(x, y, PRIOR), support)
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
            threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted (1 from `threshold` on)."""
+    """One row per document: doc_id, held_out, score, predicted (1 from `threshold` on), min_contexts."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -305,7 +389,7 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     scored = small_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInPandas(
         run, f"doc_id {id_type}, score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+                         (F.col("score") >= threshold).cast("int").alias("predicted"), F.lit(model.min_contexts).alias("min_contexts"))
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

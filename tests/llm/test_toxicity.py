@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -7,7 +8,9 @@ import pytest
 from helpers import ODD, empty_docs, odd_docs, rows_of
 from sieveflow.llm import toxicity
 from sieveflow.llm.queries import op10_toxicity
-from sieveflow.llm.toxicity import PRIOR, Automaton, Model, Scorer, _logistic, drop_toxic, fit, lexicon, scores
+from sieveflow.llm.toxicity import (
+    PRIOR, STEM, Automaton, Model, Scorer, _logistic, drop_toxic, fit, lexicon, lexicon_and_support, meant_words, scores,
+)
 
 
 def distance(a, b):
@@ -118,8 +121,42 @@ def test_lexicon_does_not_move_with_size_or_copies(spark):
     assert got == {"grubnak": 6}
 
 
-def test_too_many_terms_are_refused(spark, monkeypatch):
+def test_too_many_terms_need_more_contexts(spark, monkeypatch):
+    """60,000 words are found in toxic texts only, a thousand of them in more contexts: these are the lexicon."""
+    rows = [(" ".join(f"b{k} w{i}" for i in range(j, j + 500)), 1) for j in range(0, 60_000, 500) for k in range(5)]
+    rows += [(" ".join(f"c{k} w{i}" for i in range(j, j + 500)), 1) for j in range(0, 1000, 500) for k in range(3)]
+    terms, support = lexicon_and_support(spark.createDataFrame(rows, "text string, toxic int").repartition(8))
+    assert support == 6 and len([t for t, stem, _ in terms if not stem]) == 1000 and {n for _, stem, n in terms if not stem} == {8}
     monkeypatch.setattr(toxicity, "MAX_TERMS", 1)
-    rows = [(f"{b} grubnak {b} other", 1) for b in "one two three four five six".split()]
-    with pytest.raises(ValueError):
-        lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    rows = [(f"{b} grubnak {b} other", 1) for b in "one two three four five six".split()] + [("seven grubnak", 1)]
+    assert lexicon_and_support(spark.createDataFrame(rows, "text string, toxic int")) == ([("grubnak", False, 7)], 7)
+
+
+def plain_lexicon(rows):
+    contexts = {(w, before, toxic) for text, toxic in rows for w, before in meant_words(text).items()}
+    bad, clean = (Counter(w for w, _, toxic in contexts if toxic == k) for k in (1, 0))
+    good = lambda b, c: b >= 5 and b >= 0.95 * (b + c)
+    found = {(w, False, n) for w, n in bad.items() if good(n, clean[w])}
+    for k in STEM:
+        for s in {w[:k] for w in bad if len(w) >= k or len(w) >= 4}:
+            under = [w for w in bad if w[:k] == s]
+            b, c = (sum(n for w, n in count.items() if w[:k] == s) for count in (bad, clean))
+            if len(s) >= 4 and len(under) >= 3 and good(b, c):
+                found.add((s, True, b))
+    stems = {t for t, stem, _ in found if stem}
+    return {(t, stem, n) for t, stem, n in found if not (stem and any(t[:k] in stems for k in STEM if k < len(t)))}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lexicon_as_by_all_contexts(spark, monkeypatch, seed):
+    """Clean texts are only asked about words that matter, and only as long as they do."""
+    monkeypatch.setattr(toxicity, "REMEMBERED", 20)
+    rng = random.Random(seed)
+    words = ["trash", "trashy", "trashes", "scum", "vile", "vilely", "fine", "the", "a", "thing", "things", "thin", "word"]
+    rows = []
+    for _ in range(600):
+        toxic = int(rng.random() < 0.4)
+        pool = words if toxic else words[6:] + (["trash"] if rng.random() < 0.03 else []) + (["vilely"] if rng.random() < 0.1 else [])
+        rows.append((" ".join(rng.choice([rng.choice(pool), f"x{rng.randrange(60)}"]) for _ in range(12)), toxic))
+    got = lexicon(spark.createDataFrame(rows, "text string, toxic int").repartition(6))
+    assert set(got) == plain_lexicon(rows) and len(got) > 3
