@@ -53,7 +53,8 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = remove_repeated(table(spark, sf_dir, "documents"))
-    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                          (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

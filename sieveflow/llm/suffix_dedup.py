@@ -17,7 +17,8 @@ must meet in one shard without every shard meeting every other one, so texts are
 Everything that grows with the data is a Spark table; a task holds one batch of texts, one shard or one range.
 
 Defined results: a NULL text counts as empty. A text shorter than `LENGTH` loses nothing. Copies and repeated rows are removed
-everywhere, as each starts elsewhere too. NULL ids are kept. An empty table gives an empty table. Other columns are ignored.
+everywhere, as each starts elsewhere too. NULL ids are kept. A very long text is cut into runs of at most `LONGEST_RUN` windows and
+described block by block; only the text itself is held whole. Nothing depends on an order of rows, so there are no ties. An empty table gives an empty table. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -261,8 +262,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         F.collect_list(F.struct("m", "d", "copies", "parts", "at", "n")).alias("w"))
     data = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(data).alias("h"), data.alias("data"))
-    parts = texts.join(asked, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("oh"))).select(
-        "id", "h", "data", F.explode("w").alias("w")).select(
+    # rows that repeat id and text are one text here
+    name = ["name", "h"]
+    fetched = _named(texts, "id").join(_named(asked, "of").withColumnRenamed("oh", "h").drop("of"), name).dropDuplicates(name)
+    parts = fetched.select("id", "h", "data", F.explode("w").alias("w")).select(
         "id", "h", "w.m", "w.copies", "w.parts", "w.at", F.substring("data", F.col("w.at") + 1, F.col("w.n") + (length - 1)).alias("data"),
         F.pmod(F.xxhash64("w.m", F.pmod("w.d", "w.parts")), F.lit(n_shards)).alias("shard"))
     sharded = scratch.store(parts.groupBy("shard").applyInPandas(
@@ -282,6 +285,11 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     return out
 
 
+def _named(df: DataFrame, id_col: str) -> DataFrame:
+    """`df` with a name for each id that is never NULL, so that a join and a grouping share one exchange."""
+    return df.withColumn("name", F.concat(F.col(id_col).isNull().cast("string"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+
+
 def _covered(n: int, spans, length: int) -> np.ndarray:
     """Which of `n` bytes lie in a repeated window."""
     edges = np.zeros(n + 1, dtype=np.int64)
@@ -295,7 +303,8 @@ def _covered(n: int, spans, length: int) -> np.ndarray:
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans and the bytes that are kept."""
-    spans = repeated(docs, id_col, text_col, length).groupBy(F.col("id").alias("of"), F.col("h").alias("oh")).agg(
+    # rows that repeat id and text have the same stretches, which are listed once
+    spans = repeated(docs, id_col, text_col, length).distinct().groupBy(F.col("id").alias("of"), F.col("h").alias("oh")).agg(
         F.collect_list(F.struct("at", "n")).alias("spans"))
     data = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
     texts = small_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(data).alias("h"), data.alias("data"))
