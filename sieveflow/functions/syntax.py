@@ -92,6 +92,28 @@ def java_tokens(toks: Column, dialect: Column) -> Column:
         F.transform(toks, lambda t: F.when(_is_class(t), _java_class(t)).otherwise(t)))
 
 
+def merged_repeats(java_toks: Column) -> Column:
+    """Tokens with a repeat of nothing but a repeated character made one repeat: ``(?:a+)*`` is ``(?:a*)``.
+
+    They match the same texts, but a backtracking engine tries all ways to share the characters between the two. A capturing
+    group stays, and holds the same text, where both repeats are ``+``.
+    """
+    def at(i: Column) -> Column:
+        return F.get(java_toks, i)
+
+    def inner(i: Column) -> Column:
+        atom = at(i - 1)
+        single = (atom == ".") | _is_class(atom) | F.rlike(atom, F.lit(SIMPLE_ESCAPE)) | F.rlike(atom, F.lit(r"^[^\\()|^$\[]$"))
+        both = (at(i) == "+") & (at(i + 2) == "+")
+        return F.coalesce(at(i).isin("*", "+") & (at(i + 1) == ")") & at(i + 2).isin("*", "+") & single
+                          & ((at(i - 2) == "(?:") | ((at(i - 2) == "(") & both)), F.lit(False))
+
+    def merged(t: Column, i: Column) -> Column:
+        return F.when(inner(i - 2), F.lit("")).when(inner(i), F.when((t == "+") & (at(i + 2) == "+"), F.lit("+")).otherwise(F.lit("*"))).otherwise(t)
+
+    return F.filter(F.transform(java_toks, merged), lambda t: t != "")
+
+
 def plain_edge(t: Column) -> Column:
     """A token of the direct dialect with word boundaries spelled out."""
     return F.when(t == r"\b", F.lit(WORD_EDGE)).when(t == r"\B", F.lit(NO_WORD_EDGE)).otherwise(t)
@@ -364,11 +386,19 @@ def _one_per_branch(text: Column) -> Column:
     return F.when(~F.exists(found, lambda f: f.isNull()), F.array_distinct(found))
 
 
-def required_literals(toks: Column, pattern: Column, flags: Column, dialect: Column) -> Column:
+def _all_runs(flat: Column) -> Column:
+    """Every run that a match of a skeleton without branches must hold."""
+    runs = F.filter(F.split(F.replace(flat, F.lit(CHOICE), F.lit(GAP)), "[\x01-\x07]+"), lambda r: (F.length(r) >= MIN_LITERAL)
+                    | ((F.length(r) == 2) & F.rlike(r, F.lit(r"[^\x00-\x7F]"))))
+    return F.array_distinct(F.transform(runs, F.lower))
+
+
+def required_literals(toks: Column, pattern: Column, flags: Column, dialect: Column, every: bool = False) -> Column:
     """Lower-case literals of which every match of the rule contains at least one, or NULL.
 
     To be looked up in the lower-case text. Letters whose case folding or lower-casing
-    leaves ASCII, or depends on the neighbours, are not used.
+    leaves ASCII, or depends on the neighbours, are not used. With `every`: literals that each match contains all of
+    (NULL if the rule has branches outside of brackets).
     """
     folds = unicode_case(flags, dialect)
     unsure = any_of([
@@ -394,12 +424,15 @@ def required_literals(toks: Column, pattern: Column, flags: Column, dialect: Col
             x = F.regexp_replace(x, f"{OPEN}([^{OPEN}{CLOSE}{ALT}]*){CLOSE}(?!{MAYBE})", "$1")
             x = F.regexp_replace(x, f"{OPEN}[^{OPEN}{CLOSE}]*{CLOSE}{MAYBE}?", GAP)
 
+        def all_of(flat: Column) -> Column:
+            return F.when(~F.rlike(flat, F.lit(f"[{OPEN}{CLOSE}{ALT}]")), _all_runs(flat))
+
         def chosen(flat: Column) -> Column:
             mandatory = F.contains(flat, F.lit(CHOICE)) & ~F.contains(flat, F.lit(ALT))
             return F.when(~F.rlike(flat, F.lit(f"[{OPEN}{CLOSE}]")), F.coalesce(
                 _one_per_branch(flat), F.when(mandatory, _one_per_branch(options))))
 
-        return let(x, chosen)
+        return let(x, all_of if every else chosen)
 
     return F.when(~unsure, let(text, reduced))
 

@@ -81,7 +81,9 @@ def with_large_hits(docs: DataFrame, compiled: CompiledRules, text: str, keep, b
     texts = views.where(F.col(TEXT).isNotNull()).select(TID, TEXT, RAW).dropDuplicates([TID])
     found = _by_gram(texts, compiled).join(texts, TID)
     rule = F.col(RULE)
-    literal = F.exists(rule["literals"], lambda w: F.contains(F.lower(F.col(TEXT)), w))
+    lower = F.lower(F.col(TEXT))
+    literal = F.exists(rule["literals"], lambda w: F.contains(lower, w)) & F.forall(
+        F.coalesce(rule["also"], F.array().cast("array<string>")), lambda w: F.contains(lower, w))
     found = found.where(F.rlike(view_for(rule, texts, byte_scan), rule["rx"]) if confirm else literal)
     parts = [found.select(TID, RULE)]
     for chunk in unfiltered_chunks(compiled):

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.binding import let
 from ..plans.compiled import CompiledRules
 from .hits import RULE, as_list, hit_pairs, view_for
-from .scan import MATCHES, match_rows, matches_per_text
+from .scan import MATCHES, match_rows, matches_per_text, spans_of
 
 
 def _in_order(matches: Column) -> Column:
@@ -18,44 +18,53 @@ def _in_order(matches: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda k: k["m"])
 
 
-def _rows(nested: DataFrame, matches: Column, keep) -> DataFrame:
-    return match_rows(nested, keep, matches).select(*keep, "rule_id", "start", "end", "matched")
+def _rows(nested: DataFrame, matches: Column, keep, with_ruleset: bool) -> DataFrame:
+    columns = [*keep, *(["ruleset"] if with_ruleset else []), "rule_id", "start", "end", "matched"]
+    return match_rows(nested, keep, matches).select(*columns)
 
 
-def ordered_matches(docs, compiled: CompiledRules, key, text="text", **options) -> DataFrame:
-    """Matches with `seq`, their place in the text by (end, start, rule_id)."""
+def ordered_matches(docs, compiled: CompiledRules, key, text="text", with_ruleset: bool = False, **options) -> DataFrame:
+    """Matches with `seq`, their place in the text by (end, start, rule_id, ruleset)."""
     nested = matches_per_text(docs, compiled, key, text, **options)
     out = nested.select(*as_list(key), F.posexplode_outer(_in_order(F.col(MATCHES))).alias("seq", "m"))
-    return out.where("m IS NOT NULL").select(*as_list(key), "seq", "m.rule_id", "m.start", "m.end", "m.matched")
+    columns = [*as_list(key), "seq", *(["m.ruleset"] if with_ruleset else []), "m.rule_id", "m.start", "m.end", "m.matched"]
+    return out.where("m IS NOT NULL").select(*columns)
 
 
-def first_k(docs, compiled: CompiledRules, key, k: int, text="text", **options) -> DataFrame:
-    """The first `k` matches of each text, all rules together, by (end, start, rule_id)."""
+def first_k(docs, compiled: CompiledRules, key, k: int, text="text", with_ruleset: bool = False, **options) -> DataFrame:
+    """The first `k` matches of each text, all rules together, by (end, start, rule_id, ruleset)."""
     nested = matches_per_text(docs, compiled, key, text, **options)
-    return _rows(nested, F.slice(_in_order(F.col(MATCHES)), 1, k), as_list(key))
+    return _rows(nested, F.slice(_in_order(F.col(MATCHES)), 1, k), as_list(key), with_ruleset)
 
 
-def take_until(docs, compiled: CompiledRules, key, stop, text="text", **options) -> DataFrame:
+def take_until(docs, compiled: CompiledRules, key, stop, text="text", with_ruleset: bool = False, **options) -> DataFrame:
     """The matches of each text up to and including the first for which `stop(match)` holds.
 
-    `stop` gets a struct column with rule_id, start, end and matched.
+    `stop` gets a struct column with ruleset, rule_id, start, end and matched.
     """
     def cut(ms: Column) -> Column:
         at = F.array_position(F.transform(ms, stop), F.lit(True))
         return F.when(at > 0, F.slice(ms, F.lit(1), at.cast("int"))).otherwise(ms)
 
     nested = matches_per_text(docs, compiled, key, text, **options)
-    return _rows(nested, let(_in_order(F.col(MATCHES)), cut), as_list(key))
+    return _rows(nested, let(_in_order(F.col(MATCHES)), cut), as_list(key), with_ruleset)
 
 
-def match_counts(docs, compiled: CompiledRules, by=(), text="text", with_ruleset: bool = False) -> DataFrame:
-    """Number of `find()` matches per rule (and `by` columns); positions are not computed.
+def match_counts(docs, compiled: CompiledRules, by=(), text="text", with_ruleset: bool = False, semantics: str = "find") -> DataFrame:
+    """Number of matches per rule (and `by` columns), by `find()`; positions are not computed.
 
-    Quiet rules report nothing. Rules of equal id in different rulesets are counted apart.
+    With `semantics` "own" each rule's matches count as a scan reports them (every end of a direct rule, one match with
+    SINGLEMATCH). Quiet rules report nothing. Rules of equal id in different rulesets are counted apart.
     """
+    if semantics not in ("find", "own"):
+        raise ValueError(f"unknown semantics {semantics!r}, expected 'find' or 'own'")
     by = as_list(by)
     pairs = hit_pairs(docs, compiled, [], text, by).where(f"NOT {RULE}.quiet")
-    n = F.regexp_count(view_for(F.col(RULE), pairs), F.col(f"{RULE}.rx"))
+    rule = F.col(RULE)
+    if semantics == "find":
+        n = F.regexp_count(view_for(rule, pairs), rule["rx"])
+    else:
+        n = F.size(spans_of(rule, pairs, compiled, "codepoint", None, False))
     counts = (pairs.select(*by, *(F.col(f"{RULE}.{c}").alias(c) for c in ("ruleset", "rule_id")), n.alias("n"))
               .groupBy(*by, "ruleset", "rule_id").agg(F.sum("n").alias("n_matches"), F.count("*").alias("n_texts")))
     return counts if with_ruleset else counts.drop("ruleset")

@@ -15,7 +15,12 @@ from .hits import HITS, RAW, RULE, TEXT, as_list, candidate_rules, hit_pairs, vi
 from .large import with_large_hits
 
 
-def candidates(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
+def _chosen(with_ruleset: bool, prefix: str = "") -> list[Column]:
+    """The columns that name a rule."""
+    return [F.col(f"{prefix}{c}").alias(c) for c in (["ruleset"] if with_ruleset else []) + ["rule_id"]]
+
+
+def candidates(docs, compiled: CompiledRules, key, text="text", with_ruleset: bool = False) -> DataFrame:
     """(key, rule_id, filterable): a superset of the hits.
 
     A rule that nothing can be told about (`filterable` false) is a candidate of every text.
@@ -25,22 +30,20 @@ def candidates(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
         tried = one_row_each(with_views(docs, compiled, text, keep), keep, candidate_rules(compiled), RULE)
     else:
         tried = one_row_each(with_large_hits(docs, compiled, text, keep, confirm=False), keep, F.col(HITS), RULE)
-    return tried.select(
-        *keep, F.col(f"{RULE}.rule_id").alias("rule_id"),
-        F.col(f"{RULE}.literals").isNotNull().alias("filterable"))
+    return tried.select(*keep, *_chosen(with_ruleset, f"{RULE}."), F.col(f"{RULE}.literals").isNotNull().alias("filterable"))
 
 
-def confirmed(docs, compiled: CompiledRules, key, text="text", full_match: bool = False) -> DataFrame:
+def confirmed(docs, compiled: CompiledRules, key, text="text", full_match: bool = False, with_ruleset: bool = False) -> DataFrame:
     r"""Candidates whose regex is found in the text or, with `full_match`, matches all of it."""
     keep = as_list(key)
     pairs = hit_pairs(docs, compiled, keep, text, keep)
     if full_match:
         whole = F.concat(F.lit(r"\A(?:"), F.col(f"{RULE}.rx"), F.lit(r")\z"))
         pairs = pairs.where(F.rlike(view_for(F.col(RULE), pairs), whole))
-    return pairs.select(*keep, F.col(f"{RULE}.rule_id").alias("rule_id"))
+    return pairs.select(*keep, *_chosen(with_ruleset, f"{RULE}."))
 
 
-def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame:
+def capture_groups(docs, compiled: CompiledRules, key, text="text", with_ruleset: bool = False) -> DataFrame:
     """(key, rule_id, match_no, group_no, value) for every group of every `find()` match.
 
     Group 0 is the match. A group that took no part gives the empty string.
@@ -51,20 +54,20 @@ def capture_groups(docs, compiled: CompiledRules, key, text="text") -> DataFrame
     # the text stays in its row: what is exploded are the groups
     groups = F.transform(F.sequence(F.lit(0), rule["groups"]), lambda g: F.struct(
         g.alias("group_no"), F.regexp_extract_all(view_for(rule, pairs), rule["rx"], g).alias("values")))
-    found = one_row_each(pairs.select(*keep, rule["rule_id"].alias("rule_id"), rule["bytes"].alias("_bytes"), groups.alias("_g")),
-                         [*keep, "rule_id", "_bytes"], F.col("_g"), "_group")
+    found = one_row_each(pairs.select(*keep, rule["ruleset"].alias("ruleset"), rule["rule_id"].alias("rule_id"), rule["bytes"].alias("_bytes"), groups.alias("_g")),
+                         [*keep, "ruleset", "rule_id", "_bytes"], F.col("_g"), "_group")
     # a rule that sees bytes finds them as characters of one byte each
     value = F.when(F.col("_bytes"), F.decode(F.encode("value", "ISO-8859-1"), "UTF-8")).otherwise(
         F.col("value")) if RAW in pairs.columns else F.col("value")
-    return (found.select(*keep, "rule_id", "_bytes", "_group.group_no", F.posexplode_outer("_group.values").alias("match_no", "value"))
-            .where("value IS NOT NULL").select(*keep, "rule_id", "match_no", "group_no", value.alias("value")))
+    return (found.select(*keep, "ruleset", "rule_id", "_bytes", "_group.group_no", F.posexplode_outer("_group.values").alias("match_no", "value"))
+            .where("value IS NOT NULL").select(*keep, *_chosen(with_ruleset), "match_no", "group_no", value.alias("value")))
 
 
 # characters beyond a match that ^ $ \b look at
 CONTEXT_AFTER = 3
 
 
-def group_spans(docs, compiled: CompiledRules, key, text="text", offset_unit: str = "utf16") -> DataFrame:
+def group_spans(docs, compiled: CompiledRules, key, text="text", offset_unit: str = "utf16", with_ruleset: bool = False) -> DataFrame:
     """(key, rule_id, match_no, group_no, start, end, value) for every group of every `find()` match.
 
     `end` is exclusive. Group 0 is the match. A group that took no part has NULL for all three; one that matched the empty text
@@ -135,7 +138,7 @@ def group_spans(docs, compiled: CompiledRules, key, text="text", offset_unit: st
         s, e = placed(s), placed(e)
     elif offset_unit != "codepoint":
         s, e = (convert_offset(F.col(TEXT), x, offset_unit) for x in (s, e))
-    return rows.select(*keep, rule["rule_id"].alias("rule_id"), F.col("_match.match_no").alias("match_no"), F.col("_group.group_no").alias("group_no"),
+    return rows.select(*keep, *_chosen(with_ruleset, f"{RULE}."), F.col("_match.match_no").alias("match_no"), F.col("_group.group_no").alias("group_no"),
                        s.alias("start"), e.alias("end"), value.alias("value"))
 
 

@@ -21,6 +21,15 @@ def same_rules(left: DataFrame, right: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def same_rulesets(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(ruleset, same): for each ruleset of either table, whether both have the same rules in it."""
+    a, b = normalized(left), normalized(right)
+    other = a.exceptAll(b).select("ruleset").unionAll(b.exceptAll(a).select("ruleset")).distinct().select(
+        F.col("ruleset").alias("_set"), F.lit(False).alias("_same"))
+    return a.select("ruleset").unionAll(b.select("ruleset")).distinct().join(
+        other, F.col("ruleset").eqNullSafe(F.col("_set")), "left").select("ruleset", F.coalesce("_same", F.lit(True)).alias("same"))
+
+
 def ruleset_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """(rule_id, change, old_pattern, new_pattern): rules added, removed or changed."""
     a = normalized(old).select("ruleset", "rule_id", F.struct("pattern", "dialect", "flags").alias("old"))
@@ -40,5 +49,10 @@ def rule_count(rules: DataFrame) -> int:
     return rules.count()
 
 
+def rule_counts(rules: DataFrame) -> DataFrame:
+    """(ruleset, n_rules)."""
+    return rules.groupBy("ruleset").agg(F.count("*").alias("n_rules"))
+
+
 def with_flag_bits(rules: DataFrame) -> DataFrame:
     return rules.withColumn("flag_bits", flag_bits(F.col("flags")))

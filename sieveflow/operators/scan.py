@@ -46,7 +46,7 @@ def _position(rule: Column, span: Column, unit: str, byte_scan: bool, has_raw: b
     }
 
 
-def _spans_of(rule: Column, df: DataFrame, compiled: CompiledRules, unit: str, semantics, byte_scan: bool) -> Column:
+def spans_of(rule: Column, df: DataFrame, compiled: CompiledRules, unit: str, semantics, byte_scan: bool) -> Column:
     shape = compiled.shape
     in_text = spans(F.col(TEXT), rule, "byte" if byte_scan else unit, semantics, shape)
     if RAW not in df.columns:
@@ -99,7 +99,7 @@ def matches_per_text(docs: DataFrame, compiled: CompiledRules, key, text: str =
 
     def of_rule(rule: Column) -> Column:
         return F.transform(
-            _spans_of(rule, views, compiled, offset_unit, semantics, byte_scan),
+            spans_of(rule, views, compiled, offset_unit, semantics, byte_scan),
             lambda s: _match_struct(rule, s, views, offset_unit, byte_scan))
 
     reported = F.filter(F.col(HITS), lambda r: ~r["quiet"]) if compiled.has("quiet") else F.col(HITS)
@@ -142,7 +142,7 @@ def scan(docs: DataFrame, compiled: CompiledRules, key, text: str = "text", keep
         return match_rows(df, keep, F.transform(
             found, lambda s: _match_struct(rule, s, pairs, offset_unit, byte_scan))).select(*columns)
 
-    spans_here = _spans_of(rule, pairs, compiled, offset_unit, semantics, byte_scan)
+    spans_here = spans_of(rule, pairs, compiled, offset_unit, semantics, byte_scan)
     if not spread or semantics == "find":
         return published(pairs, spans_here)
     scattered = rule["kind"].isin("runs", "whole") & ~rule["single"] & ~rule["java"]

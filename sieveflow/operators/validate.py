@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binding import let
 from ..functions.flags import has_flag, regex_options, unknown_flags
-from ..functions.syntax import java_source, java_tokens, refused_construct, tokens
+from ..functions.syntax import java_source, java_tokens, merged_repeats, refused_construct, tokens
 from ..schemas import DIRECT
 
 
@@ -74,6 +74,17 @@ def slow_rule_hint(pattern: Column) -> Column:
     return F.rlike(pattern, F.lit(r"[*+]\)(?:[*+]|\{\d+,\d*\})"))
 
 
+def set_apart_slow(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rules table without those that may take exponential time, and these with a `reason`.
+
+    Nested repeats that compiling makes one (see `merged_repeats`) are no reason.
+    """
+    toks = merged_repeats(java_tokens(tokens(F.col("pattern")), F.col("dialect")))
+    plain = F.array_contains("flags", "LITERAL") | F.array_contains("flags", "COMBINATION")
+    marked = rules.withColumn("reason", F.when(~plain & slow_rule_hint(F.array_join(toks, "")), F.lit("a repeated group ends in a repeat")))
+    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
+
+
 def validate_rules(rules: DataFrame) -> DataFrame:
     """rule_id, pattern, is_valid, error: one row per rule."""
     error = rule_error(F.col("pattern"), F.col("flags"), F.col("dialect"))
@@ -113,3 +124,22 @@ def check_ruleset(rules: DataFrame, allow_empty: bool = False):
         some = [r.rule_id for r in repeated.limit(10).collect()]
         raise ValueError(f"{repeated.count()} duplicate rule ids, such as {some}; duplicate_ids() has all")
     return s
+
+
+def ruleset_problems(rules: DataFrame) -> DataFrame:
+    """(ruleset, problem, n): what :func:`check_ruleset` would refuse, for each ruleset of a table by itself.
+
+    `n` is the number of rules without an id, with a negative one, or that repeat one.
+    """
+    repeated = duplicate_ids(rules).groupBy("ruleset").agg(F.sum(F.col("count") - 1).alias("repeats")).withColumnRenamed("ruleset", "_set")
+    counted = rules.groupBy("ruleset").agg(
+        F.count_if(F.col("rule_id").isNull()).alias("unnamed"), F.count("rule_id").alias("named"), F.count_if(F.col("rule_id") < 0).alias("negative"))
+    found = counted.join(repeated, F.col("ruleset").eqNullSafe(F.col("_set")), "left")
+
+    def problem(name: str, n: Column) -> Column:
+        return F.when(n > 0, F.struct(F.lit(name).alias("problem"), n.cast("bigint").alias("n")))
+
+    problems = F.array_compact(F.array(
+        problem("some rules have an id and some have none", F.when(F.col("named") > 0, F.col("unnamed"))),
+        problem("negative rule id", F.col("negative")), problem("duplicate rule ids", F.col("repeats"))))
+    return found.select("ruleset", F.explode(problems).alias("p")).select("ruleset", "p.problem", "p.n")

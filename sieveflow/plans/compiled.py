@@ -24,8 +24,8 @@ from ..functions.binding import let
 from ..functions.flags import has_flag, quote_literal, with_options
 from ..functions.spans import Shape
 from ..functions.syntax import (
-    capture_groups, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, looks_around, marked_groups, needs_byte_view,
-    never_overlaps, plain_edge, required_literals, run_class, run_with_match, steps, tokens, widest,
+    capture_groups, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, looks_around, marked_groups, merged_repeats,
+    needs_byte_view, never_overlaps, plain_edge, required_literals, run_class, run_with_match, steps, tokens, widest,
 )
 from ..operators import validate
 from ..operators.validate import RuleError, check_ruleset, nullable_rule, rule_error
@@ -39,7 +39,7 @@ ANCHOR_LENGTH = 12
 MAX_ALTERNATION = 8_000
 
 RULE_FIELDS = {
-    "rule_id": "int", "ruleset": "string", "rx": "string", "literals": "array<string>", "bytes": "boolean",
+    "rule_id": "int", "ruleset": "string", "rx": "string", "literals": "array<string>", "also": "array<string>", "bytes": "boolean",
     "utf8": "boolean", "kind": "string", "run_rx": "string", "last_rx": "string", "steps": "array<struct<rx:string,lo:int>>", "nullable": "boolean", "som": "boolean",
     "single": "boolean", "quiet": "boolean", "java": "boolean", "groups": "int",
 }
@@ -58,7 +58,7 @@ def _derivation(application: str) -> list[dict[str, Column]]:
     run = run_class(jtoks, flags)
     return [
         {"error": rule_error(pattern, flags, dialect), "toks": tokens(pattern)},
-        {"bytes": needs_byte_view(toks, pattern, flags, dialect), "jtoks": java_tokens(toks, dialect)},
+        {"bytes": needs_byte_view(toks, pattern, flags, dialect), "jtoks": merged_repeats(java_tokens(toks, dialect))},
         {"jtoks": F.when(F.col("bytes"), latin1_tokens(jtoks)).otherwise(jtoks)},
         {"body": F.when(literal, quote_literal(pattern)).otherwise(java_source(jtoks, dialect))},
         {
@@ -66,6 +66,7 @@ def _derivation(application: str) -> list[dict[str, Column]]:
             "run_rx": let(run, lambda r: with_options(run_with_match(r, body), flags, dialect)),
             "last_rx": F.when(~literal, with_options(last_atom(jtoks, dialect), flags, dialect)),
             "literals": required_literals(toks, pattern, flags, dialect),
+            "also": required_literals(toks, pattern, flags, dialect, every=True),
             "kind": F.when(stepwise.isNotNull(), F.lit("steps")).when(nullable, F.lit("whole"))
                      .when(fixed_width(toks) & ~literal & never_overlaps(jtoks, flags), F.lit("apart"))
                      .when(fixed_width(toks) | literal, F.lit("fixed")).otherwise(F.lit("runs")),
@@ -86,7 +87,7 @@ def _derivation(application: str) -> list[dict[str, Column]]:
 def group_marks(rules: DataFrame) -> DataFrame:
     """(ruleset, rule_id, marked, marks, wide, unsure) of the rules with capturing groups: see `marked_groups`."""
     pattern, flags, dialect = F.col("pattern"), F.col("flags"), F.col("dialect")
-    toks = java_tokens(tokens(pattern), dialect)
+    toks = merged_repeats(java_tokens(tokens(pattern), dialect))
     jtoks = F.when(F.col("bytes"), latin1_tokens(toks)).otherwise(toks)
     marked = rules.where("groups > 0").select("ruleset", "rule_id", "flags", "dialect", jtoks.alias("_toks")).select(
         "ruleset", "rule_id", "flags", "dialect", looks_around(F.col("_toks")).alias("wide"),
@@ -194,6 +195,8 @@ class CompiledRules:
         def value(r, name):
             if r["kind"] != only.get(name, r["kind"]) or r[name] is None:
                 return None
+            if name == "also":  # one literal is looked for anyway
+                return [w for w in r[name] if [w] != r["literals"]] or None
             return [s.asDict() for s in r[name]] if name == "steps" else r[name]
 
         text = json.dumps([{n: value(r, n) for n in RULE_FIELDS} for r in rows])
@@ -231,7 +234,8 @@ class CompiledRules:
         numbers = F.array_distinct(F.flatten(F.transform(found, rule_numbers)))
         tried = F.filter(
             F.transform(numbers, lambda i: F.element_at(rules, i)),
-            lambda r: F.exists(r["literals"], lambda w: F.contains(lower_text, w)))
+            lambda r: F.exists(r["literals"], lambda w: F.contains(lower_text, w))
+            & F.forall(F.coalesce(r["also"], F.array().cast("array<string>")), lambda w: F.contains(lower_text, w)))
         return F.concat(tried, self.literal(always)) if always else tried
 
 
@@ -290,6 +294,29 @@ def _assembled(table: DataFrame, rows: list | None, n_rules: int, max_bytes: int
     return CompiledRules(table, n_rules, plain, combinations, kept)
 
 
+SAMPLED_TEXTS = 200
+
+
+def choose_factors(compiled: CompiledRules, docs: DataFrame, text: str = "text", n_texts: int = SAMPLED_TEXTS) -> CompiledRules:
+    """The same ruleset, looking first for the literal of each rule that fewest texts hold.
+
+    Judged by at most `n_texts` texts of `docs`. That changes which texts are tried, never which match: of a rule's
+    literals each match contains all. A ruleset beyond the size bound is returned as it is.
+    """
+    if not compiled.fits:
+        return compiled
+    choices = sorted({w for r in compiled.rows if r["also"] and len(r["also"]) > 1 for w in r["also"]})
+    if not choices:
+        return compiled
+    words = F.from_json(F.lit(json.dumps(choices)), "array<string>")
+    held = docs.select(F.lower(F.col(text)).alias("t")).where("t IS NOT NULL").limit(n_texts).select(
+        F.explode(F.filter(words, lambda w: F.contains(F.col("t"), w))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    n = {r.w: r.n for r in held.collect()}  # at most one row per literal of the ruleset
+    rows = [{**r, "literals": [min(r["also"], key=lambda w: (n.get(w, 0), -len(w), w))]} if r["also"] and len(r["also"]) > 1 else r
+            for r in compiled.rows]
+    return CompiledRules(compiled.table, compiled.n_rules, rows, compiled.combinations)
+
+
 def library_digest() -> str:
     """Changes with everything that a derived column depends on."""
     parts = (syntax, flag_functions, spans, offsets, validate, sys.modules[__name__])

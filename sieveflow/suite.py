@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    any_match, any_match_alternation, byte_slice, candidates, capture_groups, combination_events, combinations, compile_rules,
+    any_match, any_match_alternation, byte_slice, candidates, capture_groups, choose_factors, combination_events, combinations, compile_rules,
     confirmed, first_k, group_spans, hits, load_compiled, load_rules, lookup_rules, match_counts, matches_per_text, no_match,
-    ordered_matches, rule, rule_hits_per_text, rules_from_df, rules_from_regex, rules_table, ruleset_diff,
+    for_each_match, ordered_matches, rule, rule_counts, rule_hits_per_text, rules_from_df, rules_from_regex, rules_table, ruleset_diff,
+    ruleset_problems, same_rulesets,
     save_compiled, save_rules, scan, scan_files, single_matches, take_until, validate_rules, with_flag_bits, with_has_match,
     with_positional_ids, work_folder,
 )
-from .functions.offsets import byte_to_char, convert_offset, is_clean_utf8
+from .functions.offsets import byte_to_char, clean_utf8, convert_offset, is_clean_utf8
 from .operators.rulesets import normalized
 from .operators.validate import duplicate_ids
 from .sources.inputs import spread_small_input
@@ -90,6 +91,17 @@ BOUNDED = [
     (53, r"licensed under|released under", ["CASELESS"]),
     (54, r"\bthe\b", [SOM]),
 ]
+# several literals each, all of which must occur
+FACTORS = [
+    (70, r"the[\s\S]*(?:that|this)?[\s\S]*license", ["CASELESS"]),
+    (71, r"ing [\s\S]*tion[\s\S]*\.com", []),
+    (72, r"user[\w.]*@example\.com", []),
+]
+UNICODE = [
+    (61, r"\bé\w+", ["UTF8", "UCP"]),
+    (62, r"\bÉ\w+", ["UTF8", "UCP", "CASELESS"]),
+    (63, r"\d\W\w", ["UTF8", "UCP"]),
+]
 OPTIONAL_GROUPS = [
     *GROUPS,
     (3, r"qu(e)?(s|r)?", []),
@@ -139,6 +151,10 @@ def _ruleset(name: str) -> list[dict]:
         "combined": lambda: _rules(PERSONAL_DATA + WORDS, QUIET_IDS) + [
             rule(p, "COMBINATION", i) for i, p in COMBINED],
         "bounded": lambda: _rules(BOUNDED),
+        "factors": lambda: _rules(FACTORS, dialect="java"),
+        "single": lambda: _rules([(i, p, [*f, "SINGLEMATCH"]) for i, p, f in NAMES]),
+        "empty": lambda: _rules([(60, "[aeiou]*", [SOM, "UTF8", "ALLOWEMPTY"])]),
+        "unicode": lambda: _rules(UNICODE),
         "repeats": lambda: _rules(REPEATS),
         "swept": lambda: _rules([r for r in PERSONAL_DATA + WORDS if r[0] in SWEPT_IDS], {10}) + [
             rule(p, "COMBINATION", i) for i, p in SWEPT_COMBINED],
@@ -234,6 +250,57 @@ def single_match(spark, sf_dir):
     return single_matches(table(spark, sf_dir, "part"), compiled(spark, "names"), "p_partkey", "p_name")
 
 
+def single_match_flag(spark, sf_dir):
+    return scan(table(spark, sf_dir, "part"), compiled(spark, "single"), "p_partkey", "p_name")
+
+
+def empty_matches(spark, sf_dir):
+    return scan(table(spark, sf_dir, "part"), compiled(spark, "empty"), "p_partkey", "p_name", with_is_empty=True)
+
+
+def unicode_classes(spark, sf_dir):
+    return hits(table(spark, sf_dir, "documents"), compiled(spark, "unicode"), "doc_id")
+
+
+def match_counts_own(spark, sf_dir):
+    """Every end counts, one match where the flag says so."""
+    part = table(spark, sf_dir, "part")
+    every = match_counts(part, compiled(spark, "names"), "p_brand", "p_name", semantics="own")
+    one = match_counts(part, compiled(spark, "single"), "p_brand", "p_name", semantics="own")
+    return every.withColumn("single", F.lit(False)).unionByName(one.withColumn("single", F.lit(True)))
+
+
+def handled_matches(spark, sf_dir):
+    """Matches given to a handler on the executors, which counts what it gets."""
+    seen, letters = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def handler(rows):
+        for r in rows:
+            seen.add(1)
+            letters.add(r.end - r.start + 1)
+
+    for_each_match(scan(table(spark, sf_dir, "documents"), compiled(spark, "personal"), "doc_id", semantics="find", offset_unit="codepoint"), handler)
+    return spark.createDataFrame([(seen.value, letters.value)], "n_matches long, n_chars long")
+
+
+def listed_matches(spark, sf_dir):
+    """The nested match list of each text, written out in order."""
+    nested = matches_per_text(table(spark, sf_dir, "documents"), compiled(spark, "personal"), "doc_id", semantics="find", offset_unit="codepoint")
+    in_order = F.array_sort(F.transform("matches", lambda m: F.struct(m["rule_id"].alias("i"), m["start"].alias("s"), m["end"].alias("e"), m["matched"].alias("m"))))
+    return nested.select("doc_id", F.array_join(F.transform(in_order, lambda m: F.concat_ws("|", m["i"].cast("string"), m["s"].cast("string"), m["e"].cast("string"), m["m"])), "\n").alias("matches"))
+
+
+def ordered_tags(spark, sf_dir):
+    """Two rulesets with the same ids, in one order; and which of them can match at all."""
+    return ordered_matches(table(spark, sf_dir, "pages"), compiled(spark, "tags"), "page_id", "html", with_ruleset=True, semantics="find", offset_unit="codepoint")
+
+
+def candidate_tags(spark, sf_dir):
+    pages, rules = table(spark, sf_dir, "pages"), compiled(spark, "tags")
+    return candidates(pages, rules, "page_id", "html", with_ruleset=True).drop("filterable").withColumn("kind", F.lit("candidate")).unionByName(
+        confirmed(pages, rules, "page_id", "html", with_ruleset=True).withColumn("kind", F.lit("confirmed")))
+
+
 def matches_as_list(spark, sf_dir):
     nested = matches_per_text(table(spark, sf_dir, "documents"), compiled(spark, "personal"), "doc_id",
                               semantics="find")
@@ -277,6 +344,12 @@ def prefilter_candidates(spark, sf_dir):
     return candidates(table(spark, sf_dir, "documents"), compiled(spark, "java"), "doc_id")
 
 
+def prefilter_factors(spark, sf_dir):
+    """Texts that hold all literals of a rule; the rarest one in a sample of texts is looked for first."""
+    docs = table(spark, sf_dir, "documents")
+    return candidates(docs, choose_factors(compiled(spark, "factors"), docs), "doc_id")
+
+
 def prefilter_confirmed(spark, sf_dir):
     return confirmed(table(spark, sf_dir, "documents"), compiled(spark, "java"), "doc_id")
 
@@ -454,6 +527,36 @@ def changed_rules(spark, sf_dir):
     return ruleset_diff(old, new)
 
 
+def _odd_ids(spark, sf_dir) -> DataFrame:
+    """Part names as rulesets by brand whose ids are partly missing, negative or repeated."""
+    part = table(spark, sf_dir, "part")
+    odd = F.when(F.col("p_type") == "PROMO", F.lit(None).cast("int")).when(F.col("p_type") == "SMALL", -F.col("p_partkey").cast("int")).when(
+        F.col("p_type") == "LARGE", F.col("p_size").cast("int")).otherwise(F.col("p_partkey").cast("int") + 1000)
+    return rules_from_df(part.select(odd.alias("rule_id"), F.col("p_name").alias("pattern"), F.col("p_brand").alias("ruleset")))
+
+
+def problems_of_rulesets(spark, sf_dir):
+    return ruleset_problems(_odd_ids(spark, sf_dir))
+
+
+def equal_rulesets(spark, sf_dir):
+    """Rulesets by brand against themselves with flags in another form and, for some, a rule changed."""
+    rules = _part_rules(spark, sf_dir)
+    other = rules.withColumn("flags", F.concat(F.reverse("flags"), F.array(F.lit("NO_FLAG")))).withColumn(
+        "pattern", F.when(F.col("rule_id") % 50 == 7, F.concat("pattern", F.lit("x"))).otherwise(F.col("pattern")))
+    return same_rulesets(rules, other)
+
+
+def counted_rules(spark, sf_dir):
+    return rule_counts(_part_rules(spark, sf_dir))
+
+
+def cleaned_prefixes(spark, sf_dir):
+    """Texts cut at half their bytes: what is left of a broken character becomes U+FFFD."""
+    cut = F.substring(F.encode("text", "UTF-8"), F.lit(1), F.floor(F.octet_length("text") / 2).cast("int"))
+    return table(spark, sf_dir, "conversations").select(*CONV, clean_utf8(cut).alias("cleaned"))
+
+
 def offset_conversion(spark, sf_dir):
     half = F.floor(F.length("text") / 2)
     size = F.octet_length("text")
@@ -561,6 +664,18 @@ QUERIES = {
     "all_end_matches_spread": all_end_matches_spread,
     "all_end_matches_repeats": all_end_matches_repeats,
     "combination_events": combination_events_documents,
+    "single_match_flag": single_match_flag,
+    "empty_matches": empty_matches,
+    "unicode_classes": unicode_classes,
+    "match_counts_own": match_counts_own,
+    "handled_matches": handled_matches,
+    "listed_matches": listed_matches,
+    "ordered_tags": ordered_tags,
+    "candidate_tags": candidate_tags,
+    "ruleset_problems": problems_of_rulesets,
+    "equal_rulesets": equal_rulesets,
+    "rule_counts": counted_rules,
+    "cleaned_prefixes": cleaned_prefixes,
     "single_match": single_match,
     "matches_as_list": matches_as_list,
     "ordered_matches": ordered,
@@ -571,6 +686,7 @@ QUERIES = {
     "hits_per_text": hits_per_text,
     "quiet": quiet_scan,
     "prefilter_candidates": prefilter_candidates,
+    "prefilter_factors": prefilter_factors,
     "prefilter_confirmed": prefilter_confirmed,
     "full_matches": full_matches,
     "capture_groups": captured_groups,

@@ -324,3 +324,42 @@ ORACLE["file_blocks_scan"] = f"""WITH ends AS (WITH {all_ends_in_runs('documents
         HAVING count(*) > 0
     """ + " ".join(f"""UNION ALL SELECT {i}, CAST(sum(n) AS BIGINT), {"NULL" if i == 53 else f"CAST(sum({size} * n) AS BIGINT)"}
         FROM (SELECT len(regexp_extract_all(text, {quoted(re2(*_bounded[i]))})) AS n FROM documents) HAVING sum(n) > 0""" for i, size in ((50, 3), (53, 0), (54, 3)))
+ORACLE["single_match_flag"] = ORACLE["single_match"]
+ORACLE["empty_matches"] = """WITH ends AS (SELECT p_partkey, p_name, unnest(range(0, length(p_name) + 1)) AS e FROM part),
+    found AS (SELECT p_partkey, e, regexp_extract(substr(p_name, 1, e), '[aeiou]*$') AS matched FROM ends)
+    SELECT p_partkey, CAST(60 AS INTEGER) AS rule_id, CAST(e - length(matched) AS BIGINT) AS start, CAST(greatest(e - 1, 0) AS BIGINT) AS "end",
+        matched, matched = '' AS is_empty FROM found"""
+ORACLE["unicode_classes"] = hits("documents", "doc_id", "text", [
+    (61, r"(^|[^\p{L}\p{N}\p{M}_])é[\p{L}\p{N}\p{M}_]+", ()), (62, r"(^|[^\p{L}\p{N}\p{M}_])[Éé][\p{L}\p{N}\p{M}_]+", ()),
+    (63, r"(?s)\p{Nd}[^\p{L}\p{N}\p{M}_][\p{L}\p{N}\p{M}_]", ())])
+_every_end = all_ends("part", "p_partkey", "p_name", NAMES)
+ORACLE["match_counts_own"] = f"""WITH {_every_end}, branded AS (SELECT p_brand, rule_id, found.p_partkey FROM found JOIN part ON part.p_partkey = found.p_partkey)
+    SELECT p_brand, rule_id, count(*) AS n_matches, count(DISTINCT p_partkey) AS n_texts, false AS single FROM branded GROUP BY ALL
+    UNION ALL SELECT p_brand, rule_id, count(DISTINCT p_partkey), count(DISTINCT p_partkey), true FROM branded GROUP BY ALL"""
+_found = f"WITH {find('documents', 'doc_id', 'text', PERSONAL_DATA)}"
+ORACLE["handled_matches"] = f"{_found} SELECT count(*) AS n_matches, CAST(sum(length(matched)) AS BIGINT) AS n_chars FROM found"
+ORACLE["listed_matches"] = f"""{_found} SELECT d.doc_id, coalesce(string_agg(rule_id || '|' || start || '|' || "end" || '|' || matched, chr(10) ORDER BY rule_id, start), '')
+    AS matches FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id GROUP BY d.doc_id"""
+_tag_rules = [(n, "(?i)" + p, ()) for n, (_, _, p) in enumerate(TAG_SETS)]
+_tag_names = ", ".join(f"({n}, {quoted(s)}, {i})" for n, (s, i, _) in enumerate(TAG_SETS))
+ORACLE["ordered_tags"] = f"""WITH {find('pages', 'page_id', 'html', _tag_rules)}, names(n, ruleset, id) AS (VALUES {_tag_names})
+    SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY "end", start, id, ruleset) - 1 AS INTEGER) AS seq, ruleset,
+        CAST(id AS INTEGER) AS rule_id, start, "end", matched FROM found JOIN names ON n = rule_id"""
+ORACLE["candidate_tags"] = f"""WITH r(ruleset, rule_id, pat) AS (VALUES {_tags}), found AS (
+        SELECT page_id, ruleset, CAST(rule_id AS INTEGER) AS rule_id FROM pages, r WHERE regexp_matches(html, pat))
+    SELECT *, 'confirmed' AS kind FROM found UNION ALL SELECT page_id, ruleset, CAST(rule_id AS INTEGER), 'candidate' FROM pages, r
+    WHERE contains(lower(html), CASE pat WHEN '(?i)https?://' THEN 'http' ELSE substr(pat, 5) END)"""
+ORACLE["ruleset_problems"] = """WITH r AS (SELECT p_brand AS ruleset, CASE p_type WHEN 'PROMO' THEN NULL WHEN 'SMALL' THEN -p_partkey
+            WHEN 'LARGE' THEN p_size ELSE p_partkey + 1000 END AS id FROM part)
+    SELECT ruleset, 'some rules have an id and some have none' AS problem, count(*) - count(id) AS n FROM r GROUP BY ruleset HAVING count(id) > 0 AND count(id) < count(*)
+    UNION ALL SELECT ruleset, 'negative rule id', count(*) FROM r WHERE id < 0 GROUP BY ruleset
+    UNION ALL SELECT ruleset, 'duplicate rule ids', count(id) - count(DISTINCT id) FROM r GROUP BY ruleset HAVING count(id) > count(DISTINCT id)"""
+ORACLE["equal_rulesets"] = "SELECT p_brand AS ruleset, bool_and(p_partkey % 50 <> 7) AS same FROM part GROUP BY p_brand"
+ORACLE["rule_counts"] = "SELECT p_brand AS ruleset, count(*) AS n_rules FROM part GROUP BY p_brand"
+ORACLE["cleaned_prefixes"] = """WITH chars AS (SELECT conv_id, turn, text, strlen(text) // 2 AS half, unnest(range(0, length(text) + 1)) AS i FROM conversations),
+    kept AS (SELECT conv_id, turn, any_value(text) AS text, any_value(half) AS half, max(i) FILTER (strlen(text[1:i]) <= half) AS k FROM chars GROUP BY conv_id, turn)
+    SELECT conv_id, turn, text[1:k] || CASE WHEN strlen(text[1:k]) < half THEN chr(65533) ELSE '' END AS cleaned FROM kept"""
+ORACLE["prefilter_factors"] = " UNION ALL ".join(
+    f"SELECT doc_id, CAST({i} AS INTEGER) AS rule_id, true AS filterable FROM documents WHERE "
+    + " AND ".join(f"contains(lower(text), {quoted(w)})" for w in words)
+    for i, words in ((70, ["the", "license"]), (71, ["ing ", "tion", ".com"]), (72, ["user", "@example.com"])))

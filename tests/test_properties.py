@@ -3,7 +3,7 @@
 import random
 import re
 
-from sieveflow import candidates, compile_rules, hits, rule, rules_table, scan
+from sieveflow import candidates, choose_factors, compile_rules, hits, rule, rules_table, scan
 from sieveflow.schemas import JAVA
 
 ATOMS = ["a", "b", "c", "ab", "bca", "abc", "k", "is", r"\.", "[ab]", "[^a]", r"\w", r"\d", "x", "cab"]
@@ -115,3 +115,24 @@ def test_long_texts_in_about_linear_time(spark):
     df = spark.createDataFrame([(1, text), (2, text.replace("\n", "_"))], "doc_id int, text string")
     counts = {(r.doc_id, r.rule_id): r["count"] for r in scan(df, compiled, "doc_id").groupBy("doc_id", "rule_id").count().collect()}
     assert counts == {(1, 1): 20_000, (1, 2): 40_000, (2, 0): 1, (2, 1): 20_000, (2, 2): 40_000}
+
+
+def test_chosen_factors_keep_every_hit(spark):
+    rng = random.Random(31)
+    words = ["lorem", "ipsum", "dolor", "the", "rare", "sit"]
+    patterns = [r".*".join(rng.sample(words, rng.randint(1, 3))) for _ in range(25)] + ["(?:lorem|sit).*rare", "the|rare.*sit", "rare(?:.*sit)?", "lorem[a-z]{3,}ipsum+"]
+    rules = [rule(p, ["CASELESS", "DOTALL"], i, dialect=d) for i, (p, d) in enumerate((p, d) for p in patterns for d in ("direct", JAVA))]
+    texts = [" ".join(rng.choice(words[:4] * 4 + words).upper() if rng.random() < 0.2 else rng.choice(words[:4] * 4 + words)
+                      for _ in range(rng.randrange(8))) for _ in range(150)]
+    docs = frame(spark, texts)
+    for bounds in ({}, {"max_rules": 0}):
+        compiled = compile_rules(rules_table(spark, rules), **bounds)
+        chosen = choose_factors(compiled, docs)
+        before, after = ({(r.doc_id, r.rule_id) for r in candidates(docs, c, "doc_id").collect()} for c in (compiled, chosen))
+        found = {(r.doc_id, r.rule_id) for r in hits(docs, chosen, "doc_id").collect()}
+        assert found == {(d, r["rule_id"]) for d, t in enumerate(texts) for r in rules if re.search(r["pattern"], t, re.I | re.S)}
+        assert found <= after == before
+        assert len(after) < 1.6 * len(found)
+        if not bounds:
+            assert sum(a["literals"] != b["literals"] for a, b in zip(compiled.rows, chosen.rows)) > 5
+            assert "Join" not in hits(docs, chosen, "doc_id")._jdf.queryExecution().toString()

@@ -1,3 +1,5 @@
+import random
+import re
 import time
 
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sieveflow import (
     RuleError, compile_rules, hits, load_compiled, load_rules, rule, rule_count, rules_from_df, rules_from_regex, rules_table,
-    ruleset_diff, same_rules, save_compiled, save_rules, scan, validate_rules, with_flag_bits, work_folder,
+    ruleset_diff, same_rules, save_compiled, save_rules, scan, set_apart_slow, validate_rules, with_flag_bits, work_folder,
 )
 from sieveflow.operators.validate import slow_rule_hint
 from sieveflow.plans import compiled as compiled_module
@@ -177,3 +179,34 @@ def test_reload_of_many_rules_is_much_faster(spark):
     assert load_compiled(spark, path).n_rules == 10_000
     print("compiled", compiled_in, "loaded", time.perf_counter() - start)
     assert time.perf_counter() - start < compiled_in / 2
+
+
+def test_nested_repeats_become_one(spark):
+    """The same matches as by definition, and no exponential time."""
+    shapes = ["(a+)+", "(?:a+)*b", "(?:[ab]*)+c", "(?:a*)*", "x(?:\\w+)+", "(?:.+)+b", "(a+)+(b+)+"]
+    rules = rules_table(spark, [rule(p, ["SOM_LEFTMOST", "ALLOWEMPTY", "UTF8"], i) for i, p in enumerate(shapes)])
+    compiled = compile_rules(rules)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("aabcx ") for _ in range(rng.randrange(10))) for _ in range(40)]
+    got = {(r.doc_id, r.rule_id, r.end, r.is_empty): r.start for r in scan(docs(spark, *texts), compiled, "doc_id", with_is_empty=True).collect()}
+    want = {}
+    for i, p in enumerate(shapes):
+        for d, t in enumerate(texts):
+            for e in range(len(t) + 1):
+                s = next((s for s in range(e + 1) if re.fullmatch(p, t[s:e])), None)
+                if s is not None:
+                    want[d, i, max(e - 1, 0), s == e] = s
+    assert got == want
+    hard = docs(spark, "a" * 40 + "!", "ab" * 20 + "!")
+    slow = compile_rules(rules_table(spark, [rule("(a+)+c", (), 0), rule("(?:[ab]*)*c", (), 1), rule("(a+)+$", (), 2, dialect="java")]))
+    hits(hard, slow, "doc_id").collect()
+    start = time.perf_counter()
+    assert hits(hard, slow, "doc_id").count() == 0 and time.perf_counter() - start < 2
+
+
+def test_slow_rules_are_set_apart(spark):
+    rules = rules_table(spark, [rule(p, (), i, dialect="java") for i, p in enumerate(["(a+)+", "(ab+)+c", "(?:a*)*x", "ab", "(?:a+b*)*"])] + [
+        rule("(ab+)+c", ["LITERAL"], 9, dialect="java")])
+    rest, slow = set_apart_slow(rules)
+    assert sorted(r.rule_id for r in rest.collect()) == [0, 2, 3, 9]
+    assert sorted((r.rule_id, r.reason) for r in slow.collect()) == [(1, "a repeated group ends in a repeat"), (4, "a repeated group ends in a repeat")]
