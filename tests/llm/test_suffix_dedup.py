@@ -95,3 +95,34 @@ def test_query_on_given_table(spark):
 
 def test_empty(spark):
     assert rows_of(remove_repeated(empty_docs(spark))) == []
+
+
+def test_many_copies_of_one_row(spark):
+    """Repeated rows are one text with one list of spans: time and memory in proportion to the rows."""
+    rng = random.Random(6)
+    text = "".join(rng.choices("abcdefgh é", k=3000))
+    rows = [(7, text, "en", "a", 1)] * 20_000 + [(None, text, "en", "a", 1)] * 500 + [(8, text[:2000] + "other", "en", "a", 1), (9, text[:500], "en", "a", 1)]
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in remove_repeated(odd_docs(spark, True, rows).repartition(8)).select(
+        "doc_id", "n_bytes", "n_removed").collect())
+    n, shared, short = len(text.encode()), len(text[:2000].encode()), len(text[:500].encode())
+    assert got == {(7, n, n): 20_000, (None, n, n): 500, (8, shared + 5, shared): 1, (9, short, short): 1}
+
+
+def test_planted_passages(spark):
+    """Passages of 400 to 600 bytes, some between characters of several bytes, go from all documents; clean documents stay whole."""
+    rng = random.Random(12)
+    word = lambda k, letters="abcdefghijklm ": "".join(rng.choices(letters, k=k))
+    passages = [word(rng.randrange(400, 600)) for _ in range(12)] + [word(rng.randrange(380, 450), "é日abc ") for _ in range(12)]
+    rows, planted = [], []
+    for i in range(400):
+        before, after = word(rng.randrange(900), "é日xyz "), word(rng.randrange(900), "éuvw ")
+        p = rng.choice(passages) if i % 4 == 0 else ""
+        rows.append((i, before + p + after, "en", "a", 1))
+        planted.append(p)
+    got = {r.doc_id: r for r in remove_repeated(odd_docs(spark, False, rows)).collect()}
+    want = plain_removal([r[1].encode() for r in rows])
+    for (i, text, *_), p, w in zip(rows, planted, want):
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, bytes(got[i].kept)) == tuple(w)
+        assert (p.encode() in bytes(got[i].kept)) == (not p) if planted.count(p) > 1 and len(p.encode()) >= 400 else True
+        if not p:
+            assert got[i].n_removed == 0
