@@ -15,7 +15,8 @@ documents, so copies are never expanded into pairs.
 
 Defined results: a NULL or empty text has no shingle and fingerprint 0, which links like any
 other. A text of fewer words than a shingle is one shingle. A NULL id takes part, but is never
-the name of a group unless all its ids are NULL. Repeated rows give repeated rows. An empty
+the name of a group unless all its ids are NULL. Repeated rows give repeated rows; where one of them is kept, it is the one whose
+whole row has the least hash. Very long texts are hashed `BLOCK` shingles at a time. An empty
 table gives an empty table; other columns are ignored.
 """
 
@@ -29,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Scratch, small_batches
+from .common import Scratch, row_hash, small_batches
 
 SEED = 42
 SHINGLE = 3
@@ -178,14 +179,15 @@ def one_per_root(docs: DataFrame, roots: DataFrame, id_col: str, text_col: str)
 
     `roots` has (digest, root) for each different text, so a row is judged by its own text whatever its id.
     """
-    rows = docs.select(F.struct("*").alias("__row"), F.col(f"`{id_col}`").alias("__doc"), text_digest(text_col).alias("__digest"))
+    rows = docs.select(F.struct("*").alias("__row"), F.col(f"`{id_col}`").alias("__doc"), text_digest(text_col).alias("__digest"),
+                       row_hash(docs).alias("__tie"))
     counts = rows.groupBy("__digest", "__doc").agg(F.count("*").alias("n"))
     first = counts.join(roots, F.col("__digest") == F.col("digest")).groupBy("root").agg(F.min(F.struct(
         F.col("__doc").isNull().alias("unnamed"), F.col("__doc").alias("id"), "digest", "n")).alias("k"))
     kept = first.select(F.col("k.id").alias("__id"), F.col("k.digest").alias("__of"), F.col("k.n").alias("__n"))
     rows = rows.join(kept, (F.col("__digest") == F.col("__of")) & F.col("__doc").eqNullSafe(F.col("__id")))
     single = rows.where("__n = 1").select("__row.*")
-    repeated = rows.where("__n > 1").dropDuplicates(["__digest", "__doc"]).select("__row.*")
+    repeated = rows.where("__n > 1").groupBy("__digest", "__doc").agg(F.min_by("__row", "__tie").alias("__row")).select("__row.*")
     return reduce(DataFrame.unionByName, [single, repeated])
 
 

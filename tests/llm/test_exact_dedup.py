@@ -2,8 +2,10 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import CLASH, ODD, empty_docs, odd_docs, rows_of
+from sieveflow.llm import exact_dedup
 from sieveflow.llm.exact_dedup import drop_copies, exact_groups
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -50,3 +52,20 @@ def test_drop_copies_keeps_all_columns(spark):
 
 def test_empty(spark):
     assert rows_of(exact_groups(empty_docs(spark))) == [] and rows_of(drop_copies(empty_docs(spark))) == []
+
+
+def test_neighbours_decide_what_is_equal(spark, monkeypatch):
+    """Texts that begin alike and had one digest: only the full comparison of neighbours tells them apart."""
+    monkeypatch.setattr(exact_dedup, "_digest", lambda norm: F.lit("00"))
+    rows = [(i, "the same beginning of many texts " + "abc"[i % 3] * (i % 2), "en", "a", 1) for i in range(300)]
+    want = brute(rows, "largest")
+    docs = odd_docs(spark, rows=rows)
+    got = exact_groups(docs, keep="largest").collect()
+    assert sorted((r.keep_id, r.group_size) for r in got) == sorted(want[t] for _, t, *_ in rows)
+    assert {r.doc_id for r in got if r.kept} == {k for k, _ in want.values()} == {r.doc_id for r in drop_copies(docs, keep="largest").collect()}
+
+
+def test_ties_are_settled_the_same_way(spark):
+    rows = [(1, "a text", "en", s, n) for n, s in enumerate("abcdefgh")]
+    kept = [drop_copies(odd_docs(spark, rows=r).repartition(k)).collect() for r, k in ((rows, 1), (rows[::-1], 3), (rows[3:] + rows[:3], 7))]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 1
