@@ -138,7 +138,14 @@ def _filtered(docs, compiled, key, text, byte_scan, wanted) -> DataFrame:
 
 
 def lookup_rules(matches: DataFrame, compiled: CompiledRules, columns=("pattern", "flags")) -> DataFrame:
-    """Rule attributes for each match; NULL for an id the ruleset does not have."""
+    """Rule attributes for each match; NULL for an id the ruleset does not have.
+
+    Where several rulesets have an id, only matches with their ruleset (`with_ruleset=True`) say which rule is meant.
+    """
+    if "ruleset" not in matches.columns:
+        shared = compiled.table.groupBy("rule_id").agg(F.count("*").alias("n")).where("n > 1").limit(10).collect()
+        if shared:
+            raise ValueError(f"several rulesets have rules {sorted(r.rule_id for r in shared)}: look up matches that carry their ruleset")
     on = ["ruleset", "rule_id"] if "ruleset" in matches.columns else ["rule_id"]
     rules = compiled.table.select(*on, *columns)
     rules = F.broadcast(rules) if compiled.fits else rules

@@ -7,6 +7,8 @@ one record.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -90,10 +92,35 @@ def deliver_results(docs: DataFrame, operator, path: str, checkpoint: str, fmt:
     return deliver(docs, write, checkpoint, available_now)
 
 
-def delivered(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
-    """What :func:`deliver_results` has written so far, as a table."""
+def deliver_once(docs: DataFrame, operator, path: str, checkpoint: str, keys, order: str | None = None, fmt: str = "parquet",
+                 available_now: bool = True):
+    """Like :func:`deliver_results`, but of all rows with the same `keys` only one is ever delivered, whenever they come.
+
+    A batch is compared with all that earlier batches delivered, so no watermark makes a key new again and nothing is
+    repeated after a restart. `order` names the column whose least value stays within a batch. The table of what was delivered is
+    the state: it has one row per key, is read by its keys only and grows with their number.
+    """
+    keys = as_list(keys)
+
+    def write(batch: DataFrame, number: int) -> None:
+        found = operator(batch)
+        row = F.struct(*(F.col(f"`{c}`") for c in found.columns))
+        least = F.xxhash64(*(F.col(f"`{c}`") for c in found.columns))
+        first = found.groupBy(*keys).agg(F.min_by(row, F.struct(F.col(order) if order else F.lit(0), least)).alias("_row")).select("_row.*")
+        earlier = delivered(batch.sparkSession, path, "batch bigint, " + ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema if f.name in keys), fmt, None).where(F.col("batch") < number)
+        known = earlier.select(*(F.col(k).alias(f"_known_{k}") for k in keys))
+        new = first.join(known, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]), "left_anti")
+        new.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch={number}")
+
+    return deliver(docs, write, checkpoint, available_now)
+
+
+def delivered(spark: SparkSession, path: str, schema, fmt: str = "parquet", number: str | None = "batch") -> DataFrame:
+    """What :func:`deliver_results` and :func:`deliver_once` have written so far, as a table without the batch `number`."""
     try:
-        return spark.read.schema(schema).format(fmt).load(path).drop("batch")
+        found = spark.read.schema(schema).format(fmt).load(path)
+        return found.drop(number) if number else found
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

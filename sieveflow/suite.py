@@ -17,7 +17,7 @@ from .operators.rulesets import normalized
 from .operators.validate import duplicate_ids
 from .sources.inputs import spread_small_input
 from .streaming.streams import (
-    deliver_results, delivered, read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
+    deliver_once, deliver_results, delivered, read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
 )
 
 SOM = "SOM_LEFTMOST"
@@ -600,6 +600,17 @@ def stream_large_hits(spark, sf_dir):
     return delivered(spark, path, "doc_id bigint, rule_id int")
 
 
+def stream_alerts_once(spark, sf_dir):
+    """The events in several batches: one alert per user and rule for good, with no watermark."""
+    path = work_folder(spark, "alerts")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(4, "event_id").write.parquet(f"{path}/events")
+    stream = read_stream(spark, f"{path}/events", events.schema, maxFilesPerTrigger=1)
+    deliver_once(stream, lambda batch: hits(batch, compiled(spark, "events"), "user_id", "props"), f"{path}/alerts", f"{path}/checkpoint",
+                 ["user_id", "rule_id"]).awaitTermination()
+    return delivered(spark, f"{path}/alerts", f"user_id {dict(events.dtypes)['user_id']}, rule_id int")
+
+
 def windowed_matches(spark, sf_dir):
     counts = windowed_counts(_stream(spark, sf_dir, "events"), compiled(spark, "events"), "event_id", "ts",
                              "1 hour", "1 hour", "props")
@@ -724,6 +735,7 @@ QUERIES = {
     "stream_scan": stream_scan,
     "stream_spans": stream_spans,
     "stream_large_hits": stream_large_hits,
+    "stream_alerts_once": stream_alerts_once,
     "stream_single_alert": stream_single_alert,
     "windowed_matches": windowed_matches,
     "session_combination": session_combination,

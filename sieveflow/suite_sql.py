@@ -363,3 +363,4 @@ ORACLE["prefilter_factors"] = " UNION ALL ".join(
     f"SELECT doc_id, CAST({i} AS INTEGER) AS rule_id, true AS filterable FROM documents WHERE "
     + " AND ".join(f"contains(lower(text), {quoted(w)})" for w in words)
     for i, words in ((70, ["the", "license"]), (71, ["ing ", "tion", ".com"]), (72, ["user", "@example.com"])))
+ORACLE["stream_alerts_once"] = ORACLE["stream_single_alert"]

@@ -2,7 +2,7 @@ import datetime as dt
 
 from sieveflow import compile_rules, hits, rule, rules_table, scan, work_folder
 from sieveflow.streaming.streams import (
-    deliver, deliver_results, delivered, read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
+    deliver, deliver_once, deliver_results, delivered, read_stream, run_available, session_combinations, single_alerts, stream_hits, windowed_counts,
 )
 
 RULES = [rule("error", (), 0), rule("warn", (), 1), rule("0 & !1", "COMBINATION", 9)]
@@ -13,13 +13,22 @@ def at(minutes):
     return START + dt.timedelta(minutes=minutes)
 
 
+folders = {}
+
+
+def stream_folder(spark, stream):
+    return folders[id(stream)]
+
+
 def source(spark, *batches):
     """A stream of files, one per batch, and the same as a table."""
     path = work_folder(spark, "events")
     for rows in batches:
         spark.createDataFrame(rows, "user int, ts timestamp_ntz, text string").coalesce(1).write.mode("append").parquet(path)
     table = spark.read.parquet(path)
-    return read_stream(spark, path, table.schema, maxFilesPerTrigger=1), table
+    stream = read_stream(spark, path, table.schema, maxFilesPerTrigger=1)
+    folders[id(stream)] = path
+    return stream, table
 
 
 EVENTS = [(1, at(0), "error"), (1, at(5), "error warn"), (2, at(7), "warn"), (1, at(70), "error"), (3, at(71), "ok")]
@@ -81,3 +90,22 @@ def test_results_of_a_large_ruleset_are_delivered_once(spark):
     want = sorted(tuple(r) for r in hits(table, compiled, "user").collect())
     # a second checkpoint runs all batches again, under the same numbers
     assert once(1) == want == once(2) and len(want) == 5
+
+
+def test_alerts_are_delivered_once_for_good(spark):
+    """Neither the same key much later nor a restart repeats an alert."""
+    compiled = compile_rules(rules_table(spark, RULES[:2]))
+    events = [(1, at(0), "error"), (None, at(1), "warn"), (1, at(2), "error")], [(1, at(90_000), "error"), (2, at(90_001), "warn"), (None, at(3), "warn")]
+    stream, _ = source(spark, *events)
+    path = work_folder(spark, "once")
+
+    def run(source):
+        deliver_once(source, lambda b: hits(b, compiled, "user", keep=["ts"]), path, path + "-checkpoint", ["user", "rule_id"], "ts").awaitTermination()
+        return sorted(((r.user, r.rule_id, r.ts) for r in delivered(spark, path, "user int, ts timestamp_ntz, rule_id int").collect()), key=str)
+
+    want = sorted([(1, 0, at(0)), (None, 1, at(1)), (2, 1, at(90_001))], key=str)
+    assert run(stream) == want
+    # a restart with more input under the same checkpoint
+    table = stream_folder(spark, stream)
+    spark.createDataFrame([(2, at(99_000), "warn"), (3, at(99_001), "error")], "user int, ts timestamp_ntz, text string").coalesce(1).write.mode("append").parquet(table)
+    assert run(read_stream(spark, table, stream.schema, maxFilesPerTrigger=1)) == sorted([*want, (3, 0, at(99_001))], key=str)
