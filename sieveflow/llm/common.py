@@ -55,10 +55,11 @@ def small_batches(df: DataFrame, rows: int = 500) -> DataFrame:
     return df
 
 
-def row_hash(df: DataFrame) -> Column:
-    """A hash of a whole row: of rows that tie in all that matters, the one of least hash is taken, on every run the same.
-    Map columns, which have no hash, are left out."""
-    return F.xxhash64(F.lit(0), *(F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()))
+def row_hash(df: DataFrame, packed: str | None = None) -> Column:
+    """A hash of a whole row of `df` (or of the struct column `packed` that holds it): of rows that tie in all that
+    matters, the one of least hash is taken, on every run the same. Map columns, which have no hash, are left out."""
+    names = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(F.lit(0), *(F.col(f"`{n}`") if packed is None else F.col(packed).getField(n) for n in names))
 
 
 def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:

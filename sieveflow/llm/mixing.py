@@ -167,13 +167,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     chosen = _decisions(docs, id_col, text_col, source_col, weights, share, max_copies).where("unit_copies > 0").select(
         F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("text_key").alias("__k"), "n_rows", "unit_copies")
     rows = docs.select(F.struct("*").alias("__row"), F.col(f"`{id_col}`").alias("__id"), F.col(f"`{source_col}`").alias("__source"),
-                       F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("__key"), row_hash(docs).alias("__tie"))
+                       F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("__key"))
     joined = rows.join(chosen, F.col("__id").eqNullSafe(F.col("__i")) & F.col("__source").eqNullSafe(F.col("__s"))
                        & (F.col("__key") == F.col("__k")))
     # of rows that repeat id, source and text the one of least hash stands for all
     single = joined.where("n_rows = 1")
     repeated = joined.where("n_rows > 1").groupBy("__id", "__source", "__key").agg(
-        F.min_by("__row", "__tie").alias("__row"), F.max("unit_copies").alias("unit_copies"))
+        F.min_by("__row", row_hash(docs, "__row")).alias("__row"), F.max("unit_copies").alias("unit_copies"))
     return reduce(DataFrame.unionByName, [
         part.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("unit_copies"))).alias("__nth")).select("__row.*")
         for part in (single, repeated)])

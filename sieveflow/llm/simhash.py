@@ -179,15 +179,14 @@ def one_per_root(docs: DataFrame, roots: DataFrame, id_col: str, text_col: str)
 
     `roots` has (digest, root) for each different text, so a row is judged by its own text whatever its id.
     """
-    rows = docs.select(F.struct("*").alias("__row"), F.col(f"`{id_col}`").alias("__doc"), text_digest(text_col).alias("__digest"),
-                       row_hash(docs).alias("__tie"))
+    rows = docs.select(F.struct("*").alias("__row"), F.col(f"`{id_col}`").alias("__doc"), text_digest(text_col).alias("__digest"))
     counts = rows.groupBy("__digest", "__doc").agg(F.count("*").alias("n"))
     first = counts.join(roots, F.col("__digest") == F.col("digest")).groupBy("root").agg(F.min(F.struct(
         F.col("__doc").isNull().alias("unnamed"), F.col("__doc").alias("id"), "digest", "n")).alias("k"))
     kept = first.select(F.col("k.id").alias("__id"), F.col("k.digest").alias("__of"), F.col("k.n").alias("__n"))
     rows = rows.join(kept, (F.col("__digest") == F.col("__of")) & F.col("__doc").eqNullSafe(F.col("__id")))
     single = rows.where("__n = 1").select("__row.*")
-    repeated = rows.where("__n > 1").groupBy("__digest", "__doc").agg(F.min_by("__row", "__tie").alias("__row")).select("__row.*")
+    repeated = rows.where("__n > 1").groupBy("__digest", "__doc").agg(F.min_by("__row", row_hash(docs, "__row")).alias("__row")).select("__row.*")
     return reduce(DataFrame.unionByName, [single, repeated])
 
 
