@@ -9,8 +9,8 @@ from sieveflow import (
 
 SOM = "SOM_LEFTMOST"
 BASE = [
-    rule("test", [SOM, "CASELESS"], 0), rule("test1", SOM, 1), rule("test3", SOM, 2),
-    rule("world", SOM, 3), rule("你好", [SOM, "UTF8"], 4),
+    rule("lamp", [SOM, "CASELESS"], 0), rule("lamp7", SOM, 1), rule("lamp9", SOM, 2),
+    rule("river", SOM, 3), rule("山川", [SOM, "UTF8"], 4),
 ]
 
 
@@ -24,8 +24,8 @@ def docs(spark, *values):
 
 
 def test_any_and_no_match(spark, base):
-    texts = docs(spark, "Test", "A test string", "Another TEST", "你好 world", "Completely different",
-                 "No patterns here", "")
+    texts = docs(spark, "Lamp", "One lamp of ours", "And a third LAMP", "山川 river", "A door and a window",
+                 "Here is none", "")
     assert sorted(r.doc_id for r in any_match(texts, base, "doc_id").collect()) == [0, 1, 2, 3]
     assert sorted(r.doc_id for r in no_match(texts, base, "doc_id").collect()) == [4, 5, 6]
     flags = {r.doc_id: r.has_match for r in with_has_match(texts, base).collect()}
@@ -39,12 +39,12 @@ def test_empty_rule_matches_everything(spark):
 
 
 def test_stop_after_first(spark, base):
-    rows = first_k(docs(spark, "Test example789 world"), base, "doc_id", 1).collect()
+    rows = first_k(docs(spark, "Lamp shade 123 river"), base, "doc_id", 1).collect()
     assert [(r.rule_id, r.start, r.end) for r in rows] == [(0, 0, 3)]
 
 
 def test_order_and_take_until(spark, base):
-    texts = docs(spark, "test test1 world test3", "nothing")
+    texts = docs(spark, "lamp lamp7 river lamp9", "nothing")
     rows = sorted(ordered_matches(texts, base, "doc_id").collect(), key=lambda r: r.seq)
     assert [(r.seq, r.rule_id, r.end) for r in rows] == [
         (0, 0, 3), (1, 0, 8), (2, 1, 9), (3, 3, 15), (4, 0, 20), (5, 2, 21)]
@@ -71,15 +71,15 @@ def test_combinations_and_quiet(spark):
 
 
 def test_prefilter_and_groups(spark):
-    rules = [rule("The number is ([0-9]+)", "CASELESS", 0, dialect="java"),
-             rule("The color is (blue|red|orange)", (), 1, dialect="java"),
+    rules = [rule("We counted ([0-9]+)", "CASELESS", 0, dialect="java"),
+             rule("made of (oak|ash|elm)", (), 1, dialect="java"),
              rule(r"(\w)\1", (), 2, dialect="java")]
     compiled = compile_rules(rules_table(spark, rules))
-    texts = docs(spark, "The number is 7 the NUMber is 27", "The color is orange", "The color is orange!", "none")
+    texts = docs(spark, "We counted 7 and then we COUNTed 27", "made of elm", "made of elm!", "nothing")
     wide = {(r.doc_id, r.rule_id): r.filterable for r in candidates(texts, compiled, "doc_id").collect()}
     assert wide[0, 0] and wide[1, 1] and all(wide[d, 2] is False for d in range(4))
     exact = {(r.doc_id, r.rule_id) for r in confirmed(texts, compiled, "doc_id").collect()}
-    assert exact == {(0, 0), (1, 1), (2, 1), (3, 2)} - {(3, 2)} and exact <= set(wide)
+    assert exact == {(0, 0), (1, 1), (2, 1)} and exact <= set(wide)
     full = {(r.doc_id, r.rule_id) for r in confirmed(texts, compiled, "doc_id", full_match=True).collect()}
     assert full == {(1, 1)}
     groups = capture_groups(texts, compiled, "doc_id").where("doc_id = 0 AND group_no = 1").collect()
@@ -111,7 +111,7 @@ def test_rulesets_side_by_side(spark):
 
 
 def test_single_and_counts(spark, base):
-    texts = docs(spark, "test test1 test test3")
+    texts = docs(spark, "lamp lamp7 lamp lamp9")
     one = {r.rule_id: (r.start, r.end) for r in single_matches(texts, base, "doc_id").collect()}
     assert one == {0: (0, 3), 1: (5, 9), 2: (16, 20)}
     counts = {r.rule_id: (r.n_matches, r.n_texts) for r in match_counts(texts, base).collect()}
@@ -120,7 +120,7 @@ def test_single_and_counts(spark, base):
 
 
 def test_sinks(spark, base, tmp_path):
-    found = scan(docs(spark, "test world", "world"), base, "doc_id")
+    found = scan(docs(spark, "lamp river", "river"), base, "doc_id")
     path = work_folder(spark, "matches")
     write_matches(found, path, partition_by=["rule_id"])
     assert spark.read.parquet(path).count() == 3
@@ -139,7 +139,7 @@ def test_large_ruleset_takes_the_join(spark):
     table = rules_table(spark, rules)
     small, large = compile_rules(table), compile_rules(table, max_rules=0)
     assert small.fits and not large.fits
-    texts = docs(spark, "test1 foo barbaz foo", "你好 world 123", "aéc abc", "", "test", *["test foo 1234"] * 50)
+    texts = docs(spark, "lamp7 foo barbaz foo", "山川 river 123", "aéc abc", "", "lamp", *["lamp foo 1234"] * 50)
     for op in (lambda c: hits(texts, c, "doc_id"), lambda c: scan(texts, c, "doc_id"),
                lambda c: any_match(texts, c, "doc_id"), lambda c: no_match(texts, c, "doc_id")):
         assert sorted(op(small).collect()) == sorted(op(large).collect())
@@ -149,7 +149,7 @@ def test_large_ruleset_takes_the_join(spark):
 
 def test_plan_is_one_narrow_pass(spark, base, tmp_path):
     path = str(tmp_path / "docs")
-    docs(spark, "test", "world").withColumn("other", F.lit("x")).write.parquet(path)
+    docs(spark, "lamp", "river").withColumn("other", F.lit("x")).write.parquet(path)
     plan = scan(spark.read.parquet(path), base, "doc_id")._jdf.queryExecution().executedPlan().toString()
     for absent in ("Exchange", "Join", "Sort", "Python", "other"):
         assert absent not in plan
@@ -157,7 +157,7 @@ def test_plan_is_one_narrow_pass(spark, base, tmp_path):
 
 
 def test_one_text_holds_most_matches(spark, base):
-    texts = docs(spark, "test " * 20000, "world", "test")
+    texts = docs(spark, "lamp " * 20000, "river", "lamp")
     assert scan(texts, base, "doc_id").groupBy("doc_id").count().orderBy("doc_id").collect()[0]["count"] == 20000
     assert first_k(texts, base, "doc_id", 2).count() == 4
 
