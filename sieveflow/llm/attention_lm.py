@@ -8,9 +8,9 @@
    counts gives what that is off by, summed by document. Subword ids are counted too; their table has the vocabulary's size.
 3. **Model.** Single-head causal attention over windows of `WINDOW` ids, then one hidden layer, gives the probability of the next
    id's class; ids within a class go by their counts in all training documents. Frequent ids are classes of their own, the rest
-   are cut from the alphabetical list, so that a class holds ids that begin alike. Every task trains in numpy (Adam, masked
-   batches) on one in `SHARE` of its windows, from the start that the round before left; results are averaged by their windows
-   in a tree. What is trained on grows with the input, what is sent per task is the model's size.
+   are cut from the alphabetical list, so that a class holds ids that begin alike. Blocks are dealt to `SHARE` rounds, and every
+   training window is learned from in one of them. Every task trains in numpy (Adam, masked batches) block after block, from the
+   start that the round before left; results are averaged by their windows in a tree. What is sent per task is the model's size.
 4. **Scores.** Windows overlap by `CONTEXT` ids and each scores only what the one before did not, so each id is scored once with
    at least that much context; batches of windows of many documents go through masked attention together. The first window
    of a document is preceded by end ids.
@@ -44,8 +44,7 @@ CLASSES = 128
 ALONE = 96          # ids that are classes of their own
 OWN_SLOTS = 3072    # ids with an input vector of their own
 SLOTS = 4096
-SHARE = 128
-ROUNDS = 3
+SHARE = 3           # rounds that share the blocks, so that each is trained on once
 LEAST_STEPS = 48    # of a task in a round, over its windows again and again
 BATCH = 64          # windows of a training step
 SCORED = 64         # windows scored together, so that they stay in the cache
@@ -83,6 +82,12 @@ def _once(kept, make):
     return kept.value["made"]
 
 
+def _reused() -> None:
+    """What numpy frees stays with the process, up to a few MB: glibc returns arrays of more than 128 KB to the system, which gives them
+    back page by page, until one of this size has been freed."""
+    np.empty(2 << 20, dtype=np.uint8)
+
+
 def words_of(texts):
     """(dictionary, numbers, counts): different words, every word as its number, words of each text."""
     import pyarrow as pa
@@ -243,64 +248,110 @@ def start(table: Table) -> dict[str, np.ndarray]:
     return model
 
 
-def gradient(model: dict, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss of the scored ids of a batch of windows, and its gradient."""
+def _exponentials(values: np.ndarray, counted=1) -> np.ndarray:
+    """exp of rows, in place, up to a factor per row; 0 for what is not counted. Only where they leave their range, the greatest value is
+    taken off first."""
+    if not -60 < values.min() <= values.max() < 60:
+        values = np.where(counted, values, -np.inf)
+        values -= values.max(axis=-1, keepdims=True)
+    np.exp(values, out=values)
+    return values if np.isscalar(counted) else np.multiply(values, counted, out=values)
+
+
+def _backward(model: dict, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+    """Mean loss of the scored ids of a batch of windows, its gradient, and that of each place's input vector in place of `e`."""
     m, n = model, len(x)
-    s = m["e"][x] + m["p"]
-    last = np.ascontiguousarray(s[:, CONTEXT:])
-    q, k, v = last @ m["q"] * WIDTH ** -0.5, s @ m["k"], s @ m["v"]
+
+    def rows(a: np.ndarray) -> np.ndarray:
+        return a.reshape(-1, WIDTH)
+
+    s = m["e"].take(x, axis=0, mode="clip")
+    s += m["p"]
+    flat, last = rows(s), rows(np.ascontiguousarray(s[:, CONTEXT:]))
+    q, k, v = ((a @ b).reshape(n, -1, WIDTH) for a, b in ((last, m["q"] * WIDTH ** -0.5), (flat, m["k"]), (flat, m["v"])))
     att = np.matmul(q, k.transpose(0, 2, 1))
-    att = np.where(CAUSAL > 0, att, -np.inf)
-    att = np.exp(att - att.max(axis=2, keepdims=True))
+    att = _exponentials(att, CAUSAL)
     att /= att.sum(axis=2, keepdims=True)
     mixed = np.matmul(att, v)
-    o = (mixed @ m["o"] + last).reshape(-1, WIDTH)
+    o = rows(mixed) @ m["o"]
+    o += last
     h = np.maximum(o @ m["w"] + m["a"], 0)
-    z = h @ m["u"] + m["b"]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z = h @ m["u"]
+    z += m["b"]
     w = (weight / max(1.0, weight.sum())).astype(np.float32).ravel()
-    rows = np.arange(len(z))
-    loss = -float((z[rows, target.ravel()] * w).sum())
-    dz = np.exp(z)
-    dz[rows, target.ravel()] -= 1
-    dz *= w[:, None]
-    g = {"u": h.T @ dz, "b": dz.sum(axis=0)}
-    dh = (dz @ m["u"].T) * (h > 0)
-    g["w"], g["a"] = o.T @ dh, dh.sum(axis=0)
+    each, target = np.arange(len(z)), target.ravel()
+    dz = _exponentials(z)
+    ones = np.ones(len(z), dz.dtype)
+    total = dz @ np.ones(dz.shape[1], dz.dtype)
+    loss = -float((np.log(np.maximum(dz[each, target] / total, np.finfo(np.float32).tiny)) * w).sum())
+    dz *= (w / total)[:, None]
+    dz[each, target] -= w
+    g = {"u": h.T @ dz, "b": ones @ dz}
+    dh = dz @ m["u"].T
+    dh *= h > 0
+    g["w"], g["a"] = o.T @ dh, ones @ dh
     do = dh @ m["w"].T
-    g["o"] = mixed.reshape(-1, WIDTH).T @ do
-    dlast = do.reshape(n, STRIDE, WIDTH)
-    dmixed = dlast @ m["o"].T
+    g["o"] = rows(mixed).T @ do
+    dmixed = (do @ m["o"].T).reshape(n, STRIDE, WIDTH)
     dv = np.matmul(att.transpose(0, 2, 1), dmixed)
     datt = np.matmul(dmixed, v.transpose(0, 2, 1))
-    datt = att * (datt - (datt * att).sum(axis=2, keepdims=True))
-    dq, dk = np.matmul(datt, k) * WIDTH ** -0.5, np.matmul(datt.transpose(0, 2, 1), q)
-    flat = s.reshape(-1, WIDTH)
-    g["q"] = last.reshape(-1, WIDTH).T @ dq.reshape(-1, WIDTH)
-    g["k"], g["v"] = flat.T @ dk.reshape(-1, WIDTH), flat.T @ dv.reshape(-1, WIDTH)
-    ds = dk @ m["k"].T + dv @ m["v"].T
-    ds[:, CONTEXT:] += dlast + dq @ m["q"].T
+    datt -= (dmixed * mixed).sum(axis=2, keepdims=True)
+    datt *= att
+    dq, dk = np.matmul(datt, k), np.matmul(datt.transpose(0, 2, 1), q)
+    dq *= WIDTH ** -0.5
+    g["q"], g["k"], g["v"] = last.T @ rows(dq), flat.T @ rows(dk), flat.T @ rows(dv)
+    ds = rows(dk) @ m["k"].T
+    ds += rows(dv) @ m["v"].T
+    do += rows(dq) @ m["q"].T
+    ds = ds.reshape(s.shape)
+    ds[:, CONTEXT:] += do.reshape(n, STRIDE, WIDTH)
     g["p"] = ds.sum(axis=0)
-    g["e"] = np.zeros_like(m["e"])
+    return loss, g, ds
+
+
+def gradient(model: dict, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean loss of the scored ids of a batch of windows, and its gradient."""
+    loss, g, ds = _backward(model, x, target, weight)
+    g["e"] = np.zeros_like(model["e"])
     np.add.at(g["e"], x.ravel(), ds.reshape(-1, WIDTH))
     return loss, g
 
 
 class Adam:
-    def __init__(self, model: dict):
-        self.model, self.step = model, 0
-        self.first = {n: np.zeros_like(v) for n, v in model.items()}
-        self.second = {n: np.zeros_like(v) for n, v in model.items()}
+    """Steps of one task. Input vectors take a step where the batch has them, all other numbers lie in one row."""
 
-    def update(self, g: dict[str, np.ndarray]) -> None:
+    def __init__(self, model: dict):
+        self.step, self.names = 0, [n for n in SHAPES if n != "e"]
+        self.e = model["e"].astype(np.float32)
+        self.rest = np.concatenate([model[n].ravel() for n in self.names]).astype(np.float32)
+        self.model, at = {"e": self.e}, 0
+        for n in self.names:
+            size = math.prod(SHAPES[n])
+            self.model[n] = self.rest[at: at + size].reshape(SHAPES[n])
+            at += size
+        self.moments = [np.zeros_like(a) for a in (self.e, self.e, self.rest, self.rest)]
+
+    def learn(self, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> None:
+        _, g, ds = _backward(self.model, x, target, weight)
         self.step += 1
-        size = RATE * math.sqrt(1 - 0.99 ** self.step) / (1 - 0.9 ** self.step)
-        for n, d in g.items():
-            f, s = self.first[n], self.second[n]
-            f += 0.1 * (d - f)
-            s += 0.01 * (d * d - s)
-            self.model[n] -= size * f / (np.sqrt(s) + 1e-6)
+        # shorter steps the longer a task goes on, so that tasks end near each other
+        size = RATE * math.sqrt(1 - 0.99 ** self.step) / (1 - 0.9 ** self.step) / math.sqrt(1 + self.step / LEAST_STEPS)
+        slots = x.ravel()
+        order = np.argsort(slots)
+        slots = slots[order]
+        begins = np.flatnonzero(np.concatenate(([True], slots[1:] != slots[:-1])))
+        met = slots[begins]
+        summed = np.add.reduceat(ds.reshape(-1, WIDTH)[order], begins, axis=0)
+        first, second = (a[met] for a in self.moments[:2])
+        self.e[met] -= self._step(summed, first, second, size)
+        self.moments[0][met], self.moments[1][met] = first, second
+        self.rest -= self._step(np.concatenate([g[n].ravel() for n in self.names]), *self.moments[2:], size)
+
+    @staticmethod
+    def _step(d: np.ndarray, first: np.ndarray, second: np.ndarray, size: float) -> np.ndarray:
+        first += 0.1 * (d - first)
+        second += 0.01 * (d * d - second)
+        return size * first / (np.sqrt(second) + 1e-6)
 
 
 class Scorer:
@@ -378,42 +429,50 @@ def unpacked(numbers: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def train(model: dict, x: np.ndarray, target: np.ndarray, scored: np.ndarray) -> dict:
-    """One task's steps over its windows, in an order drawn from their number; at least `LEAST_STEPS`."""
-    model = {n: v.copy() for n, v in model.items()}
-    adam, rng, places, done = Adam(model), np.random.default_rng(len(x)), np.arange(STRIDE), 0
-    while done < LEAST_STEPS:
-        order = rng.permutation(len(x))
-        for a in range(0, len(x), BATCH):
-            at = order[a: a + BATCH]
-            adam.update(gradient(model, x[at], target[at], (places < scored[at, None]).astype(np.float32))[1])
-            done += 1
-    return model
+def train(model: dict, table: Table, blocks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[dict, int]:
+    """One task's steps over all windows (ids, first, scored) of its blocks, a block's in an order drawn from their number; at least
+    `LEAST_STEPS`. The model, and the number of windows."""
+    adam, places, seen, few = Adam(model), np.arange(STRIDE), 0, []
+
+    def steps(ids: np.ndarray, first: np.ndarray, scored: np.ndarray) -> None:
+        order = np.random.default_rng(len(first)).permutation(len(first))
+        for a in range(0, len(first), BATCH):
+            f, n = first[order[a: a + BATCH], None], scored[order[a: a + BATCH], None]
+            adam.learn(table.slot[ids[f + REACH]], table.of_class[ids[f + AHEAD]], (places < n).astype(np.float32))
+
+    for windows in blocks:
+        if len(windows[1]):
+            steps(*windows)
+            seen += len(windows[1])
+            # blocks that may be gone over again; of more windows there are steps enough
+            few = [*few, windows] if adam.step < LEAST_STEPS else []
+    while few and adam.step < LEAST_STEPS:
+        for windows in few:
+            steps(*windows)
+    return adam.model, seen
 
 
 def _trained(blocks: DataFrame, model: dict, table: Table, end: int, round_no: int) -> dict | None:
-    """The average of what all tasks made of `model`, weighed by their windows."""
+    """The average of what all tasks made of `model`, weighed by their windows; each block is in one round of `SHARE`."""
     # the model's size at every size of the input
     sent = blocks.sparkSession.sparkContext.broadcast((packed(model), table.slot.astype(np.int32), table.of_class.astype(np.int32)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
+        _reused()
         before, slot, of_class = sent.value
-        xs, targets, sizes = [], [], []
-        for batch in batches:
-            for row in batch.itertuples():
-                block = Block.of(row)
-                ids, first, document, scored = sequences(block, end)
-                chosen = np.flatnonzero(block.train[document])
-                # every SHARE-th training window, each round others
-                chosen = chosen[(round_no * (SHARE // ROUNDS) + row.block) % SHARE:: SHARE]
-                xs.append(slot[ids[first[chosen, None] + REACH]])
-                targets.append(of_class[ids[first[chosen, None] + AHEAD]])
-                sizes.append(scored[chosen])
-        if xs and sum(map(len, xs)):
-            x = np.concatenate(xs)
-            after = packed(train(unpacked(before), x, np.concatenate(targets), np.concatenate(sizes)))
-            yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "weight": [float(len(x))], "numbers": [after]})
+
+        def windows():
+            for batch in batches:
+                for row in batch.itertuples():
+                    block = Block.of(row)
+                    ids, first, document, scored = sequences(block, end)
+                    learned = np.flatnonzero(block.train[document])
+                    yield ids, first[learned], scored[learned]
+
+        after, n = train(unpacked(before), Table(slot, of_class, None, None), windows())
+        if n:
+            yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "weight": [float(n)], "numbers": [packed(after)]})
 
     def merged(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("task")
@@ -423,7 +482,8 @@ def _trained(blocks: DataFrame, model: dict, table: Table, end: int, round_no: i
 
     schema = "task long, weight double, numbers array<float>"
     scratch = Scratch(blocks.sparkSession, "attention")
-    done = scratch.store(blocks.select("block", "train", "n_words", "words", "n_ids", "pieces").mapInPandas(run, schema))
+    dealt = blocks.where(F.pmod(F.col("block"), F.lit(SHARE)) == round_no)
+    done = scratch.store(dealt.select("train", "n_words", "words", "n_ids", "pieces").mapInPandas(run, schema))
     while (n := done.count()) > 1:
         # tasks of equal task // FAN_IN meet, until one row is left
         number = F.col("task") if n <= FAN_IN else F.floor(F.col("task") / FAN_IN)
@@ -475,7 +535,7 @@ def _scored(blocks: DataFrame, vocabulary: Vocabulary, id_type: str, scratch: Sc
     total = n_train + 0.5 * (n_different + (ends > 0) + 1)
     table = id_table(table_counts, vocabulary.spelled)
     model = start(table)
-    for i in range(ROUNDS if n_train else 0):
+    for i in range(SHARE if n_train else 0):
         model = _trained(blocks, model, table, end, i) or model
     least = _least_frequent(counts)
     frequent = sorted((r.h, r.c) for r in counts.where(F.col("c") >= least).collect())  # FREQUENT at most
