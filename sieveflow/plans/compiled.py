@@ -127,15 +127,23 @@ def _trie(words: list[str]) -> str:
     return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
 
 
-def anchor_regex(anchors: list[str]) -> str:
-    """Zero-width regex whose group 1 is the anchor at each place of a text.
-
-    The classes in front turn most places away before the trie is walked.
-    """
+def _guard(anchors: list[str]) -> str:
+    """Classes for the first characters, which turn most places away before a trie is walked."""
     guard = ""
     for i in range(min(len(a) for a in anchors)):
         guard += "[" + "".join(_escape(c) for c in sorted({a[i] for a in anchors})) + "]"
-    return f"(?={guard[:4000]})(?=({_trie(anchors)}))" if len(guard) < 4000 else f"(?=({_trie(anchors)}))"
+    return f"(?={guard})" if len(guard) < 4000 else ""
+
+
+def anchor_regex(anchors: list[str]) -> str:
+    """Zero-width regex whose group 1 is the anchor at each place of a text."""
+    return f"{_guard(anchors)}(?=({_trie(anchors)}))"
+
+
+def places_of(words: list[str]) -> str:
+    """Zero-width regex for the places of a text where one of the words, which are not empty, stands."""
+    anchors = _prefix_free(words)
+    return f"{_guard(anchors)}(?={_trie(anchors)})"
 
 
 @dataclass

@@ -139,3 +139,21 @@ def test_positions_with_gaps(spark):
 def test_canonical_equivalence_is_refused(spark):
     with pytest.raises(RuleError, match="CANON_EQ"):
         compile_rules(rules_table(spark, [rule("a", ["CANON_EQ"], 0, dialect="java")]))
+
+
+@pytest.mark.parametrize("most", [1, 1 << 11])
+def test_grams_are_cut_out_only_where_one_begins(spark, monkeypatch, most):
+    """With few or no beginnings allowed rows are the same; with enough, places without a gram give nothing."""
+    from sieveflow.operators import large
+    monkeypatch.setattr(large, "MAX_BEGINNINGS", most)
+    rules = rules_table(spark, [rule(p, ["CASELESS", "UTF8"], i) for i, p in enumerate(
+        ["needle", "need less", r"a\.b", r"\[x\]", "é日é", "😀!", "zz"])])
+    texts = ["a needle", "NEED LESS", "needless", "axb a.b", "[x]", "É日é", "😀! ", "zzz", "", None, "haystack " * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    want = {(0, 0), (1, 1), (2, 0), (3, 2), (4, 3), (5, 4), (6, 5), (7, 6)}
+    for bounds in ({}, {"max_rules": 0}):
+        compiled = compile_rules(rules, **bounds)
+        assert {(r.id, r.rule_id) for r in hits(docs, compiled, "id").collect()} == want
+    filed = large.rule_grams(compiled.table)
+    found = large.text_grams(docs.where("id = 10").select(F.lit("t").alias(large.TID), F.col("text").alias(large.TEXT)), large.gram_places(filed), lambda g: F.lit(True))
+    assert (found.count() > 0) == (most < 4)
