@@ -11,11 +11,13 @@ from pyspark.sql import Column, functions as F
 
 from .binding import let, running_totals
 from .offsets import measure
+from .syntax import CHAIN_ALWAYS, CHAIN_TO_END
 
 NO_SPANS = "array<struct<s:bigint,e:bigint,m:string>>"
 # Noncharacters: they may occur in a text, which is why the mark adapts to it.
 MARK, MARK_END = "\uFDD0", "\uFDD1"
 BLOCK = 64
+MAX_LENGTH = (1 << 31) - 1
 
 
 def free_mark(text: Column) -> Column:
@@ -139,6 +141,23 @@ def _after_repeat(reached: Column, runs: Column, least: Column, n: Column) -> Co
     return F.when(least > 0, begun).otherwise(F.array_sort(F.concat(begun, skipped)))
 
 
+def _after_chain(text: Column, step: Column) -> Column:
+    """What a chain, as the first step, reaches in each run of the character it repeats."""
+    def marked(mark: Column) -> Column:
+        # a point after each match tells one that failed, which is unmarked again, from one beside another
+        found = F.regexp_replace(text, step["rx"], F.concat(F.lit("$3"), mark, F.lit("$1"), mark, F.lit("$2"), mark, F.lit(".")))
+        return F.split(F.when(step["lo"] == CHAIN_ALWAYS, found).otherwise(F.replace(found, F.concat(mark, mark, mark, F.lit(".")), F.lit(""))), mark, -1)
+
+    def reached(p: Column) -> Column:
+        return _with_offsets(p, "codepoint", lambda offset: F.transform(
+            F.sequence(F.lit(1), F.size(p) - 3, F.lit(3)), lambda i: let(offset(i), lambda s: let(
+                s + F.length(p[i]), lambda lo: let(lo + F.length(p[i + 1]), lambda hi: _reached(
+                    F.when(step["lo"] == CHAIN_TO_END, hi).otherwise(lo), hi, s))))))
+
+    without_points = F.transform(let(free_mark(text), marked), lambda p, i: F.when((i > 0) & (i % 3 == 0), F.substring(p, 2, MAX_LENGTH)).otherwise(p))
+    return let(without_points, lambda p: F.when(F.size(p) > 1, reached(p)).otherwise(F.array().cast(REACHED)))
+
+
 def _unit_of(text: Column, unit: str, body) -> Column:
     """``body(offset)``, where ``offset(cp)`` is the code-point offset `cp` in `unit`."""
     if unit == "codepoint":
@@ -161,7 +180,7 @@ def ends_by_steps(text: Column, rule: Column, unit: str) -> Column:
     """A span for every end of a rule made of blocks and unbounded repeats, in about linear time.
 
     Steps are taken one after the other for all places of the text at once: occurrences of a block and runs of a repeated
-    character are found by one pass each, and how far a rule gets is intervals of places.
+    character are found by one pass each, and how far a rule gets is intervals of places. A chain of steps is one pass.
     """
     n = F.length(text).cast("bigint")
 
@@ -169,7 +188,8 @@ def ends_by_steps(text: Column, rule: Column, unit: str) -> Column:
         block = F.when(step["rx"] == "", reached).otherwise(
             let(spans_at_every_start(text, step["rx"], "codepoint"), lambda found: _after_block(reached, found)))
         repeat = let(find_spans(text, step["rx"], "codepoint"), lambda runs: _after_repeat(reached, runs, step["lo"], n))
-        return F.when(step["lo"].isNull(), block).otherwise(repeat).cast(REACHED)
+        return F.when(F.size(reached) == 0, reached).when(step["lo"].isNull(), block).when(
+            step["lo"] < 0, _after_chain(text, step)).otherwise(repeat).cast(REACHED)
 
     def spans_of(reached: Column) -> Column:
         def span(s: Column, e: Column, offset) -> Column:

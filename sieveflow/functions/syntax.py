@@ -153,6 +153,10 @@ def last_atom(java_toks: Column, dialect: Column) -> Column:
 STEP, STEP_LEAST = chr(14), chr(15)
 STEP_QUANTIFIER = r"^(?:[*+]|\{\d+,?\})\??$"
 STEP_GAP = r"^(?:[*+]|\{\d+,\})\??$"
+# Blocks and repeated characters of a chain, and what stands for the least number of its step.
+CHAIN_BLOCK = r"""^[A-Za-z0-9 _,;:!@%=~"'<>/-]+$"""
+CHAIN_REPEAT = r"""^(?:\.|\\[dDwWsS]|\[\^?(?:\\[dDwWsSnrt]|[A-Za-z0-9 _,;:!@%=~"'<>/.])+\])$"""
+CHAIN, CHAIN_ALWAYS, CHAIN_TO_END = -1, -2, -3
 
 
 def steps(java_toks: Column, flags: Column, dialect: Column) -> Column:
@@ -160,7 +164,21 @@ def steps(java_toks: Column, flags: Column, dialect: Column) -> Column:
 
     array<struct<rx, lo>>: blocks (`lo` NULL, perhaps empty) and repeats of at least `lo` characters take turns,
     beginning and ending with a block. There is no branch, group or optional part in such a rule.
+
+    Steps with repeats of one character whose blocks consist of it are taken together, as a chain: in a run of the character the
+    first place reached leads to all that later ones lead to. A chain (`lo` CHAIN, or CHAIN_ALWAYS if it cannot fail) has the groups
+    1 (to the first place reached), 2 (the rest of the run) and 3 (a run in which it fails). Of CHAIN_TO_END only the run's end is reached.
     """
+    return _stepwise(java_toks, flags, dialect)["steps"]
+
+
+def chain_test(java_toks: Column, flags: Column, dialect: Column) -> Column:
+    """The chain of a rule that matches wherever its chain does, if it is one and can fail, else NULL."""
+    return _stepwise(java_toks, flags, dialect)["test"]
+
+
+def _stepwise(java_toks: Column, flags: Column, dialect: Column) -> Column:
+    """struct<steps, test>, or NULL for a rule that is not made of steps."""
     def quantifier(i: Column) -> Column:
         return F.coalesce(F.when(F.rlike(F.get(java_toks, i + 1), F.lit(QUANTIFIER)), F.get(java_toks, i + 1)), F.lit(""))
 
@@ -185,8 +203,52 @@ def steps(java_toks: Column, flags: Column, dialect: Column) -> Column:
     joined = F.array_join(F.transform(java_toks, part), "")
     plain = ~F.exists(F.transform(java_toks, usable), lambda ok: ~ok) & ~_has(java_toks, f"[{STEP}{STEP_LEAST}]")
     unsure = has_flag(flags, "COMMENTS") | has_flag(flags, "LITERAL") | has_flag(flags, "COMBINATION")
-    return F.when((dialect == DIRECT) & plain & ~unsure & F.contains(joined, F.lit(STEP)),
-                  F.transform(F.split(joined, STEP, -1), step))
+
+    def chained(parts: Column) -> Column:
+        """The chain at the beginning of `parts` and the steps behind it."""
+        n = ((F.size(parts) - 1) / 2).cast("int")
+        atom = F.substring_index(F.get(parts, F.lit(1)), STEP_LEAST, -1)
+
+        def least(j) -> Column:
+            return F.substring_index(F.get(parts, j * 2 + 1), STEP_LEAST, 1)
+
+        def inside(j: Column, r: Column) -> Column:
+            """Is block `j` a literal of characters that `r` repeats?"""
+            block = F.get(parts, j * 2)
+            return F.rlike(block, F.lit(CHAIN_BLOCK)) & F.when(r == ".", F.lit(True)).when(
+                F.rlike(r, F.lit(CHAIN_REPEAT)) & ~has_flag(flags, "CASELESS"),
+                F.rlike(block, with_options(F.concat(F.lit(r"\A(?:"), r, F.lit(r")+\z")), flags, dialect))).otherwise(F.lit(False))
+
+        def joins(j: Column, r: Column) -> Column:
+            begin = inside(j, r) | ((j == 0) & (r == ".") & (F.get(parts, F.lit(0)) == "^"))
+            return begin & (F.substring_index(F.get(parts, j * 2 + 1), STEP_LEAST, -1) == r)
+
+        def of(k: Column, r: Column) -> Column:
+            first, last = F.get(parts, F.lit(0)), F.get(parts, k * 2)
+            between = F.array_join(F.transform(F.slice(F.sequence(F.lit(0), n), F.lit(2), k - 1), lambda j: F.concat(
+                F.lit("(?>"), r, F.lit("{"), least(j - 1), F.lit(",}?"), F.get(parts, j * 2), F.lit(")"))), "")
+            more = F.when(least(k - 1) == "0", F.lit("")).otherwise(F.concat(r, F.lit("{"), least(k - 1), F.lit("}")))
+            whole = k == n
+            ahead = F.when(whole & inside(k, r), F.concat(F.lit("(?="), r, F.lit("*?"), last, F.lit(")"))).otherwise(F.lit(""))
+            fails = (k > 1) | (more != "") | (ahead != "")
+            # where a repeat of any character ends, the rule's end is met
+            ends = (last == "$") & (r == ".") & (has_flag(flags, "MULTILINE") | has_flag(flags, "DOTALL"))
+            to_end = whole & fails & ends & ~has_flag(flags, "DOTALL")
+            kind = F.when(to_end, CHAIN_TO_END).when(fails, CHAIN).otherwise(CHAIN_ALWAYS)
+            body = F.concat(F.lit("("), first, between, more, F.lit(")"), ahead, F.lit("("), r, F.lit("*+)|("), first, r, F.lit("*+)"))
+            return let(with_options(body, flags, dialect), lambda rx: F.struct(
+                F.concat(F.array(F.struct(rx.alias("rx"), kind.alias("lo"))), F.transform(
+                    F.slice(parts, k * 2 + 1, F.when(to_end, 0).otherwise(F.size(parts))), step)).alias("steps"),
+                F.when(whole & fails & ((last == "") | (ahead != "") | ends), rx).alias("test")))
+
+        def with_repeat(r: Column) -> Column:
+            taken = F.array_position(F.transform(F.sequence(F.lit(0), n - 1), lambda j: joins(j, r)), False).cast("int")
+            return let(F.when(taken == 0, n).otherwise(taken - 1), lambda k: F.when(k > 0, of(k, r)).otherwise(
+                F.struct(F.transform(parts, step).alias("steps"), F.lit(None).cast("string").alias("test"))))
+
+        return let(atom, with_repeat)
+
+    return F.when((dialect == DIRECT) & plain & ~unsure & F.contains(joined, F.lit(STEP)), let(F.split(joined, STEP, -1), chained))
 
 
 ANCHOR = r"^(?:[\^$]|\\[AzZG])$"

@@ -37,13 +37,19 @@ def view_for(rule: Column, df: DataFrame, byte_scan: bool = False) -> Column:
     return F.when(sees_bytes(rule, byte_scan), F.col(RAW)).otherwise(F.col(TEXT))
 
 
+def is_hit(view: Column, rule: Column) -> Column:
+    """Does the rule match? A chain of repeats is looked for once in each run, where its regex would begin at every place of it."""
+    chains = F.regexp_extract_all(view, rule["test"], F.lit(1))
+    return F.when(rule["test"].isNull(), F.rlike(view, rule["rx"])).otherwise(F.exists(chains, lambda c: c != ""))
+
+
 def candidate_rules(compiled: CompiledRules) -> Column:
     return let(F.lower(F.col(TEXT)), compiled.candidates)
 
 
 def hit_rules(df: DataFrame, compiled: CompiledRules, byte_scan: bool = False) -> Column:
     """array<rule>: the candidates that really match."""
-    return F.filter(candidate_rules(compiled), lambda r: F.rlike(view_for(r, df, byte_scan), r["rx"]))
+    return F.filter(candidate_rules(compiled), lambda r: is_hit(view_for(r, df, byte_scan), r))
 
 
 def hit_pairs(docs: DataFrame, compiled: CompiledRules, keys: list[str], text: str, keep,
@@ -93,14 +99,14 @@ def has_match_column(df: DataFrame, compiled: CompiledRules, byte_scan: bool = F
 
     conditions = []
     for of_bytes in (False, True):
-        folded = [r for r in always if foldable(r) and reads_bytes(r) == of_bytes]
+        folded = [r for r in always if foldable(r) and r["test"] is None and reads_bytes(r) == of_bytes]
         if folded:
             conditions.append(any_alternation(folded, F.col(RAW if of_bytes else TEXT)))
-    single = compiled.only(lambda r: r["literals"] is None and not r["quiet"] and not foldable(r))
+    single = compiled.only(lambda r: r["literals"] is None and not r["quiet"] and not (foldable(r) and r["test"] is None))
     for part in (filtered, single):
         if part.rows:
             conditions.append(F.exists(
-                candidate_rules(part), lambda r: F.rlike(view_for(r, df, byte_scan), r["rx"])))
+                candidate_rules(part), lambda r: is_hit(view_for(r, df, byte_scan), r)))
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 

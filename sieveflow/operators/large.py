@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.binding import one_row_each
 from ..functions.offsets import latin1_view
 from ..plans.compiled import MAX_RULE_BYTES, MAX_RULES, RULE_FIELDS, CompiledRules, places_of
-from .hits import HITS, RAW, RULE, TEXT, hit_rules, view_for, with_views
+from .hits import HITS, RAW, RULE, TEXT, hit_rules, is_hit, view_for, with_views
 
 GRAM_LENGTHS = (6, 3, 2)
 FILTER_BITS = 1 << 20
@@ -104,7 +104,7 @@ def with_large_hits(docs: DataFrame, compiled: CompiledRules, text: str, keep, b
     lower = F.lower(F.col(TEXT))
     literal = F.exists(rule["literals"], lambda w: F.contains(lower, w)) & F.forall(
         F.coalesce(rule["also"], F.array().cast("array<string>")), lambda w: F.contains(lower, w))
-    found = found.where(F.rlike(view_for(rule, texts, byte_scan), rule["rx"]) if confirm else literal)
+    found = found.where(is_hit(view_for(rule, texts, byte_scan), rule) if confirm else literal)
     parts = [found.select(TID, RULE)]
     for chunk in unfiltered_chunks(compiled):
         rules = hit_rules(texts, chunk, byte_scan) if confirm else chunk.literal(chunk.held())

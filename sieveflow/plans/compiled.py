@@ -24,7 +24,7 @@ from ..functions.binding import let
 from ..functions.flags import has_flag, quote_literal, with_options
 from ..functions.spans import Shape
 from ..functions.syntax import (
-    capture_groups, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, looks_around, marked_groups, merged_repeats,
+    capture_groups, chain_test, fixed_width, java_source, java_tokens, last_atom, latin1_tokens, looks_around, marked_groups, merged_repeats,
     needs_byte_view, never_overlaps, plain_edge, required_literals, run_class, run_with_match, steps, tokens, widest,
 )
 from ..operators import validate
@@ -40,7 +40,7 @@ MAX_ALTERNATION = 8_000
 
 RULE_FIELDS = {
     "rule_id": "int", "ruleset": "string", "rx": "string", "literals": "array<string>", "also": "array<string>", "bytes": "boolean",
-    "utf8": "boolean", "kind": "string", "run_rx": "string", "last_rx": "string", "steps": "array<struct<rx:string,lo:int>>", "nullable": "boolean", "som": "boolean",
+    "utf8": "boolean", "kind": "string", "run_rx": "string", "last_rx": "string", "steps": "array<struct<rx:string,lo:int>>", "test": "string", "nullable": "boolean", "som": "boolean",
     "single": "boolean", "quiet": "boolean", "java": "boolean", "groups": "int",
 }
 RULE_TYPE = "struct<" + ",".join(f"{n}:{t}" for n, t in RULE_FIELDS.items()) + ">"
@@ -71,6 +71,7 @@ def _derivation(application: str) -> list[dict[str, Column]]:
                      .when(fixed_width(toks) & ~literal & never_overlaps(jtoks, flags), F.lit("apart"))
                      .when(fixed_width(toks) | literal, F.lit("fixed")).otherwise(F.lit("runs")),
             "steps": stepwise,
+            "test": chain_test(jtoks, flags, dialect),
             "widest": widest(jtoks, pattern, flags),
             "nullable": F.coalesce(nullable, F.lit(False)),
             "groups": F.when(literal, F.lit(0)).otherwise(capture_groups(toks)),
@@ -199,7 +200,7 @@ class CompiledRules:
 
     def literal(self, rows) -> Column:
         # what repeats the rule only travels where it is used
-        only = {"run_rx": "runs", "steps": "steps"}
+        only = {"run_rx": "runs", "steps": "steps", "test": "steps"}
         def value(r, name):
             if r["kind"] != only.get(name, r["kind"]) or r[name] is None:
                 return None

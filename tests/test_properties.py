@@ -117,6 +117,38 @@ def test_long_texts_in_about_linear_time(spark):
     assert counts == {(1, 1): 20_000, (1, 2): 40_000, (2, 0): 1, (2, 1): 20_000, (2, 2): 40_000}
 
 
+def test_chains_against_every_start_and_end(spark):
+    """Repeats of one character with blocks of it between them are found in one pass over each run."""
+    rng = random.Random(29)
+    flags = [[], ["MULTILINE"], ["DOTALL"], ["MULTILINE", "DOTALL"], ["CASELESS"]]
+    patterns = ["a.*b", "ab.*a", "^.*a.*b.*$", "^.+a", "aa.*a", "a.{2,}b.*", "^.*ab.+$", "a.*b[ab]*x", r"a\w*b\w*\.", "a[^b]*x", "ab[ab]*a", "a.*$", "a.*a.*\\n"]
+    cases = [(i, p, f) for i, (p, f) in enumerate((p, f) for p in patterns for f in flags)]
+    texts = ["", "\n", "a\ufdd0b\ufdd0", "\ufdd0\ufdd0a.b\nab"] + ["".join(rng.choice("aaabbbAx.\n😀") for _ in range(rng.randint(0, 16))) for _ in range(40)]
+    compiled = compile_rules(rules_table(spark, [rule(p, ["SOM_LEFTMOST", "UTF8", *f], i) for i, p, f in cases]))
+    assert sum(r["steps"] is not None and r["steps"][0].lo is not None for r in compiled.rows) > 50
+    assert sum(r["test"] is not None for r in compiled.rows) > 30
+    got = {(r.doc_id, r.rule_id, r.end): (r.start, r.matched) for r in scan(frame(spark, texts), compiled, "doc_id", offset_unit="codepoint").collect()}
+    expected = {}
+    for i, p, f in cases:
+        regex = re.compile(p, re.ASCII | sum(getattr(re, {"CASELESS": "IGNORECASE"}.get(n, n)) for n in f))
+        for d, t in enumerate(texts):
+            for e in range(1, len(t) + 1):
+                closed = t[e:] in ("", "\n") or ("MULTILINE" in f and t[e] == "\n") or "$" not in p
+                starts = [s for s in range(e) if regex.fullmatch(t, s, e)] if closed else []
+                if starts:
+                    expected[d, i, e - 1] = (starts[0], t[starts[0]: e])
+    assert got == expected
+    assert len(expected) > 1500
+    assert {(r.doc_id, r.rule_id) for r in hits(frame(spark, texts), compiled, "doc_id").collect()} == {k[:2] for k in expected}
+
+
+def test_a_line_in_which_nothing_follows(spark):
+    """A chain that fails is given up for its whole line: its regex would go on to the line's end from each place (8e10 characters)."""
+    compiled = compile_rules(rules_table(spark, [rule("a.*x", ["SOM_LEFTMOST"], 0), rule("^.*a.*b.*$", ["MULTILINE"], 1)]))
+    df = spark.createDataFrame([(1, "a" * 400_000), (2, "a" * 400_000 + "\nax")], "doc_id int, text string")
+    assert [(r.doc_id, r.rule_id, r.start, r.end) for r in scan(df, compiled, "doc_id").collect()] == [(2, 0, 400_001, 400_002)]
+
+
 def test_chosen_factors_keep_every_hit(spark):
     rng = random.Random(31)
     words = ["lorem", "ipsum", "dolor", "the", "rare", "sit"]
