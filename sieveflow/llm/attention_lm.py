@@ -20,7 +20,7 @@ The model's probabilities are normalised over all ids and the end, so `score` is
 Defined results: a NULL text counts as empty and is scored by its end alone. A NULL id has no remainder: it is not held out and not
 learned from. Without training documents all counts are zero and the model knows nothing but its classes. Repeated rows are
 scored alike. Very long texts are blocks of their own. An empty table gives an empty table; other columns are ignored. Scores depend
-in the last digits on how the input is split, as tasks train on what they read.
+somewhat on how the input is split, as tasks train on what they read; training amplifies rounding, too.
 """
 
 from __future__ import annotations
@@ -248,73 +248,109 @@ def start(table: Table) -> dict[str, np.ndarray]:
     return model
 
 
-def _exponentials(values: np.ndarray, counted=1) -> np.ndarray:
-    """exp of rows, in place, up to a factor per row; 0 for what is not counted. Only where they leave their range, the greatest value is
-    taken off first."""
-    if not -60 < values.min() <= values.max() < 60:
-        values = np.where(counted, values, -np.inf)
-        values -= values.max(axis=-1, keepdims=True)
-    np.exp(values, out=values)
-    return values if np.isscalar(counted) else np.multiply(values, counted, out=values)
-
-
-def _backward(model: dict, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
-    """Mean loss of the scored ids of a batch of windows, its gradient, and that of each place's input vector in place of `e`."""
-    m, n = model, len(x)
-
-    def rows(a: np.ndarray) -> np.ndarray:
-        return a.reshape(-1, WIDTH)
-
-    s = m["e"].take(x, axis=0, mode="clip")
-    s += m["p"]
-    flat, last = rows(s), rows(np.ascontiguousarray(s[:, CONTEXT:]))
-    q, k, v = ((a @ b).reshape(n, -1, WIDTH) for a, b in ((last, m["q"] * WIDTH ** -0.5), (flat, m["k"]), (flat, m["v"])))
-    att = np.matmul(q, k.transpose(0, 2, 1))
-    att = _exponentials(att, CAUSAL)
-    att /= att.sum(axis=2, keepdims=True)
-    mixed = np.matmul(att, v)
-    o = rows(mixed) @ m["o"]
-    o += last
-    h = np.maximum(o @ m["w"] + m["a"], 0)
-    z = h @ m["u"]
-    z += m["b"]
-    w = (weight / max(1.0, weight.sum())).astype(np.float32).ravel()
-    each, target = np.arange(len(z)), target.ravel()
-    dz = _exponentials(z)
-    ones = np.ones(len(z), dz.dtype)
-    total = dz @ np.ones(dz.shape[1], dz.dtype)
-    loss = -float((np.log(np.maximum(dz[each, target] / total, np.finfo(np.float32).tiny)) * w).sum())
-    dz *= (w / total)[:, None]
-    dz[each, target] -= w
-    g = {"u": h.T @ dz, "b": ones @ dz}
-    dh = dz @ m["u"].T
-    dh *= h > 0
-    g["w"], g["a"] = o.T @ dh, ones @ dh
-    do = dh @ m["w"].T
-    g["o"] = rows(mixed).T @ do
-    dmixed = (do @ m["o"].T).reshape(n, STRIDE, WIDTH)
-    dv = np.matmul(att.transpose(0, 2, 1), dmixed)
-    datt = np.matmul(dmixed, v.transpose(0, 2, 1))
-    datt -= (dmixed * mixed).sum(axis=2, keepdims=True)
+def _with_ones(table: np.ndarray) -> np.ndarray:
+    """A column of ones beside `table`: in products it carries what is added and adds up weights."""
+    return np.column_stack((table, np.ones(len(table), table.dtype)))
+
+
+def _wider(table: np.ndarray, below=0) -> np.ndarray:
+    """`table` with a column for the ones, and the row `below` if there is one."""
+    out = np.zeros((len(table) + (below is not None), table.shape[1] + 1), table.dtype)
+    out[: len(table), :-1] = table
+    if below is not None:
+        out[-1, :-1] = below
+    return out
+
+
+def _spread(numbers: np.ndarray) -> np.ndarray:
+    """A number per row in all columns: rows are so short that numpy is slow at scaling each by its number."""
+    return numbers.repeat(WIDTH + 1).reshape(-1, WIDTH + 1)
+
+
+def _in_range(sums: np.ndarray) -> bool:
+    return 1e-25 < sums.min() <= sums.max() < 1e25
+
+
+def _shifted(values: np.ndarray, counted=1) -> np.ndarray:
+    """exp of rows that leave the range otherwise, up to a factor per row; 0 for what is not counted."""
+    values = np.where(counted, values, -np.inf)
+    values -= values.max(axis=-1, keepdims=True)
+    return np.exp(values, out=values)
+
+
+def _backward(model: dict, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray]:
+    """Probabilities of the scored ids of a batch of windows, the gradient of their mean loss, and that of each place's input vector in
+    place of `e` (and one column more); `slots` of the model is `e` with its ones.
+
+    Query and key are one product, value, output and hidden layer another; all rows have WIDTH + 1 numbers, the hidden ones too.
+    """
+    m, n, slots = model, len(x), model["slots"]
+    query, out_of, shown = m["q"] * WIDTH ** -0.5, m["v"] @ m["o"], m["o"] @ m["w"]
+    asked, beside, back = _wider(query @ m["k"].T), _wider(m["w"]), _wider(m["v"] @ shown)
+    down, up = _wider(m["v"] @ shown, m["a"]), np.concatenate((m["u"], m["b"][None]))
+    down[-1, -1] = 1  # hidden rows keep a one
+    s = slots.take(x, axis=0, mode="clip")
+    s += _wider(m["p"], None)
+    s_t, last = s.transpose(0, 2, 1), s[:, CONTEXT:].reshape(-1, WIDTH + 1)
+    q = (last @ asked).reshape(n, STRIDE, -1)
+    with np.errstate(all="ignore"):
+        att = np.matmul(q, s_t)
+        np.exp(att, out=att)
+        att *= CAUSAL
+        mixed = np.matmul(att, s)  # its last column is the sum of weights
+        if not _in_range(mixed[:, :, WIDTH]):
+            att = _shifted(np.matmul(q, s_t), CAUSAL)
+            mixed = np.matmul(att, s)
+        mixed = mixed.reshape(-1, WIDTH + 1)
+        share = _spread(1 / mixed[:, WIDTH])
+        mixed *= share
+        h = mixed @ down
+        h += last @ beside
+        np.maximum(h, 0, out=h)
+        z = h @ up
+        np.exp(z, out=z)
+        total = z @ np.ones(CLASSES, z.dtype)
+        if not _in_range(total):
+            z = _shifted(h @ up)
+            total = z @ np.ones(CLASSES, z.dtype)
+    at = np.arange(0, z.size, CLASSES) + target.ravel()
+    likely = z.take(at)
+    z.put(at, likely - total)
+    scale = _spread((weight / max(1.0, weight.sum())).astype(z.dtype).ravel() / total)
+    g_up = z.T @ (h * scale)
+    g = {"u": g_up[:, :-1].T, "b": g_up[:, -1]}
+    scale *= h > 0
+    dh = z @ np.concatenate((m["u"], np.zeros((1, CLASSES), z.dtype))).T
+    dh *= scale
+    g_down = mixed.T @ dh
+    g_mixed = g_down[:-1, :-1]
+    g["w"], g["a"] = (last.T @ dh)[:-1, :-1] + out_of.T @ g_mixed, g_down[-1, :-1]
+    g["v"], g["o"] = g_mixed @ shown.T, m["v"].T @ g_mixed @ m["w"].T
+    d = dh @ back.T
+    d *= share
+    d[:, WIDTH] = -((d * mixed) @ np.ones(WIDTH + 1, d.dtype))
+    d = d.reshape(n, STRIDE, -1)
+    datt = np.matmul(d, s_t)
     datt *= att
-    dq, dk = np.matmul(datt, k), np.matmul(datt.transpose(0, 2, 1), q)
-    dq *= WIDTH ** -0.5
-    g["q"], g["k"], g["v"] = last.T @ rows(dq), flat.T @ rows(dk), flat.T @ rows(dv)
-    ds = rows(dk) @ m["k"].T
-    ds += rows(dv) @ m["v"].T
-    do += rows(dq) @ m["q"].T
-    ds = ds.reshape(s.shape)
-    ds[:, CONTEXT:] += do.reshape(n, STRIDE, WIDTH)
-    g["p"] = ds.sum(axis=0)
-    return loss, g, ds
+    dq = np.matmul(datt, s).reshape(-1, WIDTH + 1)
+    ds = np.matmul(att.transpose(0, 2, 1), d)
+    ds += np.matmul(datt.transpose(0, 2, 1), q)
+    late = dh @ beside.T
+    late += dq @ asked.T
+    ds[:, CONTEXT:] += late.reshape(n, STRIDE, -1)
+    g_asked = (last.T @ dq)[:-1, :-1]
+    g["q"], g["k"] = g_asked @ m["k"] * WIDTH ** -0.5, g_asked.T @ query
+    g["p"] = (np.ones(n, ds.dtype) @ ds.reshape(n, -1)).reshape(WINDOW, -1)[:, :-1]
+    return likely / total, g, ds
 
 
 def gradient(model: dict, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss of the scored ids of a batch of windows, and its gradient."""
-    loss, g, ds = _backward(model, x, target, weight)
+    likely, g, ds = _backward(model | {"slots": _with_ones(model["e"])}, x, target, weight)
     g["e"] = np.zeros_like(model["e"])
-    np.add.at(g["e"], x.ravel(), ds.reshape(-1, WIDTH))
-    return loss, g
+    np.add.at(g["e"], x.ravel(), ds.reshape(-1, WIDTH + 1)[:, :-1])
+    loss = np.log(np.maximum(likely, np.finfo(np.float32).tiny)) * weight.ravel()
+    return -float(loss.sum() / max(1.0, weight.sum())), g
 
 
 class Adam:
@@ -322,14 +358,14 @@ class Adam:
 
     def __init__(self, model: dict):
         self.step, self.names = 0, [n for n in SHAPES if n != "e"]
-        self.e = model["e"].astype(np.float32)
+        self.slots = _with_ones(model["e"].astype(np.float32))
         self.rest = np.concatenate([model[n].ravel() for n in self.names]).astype(np.float32)
-        self.model, at = {"e": self.e}, 0
+        self.model, at = {"e": self.slots[:, :-1], "slots": self.slots}, 0
         for n in self.names:
             size = math.prod(SHAPES[n])
             self.model[n] = self.rest[at: at + size].reshape(SHAPES[n])
             at += size
-        self.moments = [np.zeros_like(a) for a in (self.e, self.e, self.rest, self.rest)]
+        self.moments = [np.zeros_like(a) for a in (self.slots, self.slots, self.rest, self.rest)]
 
     def learn(self, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> None:
         _, g, ds = _backward(self.model, x, target, weight)
@@ -337,21 +373,31 @@ class Adam:
         # shorter steps the longer a task goes on, so that tasks end near each other
         size = RATE * math.sqrt(1 - 0.99 ** self.step) / (1 - 0.9 ** self.step) / math.sqrt(1 + self.step / LEAST_STEPS)
         slots = x.ravel()
-        order = np.argsort(slots)
-        slots = slots[order]
+        order = np.argsort(slots.astype(np.int16), kind="stable")  # slots fit, and 16 bits are sorted by their digits
+        slots = slots.take(order)
         begins = np.flatnonzero(np.concatenate(([True], slots[1:] != slots[:-1])))
-        met = slots[begins]
-        summed = np.add.reduceat(ds.reshape(-1, WIDTH)[order], begins, axis=0)
-        first, second = (a[met] for a in self.moments[:2])
-        self.e[met] -= self._step(summed, first, second, size)
+        met = slots.take(begins)
+        summed = np.add.reduceat(ds.reshape(-1, WIDTH + 1).take(order, axis=0), begins, axis=0)
+        summed[:, WIDTH] = 0  # ones stay
+        first, second = (a.take(met, axis=0) for a in self.moments[:2])
+        self.slots[met] -= self._step(summed, first, second, size)
         self.moments[0][met], self.moments[1][met] = first, second
         self.rest -= self._step(np.concatenate([g[n].ravel() for n in self.names]), *self.moments[2:], size)
 
     @staticmethod
     def _step(d: np.ndarray, first: np.ndarray, second: np.ndarray, size: float) -> np.ndarray:
-        first += 0.1 * (d - first)
-        second += 0.01 * (d * d - second)
-        return size * first / (np.sqrt(second) + 1e-6)
+        """The step, written over the gradient `d`."""
+        first *= 0.9
+        first += 0.1 * d
+        second *= 0.99
+        d *= d
+        d *= 0.01
+        second += d
+        np.sqrt(second, out=d)
+        d += 1e-6
+        np.divide(first, d, out=d)
+        d *= size
+        return d
 
 
 class Scorer:
@@ -363,10 +409,10 @@ class Scorer:
         self.tables = []
         for t, b in ((m["q"] * WIDTH ** -0.5, 0), (m["k"], 0), (to_hidden, 0), (m["w"], m["a"])):
             self.tables.append(((m["e"] @ t).astype(np.float32), (m["p"] @ t + b).astype(np.float32)))
-        # a column of ones adds up the attention weights
-        (tv, pv) = self.tables[2]
-        self.tables[2] = np.column_stack((tv, np.ones(len(tv), np.float32))), np.column_stack((pv, np.zeros(len(pv), np.float32)))
-        self.u, self.b, self.scale = m["u"], m["b"], np.exp(m["b"])
+        # a column of ones adds up the attention weights and, over their sum, carries what is added to the classes
+        (tv, pv), (tx, px) = self.tables[2:]
+        self.tables[2:] = (_with_ones(tv), _wider(pv, None)), (_wider(tx, None), _wider(px, None))
+        self.up = np.concatenate((m["u"], m["b"][None]))
         self.table = Table(table.slot.astype(np.int32), table.of_class.astype(np.int32), table.within.astype(np.float32), table.class_count)
 
     def score(self, ids: np.ndarray, first: np.ndarray, scored: np.ndarray) -> np.ndarray:
@@ -376,11 +422,14 @@ class Scorer:
         with np.errstate(all="ignore"):
             for a in range(0, len(first), SCORED):
                 f = first[a: a + SCORED, None]
-                x, ahead = slots[f + REACH], f + AHEAD
-                hit = self._batch(x, classes[ahead], False)
+                x, ahead = slots.take(f + REACH), f + AHEAD
+                target = classes.take(ahead)
+                hit = self._batch(x, target, False)
                 if not np.isfinite(hit).all():  # exponentials left their range
-                    hit = self._batch(x, classes[ahead], True)
-                out[a: a + SCORED] = ((hit + within[ahead]) * (places < scored[a: a + SCORED, None])).sum(axis=1)
+                    hit = self._batch(x, target, True)
+                hit += within.take(ahead)
+                hit *= places < scored[a: a + SCORED, None]
+                out[a: a + SCORED] = hit @ np.ones(STRIDE)
         return out
 
     def _batch(self, x: np.ndarray, target: np.ndarray, shifted: bool) -> np.ndarray:
@@ -393,26 +442,22 @@ class Scorer:
         v += pv
         att = np.matmul(q, k.transpose(0, 2, 1))
         if shifted:
-            att = np.where(CAUSAL > 0, att, -np.inf).astype(np.float32)
-            att -= att.max(axis=2, keepdims=True)
-        np.exp(att, out=att)
-        att *= CAUSAL
-        mixed = np.matmul(att, v)  # its last column is the sum of weights
+            att = _shifted(att, CAUSAL)
+        else:
+            np.exp(att, out=att)
+            att *= CAUSAL
+        mixed = np.matmul(att, v).reshape(-1, HIDDEN + 1)
+        mixed *= _spread(1 / mixed[:, HIDDEN])
         h += px[CONTEXT:]
-        h += mixed[:, :, :HIDDEN] / mixed[:, :, HIDDEN:]
+        h = h.reshape(-1, HIDDEN + 1)
+        h += mixed
         np.maximum(h, 0, out=h)
-        z = h.reshape(-1, HIDDEN) @ self.u
-        scale = self.scale
+        z = h @ self.up
         if shifted:
-            z += self.b
             z -= z.max(axis=1, keepdims=True)
-            scale = np.ones_like(scale)
-        target = target.ravel()
-        hit = z[np.arange(len(z)), target].astype(np.float64)
-        if not shifted:
-            hit += self.b[target]
+        hit = z.take(np.arange(0, z.size, CLASSES) + target.ravel()).astype(np.float64)
         np.exp(z, out=z)
-        hit -= np.log(z @ scale)
+        hit -= np.log(z @ np.ones(CLASSES, z.dtype))
         return hit.reshape(late.shape)
 
 
@@ -436,9 +481,10 @@ def train(model: dict, table: Table, blocks: Iterator[tuple[np.ndarray, np.ndarr
 
     def steps(ids: np.ndarray, first: np.ndarray, scored: np.ndarray) -> None:
         order = np.random.default_rng(len(first)).permutation(len(first))
+        slots, classes = table.slot[ids], table.of_class[ids]
         for a in range(0, len(first), BATCH):
             f, n = first[order[a: a + BATCH], None], scored[order[a: a + BATCH], None]
-            adam.learn(table.slot[ids[f + REACH]], table.of_class[ids[f + AHEAD]], (places < n).astype(np.float32))
+            adam.learn(slots.take(f + REACH), classes.take(f + AHEAD), (places < n).astype(np.float32))
 
     for windows in blocks:
         if len(windows[1]):

@@ -135,6 +135,31 @@ def test_gradient():
         assert abs((losses[0] - losses[1]) / 2e-5 - g[n][at]) < 1e-7
 
 
+def test_gradient_out_of_range(monkeypatch):
+    """Where exponentials leave their range, rows are shifted; the gradient is that of rows that are not."""
+    model, _ = random_model(5)
+    rng = np.random.default_rng(3)
+    x, y, w = rng.integers(0, 300, (4, lm.WINDOW)), rng.integers(0, lm.CLASSES, (4, lm.STRIDE)), np.ones((4, lm.STRIDE))
+    loss, g = lm.gradient({n: v.astype(np.float64) for n, v in model.items()}, x, y, w)
+    large = lm.gradient({n: v * 40 for n, v in model.items()}, x, y, w)
+    assert np.isfinite(large[0]) and all(np.isfinite(v).all() for v in large[1].values())
+    monkeypatch.setattr(lm, "_in_range", lambda sums: False)
+    shifted = lm.gradient({n: v.astype(np.float64) for n, v in model.items()}, x, y, w)
+    assert abs(shifted[0] - loss) < 1e-12 and all(np.allclose(shifted[1][n], v, rtol=1e-9, atol=1e-15) for n, v in g.items())
+
+
+def test_steps_leave_what_the_batch_has_not():
+    """A step moves the vectors of the batch's ids only, and no vector's one."""
+    model, _ = random_model(5)
+    adam, rng = lm.Adam(model), np.random.default_rng(3)
+    before = adam.slots.copy()
+    x = rng.integers(0, 300, (4, lm.WINDOW))
+    adam.learn(x, rng.integers(0, lm.CLASSES, (4, lm.STRIDE)), np.ones((4, lm.STRIDE), np.float32))
+    moved = (adam.slots != before).any(axis=1)
+    assert set(np.flatnonzero(moved)) == set(x.ravel()) and (adam.slots[:, -1] == 1).all()
+    assert adam.model["e"].base is adam.slots and lm.packed(adam.model).size == sum(math.prod(s) for s in lm.SHAPES.values())
+
+
 @pytest.mark.parametrize("block_bytes, frequent", [(200, 0), (200, 6), (200, 1000), (8 << 20, 6)])
 def test_base_and_odd_rows(spark, monkeypatch, block_bytes, frequent):
     monkeypatch.setattr(lm, "BLOCK_BYTES", block_bytes)
