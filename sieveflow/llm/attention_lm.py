@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Scratch, arrow_rows
+from .common import A_ROW_A_PAGE, Scratch, arrow_rows
 
 WINDOW = 24
 CONTEXT = 6
@@ -53,7 +53,7 @@ BLOCK_BYTES = 2 << 20
 FAN_IN = 16
 FREQUENT = 1 << 17  # words whose counts travel with the tasks, 16 bytes each
 TEXTS = 250         # texts, and blocks, that Python gets at a time
-BLOCKS = 2
+BLOCKS = 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -565,7 +565,7 @@ def log_probabilities(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "do
     scratch = Scratch(docs.sparkSession, "lm")
     id_type = docs.schema[id_col].dataType.simpleString()
     with arrow_rows(docs.sparkSession, TEXTS):
-        blocks = scratch.store(_blocks(docs, vocabulary, id_col, text_col))
+        blocks = scratch.store(_blocks(docs, vocabulary, id_col, text_col), **A_ROW_A_PAGE)
     with arrow_rows(docs.sparkSession, BLOCKS):
         return _scored(blocks, vocabulary, id_type, scratch)
 

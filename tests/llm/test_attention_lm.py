@@ -1,5 +1,6 @@
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 
 from helpers import ODD, empty_docs, odd_docs, rows_of
-from sieveflow.llm import attention_lm as lm
+from sieveflow.llm import attention_lm as lm, common
 from sieveflow.llm.attention_lm import Vocabulary, log_probabilities
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -220,3 +221,21 @@ def test_learns_from_few_texts(spark):
     got = [r for r in log_probabilities(docs, characters()).collect() if r.held_out]
     per_id = sum(r.score for r in got) / sum(r.n_ids for r in got)
     assert per_id > -0.2  # log10(1/3) for eight ids is -0.06, it was below -1 before
+
+
+def test_stored_blocks_are_pages_of_their_own(spark, monkeypatch, tmp_path):
+    """Executors keep buffers of the largest page outside their heap: a task's blocks were one page."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(common, "shared_folder", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    docs = spark.createDataFrame([(i, f"The word {i % 7} and " * 9) for i in range(40)], "doc_id long, text string").coalesce(1)
+    assert log_probabilities(docs, characters()).count() == 40
+    parquet, path = spark._jvm.org.apache.parquet.hadoop, spark._jvm.org.apache.hadoop.fs.Path
+    (file,) = tmp_path.glob("lm-*/1/*.parquet")
+    reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(path(str(file)), spark._jsc.hadoopConfiguration()))
+    try:
+        (group,) = reader.getFooter().getBlocks()
+        assert group.getRowCount() > 10
+        pages = {c.getPath().toDotString(): reader.readOffsetIndex(c).getPageCount() for c in group.getColumns()}
+    finally:
+        reader.close()
+    assert set(pages.values()) == {group.getRowCount()}, pages
